@@ -1,0 +1,67 @@
+"""Hot-session split: no session, however large, is processed by one task.
+
+1. ``session_stats`` counts rows and finds the first error per session with a
+   partial + final aggregate (a hot session costs one row per map task).
+2. Sessions with more than ``hot_rows`` rows are *hot*. There are at most
+   ``total_rows / hot_rows`` of them, so the hot table has a proven size bound
+   and is broadcast; the normal path drops hot sessions with a broadcast
+   anti-join, which also bounds every per-session array it builds.
+3. Hot rows are cut by the broadcast error time, range-partitioned by
+   ``(user_id, session_id, timestamp, seq)`` (Spark samples the bounds, so a
+   session's rows spread over as many tasks as its size needs), sorted, and
+   folded per partition into collapsed fragments; the fragments are stitched
+   per session in partition order.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import is_error
+from ..schema import DEFAULT_HOT_ROWS, ERROR_TS, KEY, PAGE, SESSION, TS, USER, order_columns
+from .pandas_fold import FRAGMENT_SCHEMA, fragment_partition, stitch_fragments
+
+ROWS = "_rows"
+
+
+def session_stats(events: DataFrame) -> DataFrame:
+    """``user_id, session_id, _rows, error_timestamp`` for every session."""
+    return events.groupBy(*KEY).agg(
+        F.count(F.lit(1)).alias(ROWS),
+        F.min(F.when(is_error(), F.col(TS))).alias(ERROR_TS),
+    )
+
+
+def hot_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Sessions with more than ``hot_rows`` events and their first error time.
+
+    At most ``count(events) / hot_rows`` rows: safe to broadcast at any scale
+    for a threshold in the millions.
+    """
+    return session_stats(events).filter(F.col(ROWS) > hot_rows).select(*KEY, ERROR_TS)
+
+
+def split_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """``(normal_events, hot_events)``; hot events carry ``error_timestamp``."""
+    hot = F.broadcast(hot_sessions(events, hot_rows))
+    normal = events.join(hot, list(KEY), "left_anti")
+    hot_events = events.join(hot, list(KEY), "inner")
+    return normal, hot_events
+
+
+def hot_routes(hot_events: DataFrame, seq: str | None = None) -> DataFrame:
+    """Routes of hot sessions, computed over range partitions of their event order."""
+    order = order_columns(seq)
+    cols = list(dict.fromkeys([USER, SESSION, *order, PAGE]))
+    cut = hot_events.filter(
+        F.col(ERROR_TS).isNull() | (F.col(TS) < F.col(ERROR_TS))
+    ).select(*cols)
+    if seq is None:
+        # Without a tie-break, equal (time, page) rows are interchangeable and
+        # would be equal range keys; dropping the copies (map-side first)
+        # leaves every key distinct so the range split can cut anywhere.
+        cut = cut.dropDuplicates([USER, SESSION, TS, PAGE])
+    keys = [USER, SESSION, *order]
+    ranged = cut.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return stitch_fragments(ranged.mapInPandas(fragment_partition, FRAGMENT_SCHEMA))

@@ -1,0 +1,62 @@
+"""Adapter from the generic ``events`` Parquet table to the clickstream schema.
+
+``events`` has ``event_id, ts, user_id, event_type, value, props`` (props is
+JSON with an integer ``k``). Mapping: sessions are ``days``-long calendar
+slices of ``ts``; the clock is whole seconds coarsened to ``unit``; the page is
+``'p' || k % 4``; ``event_id`` is the tie-break ``seq``. Time is computed on
+``timestamp_ntz`` so the session time zone cannot shift any value.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..schema import PAGE, SEQ, SESSION, TS, TYPE, USER
+
+PAGES = 4
+
+
+# Whole seconds since 1970 on the wall clock of ``ts``.
+EPOCH_SECONDS = "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ))"
+
+
+def table_path(sf_dir: str, name: str) -> str:
+    return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def events_from_table(events: DataFrame, days: int = 1, unit: int = 1) -> DataFrame:
+    """Clickstream view of ``events``; rows with a null key, time or page are dropped."""
+    k = F.get_json_object(F.col("props"), "$.k").try_cast("int")
+    out = events.select(
+        F.col("user_id").alias(USER),
+        F.expr(f"{EPOCH_SECONDS} div {86400 * days}").alias(SESSION),
+        F.col("event_type").alias(TYPE),
+        F.concat(F.lit("p"), (k % PAGES).cast("string")).alias(PAGE),
+        (F.expr(f"{EPOCH_SECONDS} div {unit}") * unit).alias(TS),
+        F.col("event_id").alias(SEQ),
+    )
+    return out.filter(
+        F.col(USER).isNotNull() & F.col(SESSION).isNotNull() & F.col(TS).isNotNull()
+        & F.col(PAGE).isNotNull() & F.col(SEQ).isNotNull()
+    )
+
+
+def load_events(spark: SparkSession, sf_dir: str, days: int = 1, unit: int = 1) -> DataFrame:
+    return events_from_table(spark.read.parquet(table_path(sf_dir, "events")), days, unit)
+
+
+def adapter_sql(days: int = 1, unit: int = 1, table: str = "events") -> str:
+    """The same mapping as a DuckDB ``SELECT`` (used by the oracle)."""
+    secs = "CAST(floor(epoch(ts)) AS BIGINT)"
+    return f"""SELECT user_id AS {USER},
+       {secs} // {86400 * days} AS {SESSION},
+       event_type AS {TYPE},
+       'p' || CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % {PAGES} AS VARCHAR) AS {PAGE},
+       {secs} // {unit} * {unit} AS {TS},
+       event_id AS {SEQ}
+FROM {table}
+WHERE user_id IS NOT NULL AND ts IS NOT NULL AND event_id IS NOT NULL
+  AND TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) IS NOT NULL"""

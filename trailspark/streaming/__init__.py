@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The route query has no streaming form to match: its input is one bounded
+table, and both the error cut and the page collapse are final only once a
+session has ended, which the data does not signal. No Structured Streaming
+operator is provided; run the batch plans over each closed slice of input.
+"""
