@@ -27,8 +27,12 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def events_from_table(events: DataFrame, days: int = 1, unit: int = 1) -> DataFrame:
-    """Clickstream view of ``events``; rows with a null key, time or page are dropped."""
+def events_from_table(events: DataFrame, days: int = 1, unit: int = 1,
+                      extra: tuple[str, ...] = ()) -> DataFrame:
+    """Clickstream view of ``events``; rows with a null key, time or page are dropped.
+
+    ``extra`` carries source columns through unchanged (e.g. ``value``).
+    """
     k = F.get_json_object(F.col("props"), "$.k").try_cast("int")
     out = events.select(
         F.col("user_id").alias(USER),
@@ -37,6 +41,7 @@ def events_from_table(events: DataFrame, days: int = 1, unit: int = 1) -> DataFr
         F.concat(F.lit("p"), (k % PAGES).cast("string")).alias(PAGE),
         (F.expr(f"{EPOCH_SECONDS} div {unit}") * unit).alias(TS),
         F.col("event_id").alias(SEQ),
+        *[F.col(c) for c in extra],
     )
     return out.filter(
         F.col(USER).isNotNull() & F.col(SESSION).isNotNull() & F.col(TS).isNotNull()
@@ -44,19 +49,45 @@ def events_from_table(events: DataFrame, days: int = 1, unit: int = 1) -> DataFr
     )
 
 
-def load_events(spark: SparkSession, sf_dir: str, days: int = 1, unit: int = 1) -> DataFrame:
-    return events_from_table(spark.read.parquet(table_path(sf_dir, "events")), days, unit)
+def load_events(spark: SparkSession, sf_dir: str, days: int = 1, unit: int = 1,
+                extra: tuple[str, ...] = ()) -> DataFrame:
+    return events_from_table(spark.read.parquet(table_path(sf_dir, "events")), days, unit, extra)
 
 
-def adapter_sql(days: int = 1, unit: int = 1, table: str = "events") -> str:
+def adapter_sql(days: int = 1, unit: int = 1, table: str = "events",
+                extra: tuple[str, ...] = ()) -> str:
     """The same mapping as a DuckDB ``SELECT`` (used by the oracle)."""
     secs = "CAST(floor(epoch(ts)) AS BIGINT)"
+    carried = "".join(f",\n       {c}" for c in extra)
     return f"""SELECT user_id AS {USER},
        {secs} // {86400 * days} AS {SESSION},
        event_type AS {TYPE},
        'p' || CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % {PAGES} AS VARCHAR) AS {PAGE},
        {secs} // {unit} * {unit} AS {TS},
-       event_id AS {SEQ}
+       event_id AS {SEQ}{carried}
 FROM {table}
 WHERE user_id IS NOT NULL AND ts IS NOT NULL AND event_id IS NOT NULL
   AND TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) IS NOT NULL"""
+
+
+# Fault injection for the line parser, keyed on ``value``: below each bound
+# the line is damaged in one way; from the last bound up it stays clean.
+DAMAGE_BOUNDS = {"missing_field": 2.0, "extra_field": 4.0, "bad_number": 6.0, "empty_page": 8.0}
+
+
+def damaged_lines(events: DataFrame, seq: str = SEQ) -> DataFrame:
+    """Tab-joined lines of ``events`` (which must carry ``value``), some damaged on purpose."""
+    def s(c: str):
+        return F.coalesce(F.col(c).cast("string"), F.lit(""))
+
+    fields = [s(USER), s(SESSION), s(TYPE), s(PAGE), s(TS), s(seq)]
+    value = F.col("value")
+    b = DAMAGE_BOUNDS
+    line = (
+        F.when(value < b["missing_field"], F.concat_ws("\t", *fields[:-1]))
+        .when(value < b["extra_field"], F.concat_ws("\t", *fields, F.lit("extra")))
+        .when(value < b["bad_number"], F.concat_ws("\t", *fields[:4], F.lit("bad"), fields[5]))
+        .when(value < b["empty_page"], F.concat_ws("\t", *fields[:3], F.lit(""), *fields[4:]))
+        .otherwise(F.concat_ws("\t", *fields))
+    )
+    return events.select(line.alias("value"))

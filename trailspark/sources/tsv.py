@@ -80,15 +80,42 @@ def register_events_view(spark: SparkSession, path: str | list[str], view_name:
     return df
 
 
+# Field kinds of a line, in column order: "l" a long, "s" a non-empty
+# string, "t" any text (empty means null).
+_KINDS = ("l", "l", "t", "s", "l")
+
+
+def _line_ok(parts: Column, seq: str | None) -> Column:
+    """One expression over the split line: right arity and every field valid.
+
+    ``zip_with`` pads the shorter array with nulls, so a missing field fails
+    its check and an extra field meets a null kind; the line array is
+    referenced once, so a pushed-down filter splits each line once.
+    """
+    kinds = F.array(*[F.lit(k) for k in _KINDS + (("l",) if seq else ())])
+
+    def valid(x: Column, k: Column) -> Column:
+        check = (
+            F.when(k == "l", x.try_cast("bigint").isNotNull())
+            .when(k == "s", x != F.lit(""))
+            .when(k == "t", x.isNotNull())
+        )
+        return F.coalesce(check, F.lit(False))
+
+    return F.forall(F.zip_with(parts, kinds, valid), lambda ok: ok)
+
+
 def parse_lines_with_rejects(lines: DataFrame, seq: str | None = None,
                              line_col: str = LINE) -> tuple[DataFrame, DataFrame]:
     """Parse raw lines with column expressions (S4): split, arity check, ``try_cast``.
 
-    Header lines (the exact column-name line) are dropped. ``get`` returns null
-    past the end of a short line, so no row can raise under ANSI mode.
+    Header lines (the exact column-name line) are dropped. Returns
+    ``(clean, rejects)``; rejects keep the raw line.
     """
-    n = len(EVENT_FIELDS) + (1 if seq else 0)
-    parts = F.split(F.col(line_col), DELIMITER, -1)
+    line = F.col(line_col)
+    body = lines.filter(line != F.lit(header_line(seq)))
+    ok = _line_ok(F.split(line, DELIMITER, -1), seq)
+    parts = F.col("_parts")
 
     def field(i: int) -> Column:
         return F.nullif(F.get(parts, i), F.lit(""))
@@ -102,14 +129,12 @@ def parse_lines_with_rejects(lines: DataFrame, seq: str | None = None,
     }
     if seq:
         typed[seq] = field(5).try_cast("bigint")
-    body = lines.filter(F.col(line_col) != F.lit(header_line(seq)))
-    parsed = body.select(
-        F.col(line_col), (F.size(parts) == n).alias("_arity_ok"),
-        *[v.alias(k) for k, v in typed.items()],
+    clean = (
+        body.filter(ok)
+        .select(F.split(line, DELIMITER, -1).alias("_parts"))
+        .select(*[v.alias(k) for k, v in typed.items()])
     )
-    ok = F.col("_arity_ok") & _clean_condition(seq)
-    clean = parsed.filter(ok).select(*event_columns(seq))
-    rejects = parsed.filter(~F.coalesce(ok, F.lit(False))).select(line_col)
+    rejects = body.filter(~ok).select(line_col)
     return clean, rejects
 
 
