@@ -1,0 +1,54 @@
+"""Sinks: ordered JSON object, TSV lines, bounded dict."""
+
+from __future__ import annotations
+
+import json
+from pathlib import Path
+
+from conftest import SF
+
+from trailspark import all_route_counts, routes_json, top_routes, top_routes_dict, write_json, write_tsv
+from trailspark.sources import load_events
+
+
+def _counts(spark):
+    return all_route_counts(load_events(spark, SF["sf0.01"]), seq="seq")
+
+
+def test_json_object_keeps_descending_order(spark):
+    counts = _counts(spark)
+    [row] = routes_json(counts, 10).collect()
+    obj = json.loads(row["json"])
+    top = [tuple(r) for r in top_routes(load_events(spark, SF["sf0.01"]), 10, seq="seq").collect()]
+    assert list(obj.items()) == top
+
+
+def test_json_file_and_dict(spark, tmp_path):
+    counts = _counts(spark)
+    out = write_json(counts, str(tmp_path / "json"), 5)
+    parts = [p for p in Path(out).glob("part-*") if p.stat().st_size]
+    assert len(parts) == 1
+    obj = json.loads(parts[0].read_text())
+    assert obj == top_routes_dict(counts, 5)
+    assert list(obj.values()) == sorted(obj.values(), reverse=True)
+
+
+def test_tsv_top_n_single_file(spark, tmp_path):
+    counts = _counts(spark)
+    out = write_tsv(counts, str(tmp_path / "tsv"), n=10)
+    parts = [p for p in Path(out).glob("part-*") if p.stat().st_size]
+    assert len(parts) == 1
+    lines = parts[0].read_text().splitlines()
+    assert lines[:3] == ["p3\t429", "p1\t408", "p2\t382"]
+    assert len(lines) == 10
+
+
+def test_tsv_full_table_in_order(spark, tmp_path):
+    counts = _counts(spark)
+    out = write_tsv(counts, str(tmp_path / "all"))
+    lines = []
+    for p in sorted(Path(out).glob("part-*")):
+        lines += p.read_text().splitlines()
+    pairs = [(r, int(c)) for r, c in (line.split("\t") for line in lines)]
+    assert len(pairs) == 160
+    assert pairs == sorted(pairs, key=lambda rc: (-rc[1], rc[0]))
