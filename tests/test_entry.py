@@ -40,13 +40,20 @@ def test_flagship_plan_prunes_and_has_no_cartesian(spark):
     for line in plan.splitlines():
         if line.strip().startswith("ReadSchema"):
             assert "value" not in line
-    # Hot sessions are found by a partial aggregate and broadcast with a bound.
+    # No session is hot at this scale: the plan carries no split.
+    assert "BroadcastExchange" not in plan and "rangepartitioning" not in plan
+
+
+def test_split_plan_broadcasts_bounded_keys_and_ranges_hot_rows(spark):
+    plan = _plan(top_routes(load_events(spark, SF["sf0.01"]), 10, seq="seq", hot_rows=3))
     assert "BroadcastExchange" in plan
-    assert "partial_count" in plan
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+    assert "rangepartitioning(user_id" in plan
+    assert "MapInPandas" in plan
 
 
 def test_sql_plan_broadcasts_only_the_hot_table(spark):
     load_events(spark, SF["sf0.01"]).createOrReplaceTempView("plan_clicks")
-    plan = _plan(top_routes_sql(spark, "plan_clicks", 10, seq="seq"))
+    plan = _plan(top_routes_sql(spark, "plan_clicks", 10, seq="seq", hot_rows=3))
     assert "LeftAnti" in plan
     assert "CartesianProduct" not in plan

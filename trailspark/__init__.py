@@ -7,7 +7,15 @@ Typical use::
     top_routes(events, n=10).show()
 """
 
-from .operators import (
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Ship this package's functions to Python workers by value, so executors need
+# no installed copy of it (the mapInPandas folds and the RDD facade run there).
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
+from .operators import (  # noqa: E402
     cut_broadcast,
     cut_join,
     cut_partition_min,
@@ -28,7 +36,7 @@ from .operators import (
     split_sessions,
     top_n,
 )
-from .plans import (
+from .plans import (  # noqa: E402
     FORMS,
     all_route_counts,
     session_routes,
@@ -37,8 +45,8 @@ from .plans import (
     top_routes_rdd_df,
     top_routes_sql,
 )
-from .sinks import routes_json, top_routes_dict, write_json, write_tsv
-from .sources import (
+from .sinks import routes_json, top_routes_dict, write_json, write_tsv  # noqa: E402
+from .sources import (  # noqa: E402
     load_events,
     load_lines_rdd,
     parse_lines,

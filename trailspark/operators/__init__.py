@@ -20,7 +20,7 @@ from .paths import (
     routes_window,
     running_routes,
 )
-from .skew import hot_routes, hot_sessions, session_stats, split_sessions
+from .skew import find_hot, hot_routes, hot_sessions, session_stats, split_sessions
 
 __all__ = [
     "CUTS",
@@ -30,6 +30,7 @@ __all__ = [
     "cut_partition_min",
     "cut_window",
     "error_events",
+    "find_hot",
     "first_error",
     "hot_routes",
     "hot_sessions",

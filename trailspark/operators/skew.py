@@ -1,16 +1,25 @@
 """Hot-session split: no session, however large, is processed by one task.
 
-1. ``session_stats`` counts rows and finds the first error per session with a
-   partial + final aggregate (a hot session costs one row per map task).
-2. Sessions with more than ``hot_rows`` rows are *hot*. There are at most
-   ``total_rows / hot_rows`` of them, so the hot table has a proven size bound
-   and is broadcast; the normal path drops hot sessions with a broadcast
-   anti-join, which also bounds every per-session array it builds.
-3. Hot rows are cut by the broadcast error time, range-partitioned by
-   ``(user_id, session_id, timestamp, seq)`` (Spark samples the bounds, so a
-   session's rows spread over as many tasks as its size needs), sorted, and
-   folded per partition into collapsed fragments; the fragments are stitched
-   per session in partition order.
+1. ``hot_sessions`` finds candidate hot sessions (more than ``hot_rows``
+   events) from a Bernoulli sample of the key columns: at rate
+   ``f = min(1, HOT_SAMPLES / hot_rows)`` a session at the threshold yields
+   ``HOT_SAMPLES`` sampled rows on average, and a session is a candidate above
+   half of that. Whatever the sample, the candidates number at most
+   ``2 * rows / hot_rows`` (``rows / hot_rows`` when the rate is 1), which is
+   the size bound that makes broadcasting them safe. The shuffle is ``f`` of
+   the input. Which sessions are picked never changes a result, only the path
+   they take: both paths compute identical routes.
+2. ``split_sessions`` probes the candidates for emptiness (one small job).
+   With none, the input is returned whole and the plan carries no split at
+   all; otherwise a broadcast anti-join and semi-join separate normal and hot
+   rows map-side.
+3. ``hot_routes`` cuts hot rows at their session's first error (a partial
+   aggregate over hot rows, at most one row per candidate per task, joined
+   back by broadcast), range-partitions them by ``(user_id, session_id,
+   timestamp, seq)`` -- Spark samples the bounds, so one session spreads over
+   as many tasks as its size needs -- sorts, folds each partition into
+   collapsed fragments with numpy, and stitches fragments per session in
+   partition order.
 """
 
 from __future__ import annotations
@@ -23,40 +32,72 @@ from ..schema import DEFAULT_HOT_ROWS, ERROR_TS, KEY, PAGE, SESSION, TS, USER, o
 from .pandas_fold import FRAGMENT_SCHEMA, fragment_partition, stitch_fragments
 
 ROWS = "_rows"
+# Expected sampled rows of a session exactly at the threshold.
+HOT_SAMPLES = 100
+SAMPLE_SEED = 17
 
 
 def session_stats(events: DataFrame) -> DataFrame:
-    """``user_id, session_id, _rows, error_timestamp`` for every session."""
+    """``user_id, session_id, _rows, error_timestamp`` for every session (exact)."""
     return events.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias(ROWS),
         F.min(F.when(is_error(), F.col(TS))).alias(ERROR_TS),
     )
 
 
+def sample_fraction(hot_rows: int) -> float:
+    return min(1.0, HOT_SAMPLES / hot_rows) if hot_rows > 0 else 1.0
+
+
 def hot_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Sessions with more than ``hot_rows`` events and their first error time.
+    """Keys of candidate hot sessions; at most ``2 * count(events) / hot_rows`` rows."""
+    fraction = sample_fraction(hot_rows)
+    keys = events.select(*KEY)
+    if fraction < 1.0:
+        keys = keys.sample(fraction=fraction, seed=SAMPLE_SEED)
+        floor = HOT_SAMPLES / 2
+    else:
+        floor = hot_rows
+    return (
+        keys.groupBy(*KEY)
+        .agg(F.count(F.lit(1)).alias(ROWS))
+        .filter(F.col(ROWS) > floor)
+        .select(*KEY)
+    )
 
-    At most ``count(events) / hot_rows`` rows: safe to broadcast at any scale
-    for a threshold in the millions.
+
+def find_hot(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame | None:
+    """Candidate keys, or None when no session is hot (one small job).
+
+    Only the emptiness probe runs now; the table stays lazy and, when used,
+    is recomputed inside the main plan from the key columns. The seeded
+    sample makes that recomputation, and any retry after a lost executor,
+    pick the same keys.
     """
-    return session_stats(events).filter(F.col(ROWS) > hot_rows).select(*KEY, ERROR_TS)
+    hot = hot_sessions(events, hot_rows)
+    return None if hot.isEmpty() else hot
 
 
-def split_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """``(normal_events, hot_events)``; hot events carry ``error_timestamp``."""
-    hot = F.broadcast(hot_sessions(events, hot_rows))
-    normal = events.join(hot, list(KEY), "left_anti")
-    hot_events = events.join(hot, list(KEY), "inner")
-    return normal, hot_events
+def split_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS
+                   ) -> tuple[DataFrame, DataFrame | None]:
+    """``(normal_events, hot_events)``; ``hot_events`` is None when no session is hot."""
+    hot = find_hot(events, hot_rows)
+    if hot is None:
+        return events, None
+    keys = F.broadcast(hot)
+    return events.join(keys, list(KEY), "left_anti"), events.join(keys, list(KEY), "left_semi")
 
 
 def hot_routes(hot_events: DataFrame, seq: str | None = None) -> DataFrame:
     """Routes of hot sessions, computed over range partitions of their event order."""
     order = order_columns(seq)
     cols = list(dict.fromkeys([USER, SESSION, *order, PAGE]))
-    cut = hot_events.filter(
-        F.col(ERROR_TS).isNull() | (F.col(TS) < F.col(ERROR_TS))
-    ).select(*cols)
+    errors = hot_events.filter(is_error()).groupBy(*KEY).agg(F.min(TS).alias(ERROR_TS))
+    cut = (
+        hot_events.join(F.broadcast(errors), list(KEY), "left")
+        .filter(F.col(ERROR_TS).isNull() | (F.col(TS) < F.col(ERROR_TS)))
+        .select(*cols)
+    )
     if seq is None:
         # Without a tie-break, equal (time, page) rows are interchangeable and
         # would be equal range keys; dropping the copies (map-side first)

@@ -65,7 +65,8 @@ def session_routes(events: DataFrame, form: str = DEFAULT_FORM, seq: str | None
     if hot_rows is None:
         return build(events, seq)
     normal, hot = split_sessions(events, hot_rows)
-    return build(normal, seq).unionByName(hot_routes(hot, seq))
+    routes = build(normal, seq)
+    return routes if hot is None else routes.unionByName(hot_routes(hot, seq))
 
 
 def all_route_counts(events: DataFrame, form: str = DEFAULT_FORM, seq: str | None = None,

@@ -72,8 +72,9 @@ def top_routes_rdd(events: DataFrame, n: int = DEFAULT_N, seq: str | None = None
         pairs = route_pairs_rdd(events, seq)
     else:
         normal, hot = split_sessions(events, hot_rows)
-        hot_pairs = hot_routes(hot, seq).rdd.map(lambda r: (r[ROUTE], 1))
-        pairs = route_pairs_rdd(normal, seq).union(hot_pairs)
+        pairs = route_pairs_rdd(normal, seq)
+        if hot is not None:
+            pairs = pairs.union(hot_routes(hot, seq).rdd.map(lambda r: (r[ROUTE], 1)))
     return pairs.reduceByKey(add).takeOrdered(n, key=lambda kv: (-kv[1], kv[0]))
 
 

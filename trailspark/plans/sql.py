@@ -8,9 +8,10 @@ out of it with a broadcast anti-join and their routes come in through a
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.counts import DEFAULT_N
-from ..operators.skew import hot_routes, hot_sessions, split_sessions
+from ..operators.skew import find_hot, hot_routes
 from ..schema import DEFAULT_HOT_ROWS, PAGE, order_columns
 
 
@@ -74,11 +75,9 @@ LIMIT :n
 def top_routes_sql(spark: SparkSession, view: str = "clickstream", n: int = DEFAULT_N,
                    seq: str | None = None, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """Run the statement over ``view`` (a typed events view, see ``register_events_view``)."""
-    text = top_routes_sql_text(view, seq, split=hot_rows is not None)
-    if hot_rows is None:
+    hot = None if hot_rows is None else find_hot(spark.table(view), hot_rows)
+    text = top_routes_sql_text(view, seq, split=hot is not None)
+    if hot is None:
         return spark.sql(text, args={"n": n})
-    events = spark.table(view)
-    hot = hot_sessions(events, hot_rows)
-    _, hot_events = split_sessions(events, hot_rows)
-    return spark.sql(text, args={"n": n}, hot=hot.select("user_id", "session_id"),
-                     hot_routes=hot_routes(hot_events, seq))
+    hot_events = spark.table(view).join(F.broadcast(hot), ["user_id", "session_id"], "left_semi")
+    return spark.sql(text, args={"n": n}, hot=hot, hot_routes=hot_routes(hot_events, seq))
