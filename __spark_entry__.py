@@ -94,8 +94,8 @@ def _top_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _routes_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Every session goes through the range-split path (threshold 0).
-    _, hot = split_sessions(_events(spark, sf_dir), 0)
-    return hot_routes(hot, SEQ)
+    split = split_sessions(_events(spark, sf_dir), 0)
+    return hot_routes(split.hot, SEQ, split.small)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

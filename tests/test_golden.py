@@ -95,5 +95,6 @@ def test_rdd_form(edge_seq, hot):
 
 
 def test_hot_path_alone_matches(edge_seq):
-    _, hot = split_sessions(edge_seq, 0)
-    assert collect_routes(hot_routes(hot, "seq")) == EDGE_ROUTES_SEQ
+    split = split_sessions(edge_seq, 0)
+    assert collect_routes(split.normal) == {}
+    assert collect_routes(hot_routes(split.hot, "seq", split.small)) == EDGE_ROUTES_SEQ

@@ -13,7 +13,7 @@ Whole-pipeline forms over raw events:
 
 * ``routes_fold`` — one aggregate per session (error time, first time and
   the event structs), then array functions only: sort, cut, collapse, join.
-* ``routes_window`` — window-min cut and ``lag`` sharing one sort, then
+* ``routes_window`` — window-min cut and ``lag`` in one window pass, then
   ``routes_sorted``.
 """
 
@@ -97,8 +97,22 @@ def routes_fold(events: DataFrame, seq: str | None = None) -> DataFrame:
 
 
 def routes_window(events: DataFrame, seq: str | None = None) -> DataFrame:
-    """Window-min cut + ``lag`` collapse over one shared sort, then ``routes_sorted``."""
-    from .collapse import page_changes
-    from .cut import cut_partition_min
+    """Window-min cut and ``lag`` in one window pass, then ``routes_sorted``.
 
-    return routes_sorted(page_changes(cut_partition_min(events, seq), seq), seq)
+    The cut keeps a prefix of each session, so ``lag`` over the uncut rows
+    equals ``lag`` over the kept rows: both functions share one sort, and one
+    filter applies the cut (R4) and the collapse (R6) together.
+    """
+    ordered = Window.partitionBy(*KEY).orderBy(*order_columns(seq))
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    et, prev = "_et", "_prev"
+    marked = events.select(
+        *dict.fromkeys([USER, SESSION, *order_columns(seq), PAGE]),
+        F.min(F.when(is_error(), F.col(TS))).over(whole).alias(et),
+        F.lag(PAGE).over(ordered).alias(prev),
+    )
+    changes = marked.filter(
+        (F.col(et).isNull() | (F.col(TS) < F.col(et)))
+        & (F.col(prev).isNull() | (F.col(PAGE) != F.col(prev)))
+    )
+    return routes_sorted(changes, seq)

@@ -9,13 +9,13 @@
    the size bound that makes broadcasting them safe. The shuffle is ``f`` of
    the input. Which sessions are picked never changes a result, only the path
    they take: both paths compute identical routes.
-2. ``split_sessions`` probes the candidates for emptiness (one small job).
+2. ``split_sessions`` counts the candidates up to a cap (one small job).
    With none, the input is returned whole and the plan carries no split at
    all; otherwise a broadcast anti-join and semi-join separate normal and hot
-   rows map-side.
+   rows map-side (shuffle joins with AQE skew handling above the cap).
 3. ``hot_routes`` cuts hot rows at their session's first error (a partial
    aggregate over hot rows, at most one row per candidate per task, joined
-   back by broadcast), range-partitions them by ``(user_id, session_id,
+   back), range-partitions them by ``(user_id, session_id,
    timestamp, seq)`` -- Spark samples the bounds, so one session spreads over
    as many tasks as its size needs -- sorts, folds each partition into
    collapsed fragments with numpy, and stitches fragments per session in
@@ -24,6 +24,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,9 @@ ROWS = "_rows"
 # Expected sampled rows of a session exactly at the threshold.
 HOT_SAMPLES = 100
 SAMPLE_SEED = 17
+# Most candidate keys broadcast (two longs each, about 32 MB of hash table);
+# above it the split uses shuffle joins.
+MAX_BROADCAST_KEYS = 2_000_000
 
 
 def session_stats(events: DataFrame) -> DataFrame:
@@ -66,35 +71,63 @@ def hot_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFra
     )
 
 
-def find_hot(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame | None:
-    """Candidate keys, or None when no session is hot (one small job).
+def find_hot(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> tuple[DataFrame, int] | None:
+    """``(candidate keys, count capped at MAX_BROADCAST_KEYS + 1)``, or None when none.
 
-    Only the emptiness probe runs now; the table stays lazy and, when used,
-    is recomputed inside the main plan from the key columns. The seeded
-    sample makes that recomputation, and any retry after a lost executor,
-    pick the same keys.
+    One small job counts at most ``MAX_BROADCAST_KEYS + 1`` candidates. The
+    table stays lazy and, when used, is recomputed inside the main plan from
+    the key columns; the seeded sample makes that recomputation, and any
+    retry after a lost executor, pick the same keys.
     """
     hot = hot_sessions(events, hot_rows)
-    return None if hot.isEmpty() else hot
+    n = hot.limit(MAX_BROADCAST_KEYS + 1).count()
+    return None if n == 0 else (hot, n)
+
+
+class HotSplit(NamedTuple):
+    """Normal rows, hot rows (None when no session is hot), whether the
+    hot-session tables are small enough to broadcast, and the hot keys."""
 
+    normal: DataFrame
+    hot: DataFrame | None
+    small: bool = True
+    keys: DataFrame | None = None
 
-def split_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS
-                   ) -> tuple[DataFrame, DataFrame | None]:
-    """``(normal_events, hot_events)``; ``hot_events`` is None when no session is hot."""
-    hot = find_hot(events, hot_rows)
-    if hot is None:
-        return events, None
-    keys = F.broadcast(hot)
-    return events.join(keys, list(KEY), "left_anti"), events.join(keys, list(KEY), "left_semi")
 
+def split_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> HotSplit:
+    """Separate hot sessions from the rest.
 
-def hot_routes(hot_events: DataFrame, seq: str | None = None) -> DataFrame:
-    """Routes of hot sessions, computed over range partitions of their event order."""
+    Within the cap the keys are broadcast and both joins run map-side; above
+    it they are shuffle joins, where AQE's skew-join handling splits the hot
+    sessions' partitions of the event side.
+    """
+    found = find_hot(events, hot_rows)
+    if found is None:
+        return HotSplit(events, None)
+    keys, n = found
+    small = n <= MAX_BROADCAST_KEYS
+    if small:
+        keys = F.broadcast(keys)
+    return HotSplit(
+        events.join(keys, list(KEY), "left_anti"), events.join(keys, list(KEY), "left_semi"),
+        small, keys,
+    )
+
+
+def hot_routes(hot_events: DataFrame, seq: str | None = None, small: bool = True) -> DataFrame:
+    """Routes of hot sessions, computed over range partitions of their event order.
+
+    ``small`` (see ``HotSplit``) says the per-session error table, one row per
+    hot session at most, may be broadcast.
+    """
     order = order_columns(seq)
     cols = list(dict.fromkeys([USER, SESSION, *order, PAGE]))
+    # One row per hot session with an error: as small as the candidate table.
     errors = hot_events.filter(is_error()).groupBy(*KEY).agg(F.min(TS).alias(ERROR_TS))
+    if small:
+        errors = F.broadcast(errors)
     cut = (
-        hot_events.join(F.broadcast(errors), list(KEY), "left")
+        hot_events.join(errors, list(KEY), "left")
         .filter(F.col(ERROR_TS).isNull() | (F.col(TS) < F.col(ERROR_TS)))
         .select(*cols)
     )

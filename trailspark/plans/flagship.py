@@ -57,6 +57,10 @@ FORMS: dict[str, RouteForm] = {
 
 DEFAULT_FORM = "fold"
 
+# Forms whose per-session cost is quadratic (running lists of the ``windows``
+# shape) send long sessions to the range-split path much earlier.
+FORM_MAX_ROWS = {"windows": 1_000}
+
 
 def session_routes(events: DataFrame, form: str = DEFAULT_FORM, seq: str | None = None,
                    hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
@@ -64,9 +68,11 @@ def session_routes(events: DataFrame, form: str = DEFAULT_FORM, seq: str | None
     build = FORMS[form]
     if hot_rows is None:
         return build(events, seq)
-    normal, hot = split_sessions(events, hot_rows)
-    routes = build(normal, seq)
-    return routes if hot is None else routes.unionByName(hot_routes(hot, seq))
+    split = split_sessions(events, min(hot_rows, FORM_MAX_ROWS.get(form, hot_rows)))
+    routes = build(split.normal, seq)
+    if split.hot is None:
+        return routes
+    return routes.unionByName(hot_routes(split.hot, seq, split.small))
 
 
 def all_route_counts(events: DataFrame, form: str = DEFAULT_FORM, seq: str | None = None,

@@ -71,10 +71,11 @@ def top_routes_rdd(events: DataFrame, n: int = DEFAULT_N, seq: str | None = None
     if hot_rows is None:
         pairs = route_pairs_rdd(events, seq)
     else:
-        normal, hot = split_sessions(events, hot_rows)
-        pairs = route_pairs_rdd(normal, seq)
-        if hot is not None:
-            pairs = pairs.union(hot_routes(hot, seq).rdd.map(lambda r: (r[ROUTE], 1)))
+        split = split_sessions(events, hot_rows)
+        pairs = route_pairs_rdd(split.normal, seq)
+        if split.hot is not None:
+            hot = hot_routes(split.hot, seq, split.small)
+            pairs = pairs.union(hot.rdd.map(lambda r: (r[ROUTE], 1)))
     return pairs.reduceByKey(add).takeOrdered(n, key=lambda kv: (-kv[1], kv[0]))
 
 

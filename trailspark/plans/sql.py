@@ -1,5 +1,8 @@
 """The route query as one Spark SQL statement over a registered events view (Q4).
 
+One scan, one shuffle by session, one sort: the first-error time is a
+whole-session window minimum next to ``LAG`` in the same window pass.
+
 The statement is the bulk path; hot sessions (see ``operators.skew``) are kept
 out of it with a broadcast anti-join and their routes come in through a
 ``UNION ALL`` from a view the library computes. ``n`` is a bound parameter.
@@ -8,13 +11,15 @@ out of it with a broadcast anti-join and their routes come in through a
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.counts import DEFAULT_N
-from ..operators.skew import find_hot, hot_routes
+from ..operators.skew import hot_routes, split_sessions
 from ..schema import DEFAULT_HOT_ROWS, PAGE, order_columns
 
 
+BROADCAST_HINT = "/*+ BROADCAST(h) */"
+
+
 def top_routes_sql_text(view: str, seq: str | None = None, split: bool = True) -> str:
     """SQL text; ``{hot}`` and ``{hot_routes}`` are filled with DataFrames when ``split``."""
     tie = order_columns(seq)[1]
@@ -23,7 +28,7 @@ def top_routes_sql_text(view: str, seq: str | None = None, split: bool = True) -
         "LEFT ANTI JOIN {hot} h ON c.user_id = h.user_id AND c.session_id = h.session_id"
         if split else ""
     )
-    hint = "/*+ BROADCAST(h) */" if split else ""
+    hint = BROADCAST_HINT if split else ""
     hot_union = (
         "UNION ALL SELECT user_id, session_id, route FROM {hot_routes}" if split else ""
     )
@@ -35,26 +40,22 @@ WITH base AS (
     FROM {view} c
     {hot_filter}
 ),
-errors AS (
-    SELECT user_id, session_id, MIN(timestamp) AS error_timestamp
+marked AS (
+    -- The cut keeps a prefix of each session, so LAG over the uncut rows
+    -- equals LAG over the kept ones: both windows share one sort.
+    SELECT user_id, session_id, timestamp, tie, event_page,
+           MIN(CASE WHEN is_error THEN timestamp END) OVER whole AS error_timestamp,
+           LAG(event_page) OVER ordered AS prev
     FROM base
-    WHERE is_error
-    GROUP BY user_id, session_id
-),
-valid AS (
-    SELECT b.user_id, b.session_id, b.timestamp, b.tie, b.event_page
-    FROM base b
-    LEFT JOIN errors e ON b.user_id = e.user_id AND b.session_id = e.session_id
-    WHERE e.error_timestamp IS NULL OR b.timestamp < e.error_timestamp
+    WINDOW ordered AS (PARTITION BY user_id, session_id ORDER BY timestamp, tie),
+           whole AS (PARTITION BY user_id, session_id ORDER BY timestamp, tie
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
 ),
 changes AS (
     SELECT user_id, session_id, timestamp, tie, event_page
-    FROM (
-        SELECT *, LAG(event_page) OVER (
-                   PARTITION BY user_id, session_id ORDER BY timestamp, tie) AS prev
-        FROM valid
-    ) t
-    WHERE prev IS NULL OR event_page <> prev
+    FROM marked
+    WHERE (error_timestamp IS NULL OR timestamp < error_timestamp)
+      AND (prev IS NULL OR event_page <> prev)
 ),
 routes AS (
     SELECT user_id, session_id,
@@ -75,9 +76,11 @@ LIMIT :n
 def top_routes_sql(spark: SparkSession, view: str = "clickstream", n: int = DEFAULT_N,
                    seq: str | None = None, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """Run the statement over ``view`` (a typed events view, see ``register_events_view``)."""
-    hot = None if hot_rows is None else find_hot(spark.table(view), hot_rows)
-    text = top_routes_sql_text(view, seq, split=hot is not None)
-    if hot is None:
+    split = None if hot_rows is None else split_sessions(spark.table(view), hot_rows)
+    text = top_routes_sql_text(view, seq, split=split is not None and split.hot is not None)
+    if split is None or split.hot is None:
         return spark.sql(text, args={"n": n})
-    hot_events = spark.table(view).join(F.broadcast(hot), ["user_id", "session_id"], "left_semi")
-    return spark.sql(text, args={"n": n}, hot=hot, hot_routes=hot_routes(hot_events, seq))
+    if not split.small:
+        text = text.replace(BROADCAST_HINT, "")
+    return spark.sql(text, args={"n": n}, hot=split.keys,
+                     hot_routes=hot_routes(split.hot, seq, split.small))

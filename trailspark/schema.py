@@ -32,7 +32,7 @@ SEPARATOR = "-"
 # Sessions above this many rows are treated as hot and split by range over
 # their event order (see operators.skew). The bound also caps the size of the
 # per-session arrays the normal path builds.
-DEFAULT_HOT_ROWS = 1_000_000
+DEFAULT_HOT_ROWS = 100_000
 
 EVENT_FIELDS = (USER, SESSION, TYPE, PAGE, TS)
 
