@@ -47,12 +47,17 @@ from trailspark.sources.testdata import (  # noqa: E402
     adapter_sql,
     damaged_lines,
     load_events,
+    skewed_events,
+    skewed_sql,
 )
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 N = 10
 # Coarse clock (6 h) over weekly sessions: many events share a timestamp.
 COARSE = {"days": 7, "unit": 21600}
+# Threshold for the skewed variant: the one big session (every ``view`` event,
+# about a fifth of the rows) is above it at every scale, the rest far below.
+SKEW_HOT_ROWS = 150
 
 EVENT_COLS = event_columns(SEQ)
 
@@ -122,6 +127,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             session_routes(_events(s, d, **COARSE), seq=SEQ)),
         "route_counts_page_ties": lambda s, d: route_counts(
             session_routes(_events(s, d, **COARSE).drop(SEQ), seq=None)),
+        "route_counts_hot_session": lambda s, d: route_counts(
+            session_routes(skewed_events(_events(s, d)), seq=SEQ, hot_rows=SKEW_HOT_ROWS)),
         "top_routes": lambda s, d: top_routes(_events(s, d), N, seq=SEQ),
         "top_routes_window": lambda s, d: top_routes(_events(s, d), N, "window", SEQ),
         "top_routes_windows": lambda s, d: top_routes(_events(s, d), N, "windows", SEQ),
@@ -195,6 +202,9 @@ def oracle_sql() -> dict[str, str]:
         "route_counts_page_ties": (
             f"{_pipeline(adapter_sql(**COARSE), tie='event_page')}SELECT route, count FROM rc"
         ),
+        "route_counts_hot_session": (
+            f"{_pipeline(skewed_sql(adapter_sql()))}SELECT route, count FROM rc"
+        ),
         "top_routes": top,
         "top_routes_window": top,
         "top_routes_windows": top,

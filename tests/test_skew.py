@@ -1,0 +1,76 @@
+"""Hot sessions: detection bound, range split across tasks, stitching, broadcast fallback."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import SF, collect_counts, collect_routes
+
+from trailspark import FORMS, all_route_counts, session_routes
+from trailspark.operators import find_hot, hot_fragments, hot_routes, skew, split_sessions
+from trailspark.sources.testdata import load_events, skewed_events
+
+HOT_ROWS = 150
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    df = skewed_events(load_events(spark, SF["sf0.01"])).cache()
+    yield df
+    df.unpersist()
+
+
+@pytest.fixture(scope="module")
+def reference(skewed):
+    return collect_routes(session_routes(skewed, "fold", "seq", None))
+
+
+def test_detection_finds_exactly_the_big_session(skewed):
+    keys, n = find_hot(skewed, HOT_ROWS)
+    assert n == 1
+    assert [tuple(r) for r in keys.collect()] == [(0, 0)]
+    # Candidate bound: at most 2 * rows / threshold keys, whatever the sample.
+    loose, m = find_hot(skewed, 40)
+    assert m <= 2 * skewed.count() / 40
+    assert (0, 0) in {tuple(r) for r in loose.collect()}
+
+
+def test_no_hot_session_means_no_split(spark):
+    split = split_sessions(load_events(spark, SF["sf0.01"]))
+    assert split.hot is None
+
+
+def test_big_session_is_spread_over_range_partitions(spark, skewed, reference):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        split = split_sessions(skewed, HOT_ROWS)
+        frags = hot_fragments(split.hot, "seq", split.small).collect()
+        parts = {r["_part"] for r in frags if (r["user_id"], r["session_id"]) == (0, 0)}
+        assert len(parts) > 1
+        routes = collect_routes(hot_routes(split.hot, "seq", split.small))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert routes == {(0, 0): reference[(0, 0)]}
+    assert len(reference[(0, 0)].split("-")) > 10
+
+
+@pytest.mark.parametrize("form", list(FORMS))
+def test_every_form_with_split_matches(skewed, reference, form):
+    assert collect_routes(session_routes(skewed, form, "seq", HOT_ROWS)) == reference
+
+
+def test_shuffle_fallback_above_broadcast_cap(skewed, reference, monkeypatch):
+    monkeypatch.setattr(skew, "MAX_BROADCAST_KEYS", 0)
+    split = split_sessions(skewed, HOT_ROWS)
+    assert not split.small
+    assert collect_routes(session_routes(skewed, "window", "seq", HOT_ROWS)) == reference
+
+
+def test_long_route_without_errors(spark, reference):
+    # Drop errors so the big session's route runs to its end: many fragments to stitch.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        events = skewed_events(load_events(spark, SF["sf0.01"])).filter("event_type <> 'error'")
+        expected = collect_counts(all_route_counts(events, "window", "seq", None))
+        assert collect_counts(all_route_counts(events, "fold", "seq", HOT_ROWS)) == expected
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

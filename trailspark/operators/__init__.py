@@ -20,7 +20,15 @@ from .paths import (
     routes_window,
     running_routes,
 )
-from .skew import find_hot, hot_routes, hot_sessions, session_stats, split_sessions
+from .skew import (
+    HotSplit,
+    find_hot,
+    hot_fragments,
+    hot_routes,
+    hot_sessions,
+    session_stats,
+    split_sessions,
+)
 
 __all__ = [
     "CUTS",
@@ -32,6 +40,8 @@ __all__ = [
     "error_events",
     "find_hot",
     "first_error",
+    "HotSplit",
+    "hot_fragments",
     "hot_routes",
     "hot_sessions",
     "page_changes",

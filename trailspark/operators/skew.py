@@ -120,6 +120,11 @@ def hot_routes(hot_events: DataFrame, seq: str | None = None, small: bool = True
     ``small`` (see ``HotSplit``) says the per-session error table, one row per
     hot session at most, may be broadcast.
     """
+    return stitch_fragments(hot_fragments(hot_events, seq, small))
+
+
+def hot_fragments(hot_events: DataFrame, seq: str | None = None, small: bool = True) -> DataFrame:
+    """Per-range-partition collapsed fragments of the hot sessions (before stitching)."""
     order = order_columns(seq)
     cols = list(dict.fromkeys([USER, SESSION, *order, PAGE]))
     # One row per hot session with an error: as small as the candidate table.
@@ -138,4 +143,4 @@ def hot_routes(hot_events: DataFrame, seq: str | None = None, small: bool = True
         cut = cut.dropDuplicates([USER, SESSION, TS, PAGE])
     keys = [USER, SESSION, *order]
     ranged = cut.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return stitch_fragments(ranged.mapInPandas(fragment_partition, FRAGMENT_SCHEMA))
+    return ranged.mapInPandas(fragment_partition, FRAGMENT_SCHEMA)

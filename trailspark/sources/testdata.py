@@ -91,3 +91,25 @@ def damaged_lines(events: DataFrame, seq: str = SEQ) -> DataFrame:
         .otherwise(F.concat_ws("\t", *fields))
     )
     return events.select(line.alias("value"))
+
+
+# Event type whose rows are all moved into one session by ``skewed_events``
+# (about a fifth of the table).
+HOT_TYPE = "view"
+
+
+def skewed_events(events: DataFrame) -> DataFrame:
+    """Move every ``view`` event into session ``(0, 0)``: one session holds a large share of rows."""
+    hot = F.col(TYPE) == F.lit(HOT_TYPE)
+    return events.withColumns({
+        USER: F.when(hot, F.lit(0)).otherwise(F.col(USER)),
+        SESSION: F.when(hot, F.lit(0)).otherwise(F.col(SESSION)),
+    })
+
+
+def skewed_sql(adapter: str) -> str:
+    """``skewed_events`` over an adapter ``SELECT`` (DuckDB)."""
+    return f"""SELECT CASE WHEN {TYPE} = '{HOT_TYPE}' THEN 0 ELSE {USER} END AS {USER},
+       CASE WHEN {TYPE} = '{HOT_TYPE}' THEN 0 ELSE {SESSION} END AS {SESSION},
+       {TYPE}, {PAGE}, {TS}, {SEQ}
+FROM ({adapter}) a"""
