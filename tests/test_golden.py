@@ -98,3 +98,24 @@ def test_hot_path_alone_matches(edge_seq):
     split = split_sessions(edge_seq, 0)
     assert collect_routes(split.normal) == {}
     assert collect_routes(hot_routes(split.hot, "seq", split.small)) == EDGE_ROUTES_SEQ
+
+
+def test_sql_over_untyped_string_view(spark, tmp_path):
+    # As the task's SQL path: a header-only read leaves every column a string.
+    path = write(tmp_path, "edge.tsv", tsv(EDGE, with_seq=True))
+    spark.read.csv(path, header=True, sep="\t").createOrReplaceTempView("raw_clicks")
+    for hot in HOT:
+        rows = [tuple(r) for r in top_routes_sql(spark, "raw_clicks", 4, seq="seq", hot_rows=hot).collect()]
+        assert rows == [("A-B", 3), ("A", 2), ("A-B-A-C", 1), ("A-B-C", 1)], hot
+
+
+def test_cast_events_and_rdd_path(spark, tmp_path):
+    from trailspark import cast_events
+    from trailspark.plans import top_routes_rdd_path
+
+    path = write(tmp_path, "worked.tsv", tsv(WORKED))
+    typed = cast_events(spark.read.csv(path, header=True, sep="\t"))
+    assert dict(typed.dtypes)["timestamp"] == "bigint"
+    assert collect_routes(session_routes(typed)) == WORKED_ROUTES
+    assert sorted(top_routes_rdd_path(spark, path, 10)) == sorted(
+        (r, 1) for r in WORKED_ROUTES.values())

@@ -43,10 +43,12 @@ from .plans import (  # noqa: E402
     top_routes,
     top_routes_rdd,
     top_routes_rdd_df,
+    top_routes_rdd_path,
     top_routes_sql,
 )
 from .sinks import routes_json, top_routes_dict, write_json, write_tsv  # noqa: E402
 from .sources import (  # noqa: E402
+    cast_events,
     load_events,
     load_lines_rdd,
     parse_lines,
@@ -57,6 +59,7 @@ from .sources import (  # noqa: E402
 )
 
 __all__ = [
+    "cast_events",
     "FORMS",
     "all_route_counts",
     "cut_broadcast",
@@ -91,6 +94,7 @@ __all__ = [
     "top_routes_dict",
     "top_routes_rdd",
     "top_routes_rdd_df",
+    "top_routes_rdd_path",
     "top_routes_sql",
     "write_json",
     "write_tsv",

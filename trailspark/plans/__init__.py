@@ -1,7 +1,7 @@
 """Whole-query plans: DataFrame forms, SQL statement, RDD facade."""
 
 from .flagship import DEFAULT_FORM, FORMS, all_route_counts, session_routes, top_routes
-from .rdd import fold_session, route_pairs_rdd, top_routes_rdd, top_routes_rdd_df
+from .rdd import fold_session, route_pairs_rdd, top_routes_rdd, top_routes_rdd_df, top_routes_rdd_path
 from .sql import top_routes_sql, top_routes_sql_text
 
 __all__ = [
@@ -14,6 +14,7 @@ __all__ = [
     "top_routes",
     "top_routes_rdd",
     "top_routes_rdd_df",
+    "top_routes_rdd_path",
     "top_routes_sql",
     "top_routes_sql_text",
 ]

@@ -3,8 +3,10 @@
 Forms (all give the same table; see tests/test_cross_forms.py):
 
 =========== ===================================================================
-``fold``    one aggregate per session, then array functions (default)
-``window``  window-min cut + ``lag`` sharing one sort, collect + ``array_sort``
+``window``  window-min cut + ``lag`` in one window pass over one sort, then
+            collect + ``array_sort`` of the page changes only (default)
+``fold``    one aggregate per session collecting every event, then array
+            functions only
 ``windows`` the reference's DataFrame shape: running error sum (RANGE frame),
             ``lag``, running ``collect_list``, ``max`` of the lists
 ``join``    first-error aggregate, left outer join, ``lag``, collect + sort
@@ -55,7 +57,7 @@ FORMS: dict[str, RouteForm] = {
     "pandas": routes_pandas,
 }
 
-DEFAULT_FORM = "fold"
+DEFAULT_FORM = "window"
 
 # Forms whose per-session cost is quadratic (running lists of the ``windows``
 # shape) send long sessions to the range-split path much earlier.

@@ -84,3 +84,11 @@ def top_routes_rdd_df(events: DataFrame, n: int = DEFAULT_N, seq: str | None = N
     """``top_routes_rdd`` as a DataFrame (``n`` rows at most)."""
     top = top_routes_rdd(events, n, seq, hot_rows)
     return events.sparkSession.createDataFrame(top, ROUTE_COUNTS_SCHEMA)
+
+
+def top_routes_rdd_path(spark, path: str | list[str], n: int = DEFAULT_N, seq: str | None = None,
+                        hot_rows: int | None = DEFAULT_HOT_ROWS) -> list[tuple[str, int]]:
+    """The whole RDD pipeline from delimited files (Q7): text scan, parse, fold, count."""
+    from ..sources.tsv import read_lines
+
+    return top_routes_rdd(read_lines(spark, path, seq), n, seq, hot_rows)

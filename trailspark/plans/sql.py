@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.counts import DEFAULT_N
 from ..operators.skew import hot_routes, split_sessions
 from ..schema import DEFAULT_HOT_ROWS, PAGE, order_columns
+from ..sources.tsv import cast_events
 
 
 BROADCAST_HINT = "/*+ BROADCAST(h) */"
@@ -23,7 +24,7 @@ BROADCAST_HINT = "/*+ BROADCAST(h) */"
 def top_routes_sql_text(view: str, seq: str | None = None, split: bool = True) -> str:
     """SQL text; ``{hot}`` and ``{hot_routes}`` are filled with DataFrames when ``split``."""
     tie = order_columns(seq)[1]
-    tie_expr = f"c.{tie}" if tie != PAGE else "c.event_page"
+    tie_cast = f"TRY_CAST({tie} AS BIGINT)" if tie != PAGE else "NULLIF(event_page, '')"
     hot_filter = (
         "LEFT ANTI JOIN {hot} h ON c.user_id = h.user_id AND c.session_id = h.session_id"
         if split else ""
@@ -33,12 +34,25 @@ def top_routes_sql_text(view: str, seq: str | None = None, split: bool = True) -
         "UNION ALL SELECT user_id, session_id, route FROM {hot_routes}" if split else ""
     )
     return f"""
-WITH base AS (
+WITH typed AS (
+    -- TRY_CAST types a string view as the readers do (no-op on a typed one);
+    -- rows with an unparsable or missing key, time or page are left out.
+    SELECT TRY_CAST(user_id AS BIGINT) AS user_id,
+           TRY_CAST(session_id AS BIGINT) AS session_id,
+           TRY_CAST(timestamp AS BIGINT) AS timestamp,
+           {tie_cast} AS tie,
+           NULLIF(event_page, '') AS event_page,
+           event_type
+    FROM {view}
+),
+base AS (
     SELECT {hint}
-           c.user_id, c.session_id, c.timestamp, {tie_expr} AS tie, c.event_page,
+           c.user_id, c.session_id, c.timestamp, c.tie, c.event_page,
            coalesce(lower(c.event_type) LIKE '%error%', false) AS is_error
-    FROM {view} c
+    FROM typed c
     {hot_filter}
+    WHERE c.user_id IS NOT NULL AND c.session_id IS NOT NULL AND c.timestamp IS NOT NULL
+      AND c.event_page IS NOT NULL AND c.tie IS NOT NULL
 ),
 marked AS (
     -- The cut keeps a prefix of each session, so LAG over the uncut rows
@@ -75,8 +89,11 @@ LIMIT :n
 
 def top_routes_sql(spark: SparkSession, view: str = "clickstream", n: int = DEFAULT_N,
                    seq: str | None = None, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Run the statement over ``view`` (a typed events view, see ``register_events_view``)."""
-    split = None if hot_rows is None else split_sessions(spark.table(view), hot_rows)
+    """Run the statement over ``view``: a typed events view (``register_events_view``)
+    or one with string columns, as a header-only CSV read gives."""
+    # The split runs on the typed rows, so it also works over a string view.
+    events = cast_events(spark.table(view), seq)
+    split = None if hot_rows is None else split_sessions(events, hot_rows)
     text = top_routes_sql_text(view, seq, split=split is not None and split.hot is not None)
     if split is None or split.hot is None:
         return spark.sql(text, args={"n": n})

@@ -2,6 +2,8 @@
 
 from .testdata import adapter_sql, events_from_table, load_events, table_path
 from .tsv import (
+    cast_events,
+    cast_events_with_rejects,
     events_to_lines,
     header_line,
     load_lines_rdd,
@@ -15,6 +17,8 @@ from .tsv import (
 )
 
 __all__ = [
+    "cast_events",
+    "cast_events_with_rejects",
     "adapter_sql",
     "events_from_table",
     "events_to_lines",

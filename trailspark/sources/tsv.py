@@ -72,6 +72,23 @@ def read_events(spark: SparkSession, path: str | list[str], seq: str | None = No
     return read_events_with_rejects(spark, path, seq, quote)[0]
 
 
+def cast_events_with_rejects(df: DataFrame, seq: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Type a string-typed events frame (PJ1a): ``try_cast`` ids and times to long.
+
+    Returns ``(clean, rejects)`` by the same rules as the readers; a value that
+    does not parse becomes null and rejects its row instead of failing the job.
+    """
+    longs = [USER, SESSION, TS] + ([seq] if seq else [])
+    typed = df.withColumns({c: F.col(c).try_cast("bigint") for c in longs})
+    typed = typed.withColumn(PAGE, F.nullif(F.col(PAGE), F.lit("")))
+    ok = _clean_condition(seq)
+    return typed.filter(ok).select(*event_columns(seq)), typed.filter(~F.coalesce(ok, F.lit(False)))
+
+
+def cast_events(df: DataFrame, seq: str | None = None) -> DataFrame:
+    return cast_events_with_rejects(df, seq)[0]
+
+
 def register_events_view(spark: SparkSession, path: str | list[str], view_name: str = "clickstream",
                          seq: str | None = None) -> DataFrame:
     """Typed scan registered as a temp view for SQL."""
