@@ -131,6 +131,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             session_routes(skewed_events(_events(s, d)), seq=SEQ, hot_rows=SKEW_HOT_ROWS)),
         "top_routes": lambda s, d: top_routes(_events(s, d), N, seq=SEQ),
         "top_routes_window": lambda s, d: top_routes(_events(s, d), N, "window", SEQ),
+        "top_routes_fold": lambda s, d: top_routes(_events(s, d), N, "fold", SEQ),
         "top_routes_windows": lambda s, d: top_routes(_events(s, d), N, "windows", SEQ),
         "top_routes_join": lambda s, d: top_routes(_events(s, d), N, "join", SEQ),
         "top_routes_broadcast": lambda s, d: top_routes(_events(s, d), N, "broadcast", SEQ),
@@ -207,6 +208,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "top_routes": top,
         "top_routes_window": top,
+        "top_routes_fold": top,
         "top_routes_windows": top,
         "top_routes_join": top,
         "top_routes_broadcast": top,

@@ -21,10 +21,35 @@ from ..sources.tsv import cast_events
 BROADCAST_HINT = "/*+ BROADCAST(h) */"
 
 
-def top_routes_sql_text(view: str, seq: str | None = None, split: bool = True) -> str:
-    """SQL text; ``{hot}`` and ``{hot_routes}`` are filled with DataFrames when ``split``."""
-    tie = order_columns(seq)[1]
+def _typed_cte(view: str, tie: str, cast: bool) -> str:
+    if not cast:
+        # Already typed by a validating reader: pass the columns through.
+        return f"""SELECT user_id, session_id, timestamp, {tie} AS tie, event_page, event_type
+    FROM {view}"""
     tie_cast = f"TRY_CAST({tie} AS BIGINT)" if tie != PAGE else "NULLIF(event_page, '')"
+    return f"""-- TRY_CAST types a string view as the readers do; rows with an
+    -- unparsable or missing key, time or page are left out below.
+    SELECT TRY_CAST(user_id AS BIGINT) AS user_id,
+           TRY_CAST(session_id AS BIGINT) AS session_id,
+           TRY_CAST(timestamp AS BIGINT) AS timestamp,
+           {tie_cast} AS tie,
+           NULLIF(event_page, '') AS event_page,
+           event_type
+    FROM {view}"""
+
+
+def top_routes_sql_text(view: str, seq: str | None = None, split: bool = True,
+                        cast: bool = True) -> str:
+    """SQL text; ``{hot}`` and ``{hot_routes}`` are filled with DataFrames when ``split``.
+
+    ``cast`` types string columns inside the statement (for a raw view).
+    """
+    tie = order_columns(seq)[1]
+    valid = (
+        """
+    WHERE c.user_id IS NOT NULL AND c.session_id IS NOT NULL AND c.timestamp IS NOT NULL
+      AND c.event_page IS NOT NULL AND c.tie IS NOT NULL""" if cast else ""
+    )
     hot_filter = (
         "LEFT ANTI JOIN {hot} h ON c.user_id = h.user_id AND c.session_id = h.session_id"
         if split else ""
@@ -35,24 +60,14 @@ def top_routes_sql_text(view: str, seq: str | None = None, split: bool = True) -
     )
     return f"""
 WITH typed AS (
-    -- TRY_CAST types a string view as the readers do (no-op on a typed one);
-    -- rows with an unparsable or missing key, time or page are left out.
-    SELECT TRY_CAST(user_id AS BIGINT) AS user_id,
-           TRY_CAST(session_id AS BIGINT) AS session_id,
-           TRY_CAST(timestamp AS BIGINT) AS timestamp,
-           {tie_cast} AS tie,
-           NULLIF(event_page, '') AS event_page,
-           event_type
-    FROM {view}
+    {_typed_cte(view, tie, cast)}
 ),
 base AS (
     SELECT {hint}
            c.user_id, c.session_id, c.timestamp, c.tie, c.event_page,
            coalesce(lower(c.event_type) LIKE '%error%', false) AS is_error
     FROM typed c
-    {hot_filter}
-    WHERE c.user_id IS NOT NULL AND c.session_id IS NOT NULL AND c.timestamp IS NOT NULL
-      AND c.event_page IS NOT NULL AND c.tie IS NOT NULL
+    {hot_filter}{valid}
 ),
 marked AS (
     -- The cut keeps a prefix of each session, so LAG over the uncut rows
@@ -91,10 +106,13 @@ def top_routes_sql(spark: SparkSession, view: str = "clickstream", n: int = DEFA
                    seq: str | None = None, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """Run the statement over ``view``: a typed events view (``register_events_view``)
     or one with string columns, as a header-only CSV read gives."""
-    # The split runs on the typed rows, so it also works over a string view.
-    events = cast_events(spark.table(view), seq)
+    view_df = spark.table(view)
+    cast = dict(view_df.dtypes).get("timestamp") == "string"
+    # The split runs on typed rows, so it also works over a string view.
+    events = cast_events(view_df, seq) if cast else view_df
     split = None if hot_rows is None else split_sessions(events, hot_rows)
-    text = top_routes_sql_text(view, seq, split=split is not None and split.hot is not None)
+    text = top_routes_sql_text(view, seq, split=split is not None and split.hot is not None,
+                               cast=cast)
     if split is None or split.hot is None:
         return spark.sql(text, args={"n": n})
     if not split.small:

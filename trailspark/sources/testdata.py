@@ -33,8 +33,11 @@ def events_from_table(events: DataFrame, days: int = 1, unit: int = 1,
 
     ``extra`` carries source columns through unchanged (e.g. ``value``).
     """
-    k = F.get_json_object(F.col("props"), "$.k").try_cast("int")
-    out = events.select(
+    # json_tuple parses each props text once (a generator), where repeated
+    # get_json_object calls would be re-evaluated by every pushed-down filter.
+    parsed = events.select("*", F.json_tuple(F.col("props"), "k").alias("_k"))
+    k = F.col("_k").try_cast("int")
+    out = parsed.select(
         F.col("user_id").alias(USER),
         F.expr(f"{EPOCH_SECONDS} div {86400 * days}").alias(SESSION),
         F.col("event_type").alias(TYPE),
