@@ -28,6 +28,7 @@ from trailspark import (  # noqa: E402
     route_counts,
     routes_fold,
     routes_json,
+    routes_listagg,
     routes_max_array,
     routes_max_string,
     routes_pandas,
@@ -118,6 +119,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "session_routes_max_array": lambda s, d: routes_max_array(_changes(s, d), SEQ),
         "session_routes_max_string": lambda s, d: routes_max_string(_changes(s, d), SEQ),
         "session_routes_sorted": lambda s, d: routes_sorted(_changes(s, d), SEQ),
+        "session_routes_listagg": lambda s, d: routes_listagg(_changes(s, d), SEQ),
         "session_routes_fold": lambda s, d: routes_fold(_events(s, d), SEQ),
         "session_routes_pandas": lambda s, d: routes_pandas(_events(s, d), SEQ),
         "session_routes_hot": _routes_hot,
@@ -194,6 +196,7 @@ def oracle_sql() -> dict[str, str]:
         "session_routes_max_array": routes,
         "session_routes_max_string": routes,
         "session_routes_sorted": routes,
+        "session_routes_listagg": routes,
         "session_routes_fold": routes,
         "session_routes_pandas": routes,
         "session_routes_hot": routes,

@@ -27,6 +27,7 @@ from .operators import (  # noqa: E402
     page_changes,
     route_counts,
     routes_fold,
+    routes_listagg,
     routes_max_array,
     routes_max_string,
     routes_pandas,
@@ -80,6 +81,7 @@ __all__ = [
     "register_events_view",
     "route_counts",
     "routes_fold",
+    "routes_listagg",
     "routes_json",
     "routes_max_array",
     "routes_max_string",

@@ -14,6 +14,7 @@ from .cut import (
 from .pandas_fold import routes_pandas
 from .paths import (
     routes_fold,
+    routes_listagg,
     routes_max_array,
     routes_max_string,
     routes_sorted,
@@ -47,6 +48,7 @@ __all__ = [
     "page_changes",
     "route_counts",
     "routes_fold",
+    "routes_listagg",
     "routes_max_array",
     "routes_max_string",
     "routes_pandas",

@@ -8,13 +8,14 @@ Building blocks over page-change rows (already cut and collapsed):
   the longest running list / string per session is the route (A2, A3).
 * ``routes_sorted`` — collect ``(order, page)`` structs, ``array_sort``, take
   the pages (A4, K5, X2-X4): O(L log L).
+* ``routes_listagg`` — the same with an ordered string aggregate.
 
 Whole-pipeline forms over raw events:
 
 * ``routes_fold`` — one aggregate per session (error time, first time and
   the event structs), then array functions only: sort, cut, collapse, join.
 * ``routes_window`` — window-min cut and ``lag`` in one window pass, then
-  ``routes_sorted``.
+  ``routes_listagg``.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import collapse_repeats, is_error, join_route
-from ..schema import KEY, PAGE, ROUTE, SESSION, TS, USER, order_columns
+from ..schema import KEY, PAGE, ROUTE, SEPARATOR, SESSION, TS, USER, order_columns
 
 _PAGE = "_page"
 
@@ -73,6 +74,17 @@ def routes_sorted(changes: DataFrame, seq: str | None = None) -> DataFrame:
     )
 
 
+def routes_listagg(changes: DataFrame, seq: str | None = None) -> DataFrame:
+    """Join the pages with an ordered string aggregate: ``listagg ... WITHIN GROUP``.
+
+    Same result as ``routes_sorted`` without building arrays of structs; the
+    aggregate orders each session's pages by ``(timestamp, seq)`` itself.
+    """
+    order = ", ".join(f"`{c}`" for c in order_columns(seq))
+    route = F.expr(f"listagg(`{PAGE}`, '{SEPARATOR}') WITHIN GROUP (ORDER BY {order})")
+    return changes.groupBy(*KEY).agg(route.alias(ROUTE))
+
+
 def routes_fold(events: DataFrame, seq: str | None = None) -> DataFrame:
     """Cut, collapse and join per session with array functions only (U1, native form).
 
@@ -97,7 +109,7 @@ def routes_fold(events: DataFrame, seq: str | None = None) -> DataFrame:
 
 
 def routes_window(events: DataFrame, seq: str | None = None) -> DataFrame:
-    """Window-min cut and ``lag`` in one window pass, then ``routes_sorted``.
+    """Window-min cut and ``lag`` in one window pass, then ``routes_listagg``.
 
     The cut keeps a prefix of each session, so ``lag`` over the uncut rows
     equals ``lag`` over the kept rows: both functions share one sort, and one
@@ -115,4 +127,4 @@ def routes_window(events: DataFrame, seq: str | None = None) -> DataFrame:
         (F.col(et).isNull() | (F.col(TS) < F.col(et)))
         & (F.col(prev).isNull() | (F.col(PAGE) != F.col(prev)))
     )
-    return routes_sorted(changes, seq)
+    return routes_listagg(changes, seq)

@@ -88,8 +88,7 @@ changes AS (
 ),
 routes AS (
     SELECT user_id, session_id,
-           concat_ws('-', transform(array_sort(collect_list(struct(timestamp, tie, event_page))),
-                                    x -> x.event_page)) AS route
+           listagg(event_page, '-') WITHIN GROUP (ORDER BY timestamp, tie) AS route
     FROM changes
     GROUP BY user_id, session_id
     {hot_union}
