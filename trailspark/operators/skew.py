@@ -9,7 +9,7 @@
    the size bound that makes broadcasting them safe. The shuffle is ``f`` of
    the input. Which sessions are picked never changes a result, only the path
    they take: both paths compute identical routes.
-2. ``split_sessions`` counts the candidates up to a cap (one small job).
+2. ``split_sessions`` counts the candidates (one small job).
    With none, the input is returned whole and the plan carries no split at
    all; otherwise a broadcast anti-join and semi-join separate normal and hot
    rows map-side (shuffle joins with AQE skew handling above the cap).
@@ -72,15 +72,15 @@ def hot_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFra
 
 
 def find_hot(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> tuple[DataFrame, int] | None:
-    """``(candidate keys, count capped at MAX_BROADCAST_KEYS + 1)``, or None when none.
+    """``(candidate keys, their number)``, or None when there are none.
 
-    One small job counts at most ``MAX_BROADCAST_KEYS + 1`` candidates. The
-    table stays lazy and, when used, is recomputed inside the main plan from
-    the key columns; the seeded sample makes that recomputation, and any
-    retry after a lost executor, pick the same keys.
+    One small job counts the candidates (per-partition counts summed: no
+    rows move). The table stays lazy and, when used, is recomputed inside the
+    main plan from the key columns; the seeded sample makes that
+    recomputation, and any retry after a lost executor, pick the same keys.
     """
     hot = hot_sessions(events, hot_rows)
-    n = hot.limit(MAX_BROADCAST_KEYS + 1).count()
+    n = hot.count()
     return None if n == 0 else (hot, n)
 
 
