@@ -74,3 +74,18 @@ def test_long_route_without_errors(spark, reference):
         assert collect_counts(all_route_counts(events, "fold", "seq", HOT_ROWS)) == expected
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("batch", [1, 7, 64])
+def test_sessions_straddling_arrow_batches(spark, skewed, reference, batch):
+    # Tiny Arrow batches make sessions cross batch boundaries in both numpy folds.
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(batch))
+    try:
+        assert collect_routes(session_routes(skewed, "pandas", "seq", None)) == reference
+        assert collect_routes(session_routes(skewed, "pandas", "seq", HOT_ROWS)) == reference
+        split = split_sessions(skewed, 0)
+        assert collect_routes(hot_routes(split.hot, "seq", split.small)) == reference
+    finally:
+        spark.conf.set(key, old)
