@@ -2,9 +2,10 @@
 
 Spark does the distribution: the input is shuffled and sorted by
 ``(user_id, session_id, order...)``; each task then walks its Arrow batches with
-numpy. Batches are re-cut so a session never straddles two chunks; a session
-held back across batches is bounded by the hot-session threshold on the
-normal path and by one range partition on the hot path.
+numpy. On the normal path batches are re-cut so a session never straddles two
+chunks; a session held back across batches is bounded by the hot-session
+threshold. On the hot path the fold is incremental and holds only the current
+session's collapsed pages.
 """
 
 from __future__ import annotations
@@ -125,38 +126,61 @@ FRAGMENT_SCHEMA = T.StructType(
 )
 
 
-def fragments(pdf: pd.DataFrame, part: int) -> pd.DataFrame:
-    """Collapsed page run of each session inside one range partition.
-
-    ``_first``/``_last`` let the stitch step drop a page repeated across a
-    partition boundary; ``_rest`` is the fragment without its first page.
-    """
-    u = pdf[USER].to_numpy(np.int64)
-    s = pdf[SESSION].to_numpy(np.int64)
-    pages = pdf[PAGE].to_numpy(object)
-    sid = np.cumsum(_session_starts(u, s)) - 1
-    change = _changes(sid, pages)
-    csid, cpages = sid[change], pages[change]
-    cu, cs = u[change], s[change]
-    a, b = _runs(csid)
+def _fragment_frame(rows: list[tuple], part: int) -> pd.DataFrame:
+    u, s, first, last, rest = zip(*rows)
     return pd.DataFrame(
         {
-            USER: cu[a],
-            SESSION: cs[a],
-            "_part": np.full(a.size, part, dtype=np.int32),
-            "_first": cpages[a],
-            "_last": cpages[b - 1],
-            "_rest": [SEPARATOR.join(cpages[i + 1:j]) for i, j in zip(a, b)],
+            USER: np.array(u, dtype=np.int64),
+            SESSION: np.array(s, dtype=np.int64),
+            "_part": np.full(len(rows), part, dtype=np.int32),
+            "_first": first,
+            "_last": last,
+            "_rest": rest,
         }
     )
 
 
 def fragment_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Collapsed page run of each session inside one range partition.
+
+    Folds batch by batch: only the current session's collapsed pages are held,
+    so memory follows the fragment, not the raw rows, however long a hot
+    session runs through the partition. ``_first``/``_last`` let the stitch
+    step drop a page repeated across a partition boundary; ``_rest`` is the
+    fragment without its first page.
+    """
     from pyspark import TaskContext
 
     part = TaskContext.get().partitionId()
-    for chunk in whole_sessions(batches):
-        yield fragments(chunk, part)
+    key: tuple[int, int] | None = None
+    pages: list[str] = []
+    done: list[tuple] = []
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        u = pdf[USER].to_numpy(np.int64)
+        s = pdf[SESSION].to_numpy(np.int64)
+        p = pdf[PAGE].to_numpy(object)
+        start = _session_starts(u, s)
+        start[0] = key is None or (int(u[0]), int(s[0])) != key
+        prev = np.empty(p.size, dtype=object)
+        prev[1:] = p[:-1]
+        prev[0] = None if start[0] else pages[-1]
+        change = start | (p != prev)
+        seg = np.flatnonzero(start)
+        if seg.size == 0 or seg[0] != 0:
+            seg = np.r_[0, seg]
+        for a, b in zip(seg, np.r_[seg[1:], p.size]):
+            if start[a]:
+                if key is not None:
+                    done.append((*key, pages[0], pages[-1], SEPARATOR.join(pages[1:])))
+                key, pages = (int(u[a]), int(s[a])), []
+            pages.extend(p[a:b][change[a:b]])
+        if done:
+            yield _fragment_frame(done, part)
+            done = []
+    if key is not None:
+        yield _fragment_frame([(*key, pages[0], pages[-1], SEPARATOR.join(pages[1:]))], part)
 
 
 def stitch_fragments(frags: DataFrame) -> DataFrame:

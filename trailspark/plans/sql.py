@@ -76,8 +76,8 @@ marked AS (
            MIN(CASE WHEN is_error THEN timestamp END) OVER whole AS error_timestamp,
            LAG(event_page) OVER ordered AS prev
     FROM base
-    WINDOW ordered AS (PARTITION BY user_id, session_id ORDER BY timestamp, tie),
-           whole AS (PARTITION BY user_id, session_id ORDER BY timestamp, tie
+    WINDOW ordered AS (PARTITION BY user_id, session_id ORDER BY timestamp, tie, event_page),
+           whole AS (PARTITION BY user_id, session_id ORDER BY timestamp, tie, event_page
                      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
 ),
 changes AS (
@@ -88,7 +88,7 @@ changes AS (
 ),
 routes AS (
     SELECT user_id, session_id,
-           listagg(event_page, '-') WITHIN GROUP (ORDER BY timestamp, tie) AS route
+           listagg(event_page, '-') WITHIN GROUP (ORDER BY timestamp, tie, event_page) AS route
     FROM changes
     GROUP BY user_id, session_id
     {hot_union}

@@ -56,8 +56,13 @@ def event_columns(seq: str | None = None) -> list[str]:
 
 
 def order_columns(seq: str | None = None) -> list[str]:
-    """Total order of events inside a session: time, then the tie-break."""
-    return [TS, seq] if seq else [TS, PAGE]
+    """Total order of events inside a session: time, the tie-break, the page.
+
+    The page comes last so that even a tie-break with repeated values orders
+    every row the same way in every form; rows equal on all three are
+    interchangeable for the route.
+    """
+    return [TS, seq, PAGE] if seq else [TS, PAGE]
 
 
 ROUTE_COUNTS_SCHEMA = T.StructType(
