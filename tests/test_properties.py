@@ -24,7 +24,7 @@ def brute_force(rows) -> dict[tuple[int, int], str]:
     for key, evs in sessions.items():
         errors = [r[4] for r in evs if r[2] is not None and "error" in r[2].lower()]
         cut = min(errors) if errors else None
-        kept = sorted((r for r in evs if cut is None or r[4] < cut), key=lambda r: (r[4], r[5]))
+        kept = sorted((r for r in evs if cut is None or r[4] < cut), key=lambda r: (r[4], r[5], r[3]))
         pages: list[str] = []
         for r in kept:
             if not pages or pages[-1] != r[3]:
@@ -53,6 +53,17 @@ def test_forms_match_brute_force(spark, raw):
         assert collect_routes(session_routes(df, form, "seq", hot)) == expected, (form, hot)
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(event, min_size=1, max_size=40))
+def test_repeated_tiebreak_values_still_give_one_answer(spark, raw):
+    # seq repeats (i // 3): rows equal on (timestamp, seq) are ordered by page.
+    rows = [(*r, i // 3) for i, r in enumerate(raw)]
+    df = spark.createDataFrame(rows, events_schema("seq"))
+    expected = brute_force(rows)
+    for form, hot in (("window", None), ("fold", 2), ("pandas", 0), ("windows", None), ("join", None)):
+        assert collect_routes(session_routes(df, form, "seq", hot)) == expected, (form, hot)
+
+
 def _events(spark):
     return load_events(spark, SF["sf0.001"], days=7, unit=21600)
 
