@@ -23,21 +23,44 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
+from ..functions import is_error
 from ..operators.collapse import page_changes
 from ..operators.counts import DEFAULT_N, route_counts, top_n
-from ..operators.cut import cut_broadcast, cut_join, cut_window
+from ..operators.cut import cut_broadcast, cut_join
 from ..operators.pandas_fold import routes_pandas
 from ..operators.paths import routes_fold, routes_max_array, routes_sorted, routes_window
 from ..operators.skew import hot_routes, split_sessions
-from ..schema import DEFAULT_HOT_ROWS
+from ..schema import DEFAULT_HOT_ROWS, KEY, PAGE, PREV_PAGE, TS, order_columns
 
 RouteForm = Callable[[DataFrame, "str | None"], DataFrame]
 
 
 def _windows(events: DataFrame, seq: str | None) -> DataFrame:
-    return routes_max_array(page_changes(cut_window(events, seq), seq), seq)
+    """The reference's three windows (running error sum, ``lag``, running list).
+
+    ``lag`` (ordered by the full order) is computed before the RANGE error
+    sum (ordered by time only), so one sort serves both; both flags are
+    columns until a single filter, which is exact because the cut keeps a
+    prefix of each session. The running list then reuses the same order.
+    """
+    ordered = Window.partitionBy(*KEY).orderBy(*order_columns(seq))
+    by_time = (
+        Window.partitionBy(*KEY)
+        .orderBy(TS)
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    marked = (
+        events.withColumn(PREV_PAGE, F.lag(PAGE).over(ordered))
+        .withColumn("_errors_so_far", F.sum(F.when(is_error(), 1).otherwise(0)).over(by_time))
+    )
+    changes = marked.filter(
+        (F.col("_errors_so_far") == 0)
+        & (F.col(PREV_PAGE).isNull() | (F.col(PAGE) != F.col(PREV_PAGE)))
+    )
+    return routes_max_array(changes, seq)
 
 
 def _join(events: DataFrame, seq: str | None) -> DataFrame:
