@@ -4,10 +4,10 @@
    events) from a Bernoulli sample of the key columns: at rate
    ``f = min(1, HOT_SAMPLES / hot_rows)`` a session at the threshold yields
    ``HOT_SAMPLES`` sampled rows on average, and a session is a candidate above
-   half of that. Whatever the sample, the candidates number at most
-   ``2 * rows / hot_rows`` (``rows / hot_rows`` when the rate is 1), which is
-   the size bound that makes broadcasting them safe. The shuffle is ``f`` of
-   the input. Which sessions are picked never changes a result, only the path
+   half of that. The candidates number at most ``sampled_rows / 50``, about
+   ``2 * rows / hot_rows`` (``rows / hot_rows`` when the rate is 1), and the
+   broadcast decision uses their measured count. The shuffle is ``f`` of the
+   input. Which sessions are picked never changes a result, only the path
    they take: both paths compute identical routes.
 2. ``split_sessions`` counts the candidates (one small job).
    With none, the input is returned whole and the plan carries no split at
@@ -19,7 +19,9 @@
    timestamp, seq)`` -- Spark samples the bounds, so one session spreads over
    as many tasks as its size needs -- sorts, folds each partition into
    collapsed fragments with numpy, and stitches fragments per session in
-   partition order.
+   partition order. The fold runs in ``mapInPandas`` on the range partitions
+   as they are; a window over ``(session, partition)`` would need a second
+   shuffle of every hot row.
 """
 
 from __future__ import annotations
@@ -55,7 +57,7 @@ def sample_fraction(hot_rows: int) -> float:
 
 
 def hot_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Keys of candidate hot sessions; at most ``2 * count(events) / hot_rows`` rows."""
+    """Keys of candidate hot sessions; about ``2 * count(events) / hot_rows`` rows at most."""
     fraction = sample_fraction(hot_rows)
     keys = events.select(*KEY)
     if fraction < 1.0:
