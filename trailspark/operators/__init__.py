@@ -3,7 +3,6 @@
 from .collapse import page_changes
 from .counts import DEFAULT_N, route_counts, top_n
 from .cut import (
-    CUTS,
     cut_broadcast,
     cut_join,
     cut_partition_min,
@@ -27,12 +26,10 @@ from .skew import (
     hot_fragments,
     hot_routes,
     hot_sessions,
-    session_stats,
     split_sessions,
 )
 
 __all__ = [
-    "CUTS",
     "DEFAULT_N",
     "cut_broadcast",
     "cut_join",
@@ -55,7 +52,6 @@ __all__ = [
     "routes_sorted",
     "routes_window",
     "running_routes",
-    "session_stats",
     "split_sessions",
     "top_n",
 ]

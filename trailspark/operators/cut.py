@@ -98,11 +98,3 @@ def cut_broadcast(events: DataFrame, seq: str | None = None,
     right = F.broadcast(errors) if errors.count() <= max_rows else errors
     cols = events.columns
     return events.join(right, list(KEY), "left").filter(_keep_before()).select(*cols)
-
-
-CUTS = {
-    "window": cut_window,
-    "partition_min": cut_partition_min,
-    "join": cut_join,
-    "broadcast": cut_broadcast,
-}

@@ -44,14 +44,6 @@ SAMPLE_SEED = 17
 MAX_BROADCAST_KEYS = 2_000_000
 
 
-def session_stats(events: DataFrame) -> DataFrame:
-    """``user_id, session_id, _rows, error_timestamp`` for every session (exact)."""
-    return events.groupBy(*KEY).agg(
-        F.count(F.lit(1)).alias(ROWS),
-        F.min(F.when(is_error(), F.col(TS))).alias(ERROR_TS),
-    )
-
-
 def sample_fraction(hot_rows: int) -> float:
     return min(1.0, HOT_SAMPLES / hot_rows) if hot_rows > 0 else 1.0
 

@@ -4,7 +4,6 @@ from .testdata import adapter_sql, events_from_table, load_events, table_path
 from .tsv import (
     cast_events,
     cast_events_with_rejects,
-    events_to_lines,
     header_line,
     load_lines_rdd,
     parse_lines,
@@ -21,7 +20,6 @@ __all__ = [
     "cast_events_with_rejects",
     "adapter_sql",
     "events_from_table",
-    "events_to_lines",
     "header_line",
     "load_events",
     "load_lines_rdd",

@@ -177,12 +177,6 @@ def load_lines_rdd(sc: SparkContext, path: str) -> RDD:
     )
 
 
-def events_to_lines(events: DataFrame, seq: str | None = None) -> DataFrame:
-    """Inverse of the parser: one tab-joined ``value`` line per event."""
-    cols = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in event_columns(seq)]
-    return events.select(F.concat_ws(DELIMITER, *cols).alias(LINE))
-
-
 def write_events_tsv(events: DataFrame, path: str, seq: str | None = None) -> str:
     """Write events as headed tab-separated part files (one header per part)."""
     (
