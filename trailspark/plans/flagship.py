@@ -4,11 +4,12 @@ Forms (all give the same table; see tests/test_cross_forms.py):
 
 =========== ===================================================================
 ``window``  window-min cut + ``lag`` in one window pass over one sort, then
-            collect + ``array_sort`` of the page changes only (default)
+            an ordered ``listagg`` of the page changes only (default)
 ``fold``    one aggregate per session collecting every event, then array
             functions only
 ``windows`` the reference's DataFrame shape: running error sum (RANGE frame),
-            ``lag``, running ``collect_list``, ``max`` of the lists
+            ``lag``, running ``collect_list``, ``max`` of the lists; sessions
+            above 1,000 rows take the split path (running lists are quadratic)
 ``join``    first-error aggregate, left outer join, ``lag``, collect + sort
 ``broadcast`` as ``join`` with a size-checked broadcast of the error table
 ``pandas``  cluster + sort by session, vectorized ``mapInPandas`` fold
