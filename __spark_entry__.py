@@ -22,7 +22,6 @@ from trailspark import (  # noqa: E402
     cut_window,
     error_events,
     first_error,
-    hot_routes,
     page_changes,
     read_events,
     route_counts,
@@ -40,6 +39,7 @@ from trailspark import (  # noqa: E402
     top_routes_rdd_df,
     top_routes_sql,
 )
+from trailspark.operators import routes_of_split  # noqa: E402
 from trailspark.runtime import scratch_path  # noqa: E402
 from trailspark.schema import PREV_PAGE, SEQ, event_columns  # noqa: E402
 from trailspark.sources import parse_lines, write_events_tsv  # noqa: E402
@@ -100,8 +100,7 @@ def _top_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _routes_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Every session goes through the range-split path (threshold 0).
-    split = split_sessions(_events(spark, sf_dir), 0)
-    return hot_routes(split.hot, SEQ, split.small)
+    return routes_of_split(split_sessions(_events(spark, sf_dir), 0), SEQ)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -44,7 +44,10 @@ def test_flagship_plan_prunes_and_has_no_cartesian(spark):
     assert "BroadcastExchange" not in plan and "rangepartitioning" not in plan
 
 
-def test_split_plan_broadcasts_bounded_keys_and_ranges_hot_rows(spark):
+def test_split_plan_broadcasts_bounded_keys_and_ranges_hot_rows(spark, monkeypatch):
+    from trailspark.operators import skew
+
+    monkeypatch.setattr(skew, "ROWS_PER_RANGE", 1_000)  # several range partitions at this size
     plan = _plan(top_routes(load_events(spark, SF["sf0.01"]), 10, seq="seq", hot_rows=3))
     assert "BroadcastExchange" in plan
     assert "LeftAnti" in plan and "LeftSemi" in plan

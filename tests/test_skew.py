@@ -25,11 +25,11 @@ def reference(skewed):
 
 
 def test_detection_finds_exactly_the_big_session(skewed):
-    keys, n = find_hot(skewed, HOT_ROWS)
+    keys, n, _ = find_hot(skewed, HOT_ROWS)
     assert n == 1
     assert [tuple(r) for r in keys.collect()] == [(0, 0)]
     # Candidate bound: at most 2 * rows / threshold keys, whatever the sample.
-    loose, m = find_hot(skewed, 40)
+    loose, m, _ = find_hot(skewed, 40)
     assert m <= 2 * skewed.count() / 40
     assert (0, 0) in {tuple(r) for r in loose.collect()}
 
@@ -89,3 +89,16 @@ def test_sessions_straddling_arrow_batches(spark, skewed, reference, batch):
         assert collect_routes(hot_routes(split.hot, "seq", split.small)) == reference
     finally:
         spark.conf.set(key, old)
+
+
+def test_range_partitions_sized_from_the_row_estimate(spark, skewed, reference, monkeypatch):
+    split = split_sessions(skewed, HOT_ROWS)
+    # The estimate comes from the sample; the big session has about 2,000 rows.
+    assert 1_000 < split.est_rows < 4_000
+    assert skew.range_partitions(split.est_rows) == 1
+    monkeypatch.setattr(skew, "ROWS_PER_RANGE", 100)
+    parts = skew.range_partitions(split.est_rows)
+    assert parts > 10
+    frags = hot_fragments(split.hot, "seq", split.small, parts).collect()
+    assert len({r["_part"] for r in frags}) > 10
+    assert collect_routes(skew.routes_of_split(split, "seq")) == {(0, 0): reference[(0, 0)]}

@@ -26,6 +26,8 @@ from .skew import (
     hot_fragments,
     hot_routes,
     hot_sessions,
+    range_partitions,
+    routes_of_split,
     split_sessions,
 )
 
@@ -43,11 +45,13 @@ __all__ = [
     "hot_routes",
     "hot_sessions",
     "page_changes",
+    "range_partitions",
     "route_counts",
     "routes_fold",
     "routes_listagg",
     "routes_max_array",
     "routes_max_string",
+    "routes_of_split",
     "routes_pandas",
     "routes_sorted",
     "routes_window",

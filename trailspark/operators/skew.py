@@ -42,14 +42,16 @@ SAMPLE_SEED = 17
 # Most candidate keys broadcast (two longs each, about 32 MB of hash table);
 # above it the split uses shuffle joins.
 MAX_BROADCAST_KEYS = 2_000_000
+# Hot rows per range partition (narrow rows: about 50-100 MB per task).
+ROWS_PER_RANGE = 1_000_000
 
 
 def sample_fraction(hot_rows: int) -> float:
     return min(1.0, HOT_SAMPLES / hot_rows) if hot_rows > 0 else 1.0
 
 
-def hot_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Keys of candidate hot sessions; about ``2 * count(events) / hot_rows`` rows at most."""
+def _candidates(events: DataFrame, hot_rows: int) -> DataFrame:
+    """Candidate keys with their sampled row counts (``_rows``)."""
     fraction = sample_fraction(hot_rows)
     keys = events.select(*KEY)
     if fraction < 1.0:
@@ -57,35 +59,43 @@ def hot_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFra
         floor = HOT_SAMPLES / 2
     else:
         floor = hot_rows
-    return (
-        keys.groupBy(*KEY)
-        .agg(F.count(F.lit(1)).alias(ROWS))
-        .filter(F.col(ROWS) > floor)
-        .select(*KEY)
-    )
+    return keys.groupBy(*KEY).agg(F.count(F.lit(1)).alias(ROWS)).filter(F.col(ROWS) > floor)
+
+
+def hot_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Keys of candidate hot sessions; about ``2 * count(events) / hot_rows`` rows at most."""
+    return _candidates(events, hot_rows).select(*KEY)
 
 
-def find_hot(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> tuple[DataFrame, int] | None:
-    """``(candidate keys, their number)``, or None when there are none.
+def find_hot(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> tuple[DataFrame, int, int] | None:
+    """``(candidate keys, their number, estimated rows of their sessions)``, or None.
 
-    One small job counts the candidates (per-partition counts summed: no
-    rows move). The table stays lazy and, when used, is recomputed inside the
-    main plan from the key columns; the seeded sample makes that
-    recomputation, and any retry after a lost executor, pick the same keys.
+    One small job counts the candidates and sums their sampled rows (scaled
+    back by the sampling rate) in a single global aggregate: partial sums per
+    partition, no rows moved. The key table stays lazy and, when used, is
+    recomputed inside the main plan from the key columns; the seeded sample
+    makes that recomputation, and any retry after a lost executor, pick the
+    same keys.
     """
-    hot = hot_sessions(events, hot_rows)
-    n = hot.count()
-    return None if n == 0 else (hot, n)
+    stats = _candidates(events, hot_rows).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(ROWS), F.lit(0)).alias("rows")
+    ).first()
+    if not stats or stats["n"] == 0:
+        return None
+    est_rows = int(stats["rows"] / sample_fraction(hot_rows))
+    return hot_sessions(events, hot_rows), stats["n"], est_rows
 
 
 class HotSplit(NamedTuple):
     """Normal rows, hot rows (None when no session is hot), whether the
-    hot-session tables are small enough to broadcast, and the hot keys."""
+    hot-session tables are small enough to broadcast, the hot keys, and the
+    estimated number of hot rows (sizes the range partitions)."""
 
     normal: DataFrame
     hot: DataFrame | None
     small: bool = True
     keys: DataFrame | None = None
+    est_rows: int = 0
 
 
 def split_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> HotSplit:
@@ -98,26 +108,40 @@ def split_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> HotSp
     found = find_hot(events, hot_rows)
     if found is None:
         return HotSplit(events, None)
-    keys, n = found
+    keys, n, est_rows = found
     small = n <= MAX_BROADCAST_KEYS
     if small:
         keys = F.broadcast(keys)
     return HotSplit(
         events.join(keys, list(KEY), "left_anti"), events.join(keys, list(KEY), "left_semi"),
-        small, keys,
+        small, keys, est_rows,
     )
 
 
-def hot_routes(hot_events: DataFrame, seq: str | None = None, small: bool = True) -> DataFrame:
+def range_partitions(est_rows: int) -> int | None:
+    """Range partitions for ``est_rows`` hot rows at ``ROWS_PER_RANGE`` each; None if unknown."""
+    return max(1, -(-est_rows // ROWS_PER_RANGE)) if est_rows > 0 else None
+
+
+def hot_routes(hot_events: DataFrame, seq: str | None = None, small: bool = True,
+               partitions: int | None = None) -> DataFrame:
     """Routes of hot sessions, computed over range partitions of their event order.
 
     ``small`` (see ``HotSplit``) says the per-session error table, one row per
-    hot session at most, may be broadcast.
+    hot session at most, may be broadcast. ``partitions`` sets the number of
+    range partitions (see ``range_partitions``); by default Spark's shuffle
+    partitions, coalesced by AQE.
     """
-    return stitch_fragments(hot_fragments(hot_events, seq, small))
+    return stitch_fragments(hot_fragments(hot_events, seq, small, partitions))
 
 
-def hot_fragments(hot_events: DataFrame, seq: str | None = None, small: bool = True) -> DataFrame:
+def routes_of_split(split: HotSplit, seq: str | None = None) -> DataFrame:
+    """``hot_routes`` of a ``HotSplit``, range partitions sized by its row estimate."""
+    return hot_routes(split.hot, seq, split.small, range_partitions(split.est_rows))
+
+
+def hot_fragments(hot_events: DataFrame, seq: str | None = None, small: bool = True,
+                  partitions: int | None = None) -> DataFrame:
     """Per-range-partition collapsed fragments of the hot sessions (before stitching)."""
     order = order_columns(seq)
     cols = list(dict.fromkeys([USER, SESSION, *order, PAGE]))
@@ -136,5 +160,11 @@ def hot_fragments(hot_events: DataFrame, seq: str | None = None, small: bool = T
         # leaves every key distinct so the range split can cut anywhere.
         cut = cut.dropDuplicates([USER, SESSION, TS, PAGE])
     keys = [USER, SESSION, *order]
-    ranged = cut.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # AQE may merge range partitions but never splits one, so with an
+    # estimate the count is fixed from the data: ROWS_PER_RANGE rows each.
+    if partitions:
+        ranged = cut.repartitionByRange(partitions, *keys)
+    else:
+        ranged = cut.repartitionByRange(*keys)
+    ranged = ranged.sortWithinPartitions(*keys)
     return ranged.mapInPandas(fragment_partition, FRAGMENT_SCHEMA)

@@ -33,7 +33,7 @@ from ..operators.counts import DEFAULT_N, route_counts, top_n
 from ..operators.cut import cut_broadcast, cut_join
 from ..operators.pandas_fold import routes_pandas
 from ..operators.paths import routes_fold, routes_max_array, routes_sorted, routes_window
-from ..operators.skew import hot_routes, split_sessions
+from ..operators.skew import routes_of_split, split_sessions
 from ..schema import DEFAULT_HOT_ROWS, KEY, PAGE, PREV_PAGE, TS, order_columns
 
 RouteForm = Callable[[DataFrame, "str | None"], DataFrame]
@@ -98,7 +98,7 @@ def session_routes(events: DataFrame, form: str = DEFAULT_FORM, seq: str | None
     routes = build(split.normal, seq)
     if split.hot is None:
         return routes
-    return routes.unionByName(hot_routes(split.hot, seq, split.small))
+    return routes.unionByName(routes_of_split(split, seq))
 
 
 def all_route_counts(events: DataFrame, form: str = DEFAULT_FORM, seq: str | None = None,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import is_error
 from ..operators.counts import DEFAULT_N
-from ..operators.skew import hot_routes, split_sessions
+from ..operators.skew import routes_of_split, split_sessions
 from ..schema import (
     DEFAULT_HOT_ROWS,
     PAGE,
@@ -74,7 +74,7 @@ def top_routes_rdd(events: DataFrame, n: int = DEFAULT_N, seq: str | None = None
         split = split_sessions(events, hot_rows)
         pairs = route_pairs_rdd(split.normal, seq)
         if split.hot is not None:
-            hot = hot_routes(split.hot, seq, split.small)
+            hot = routes_of_split(split, seq)
             pairs = pairs.union(hot.rdd.map(lambda r: (r[ROUTE], 1)))
     return pairs.reduceByKey(add).takeOrdered(n, key=lambda kv: (-kv[1], kv[0]))
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.counts import DEFAULT_N
-from ..operators.skew import hot_routes, split_sessions
+from ..operators.skew import routes_of_split, split_sessions
 from ..schema import DEFAULT_HOT_ROWS, PAGE, order_columns
 from ..sources.tsv import cast_events
 
@@ -117,4 +117,4 @@ def top_routes_sql(spark: SparkSession, view: str = "clickstream", n: int = DEFA
     if not split.small:
         text = text.replace(BROADCAST_HINT, "")
     return spark.sql(text, args={"n": n}, hot=split.keys,
-                     hot_routes=hot_routes(split.hot, seq, split.small))
+                     hot_routes=routes_of_split(split, seq))
