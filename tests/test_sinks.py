@@ -52,3 +52,26 @@ def test_tsv_full_table_in_order(spark, tmp_path):
     pairs = [(r, int(c)) for r, c in (line.split("\t") for line in lines)]
     assert len(pairs) == 160
     assert pairs == sorted(pairs, key=lambda rc: (-rc[1], rc[0]))
+
+
+def test_json_lines_for_the_whole_table(spark, tmp_path):
+    counts = _counts(spark)
+    out = write_json(counts, str(tmp_path / "lines"), n=None)
+    rows = []
+    for p in sorted(Path(out).glob("part-*")):
+        rows += [json.loads(line) for line in p.read_text().splitlines()]
+    assert len(rows) == 160
+    assert [r["count"] for r in rows] == sorted((r["count"] for r in rows), reverse=True)
+
+
+def test_command_line_job(spark, tmp_path, capsys):
+    from fixtures import WORKED, tsv, write
+
+    from trailspark.__main__ import main
+
+    path = write(tmp_path, "worked.tsv", tsv(WORKED))
+    main([path, "--n", "5", "--json", str(tmp_path / "j"), "--tsv", str(tmp_path / "t")])
+    printed = capsys.readouterr().out.splitlines()
+    assert sorted(printed) == ["main-archive-bonus-tariffs\t1", "main-family-main\t1"]
+    part = next(p for p in (tmp_path / "j").glob("part-*") if p.stat().st_size)
+    assert json.loads(part.read_text()) == {"main-archive-bonus-tariffs": 1, "main-family-main": 1}

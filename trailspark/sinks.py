@@ -29,8 +29,13 @@ def routes_json(counts: DataFrame, n: int = DEFAULT_N) -> DataFrame:
     return top.agg(F.to_json(F.map_from_entries(pairs)).alias(JSON))
 
 
-def write_json(counts: DataFrame, path: str, n: int = DEFAULT_N) -> str:
-    routes_json(counts, n).write.mode("overwrite").text(path)
+def write_json(counts: DataFrame, path: str, n: int | None = DEFAULT_N) -> str:
+    """With ``n``: one ``{"route": count, ...}`` object (top ``n``). Without:
+    the whole table as JSON lines, written in parallel in descending order."""
+    if n is None:
+        counts.orderBy(F.desc(COUNT), F.asc(ROUTE)).write.mode("overwrite").json(path)
+    else:
+        routes_json(counts, n).write.mode("overwrite").text(path)
     return path
 
 
