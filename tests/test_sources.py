@@ -79,3 +79,27 @@ def test_seq_column_is_read_and_validated(spark, tmp_path):
     clean, rejects = read_events_with_rejects(spark, path, seq="seq")
     assert [tuple(r) for r in clean.collect()] == [(1, 1, "page", "A", 1, 7)]
     assert rejects.count() == 1
+
+
+def test_missing_session_key_is_rejected(spark, tmp_path):
+    # V7: an empty session id would group apart from, or join with, nothing.
+    path = _file(tmp_path, ["1\t\terror\tA\t1", "1\t1\tpage\tA\t1", "1\t1\tpage\tB\t2"])
+    clean, rejects = read_events_with_rejects(spark, path)
+    assert rejects.count() == 1
+    from trailspark import session_routes
+
+    assert [r["route"] for r in session_routes(clean).collect()] == ["A-B"]
+    parsed, parse_rejects = parse_lines_with_rejects(spark.read.text(path))
+    assert parsed.count() == 2 and parse_rejects.count() == 1
+
+
+def test_error_row_without_timestamp_is_rejected(spark, tmp_path):
+    # V8: an error with no time can neither cut nor be ordered; it is rejected
+    # at ingest, so every form sees the same rows.
+    path = _file(tmp_path, ["1\t1\tpage\tA\t1", "1\t1\terror\tA\t", "1\t1\tpage\tB\t3"])
+    clean, rejects = read_events_with_rejects(spark, path)
+    assert rejects.count() == 1
+    from trailspark import FORMS, session_routes
+
+    for form in FORMS:
+        assert [r["route"] for r in session_routes(clean, form).collect()] == ["A-B"], form
