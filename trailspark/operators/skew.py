@@ -56,7 +56,7 @@ def _candidates(events: DataFrame, hot_rows: int) -> DataFrame:
     keys = events.select(*KEY)
     if fraction < 1.0:
         keys = keys.sample(fraction=fraction, seed=SAMPLE_SEED)
-        floor = HOT_SAMPLES / 2
+        floor = HOT_SAMPLES // 2
     else:
         floor = hot_rows
     return keys.groupBy(*KEY).agg(F.count(F.lit(1)).alias(ROWS)).filter(F.col(ROWS) > floor)
