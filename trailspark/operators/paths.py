@@ -104,8 +104,10 @@ def routes_fold(events: DataFrame, seq: str | None = None) -> DataFrame:
         .filter(F.col(et).isNull() | (F.col(t0) < F.col(et)))
     )
     kept = F.filter(F.array_sort("_xs"), lambda x: F.col(et).isNull() | (x[TS] < F.col(et)))
-    pages = F.transform(kept, lambda x: x[_PAGE])
-    return per_session.select(USER, SESSION, join_route(collapse_repeats(pages)).alias(ROUTE))
+    pages = per_session.select(USER, SESSION, F.transform(kept, lambda x: x[_PAGE]).alias("_pages"))
+    # ``collapse_repeats`` reads its array twice; as a column of its own the
+    # sorted page array is built once per session.
+    return pages.select(USER, SESSION, join_route(collapse_repeats("_pages")).alias(ROUTE))
 
 
 def routes_window(events: DataFrame, seq: str | None = None) -> DataFrame:
