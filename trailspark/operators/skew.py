@@ -9,10 +9,11 @@
    broadcast decision uses their measured count. The shuffle is ``f`` of the
    input. Which sessions are picked never changes a result, only the path
    they take: both paths compute identical routes.
-2. ``split_sessions`` counts the candidates (one small job).
-   With none, the input is returned whole and the plan carries no split at
-   all; otherwise a broadcast anti-join and semi-join separate normal and hot
-   rows map-side (shuffle joins with AQE skew handling above the cap).
+2. ``split_sessions`` writes the candidates to the shared checkpoint folder
+   and counts them (one small job). With none, the input is returned whole
+   and the plan carries no split at all; otherwise a broadcast anti-join and
+   semi-join separate normal and hot rows map-side (shuffle joins with AQE
+   skew handling above the cap), both reading the same written keys.
 3. ``hot_routes`` cuts hot rows at their session's first error (a partial
    aggregate over hot rows, at most one row per candidate per task, joined
    back), range-partitions them by ``(user_id, session_id,
@@ -32,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import is_error
+from ..runtime import ensure_checkpoint_dir
 from ..schema import DEFAULT_HOT_ROWS, ERROR_TS, KEY, PAGE, SESSION, TS, USER, order_columns
 from .pandas_fold import FRAGMENT_SCHEMA, fragment_partition, stitch_fragments
 
@@ -70,20 +72,22 @@ def hot_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFra
 def find_hot(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> tuple[DataFrame, int, int] | None:
     """``(candidate keys, their number, estimated rows of their sessions)``, or None.
 
-    One small job counts the candidates and sums their sampled rows (scaled
-    back by the sampling rate) in a single global aggregate: partial sums per
-    partition, no rows moved. The key table stays lazy and, when used, is
-    recomputed inside the main plan from the key columns; the seeded sample
-    makes that recomputation, and any retry after a lost executor, pick the
-    same keys.
+    The candidates are written once to the shared checkpoint folder (a
+    reliable checkpoint: it survives lost executors and cuts the sample's
+    lineage). Every later use -- the anti-join, the semi-join, the hot error
+    times -- reads that one small table, so all branches see the same keys
+    even over a nondeterministic input, and the key columns are scanned once.
+    Count and estimated rows come from one aggregate over it.
     """
-    stats = _candidates(events, hot_rows).agg(
+    ensure_checkpoint_dir(events.sparkSession)
+    candidates = _candidates(events, hot_rows).checkpoint(eager=True)
+    stats = candidates.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(ROWS), F.lit(0)).alias("rows")
     ).first()
     if not stats or stats["n"] == 0:
         return None
     est_rows = int(stats["rows"] / sample_fraction(hot_rows))
-    return hot_sessions(events, hot_rows), stats["n"], est_rows
+    return candidates.select(*KEY), stats["n"], est_rows
 
 
 class HotSplit(NamedTuple):
