@@ -9,11 +9,12 @@
    broadcast decision uses their measured count. The shuffle is ``f`` of the
    input. Which sessions are picked never changes a result, only the path
    they take: both paths compute identical routes.
-2. ``split_sessions`` writes the candidates to the shared checkpoint folder
-   and counts them (one small job). With none, the input is returned whole
-   and the plan carries no split at all; otherwise a broadcast anti-join and
-   semi-join separate normal and hot rows map-side (shuffle joins with AQE
-   skew handling above the cap), both reading the same written keys.
+2. ``split_sessions`` counts the candidates (one small job). With none, the
+   input is returned whole and the plan carries no split at all. Otherwise
+   the candidates are written once to the shared checkpoint folder, and a
+   broadcast anti-join and semi-join, both reading that table, separate
+   normal and hot rows map-side (shuffle joins with AQE skew handling above
+   the cap).
 3. ``hot_routes`` cuts hot rows at their session's first error (a partial
    aggregate over hot rows, at most one row per candidate per task, joined
    back), range-partitions them by ``(user_id, session_id,
@@ -72,22 +73,24 @@ def hot_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFra
 def find_hot(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> tuple[DataFrame, int, int] | None:
     """``(candidate keys, their number, estimated rows of their sessions)``, or None.
 
-    The candidates are written once to the shared checkpoint folder (a
-    reliable checkpoint: it survives lost executors and cuts the sample's
+    A first small job counts the candidates and sums their sampled rows in
+    one global aggregate (no rows move); with none, nothing else happens.
+    Otherwise the candidates are written once to the shared checkpoint folder
+    (a reliable checkpoint: it survives lost executors and cuts the sample's
     lineage). Every later use -- the anti-join, the semi-join, the hot error
-    times -- reads that one small table, so all branches see the same keys
-    even over a nondeterministic input, and the key columns are scanned once.
-    Count and estimated rows come from one aggregate over it.
+    times -- reads that one table, so all branches see the same keys even
+    over a nondeterministic input; the count only sizes the plan.
     """
-    ensure_checkpoint_dir(events.sparkSession)
-    candidates = _candidates(events, hot_rows).checkpoint(eager=True)
+    candidates = _candidates(events, hot_rows)
     stats = candidates.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(ROWS), F.lit(0)).alias("rows")
     ).first()
     if not stats or stats["n"] == 0:
         return None
+    ensure_checkpoint_dir(events.sparkSession)
+    written = candidates.select(*KEY).checkpoint(eager=True)
     est_rows = int(stats["rows"] / sample_fraction(hot_rows))
-    return candidates.select(*KEY), stats["n"], est_rows
+    return written, stats["n"], est_rows
 
 
 class HotSplit(NamedTuple):
