@@ -47,3 +47,33 @@ def test_page_tiebreak_without_seq_agrees(spark):
     reference = collect_counts(all_route_counts(events, "fold", None, None))
     for form in FORMS:
         assert collect_counts(all_route_counts(events, form, None, 3)) == reference, form
+
+
+def test_broadcast_cut_falls_back_above_its_bound(spark):
+    import contextlib
+    import io
+
+    from trailspark import cut_broadcast, cut_join
+
+    events = load_events(spark, SF["sf0.01"])
+    expected = sorted(map(tuple, cut_join(events, "seq").collect()))
+    # Above the bound no hint is given; with Spark's own size-based choice
+    # off, the plan is a shuffle join. Within it the hint forces a broadcast.
+    auto = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in auto}
+    try:
+        for k in auto:
+            spark.conf.set(k, "-1")
+        for bound, join in ((0, "SortMergeJoin"), (10**9, "BroadcastHashJoin")):
+            cut = cut_broadcast(events, "seq", max_rows=bound)
+            buf = io.StringIO()
+            with contextlib.redirect_stdout(buf):
+                cut.explain()
+            assert join in buf.getvalue(), bound
+            assert sorted(map(tuple, cut.collect())) == expected
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
