@@ -45,8 +45,13 @@ SAMPLE_SEED = 17
 # Most candidate keys broadcast (two longs each, about 32 MB of hash table);
 # above it the split uses shuffle joins.
 MAX_BROADCAST_KEYS = 2_000_000
-# Hot rows per range partition (narrow rows: about 50-100 MB per task).
-ROWS_PER_RANGE = 1_000_000
+# Range partitions of hot rows are sized like AQE's shuffle partitions: the
+# advisory partition size over this width of a hot row (key, time, seq, page).
+HOT_ROW_BYTES = 64
+ADVISORY_CONF = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+DEFAULT_ADVISORY_BYTES = 64 * 1024 * 1024
+# Fixed rows per range partition; None means "from the advisory size".
+ROWS_PER_RANGE: int | None = None
 
 
 def sample_fraction(hot_rows: int) -> float:
@@ -125,9 +130,25 @@ def split_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> HotSp
     )
 
 
-def range_partitions(est_rows: int) -> int | None:
-    """Range partitions for ``est_rows`` hot rows at ``ROWS_PER_RANGE`` each; None if unknown."""
-    return max(1, -(-est_rows // ROWS_PER_RANGE)) if est_rows > 0 else None
+def _bytes(text: str) -> int:
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    t = text.strip().lower().removesuffix("b")
+    return int(float(t[:-1]) * units[t[-1]]) if t and t[-1] in units else int(t)
+
+
+def rows_per_range(spark=None) -> int:
+    """Hot rows per range partition: ``ROWS_PER_RANGE``, else advisory size / row width."""
+    if ROWS_PER_RANGE:
+        return ROWS_PER_RANGE
+    advisory = DEFAULT_ADVISORY_BYTES
+    if spark is not None:
+        advisory = _bytes(spark.conf.get(ADVISORY_CONF, str(DEFAULT_ADVISORY_BYTES)))
+    return max(1, advisory // HOT_ROW_BYTES)
+
+
+def range_partitions(est_rows: int, spark=None) -> int | None:
+    """Range partitions for ``est_rows`` hot rows (see ``rows_per_range``); None if unknown."""
+    return max(1, -(-est_rows // rows_per_range(spark))) if est_rows > 0 else None
 
 
 def hot_routes(hot_events: DataFrame, seq: str | None = None, small: bool = True,
@@ -144,7 +165,8 @@ def hot_routes(hot_events: DataFrame, seq: str | None = None, small: bool = True
 
 def routes_of_split(split: HotSplit, seq: str | None = None) -> DataFrame:
     """``hot_routes`` of a ``HotSplit``, range partitions sized by its row estimate."""
-    return hot_routes(split.hot, seq, split.small, range_partitions(split.est_rows))
+    parts = range_partitions(split.est_rows, split.hot.sparkSession)
+    return hot_routes(split.hot, seq, split.small, parts)
 
 
 def hot_fragments(hot_events: DataFrame, seq: str | None = None, small: bool = True,
@@ -168,7 +190,7 @@ def hot_fragments(hot_events: DataFrame, seq: str | None = None, small: bool = T
         cut = cut.dropDuplicates([USER, SESSION, TS, PAGE])
     keys = [USER, SESSION, *order]
     # AQE may merge range partitions but never splits one, so with an
-    # estimate the count is fixed from the data: ROWS_PER_RANGE rows each.
+    # estimate the count is fixed from the data (see rows_per_range).
     if partitions:
         ranged = cut.repartitionByRange(partitions, *keys)
     else:
