@@ -78,22 +78,26 @@ def hot_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFra
 def find_hot(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> tuple[DataFrame, int, int] | None:
     """``(candidate keys, their number, estimated rows of their sessions)``, or None.
 
-    A first small job counts the candidates and sums their sampled rows in
-    one global aggregate (no rows move); with none, nothing else happens.
-    Otherwise the candidates are written once to the shared checkpoint folder
-    (a reliable checkpoint: it survives lost executors and cuts the sample's
-    lineage). Every later use -- the anti-join, the semi-join, the hot error
-    times -- reads that one table, so all branches see the same keys even
-    over a nondeterministic input; the count only sizes the plan.
+    The candidate table (at most about ``2 * rows / hot_rows`` keys) is
+    cached while one global aggregate counts it and sums its sampled rows;
+    with none, nothing else happens. Otherwise it is written from the cache
+    to the shared checkpoint folder (a reliable checkpoint: it survives lost
+    executors and cuts the sample's lineage), so the key columns are scanned
+    once. Every later use -- the anti-join, the semi-join, the hot error
+    times -- reads that one written table, so all branches see the same keys
+    even over a nondeterministic input; the count only sizes the plan.
     """
-    candidates = _candidates(events, hot_rows)
-    stats = candidates.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(ROWS), F.lit(0)).alias("rows")
-    ).first()
-    if not stats or stats["n"] == 0:
-        return None
-    ensure_checkpoint_dir(events.sparkSession)
-    written = candidates.select(*KEY).checkpoint(eager=True)
+    candidates = _candidates(events, hot_rows).persist()
+    try:
+        stats = candidates.agg(
+            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(ROWS), F.lit(0)).alias("rows")
+        ).first()
+        if not stats or stats["n"] == 0:
+            return None
+        ensure_checkpoint_dir(events.sparkSession)
+        written = candidates.select(*KEY).checkpoint(eager=True)
+    finally:
+        candidates.unpersist()
     est_rows = int(stats["rows"] / sample_fraction(hot_rows))
     return written, stats["n"], est_rows
 
