@@ -94,7 +94,13 @@ def cut_broadcast(events: DataFrame, seq: str | None = None,
     plan falls back to the shuffle join.
     """
     ensure_checkpoint_dir(events.sparkSession)
-    errors = first_error(events).checkpoint(eager=True)
+    # Cached while checkpointed: an eager reliable checkpoint computes its
+    # plan once to count and again to write, unless the plan is cached.
+    computed = first_error(events).persist()
+    try:
+        errors = computed.checkpoint(eager=True)
+    finally:
+        computed.unpersist()
     right = F.broadcast(errors) if errors.count() <= max_rows else errors
     cols = events.columns
     return events.join(right, list(KEY), "left").filter(_keep_before()).select(*cols)
