@@ -50,7 +50,9 @@ def test_split_plan_broadcasts_bounded_keys_and_ranges_hot_rows(spark, monkeypat
     monkeypatch.setattr(skew, "ROWS_PER_RANGE", 1_000)  # several range partitions at this size
     plan = _plan(top_routes(load_events(spark, SF["sf0.01"]), 10, seq="seq", hot_rows=3))
     assert "BroadcastExchange" in plan
-    assert "LeftAnti" in plan and "LeftSemi" in plan
+    assert "LeftAnti" in plan
+    # Hot rows were written once (checkpoint): the hot branch reads that copy.
+    assert "ExistingRDD" in plan
     assert "rangepartitioning(user_id" in plan
     assert "MapInPandas" in plan
 

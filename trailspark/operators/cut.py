@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import is_error
-from ..runtime import ensure_checkpoint_dir
+from ..runtime import write_once
 from ..schema import ERROR_TS, KEY, TS, order_columns
 
 # Largest error table (rows of three longs) broadcast by ``cut_broadcast``.
@@ -93,14 +93,7 @@ def cut_broadcast(events: DataFrame, seq: str | None = None,
     broadcast only when it holds at most ``max_rows`` rows; above that the
     plan falls back to the shuffle join.
     """
-    ensure_checkpoint_dir(events.sparkSession)
-    # Cached while checkpointed: an eager reliable checkpoint computes its
-    # plan once to count and again to write, unless the plan is cached.
-    computed = first_error(events).persist()
-    try:
-        errors = computed.checkpoint(eager=True)
-    finally:
-        computed.unpersist()
+    errors = write_once(first_error(events))
     right = F.broadcast(errors) if errors.count() <= max_rows else errors
     cols = events.columns
     return events.join(right, list(KEY), "left").filter(_keep_before()).select(*cols)

@@ -14,7 +14,8 @@
    the candidates are written once to the shared checkpoint folder, and a
    broadcast anti-join and semi-join, both reading that table, separate
    normal and hot rows map-side (shuffle joins with AQE skew handling above
-   the cap).
+   the cap). The hot rows are written once too, so the hot path reads them
+   without scanning the input again.
 3. ``hot_routes`` cuts hot rows at their session's first error (a partial
    aggregate over hot rows, at most one row per candidate per task, joined
    back), range-partitions them by ``(user_id, session_id,
@@ -30,11 +31,12 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import is_error
-from ..runtime import ensure_checkpoint_dir
+from ..runtime import write_once
 from ..schema import DEFAULT_HOT_ROWS, ERROR_TS, KEY, PAGE, SESSION, TS, USER, order_columns
 from .pandas_fold import FRAGMENT_SCHEMA, fragment_partition, stitch_fragments
 
@@ -94,8 +96,7 @@ def find_hot(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> tuple[DataF
         ).first()
         if not stats or stats["n"] == 0:
             return None
-        ensure_checkpoint_dir(events.sparkSession)
-        written = candidates.select(*KEY).checkpoint(eager=True)
+        written = write_once(candidates.select(*KEY))
     finally:
         candidates.unpersist()
     est_rows = int(stats["rows"] / sample_fraction(hot_rows))
@@ -128,10 +129,11 @@ def split_sessions(events: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> HotSp
     small = n <= MAX_BROADCAST_KEYS
     if small:
         keys = F.broadcast(keys)
-    return HotSplit(
-        events.join(keys, list(KEY), "left_anti"), events.join(keys, list(KEY), "left_semi"),
-        small, keys, est_rows,
-    )
+    # The hot rows are written once (one scan of the input, filtered map-side):
+    # their error times, the range partitioner's sample and the range shuffle
+    # all read the written copy instead of scanning the whole input again.
+    hot = write_once(events.join(keys, list(KEY), "left_semi"), StorageLevel.DISK_ONLY)
+    return HotSplit(events.join(keys, list(KEY), "left_anti"), hot, small, keys, est_rows)
 
 
 def _bytes(text: str) -> int:
