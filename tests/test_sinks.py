@@ -75,3 +75,14 @@ def test_command_line_job(spark, tmp_path, capsys):
     assert sorted(printed) == ["main-archive-bonus-tariffs\t1", "main-family-main\t1"]
     part = next(p for p in (tmp_path / "j").glob("part-*") if p.stat().st_size)
     assert json.loads(part.read_text()) == {"main-archive-bonus-tariffs": 1, "main-family-main": 1}
+
+
+def test_command_line_job_on_parquet(spark, tmp_path, capsys):
+    from trailspark.__main__ import main
+
+    events = load_events(spark, SF["sf0.01"])
+    events.write.parquet(str(tmp_path / "events"))
+    main([str(tmp_path / "events"), "--format", "parquet", "--seq", "seq", "--n", "3"])
+    printed = capsys.readouterr().out.splitlines()
+    expected = [f"{r['route']}\t{r['count']}" for r in top_routes(events, 3, seq="seq").collect()]
+    assert printed == expected == ["p3\t429", "p1\t408", "p2\t382"]
