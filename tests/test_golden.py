@@ -119,3 +119,17 @@ def test_cast_events_and_rdd_path(spark, tmp_path):
     assert collect_routes(session_routes(typed)) == WORKED_ROUTES
     assert sorted(top_routes_rdd_path(spark, path, 10)) == sorted(
         (r, 1) for r in WORKED_ROUTES.values())
+
+
+def test_empty_input_everywhere(spark):
+    from trailspark import routes_json
+    from trailspark.schema import events_schema
+
+    empty = spark.createDataFrame([], events_schema("seq"))
+    for form in FORMS:
+        for hot in HOT:
+            assert session_routes(empty, form, "seq", hot).collect() == [], (form, hot)
+    empty.createOrReplaceTempView("empty_clicks")
+    assert top_routes_sql(spark, "empty_clicks", 10, seq="seq").collect() == []
+    assert top_routes_rdd(empty, 10, "seq") == []
+    assert [r["json"] for r in routes_json(all_route_counts(empty, seq="seq")).collect()] == ["{}"]
