@@ -102,3 +102,26 @@ def test_range_partitions_sized_from_the_row_estimate(spark, skewed, reference,
     frags = hot_fragments(split.hot, "seq", split.small, parts).collect()
     assert len({r["_part"] for r in frags}) > 10
     assert collect_routes(skew.routes_of_split(split, "seq")) == {(0, 0): reference[(0, 0)]}
+
+
+def test_mass_of_identical_copies_is_split(spark, monkeypatch):
+    from trailspark.schema import events_schema
+
+    # One event copied 3,000 times (a third of the rows of its session is
+    # far exceeded) plus a few distinct ones: equal order keys everywhere.
+    rows = [(1, 1, "page", "A", 5, 1)] * 3000 + [(1, 1, "page", "B", 6, 2), (1, 1, "page", "A", 7, 3)]
+    rows += [(2, 1, "page", "C", 1, 4), (2, 1, "page", "C", 2, 5)]
+    df = spark.createDataFrame(rows, events_schema("seq"))
+    monkeypatch.setattr(skew, "ROWS_PER_RANGE", 200)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for seq in ("seq", None):
+            events = df if seq else df.drop("seq")
+            split = split_sessions(events, 100)
+            parts = skew.range_partitions(split.est_rows, spark)
+            frags = hot_fragments(split.hot, seq, split.small, parts).collect()
+            assert len({r["_part"] for r in frags}) > 5, seq
+            routes = collect_routes(session_routes(events, "window", seq, 100))
+            assert routes == {(1, 1): "A-B-A", (2, 1): "C"}, seq
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -22,7 +22,8 @@
    timestamp, seq)`` -- Spark samples the bounds, so one session spreads over
    as many tasks as its size needs -- sorts, folds each partition into
    collapsed fragments with numpy, and stitches fragments per session in
-   partition order. The fold runs in ``mapInPandas`` on the range partitions
+   partition order. A row id closes the range key, so even a mass of exact
+   copies of one event is spread over tasks. The fold runs in ``mapInPandas`` on the range partitions
    as they are; a window over ``(session, partition)`` would need a second
    shuffle of every hot row.
 """
@@ -41,6 +42,7 @@ from ..schema import DEFAULT_HOT_ROWS, ERROR_TS, KEY, PAGE, SESSION, TS, USER, o
 from .pandas_fold import FRAGMENT_SCHEMA, fragment_partition, stitch_fragments
 
 ROWS = "_rows"
+COPY = "_copy"
 # Expected sampled rows of a session exactly at the threshold.
 HOT_SAMPLES = 100
 SAMPLE_SEED = 17
@@ -189,12 +191,13 @@ def hot_fragments(hot_events: DataFrame, seq: str | None = None, small: bool = T
         .filter(F.col(ERROR_TS).isNull() | (F.col(TS) < F.col(ERROR_TS)))
         .select(*cols)
     )
-    if seq is None:
-        # Without a tie-break, equal (time, page) rows are interchangeable and
-        # would be equal range keys; dropping the copies (map-side first)
-        # leaves every key distinct so the range split can cut anywhere.
-        cut = cut.dropDuplicates([USER, SESSION, TS, PAGE])
-    keys = [USER, SESSION, *order]
+    # Copies of one event (equal on every order key) would be equal range
+    # keys, and Spark cannot split equal keys: a mass of copies would stay in
+    # one task. A row id as the last key makes every key distinct, so the
+    # range split can cut through copies too; the fold collapses them anyway.
+    # The rows come from their written copy, so the id is the same on retry.
+    cut = cut.withColumn(COPY, F.monotonically_increasing_id())
+    keys = [USER, SESSION, *order, COPY]
     # AQE may merge range partitions but never splits one, so with an
     # estimate the count is fixed from the data (see rows_per_range).
     if partitions:
