@@ -56,6 +56,9 @@ def read_events_with_rejects(spark: SparkSession, path: str | list[str], seq: st
                              quote: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Typed delimited scan (S1). Returns ``(clean, rejects)``.
 
+    Input should be uncompressed or in a splittable codec: a gzip file is
+    read by one task however large it is.
+
     Wrong field counts and unparsable numbers land in ``_corrupt_record``
     (Spark's CSV reader flags both under an explicit schema); null or empty
     ids, timestamps and pages are rejected too.
