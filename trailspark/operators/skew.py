@@ -18,14 +18,15 @@
    without scanning the input again.
 3. ``hot_routes`` cuts hot rows at their session's first error (a partial
    aggregate over hot rows, at most one row per candidate per task, joined
-   back), range-partitions them by ``(user_id, session_id,
-   timestamp, seq)`` -- Spark samples the bounds, so one session spreads over
-   as many tasks as its size needs -- sorts, folds each partition into
-   collapsed fragments with numpy, and stitches fragments per session in
-   partition order. A row id closes the range key, so even a mass of exact
-   copies of one event is spread over tasks. The fold runs in ``mapInPandas`` on the range partitions
-   as they are; a window over ``(session, partition)`` would need a second
-   shuffle of every hot row.
+   back), then range-partitions them by ``(user_id, session_id, timestamp,
+   seq, event_page, row id)``. Spark samples the bounds, so one session
+   spreads over as many tasks as its size needs, and the closing row id lets
+   it cut even through a mass of exact copies. The partition count follows
+   the sampled row estimate and AQE's advisory size. Each partition is sorted
+   and folded into collapsed fragments with numpy, and the fragments are
+   stitched per session in partition order. The fold runs in ``mapInPandas``
+   on the range partitions as they are; a window over ``(session,
+   partition)`` would need a second shuffle of every hot row.
 """
 
 from __future__ import annotations
