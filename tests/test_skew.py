@@ -125,3 +125,12 @@ def test_mass_of_identical_copies_is_split(spark, monkeypatch):
             assert routes == {(1, 1): "A-B-A", (2, 1): "C"}, seq
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_sampled_detection_keeps_its_bound(skewed):
+    # hot_rows 1,000: rate 0.1, a candidate needs more than 50 sampled rows.
+    assert skew.sample_fraction(1_000) == 0.1
+    keys, n, est = find_hot(skewed, 1_000)
+    assert {tuple(r) for r in keys.collect()} == {(0, 0)}
+    assert n <= 0.1 * skewed.count() / 50
+    assert 1_000 < est < 4_000  # the big session has about 2,000 rows
