@@ -22,11 +22,13 @@ from .plans import DEFAULT_FORM
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="trailspark", description=__doc__.splitlines()[0])
-    ap.add_argument("input", nargs="+")
-    ap.add_argument("--n", type=int, default=DEFAULT_N)
-    ap.add_argument("--format", choices=("tsv", "parquet"), default="tsv")
+    ap.add_argument("input", nargs="+", help="files or folders of events")
+    ap.add_argument("--n", type=int, default=DEFAULT_N, help="how many routes (default 10)")
+    ap.add_argument("--format", choices=("tsv", "parquet"), default="tsv",
+                    help="tab-separated with a header (default), or Parquet")
     ap.add_argument("--seq", default=None, help="tie-break column inside one second")
-    ap.add_argument("--form", choices=sorted(FORMS), default=DEFAULT_FORM)
+    ap.add_argument("--form", choices=sorted(FORMS), default=DEFAULT_FORM,
+                    help=f"physical plan (default {DEFAULT_FORM})")
     ap.add_argument("--json", help="write the top n as one JSON object here")
     ap.add_argument("--tsv", help="write the top n as route<TAB>count lines here")
     args = ap.parse_args(argv)
