@@ -52,6 +52,12 @@ from trailspark.sources.testdata import (  # noqa: E402
     skewed_sql,
 )
 
+try:  # the training-data operators are optional; nothing else depends on them
+    import corpus_pipeline
+    from trailspark.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 N = 10
 # Coarse clock (6 h) over weekly sessions: many events share a timestamp.
@@ -141,6 +147,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_routes_rdd": lambda s, d: top_routes_rdd_df(_events(s, d), N, SEQ),
         "routes_json": lambda s, d: routes_json(
             route_counts(session_routes(_events(s, d), seq=SEQ)), N),
+        **(llm_queries.queries() | {"pipeline": corpus_pipeline.run} if llm_queries else {}),
     }
 
 
@@ -217,6 +224,7 @@ def oracle_sql() -> dict[str, str]:
         "top_routes_pandas": top,
         "top_routes_sql": top,
         "top_routes_rdd": top,
+        **(llm_queries.oracle_sql() if llm_queries else {}),
         # routes_json: one JSON text; no DuckDB rendering is byte-identical,
         # so it is checked on rows only (and against top_routes in tests).
     }
