@@ -14,7 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import PAGE, SEQ, SESSION, TS, TYPE, USER
+from trailspark.schema import PAGE, SEQ, SESSION, TS, TYPE, USER
 
 PAGES = 4
 
@@ -116,3 +116,22 @@ def skewed_sql(adapter: str) -> str:
        CASE WHEN {TYPE} = '{HOT_TYPE}' THEN 0 ELSE {SESSION} END AS {SESSION},
        {TYPE}, {PAGE}, {TS}, {SEQ}
 FROM ({adapter}) a"""
+
+
+# Rows made invalid by ``event_id``: what a reader would have rejected.
+def dirty_events(events: DataFrame) -> DataFrame:
+    """Null or empty keys, times, tie-breaks and pages in about half of the rows, by ``seq``."""
+    kind = F.pmod(F.col(SEQ), F.lit(13))
+    null = F.lit(None)
+    return events.withColumns({
+        USER: F.when(kind != 0, F.col(USER)).otherwise(null),
+        SESSION: F.when(kind != 1, F.col(SESSION)).otherwise(null),
+        TS: F.when(kind != 2, F.col(TS)).otherwise(null),
+        PAGE: F.when(kind == 3, F.lit("")).when(kind != 4, F.col(PAGE)),
+        SEQ: F.when(kind != 5, F.col(SEQ)).otherwise(null),
+    })
+
+
+def clean_sql(adapter: str) -> str:
+    """The rows of an adapter ``SELECT`` that ``dirty_events`` leaves valid (DuckDB)."""
+    return f"SELECT * FROM ({adapter}) a WHERE {SEQ} % 13 NOT IN (0, 1, 2, 3, 4, 5)"

@@ -22,8 +22,6 @@ from .operators import (  # noqa: E402
     cut_window,
     error_events,
     first_error,
-    hot_routes,
-    hot_sessions,
     page_changes,
     route_counts,
     routes_fold,
@@ -34,8 +32,8 @@ from .operators import (  # noqa: E402
     routes_sorted,
     routes_window,
     running_routes,
-    split_sessions,
     top_n,
+    valid_events,
 )
 from .plans import (  # noqa: E402
     FORMS,
@@ -50,7 +48,6 @@ from .plans import (  # noqa: E402
 from .sinks import routes_json, top_routes_dict, write_json, write_tsv  # noqa: E402
 from .sources import (  # noqa: E402
     cast_events,
-    load_events,
     load_lines_rdd,
     parse_lines,
     read_events,
@@ -69,9 +66,6 @@ __all__ = [
     "cut_window",
     "error_events",
     "first_error",
-    "hot_routes",
-    "hot_sessions",
-    "load_events",
     "load_lines_rdd",
     "page_changes",
     "parse_lines",
@@ -90,7 +84,6 @@ __all__ = [
     "routes_window",
     "running_routes",
     "session_routes",
-    "split_sessions",
     "top_n",
     "top_routes",
     "top_routes_dict",
@@ -98,6 +91,7 @@ __all__ = [
     "top_routes_rdd_df",
     "top_routes_rdd_path",
     "top_routes_sql",
+    "valid_events",
     "write_json",
     "write_tsv",
 ]

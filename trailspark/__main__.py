@@ -1,7 +1,8 @@
 """Command-line job: top routes of a clickstream file.
 
     python -m trailspark INPUT [--n 10] [--format tsv|parquet] [--seq COL]
-                         [--form window] [--json OUT] [--tsv OUT]
+                         [--form fold] [--json OUT] [--tsv OUT]
+                         [--mode errorifexists] [--quote CHAR]
 
 Reads tab-separated files with a header (or Parquet with the same columns),
 prints the top ``n`` routes as ``route<TAB>count`` lines and, if asked, writes
@@ -18,6 +19,7 @@ from pyspark.sql import SparkSession
 from . import FORMS, all_route_counts, cast_events, read_events, top_n, write_json, write_tsv
 from .operators.counts import DEFAULT_N
 from .plans import DEFAULT_FORM
+from .schema import ROUTE_COUNTS_SCHEMA
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -31,20 +33,26 @@ def main(argv: list[str] | None = None) -> None:
                     help=f"physical plan (default {DEFAULT_FORM})")
     ap.add_argument("--json", help="write the top n as one JSON object here")
     ap.add_argument("--tsv", help="write the top n as route<TAB>count lines here")
+    ap.add_argument("--mode", default="errorifexists", choices=("errorifexists", "overwrite"),
+                    help="what to do if an output folder exists (default: fail)")
+    ap.add_argument("--quote", default=None, help="quote character of the input ('' for none)")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("trailspark").getOrCreate()
     if args.format == "tsv":
-        events = read_events(spark, args.input, seq=args.seq)
+        events = read_events(spark, args.input, seq=args.seq, quote=args.quote)
     else:
         events = cast_events(spark.read.parquet(*args.input), seq=args.seq)
     counts = all_route_counts(events, form=args.form, seq=args.seq)
-    for row in top_n(counts, args.n).collect():
+    # The pipeline runs once; the sinks get the n rows that it gave.
+    rows = top_n(counts, args.n).collect()
+    for row in rows:
         print(f"{row['route']}\t{row['count']}")
+    top = spark.createDataFrame(rows, ROUTE_COUNTS_SCHEMA)
     if args.json:
-        write_json(counts, args.json, args.n)
+        write_json(top, args.json, args.n, mode=args.mode)
     if args.tsv:
-        write_tsv(counts, args.tsv, args.n)
+        write_tsv(top, args.tsv, args.n, mode=args.mode)
 
 
 if __name__ == "__main__":

@@ -12,6 +12,10 @@ from ..schema import SEPARATOR, TYPE
 ERROR_WORD = "error"
 
 
+# A number in text: ASCII digits with an optional sign and nothing around them.
+LONG_PATTERN = "^[+-]?[0-9]{1,19}$"
+
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -21,6 +25,12 @@ def is_error(event_type: str | Column = TYPE) -> Column:
     return F.coalesce(F.lower(_col(event_type)).contains(ERROR_WORD), F.lit(False))
 
 
+def parse_long(text: str | Column) -> Column:
+    """The number a text holds, or null: one rule for every reader (V4)."""
+    c = _col(text)
+    return F.when(c.rlike(LONG_PATTERN), c.try_cast("bigint"))
+
+
 def join_route(pages: str | Column) -> Column:
     """Route text: pages joined with ``-``."""
     return F.concat_ws(SEPARATOR, _col(pages))

@@ -1,5 +1,6 @@
 """Lazy ``DataFrame -> DataFrame`` operators of the route pipeline."""
 
+from .buckets import stitch, valid_events, with_bucket
 from .collapse import page_changes
 from .counts import DEFAULT_N, route_counts, top_n
 from .cut import (
@@ -20,16 +21,6 @@ from .paths import (
     routes_window,
     running_routes,
 )
-from .skew import (
-    HotSplit,
-    find_hot,
-    hot_fragments,
-    hot_routes,
-    hot_sessions,
-    range_partitions,
-    routes_of_split,
-    split_sessions,
-)
 
 __all__ = [
     "DEFAULT_N",
@@ -38,24 +29,19 @@ __all__ = [
     "cut_partition_min",
     "cut_window",
     "error_events",
-    "find_hot",
     "first_error",
-    "HotSplit",
-    "hot_fragments",
-    "hot_routes",
-    "hot_sessions",
     "page_changes",
-    "range_partitions",
     "route_counts",
     "routes_fold",
     "routes_listagg",
     "routes_max_array",
     "routes_max_string",
-    "routes_of_split",
     "routes_pandas",
     "routes_sorted",
     "routes_window",
     "running_routes",
-    "split_sessions",
+    "stitch",
     "top_n",
+    "valid_events",
+    "with_bucket",
 ]

@@ -5,18 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schema import KEY, PAGE, PREV_PAGE, order_columns
+from ..schema import BUCKET_SECONDS, KEY, PAGE, PREV_PAGE, order_columns
+from .buckets import BUCKET, BUCKET_KEY, event_entry, with_bucket
 
+_LAST, _BEFORE = "__trail_last", "__trail_before"
 
-def page_changes(events: DataFrame, seq: str | None = None) -> DataFrame:
+
+def page_changes(events: DataFrame, seq: str | None = None,
+                 width: int = BUCKET_SECONDS) -> DataFrame:
     """Rows where the page changes, with ``prev_event_page``.
 
     The order is the total order ``(timestamp, seq)`` (or ``(timestamp,
     event_page)``), so ties cannot make the result depend on input order.
+    ``lag`` runs per time bucket; a bucket's first row takes the last page of
+    the session's bucket before it, from a table with one row per bucket.
     """
-    w = Window.partitionBy(*KEY).orderBy(*order_columns(seq))
-    prev = F.lag(PAGE).over(w)
+    if PREV_PAGE in events.columns:
+        raise ValueError(f"the input has a column {PREV_PAGE}, which this adds; rename it first")
+    rows = with_bucket(events, width)
+    last = (
+        rows.groupBy(*BUCKET_KEY).agg(F.max(event_entry(seq)).alias(_LAST))
+        .select(*BUCKET_KEY, F.lag(F.col(_LAST)[PAGE]).over(
+            Window.partitionBy(*KEY).orderBy(BUCKET)).alias(_BEFORE))
+    )
+    w = Window.partitionBy(*BUCKET_KEY).orderBy(*order_columns(seq))
+    prev = F.coalesce(F.lag(PAGE).over(w), F.col(_BEFORE))
     return (
-        events.withColumn(PREV_PAGE, prev)
+        rows.join(last, list(BUCKET_KEY), "left")
+        .withColumn(PREV_PAGE, prev)
         .filter(F.col(PREV_PAGE).isNull() | (F.col(PAGE) != F.col(PREV_PAGE)))
+        .select(*events.columns, PREV_PAGE)
     )

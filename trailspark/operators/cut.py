@@ -4,12 +4,15 @@ Four equivalent forms:
 
 * ``cut_window`` — running error count over a RANGE frame ordered by time, so
   events in the same second as the error see it (the reference's window form);
-* ``cut_partition_min`` — whole-session minimum of error times over the same
-  window spec the page collapse uses, so the two windows share one sort;
+* ``cut_partition_min`` — minimum of error times over the whole partition;
 * ``cut_join`` — per-session first error (partial + final aggregate) joined
   back with a left outer equi-join, strategy left to the planner / AQE;
-* ``cut_broadcast`` — the same join with a broadcast, taken only when the
-  error table is measured to be below a row bound, else the shuffle join.
+* ``cut_broadcast`` — the same join; AQE broadcasts the error table when its
+  measured size allows, or always if the caller vouches for its size.
+
+The window forms run per time bucket (see ``buckets``) and take what earlier
+buckets found from a table with one row per bucket, so a session of any
+length is spread over tasks.
 """
 
 from __future__ import annotations
@@ -18,15 +21,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import is_error
-from ..runtime import write_once
-from ..schema import ERROR_TS, KEY, TS, order_columns
-
-# Largest error table (rows of three longs) broadcast by ``cut_broadcast``.
-BROADCAST_MAX_ROWS = 1_000_000
+from ..schema import BUCKET_SECONDS, ERROR_TS, KEY, TS, order_columns
+from .buckets import BUCKET, BUCKET_KEY, CUT, with_bucket
 
-
-def _keep_before(et: str = ERROR_TS):
-    return F.col(et).isNull() | (F.col(TS) < F.col(et))
+_COUNT, _BEFORE = "__trail_errors", "__trail_before"
 
 
 def error_events(events: DataFrame) -> DataFrame:
@@ -43,57 +41,72 @@ def first_error(events: DataFrame) -> DataFrame:
     return error_events(events).groupBy(*KEY).agg(F.min(TS).alias(ERROR_TS))
 
 
-def cut_window(events: DataFrame, seq: str | None = None) -> DataFrame:
+def _from_earlier(rows: DataFrame, of_bucket, over_earlier) -> DataFrame:
+    """``rows`` joined with what the session's earlier buckets hold, as ``_BEFORE``."""
+    earlier = (
+        Window.partitionBy(*KEY).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    table = (
+        rows.groupBy(*BUCKET_KEY).agg(of_bucket.alias(_BEFORE))
+        .select(*BUCKET_KEY, over_earlier(F.col(_BEFORE)).over(earlier).alias(_BEFORE))
+    )
+    return rows.join(table, list(BUCKET_KEY), "left")
+
+
+def cut_window(events: DataFrame, seq: str | None = None,
+               width: int = BUCKET_SECONDS) -> DataFrame:
     """Keep rows whose running error count is 0 over a RANGE frame by time."""
     w = (
-        Window.partitionBy(*KEY)
+        Window.partitionBy(*BUCKET_KEY)
         .orderBy(TS)
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    cols = events.columns
+    flag = F.when(is_error(), 1).otherwise(0)
+    rows = _from_earlier(with_bucket(events, width), F.sum(flag), F.sum)
     return (
-        events.withColumn("is_error", F.when(is_error(), 1).otherwise(0))
-        .withColumn("_errors_so_far", F.sum("is_error").over(w))
-        .filter(F.col("_errors_so_far") == 0)
-        .select(*cols)
+        rows.withColumn(_COUNT, F.sum(flag).over(w) + F.coalesce(_BEFORE, F.lit(0)))
+        .filter(F.col(_COUNT) == 0)
+        .select(*events.columns)
     )
 
 
-def cut_partition_min(events: DataFrame, seq: str | None = None) -> DataFrame:
-    """Keep rows before the session's first error time, found by a window minimum."""
+def cut_partition_min(events: DataFrame, seq: str | None = None,
+                      width: int = BUCKET_SECONDS) -> DataFrame:
+    """Keep rows before the first error time, a minimum over the whole partition."""
     w = (
-        Window.partitionBy(*KEY)
+        Window.partitionBy(*BUCKET_KEY)
         .orderBy(*order_columns(seq))
         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     )
-    cols = events.columns
+    at = F.when(is_error(), F.col(TS))
+    rows = _from_earlier(with_bucket(events, width), F.min(at), F.min)
     return (
-        events.withColumn(ERROR_TS, F.min(F.when(is_error(), F.col(TS))).over(w))
-        .filter(_keep_before())
-        .select(*cols)
+        rows.withColumn(CUT, F.least(F.min(at).over(w), F.col(_BEFORE)))
+        .filter(F.col(CUT).isNull() | (F.col(TS) < F.col(CUT)))
+        .select(*events.columns)
     )
 
 
-def cut_join(events: DataFrame, seq: str | None = None) -> DataFrame:
-    """Left outer join with the first-error table, then ``ts < error_ts``."""
-    cols = events.columns
+def _cut_by(events: DataFrame, errors: DataFrame) -> DataFrame:
+    errors = errors.withColumnRenamed(ERROR_TS, CUT)
     return (
-        events.join(first_error(events), list(KEY), "left")
-        .filter(_keep_before())
-        .select(*cols)
+        events.join(errors, list(KEY), "left")
+        .filter(F.col(CUT).isNull() | (F.col(TS) < F.col(CUT)))
+        .select(*events.columns)
     )
 
 
-def cut_broadcast(events: DataFrame, seq: str | None = None,
-                  max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``cut_join`` with a broadcast of the error table behind a measured size.
+def cut_join(events: DataFrame, seq: str | None = None) -> DataFrame:
+    """Left outer join with the first-error table, then ``ts < error_ts``."""
+    return _cut_by(events, first_error(events))
+
+
+def cut_broadcast(events: DataFrame, seq: str | None = None, hint: bool = False) -> DataFrame:
+    """``cut_join`` as a broadcast join.
 
-    The error table grows with the number of sessions, so it is written to the
-    shared checkpoint folder (which also cuts its lineage), counted, and
-    broadcast only when it holds at most ``max_rows`` rows; above that the
-    plan falls back to the shuffle join.
+    The error table grows with the sessions, so its size is left to AQE, which
+    broadcasts it when its measured bytes are within the session's threshold.
+    ``hint=True`` broadcasts it whatever it measures.
     """
-    errors = write_once(first_error(events))
-    right = F.broadcast(errors) if errors.count() <= max_rows else errors
-    cols = events.columns
-    return events.join(right, list(KEY), "left").filter(_keep_before()).select(*cols)
+    errors = first_error(events)
+    return _cut_by(events, F.broadcast(errors) if hint else errors)

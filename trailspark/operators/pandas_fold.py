@@ -1,11 +1,9 @@
-"""Vectorized per-partition folds over sorted event batches (``mapInPandas``).
-
-Spark does the distribution: the input is shuffled and sorted by
-``(user_id, session_id, order...)``; each task then walks its Arrow batches with
-numpy. On the normal path batches are re-cut so a session never straddles two
-chunks; a session held back across batches is bounded by the hot-session
-threshold. On the hot path the fold is incremental and holds only the current
-session's collapsed pages.
+"""Vectorized fold over sorted event batches (``mapInPandas``).
+
+Spark does the distribution: distinct events are shuffled and sorted by
+``(user_id, session_id, bucket, order...)``; each task walks its Arrow batches
+with numpy. Batches are re-cut so that a bucket never straddles two chunks;
+what is held back is at most one session's distinct events of one bucket.
 """
 
 from __future__ import annotations
@@ -15,191 +13,82 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import is_error
-from ..schema import KEY, PAGE, ROUTE, SEPARATOR, SESSION, SESSION_ROUTES_SCHEMA, TS, USER, order_columns
+from ..schema import BUCKET_SECONDS, PAGE, SESSION, TS, USER, order_columns
+from .buckets import BUCKET, BUCKET_KEY, CUT, ERR, PAGES, distinct_events, slim_events, stitch
 
-ERR = "_err"
 NO_ERROR = np.iinfo(np.int64).max
 
-
-def whole_sessions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Regroup key-sorted batches so each yielded frame holds only whole sessions."""
-    pending: list[pd.DataFrame] = []
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        u = pdf[USER].to_numpy()
-        s = pdf[SESSION].to_numpy()
-        other = np.flatnonzero((u != u[-1]) | (s != s[-1]))
-        if other.size == 0:
-            if pending:
-                tail = pending[-1]
-                if (tail[USER].iat[-1], tail[SESSION].iat[-1]) != (u[0], s[0]):
-                    yield pd.concat(pending, ignore_index=True)
-                    pending = []
-            pending.append(pdf)
-            continue
-        cut = int(other[-1]) + 1
-        head = pdf.iloc[:cut]
-        yield pd.concat(pending + [head], ignore_index=True) if pending else head
-        pending = [pdf.iloc[cut:]]
-    if pending:
-        yield pd.concat(pending, ignore_index=True)
-
-
-def _session_starts(u: np.ndarray, s: np.ndarray) -> np.ndarray:
-    start = np.ones(u.size, dtype=bool)
-    start[1:] = (u[1:] != u[:-1]) | (s[1:] != s[:-1])
-    return start
-
-
-def _runs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end offsets of runs of equal values in a sorted id array."""
-    starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-    ends = np.r_[starts[1:], ids.size]
-    return starts, ends
-
-
-def _changes(sid: np.ndarray, pages: np.ndarray) -> np.ndarray:
-    """Mask of rows starting a session or changing page."""
-    change = np.ones(sid.size, dtype=bool)
-    change[1:] = (sid[1:] != sid[:-1]) | (pages[1:] != pages[:-1])
-    return change
-
-
-def fold_routes(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Routes of whole, sorted sessions: cut at the first error time, collapse, join."""
-    u = pdf[USER].to_numpy(np.int64)
-    s = pdf[SESSION].to_numpy(np.int64)
-    ts = pdf[TS].to_numpy(np.int64)
-    pages = pdf[PAGE].to_numpy(object)
-    err = pdf[ERR].to_numpy(bool)
-    start = _session_starts(u, s)
-    sid = np.cumsum(start) - 1
-    et = np.full(int(sid[-1]) + 1, NO_ERROR, dtype=np.int64)
-    np.minimum.at(et, sid[err], ts[err])
-    keep = ts < et[sid]
-    ksid, kpages = sid[keep], pages[keep]
-    if ksid.size == 0:
-        return pd.DataFrame({USER: [], SESSION: [], ROUTE: []})
-    change = _changes(ksid, kpages)
-    csid, cpages = ksid[change], kpages[change]
-    a, b = _runs(csid)
-    first_row = np.flatnonzero(start)[csid[a]]
-    routes = [SEPARATOR.join(cpages[i:j]) for i, j in zip(a, b)]
-    return pd.DataFrame({USER: u[first_row], SESSION: s[first_row], ROUTE: routes})
-
-
-def _fold_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for chunk in whole_sessions(batches):
-        out = fold_routes(chunk)
-        if len(out):
-            yield out
-
-
-def routes_pandas(events: DataFrame, seq: str | None = None) -> DataFrame:
-    """U1 as a vectorized fold: cluster by session, sort, ``mapInPandas``.
-
-    Replaces the per-session Python loop of the RDD form with one numpy pass
-    per Arrow batch; only the session key, order, page and an error flag cross
-    into Python.
-    """
-    order = order_columns(seq)
-    cols = list(dict.fromkeys([USER, SESSION, *order, PAGE]))
-    slim = events.select(*cols, is_error().alias(ERR))
-    ordered = slim.repartition(*KEY).sortWithinPartitions(*KEY, *order)
-    return ordered.mapInPandas(_fold_partition, SESSION_ROUTES_SCHEMA)
-
-
 FRAGMENT_SCHEMA = T.StructType(
     [
         T.StructField(USER, T.LongType()),
         T.StructField(SESSION, T.LongType()),
-        T.StructField("_part", T.IntegerType()),
-        T.StructField("_first", T.StringType()),
-        T.StructField("_last", T.StringType()),
-        T.StructField("_rest", T.StringType()),
+        T.StructField(BUCKET, T.LongType()),
+        T.StructField(CUT, T.LongType()),
+        T.StructField(PAGES, T.ArrayType(T.StringType())),
     ]
 )
 
 
-def _fragment_frame(rows: list[tuple], part: int) -> pd.DataFrame:
-    u, s, first, last, rest = zip(*rows)
-    return pd.DataFrame(
-        {
-            USER: np.array(u, dtype=np.int64),
-            SESSION: np.array(s, dtype=np.int64),
-            "_part": np.full(len(rows), part, dtype=np.int32),
-            "_first": first,
-            "_last": last,
-            "_rest": rest,
-        }
-    )
-
-
-def fragment_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Collapsed page run of each session inside one range partition.
-
-    Folds batch by batch: only the current session's collapsed pages are held,
-    so memory follows the fragment, not the raw rows, however long a hot
-    session runs through the partition. ``_first``/``_last`` let the stitch
-    step drop a page repeated across a partition boundary; ``_rest`` is the
-    fragment without its first page.
-    """
-    from pyspark import TaskContext
-
-    part = TaskContext.get().partitionId()
-    key: tuple[int, int] | None = None
-    pages: list[str] = []
-    done: list[tuple] = []
+def _starts(pdf: pd.DataFrame) -> np.ndarray:
+    """Mask of the rows that begin a bucket of a session."""
+    start = np.ones(len(pdf), dtype=bool)
+    start[1:] = False
+    for c in BUCKET_KEY:
+        v = pdf[c].to_numpy(np.int64)
+        start[1:] |= v[1:] != v[:-1]
+    return start
+
+
+def whole_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Regroup key-sorted batches so that each frame holds only whole buckets."""
+    held: list[pd.DataFrame] = []
     for pdf in batches:
         if pdf.empty:
             continue
-        u = pdf[USER].to_numpy(np.int64)
-        s = pdf[SESSION].to_numpy(np.int64)
-        p = pdf[PAGE].to_numpy(object)
-        start = _session_starts(u, s)
-        start[0] = key is None or (int(u[0]), int(s[0])) != key
-        prev = np.empty(p.size, dtype=object)
-        prev[1:] = p[:-1]
-        prev[0] = None if start[0] else pages[-1]
-        change = start | (p != prev)
-        seg = np.flatnonzero(start)
-        if seg.size == 0 or seg[0] != 0:
-            seg = np.r_[0, seg]
-        for a, b in zip(seg, np.r_[seg[1:], p.size]):
-            if start[a]:
-                if key is not None:
-                    done.append((*key, pages[0], pages[-1], SEPARATOR.join(pages[1:])))
-                key, pages = (int(u[a]), int(s[a])), []
-            pages.extend(p[a:b][change[a:b]])
-        if done:
-            yield _fragment_frame(done, part)
-            done = []
-    if key is not None:
-        yield _fragment_frame([(*key, pages[0], pages[-1], SEPARATOR.join(pages[1:]))], part)
-
-
-def stitch_fragments(frags: DataFrame) -> DataFrame:
-    """Join the per-partition fragments of each session in partition order.
-
-    A session spans at most as many fragments as range partitions, so the
-    collected array is short; a fragment whose first page equals the previous
-    fragment's last page continues that run and contributes only ``_rest``.
-    """
-    fs = F.col("_fs")
-
-    def piece(x, i):
-        prev = F.get(fs, i - 1)
-        rest = F.nullif(x["_rest"], F.lit(""))
-        continued = prev.isNotNull() & (prev["_last"] == x["_first"])
-        return F.when(continued, rest).otherwise(F.concat_ws(SEPARATOR, x["_first"], rest))
-
-    return (
-        frags.groupBy(*KEY)
-        .agg(F.array_sort(F.collect_list(F.struct("_part", "_first", "_last", "_rest"))).alias("_fs"))
-        .select(USER, SESSION, F.concat_ws(SEPARATOR, F.transform(fs, piece)).alias(ROUTE))
-    )
+        joined = pd.concat([held[-1].iloc[-1:], pdf], ignore_index=True) if held else pdf
+        inner = np.flatnonzero(_starts(joined)[1:]) + 1 - (1 if held else 0)
+        if inner.size == 0:
+            held.append(pdf)
+            continue
+        cut = int(inner[-1])
+        head = [*held, pdf.iloc[:cut]]
+        yield pd.concat(head, ignore_index=True)
+        held = [pdf.iloc[cut:]]
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def fold_buckets(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Fragments of whole, sorted buckets: cut at the first error time, collapse."""
+    start = _starts(pdf)
+    first = np.flatnonzero(start)
+    at = np.cumsum(start) - 1
+    ts, err = pdf[TS].to_numpy(np.int64), pdf[ERR].to_numpy(bool)
+    pages = pdf[PAGE].to_numpy(object)
+    cut = np.full(first.size, NO_ERROR, dtype=np.int64)
+    np.minimum.at(cut, at[err], ts[err])
+    change = start.copy()
+    change[1:] |= pages[1:] != pages[:-1]
+    kept = np.flatnonzero(change & (ts < cut[at]))
+    bounds = np.searchsorted(at[kept], np.arange(first.size + 1))
+    return pd.DataFrame({
+        **{c: pdf[c].to_numpy(np.int64)[first] for c in BUCKET_KEY},
+        CUT: pd.Series(cut).astype("Int64").mask(cut == NO_ERROR),
+        PAGES: [list(pages[kept[a:b]]) for a, b in zip(bounds, bounds[1:], strict=False)],
+    })
+
+
+def _fold_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for chunk in whole_buckets(batches):
+        yield fold_buckets(chunk)
+
+
+def routes_pandas(events: DataFrame, seq: str | None = None,
+                  width: int = BUCKET_SECONDS) -> DataFrame:
+    """U1 as a vectorized fold: cluster by bucket, sort, ``mapInPandas``, stitch."""
+    rows = distinct_events(slim_events(events, seq, width))
+    ordered = rows.repartition(*BUCKET_KEY).sortWithinPartitions(
+        *BUCKET_KEY, *order_columns(seq))
+    return stitch(ordered.mapInPandas(_fold_partition, FRAGMENT_SCHEMA))

@@ -2,131 +2,145 @@
 
 Building blocks over page-change rows (already cut and collapsed):
 
-* ``running_routes`` — running list of pages per row (W3). Output is
-  quadratic in the session length by nature; kept as an operator.
+* ``running_routes`` — running list of pages per row (W3). Its output is
+  quadratic in the session length by definition; nothing else here uses it.
 * ``routes_max_array`` / ``routes_max_string`` — the reference's window forms:
-  the longest running list / string per session is the route (A2, A3).
+  the longest running list / string is the route (A2, A3). The running lists
+  exist per time bucket only, so they are quadratic in a bucket's changes.
 * ``routes_sorted`` — collect ``(order, page)`` structs, ``array_sort``, take
-  the pages (A4, K5, X2-X4): O(L log L).
+  the pages (A4, K5, X2-X4).
 * ``routes_listagg`` — the same with an ordered string aggregate.
 
 Whole-pipeline forms over raw events:
 
-* ``routes_fold`` — one aggregate per session (error time, first time and
-  the event structs), then array functions only: sort, cut, collapse, join.
-* ``routes_window`` — window-min cut and ``lag`` in one window pass, then
-  ``routes_listagg``.
+* ``routes_fold`` — one aggregate per bucket (error time and the set of
+  events), then array functions only: sort, cut, collapse, join.
+* ``routes_window`` — window-min cut and ``lag`` in one window pass per bucket.
+
+All but ``running_routes`` work per time bucket and stitch a session's
+fragments (see ``buckets``), so no session is held by one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import collapse_repeats, is_error, join_route
-from ..schema import KEY, PAGE, ROUTE, SEPARATOR, SESSION, TS, USER, order_columns
-
-_PAGE = "_page"
-
-
-def _entry(seq: str | None) -> Column:
-    """Sortable struct: order fields first, page last."""
-    return F.struct(*[F.col(c) for c in order_columns(seq)], F.col(PAGE).alias(_PAGE))
-
-
-def _running_window(seq: str | None):
+from ..functions import collapse_repeats, join_route
+from ..schema import BUCKET_SECONDS, KEY, PAGE, ROUTE, SEPARATOR, SESSION, TS, USER, order_columns
+from .buckets import (
+    BUCKET,
+    BUCKET_KEY,
+    CUT,
+    PAGES,
+    distinct_events,
+    error_time,
+    event_entry,
+    kept_pages,
+    slim_events,
+    stitch,
+    with_bucket,
+)
+
+_XS = "__trail_xs"
+
+
+def _running(key: tuple[str, ...], seq: str | None):
     return (
-        Window.partitionBy(*KEY)
+        Window.partitionBy(*key)
         .orderBy(*order_columns(seq))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
 
 
+def _uncut(fragments: DataFrame) -> DataFrame:
+    return fragments.withColumn(CUT, F.lit(None).cast("bigint"))
+
+
+def _joined(pieces: DataFrame) -> DataFrame:
+    """Routes from one route piece per bucket, joined in bucket order."""
+    parts = F.array_sort(F.collect_list(F.struct(BUCKET, ROUTE)))
+    return pieces.groupBy(*KEY).agg(parts.alias(_XS)).select(
+        *KEY, F.concat_ws(SEPARATOR, F.transform(_XS, lambda x: x[ROUTE])).alias(ROUTE))
+
+
 def running_routes(changes: DataFrame, seq: str | None = None) -> DataFrame:
     """Route so far at every page change: ``user_id, session_id, timestamp[, seq], route``."""
     keep = [USER, SESSION, TS] + ([seq] if seq else [])
     return changes.select(
-        *keep, join_route(F.collect_list(PAGE).over(_running_window(seq))).alias(ROUTE)
-    )
+        *keep, join_route(F.collect_list(PAGE).over(_running(KEY, seq))).alias(ROUTE))
 
 
-def routes_max_array(changes: DataFrame, seq: str | None = None) -> DataFrame:
-    """Longest running page list per session (A2): running lists are prefixes of the last one."""
-    return (
-        changes.withColumn("_pages", F.collect_list(PAGE).over(_running_window(seq)))
-        .groupBy(*KEY)
-        .agg(F.max("_pages").alias("_pages"))
-        .select(USER, SESSION, join_route("_pages").alias(ROUTE))
-    )
+def routes_max_array(changes: DataFrame, seq: str | None = None,
+                     width: int = BUCKET_SECONDS) -> DataFrame:
+    """Longest running page list (A2): running lists are prefixes of the last one."""
+    running = F.collect_list(PAGE).over(_running(BUCKET_KEY, seq))
+    return stitch(_uncut(
+        with_bucket(changes, width).withColumn(PAGES, running)
+        .groupBy(*BUCKET_KEY).agg(F.max(PAGES).alias(PAGES))))
 
 
-def routes_max_string(changes: DataFrame, seq: str | None = None) -> DataFrame:
-    """Longest running route string per session (A3): a prefix sorts below its extensions."""
-    return running_routes(changes, seq).groupBy(*KEY).agg(F.max(ROUTE).alias(ROUTE))
+def routes_max_string(changes: DataFrame, seq: str | None = None,
+                      width: int = BUCKET_SECONDS) -> DataFrame:
+    """Longest running route string (A3): a prefix sorts below its extensions."""
+    running = join_route(F.collect_list(PAGE).over(_running(BUCKET_KEY, seq)))
+    return _joined(
+        with_bucket(changes, width).withColumn(ROUTE, running)
+        .groupBy(*BUCKET_KEY).agg(F.max(ROUTE).alias(ROUTE)))
 
 
-def routes_sorted(changes: DataFrame, seq: str | None = None) -> DataFrame:
+def routes_sorted(changes: DataFrame, seq: str | None = None,
+                  width: int = BUCKET_SECONDS) -> DataFrame:
     """Collect ``(order, page)`` structs, sort the array, join the pages."""
-    return (
-        changes.groupBy(*KEY)
-        .agg(F.array_sort(F.collect_list(_entry(seq))).alias("_xs"))
-        .select(USER, SESSION, join_route(F.transform("_xs", lambda x: x[_PAGE])).alias(ROUTE))
-    )
+    return stitch(_uncut(
+        with_bucket(changes, width).groupBy(*BUCKET_KEY)
+        .agg(F.array_sort(F.collect_list(event_entry(seq))).alias(_XS))
+        .select(*BUCKET_KEY, kept_pages(F.col(_XS), None).alias(PAGES))))
 
 
-def routes_listagg(changes: DataFrame, seq: str | None = None) -> DataFrame:
-    """Join the pages with an ordered string aggregate: ``listagg ... WITHIN GROUP``.
-
-    Same result as ``routes_sorted`` without building arrays of structs; the
-    aggregate orders each session's pages by ``(timestamp, seq)`` itself.
-    """
+def routes_listagg(changes: DataFrame, seq: str | None = None,
+                   width: int = BUCKET_SECONDS) -> DataFrame:
+    """Join the pages with an ordered string aggregate: ``listagg ... WITHIN GROUP``."""
     order = ", ".join(f"`{c}`" for c in order_columns(seq))
     route = F.expr(f"listagg(`{PAGE}`, '{SEPARATOR}') WITHIN GROUP (ORDER BY {order})")
-    return changes.groupBy(*KEY).agg(route.alias(ROUTE))
+    return _joined(
+        with_bucket(changes, width).groupBy(*BUCKET_KEY).agg(route.alias(ROUTE)))
 
 
-def routes_fold(events: DataFrame, seq: str | None = None) -> DataFrame:
-    """Cut, collapse and join per session with array functions only (U1, native form).
+def routes_fold(events: DataFrame, seq: str | None = None,
+                width: int = BUCKET_SECONDS) -> DataFrame:
+    """Cut, collapse and join per bucket with array functions only (U1, native form).
 
-    One aggregate per session computes the first error time, the first event
-    time and the event structs; sessions whose first event is already cut
-    produce no row (F7, a scalar test). Then: sort the structs, keep those
-    before the error time (a prefix), drop repeated pages, join.
+    One aggregate per bucket gives the first error time and the set of events;
+    sets are combined before the shuffle, so copies of an event cost nothing.
     """
-    et, t0 = "_et", "_t0"
-    per_session = (
-        events.groupBy(*KEY)
-        .agg(
-            F.min(F.when(is_error(), F.col(TS))).alias(et),
-            F.min(TS).alias(t0),
-            F.collect_list(_entry(seq)).alias("_xs"),
-        )
-        .filter(F.col(et).isNull() | (F.col(t0) < F.col(et)))
-    )
-    kept = F.filter(F.array_sort("_xs"), lambda x: F.col(et).isNull() | (x[TS] < F.col(et)))
-    pages = per_session.select(USER, SESSION, F.transform(kept, lambda x: x[_PAGE]).alias("_pages"))
-    # ``collapse_repeats`` reads its array twice; as a column of its own the
-    # sorted page array is built once per session.
-    return pages.select(USER, SESSION, join_route(collapse_repeats("_pages")).alias(ROUTE))
+    per_bucket = slim_events(events, seq, width).groupBy(*BUCKET_KEY).agg(
+        error_time().alias(CUT), F.collect_set(event_entry(seq)).alias(_XS))
+    # The page array is a column of its own: ``collapse_repeats`` reads it twice.
+    pages = per_bucket.select(
+        *BUCKET_KEY, CUT, kept_pages(F.array_sort(_XS)).alias(PAGES))
+    return stitch(pages.withColumn(PAGES, collapse_repeats(PAGES)))
 
 
-def routes_window(events: DataFrame, seq: str | None = None) -> DataFrame:
-    """Window-min cut and ``lag`` in one window pass, then ``routes_listagg``.
+def routes_window(events: DataFrame, seq: str | None = None,
+                  width: int = BUCKET_SECONDS) -> DataFrame:
+    """Window-min cut and ``lag`` in one window pass per bucket, then the page changes.
 
-    The cut keeps a prefix of each session, so ``lag`` over the uncut rows
-    equals ``lag`` over the kept rows: both functions share one sort, and one
-    filter applies the cut (R4) and the collapse (R6) together.
+    The cut keeps a prefix, so ``lag`` over the uncut rows equals ``lag`` over
+    the kept rows: both functions share one sort.
     """
-    ordered = Window.partitionBy(*KEY).orderBy(*order_columns(seq))
+    ordered = Window.partitionBy(*BUCKET_KEY).orderBy(*order_columns(seq))
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    et, prev = "_et", "_prev"
-    marked = events.select(
-        *dict.fromkeys([USER, SESSION, *order_columns(seq), PAGE]),
-        F.min(F.when(is_error(), F.col(TS))).over(whole).alias(et),
-        F.lag(PAGE).over(ordered).alias(prev),
-    )
-    changes = marked.filter(
-        (F.col(et).isNull() | (F.col(TS) < F.col(et)))
+    prev = "__trail_prev"
+    marked = distinct_events(slim_events(events, seq, width)).withColumns({
+        CUT: error_time().over(whole), prev: F.lag(PAGE).over(ordered)})
+    change = (
+        (F.col(CUT).isNull() | (F.col(TS) < F.col(CUT)))
         & (F.col(prev).isNull() | (F.col(PAGE) != F.col(prev)))
     )
-    return routes_listagg(changes, seq)
+    return stitch(
+        marked.groupBy(*BUCKET_KEY)
+        .agg(F.min(CUT).alias(CUT),
+             F.array_sort(F.collect_list(F.when(change, event_entry(seq)))).alias(_XS))
+        .select(*BUCKET_KEY, CUT, kept_pages(F.col(_XS), None).alias(PAGES)))
+

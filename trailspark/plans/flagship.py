@@ -3,21 +3,19 @@
 Forms (all give the same table; see tests/test_cross_forms.py):
 
 =========== ===================================================================
-``window``  window-min cut + ``lag`` in one window pass over one sort, then
-            an ordered ``listagg`` of the page changes only (default)
-``fold``    one aggregate per session collecting every event, then array
-            functions only
+``fold``    one aggregate per time bucket collecting the set of events, then
+            array functions only (default)
+``window``  window-min cut + ``lag`` in one window pass over one sort
 ``windows`` the reference's DataFrame shape: running error sum (RANGE frame),
-            ``lag``, running ``collect_list``, ``max`` of the lists; sessions
-            above 1,000 rows take the split path (running lists are quadratic)
+            ``lag``, running ``collect_list``, ``max`` of the lists
 ``join``    first-error aggregate, left outer join, ``lag``, collect + sort
-``broadcast`` as ``join`` with a size-checked broadcast of the error table
-``pandas``  cluster + sort by session, vectorized ``mapInPandas`` fold
+``broadcast`` as ``join``; AQE broadcasts the error table by measured size
+``pandas``  cluster + sort by bucket, vectorized ``mapInPandas`` fold
 =========== ===================================================================
 
-Every form runs on the normal sessions only; sessions above ``hot_rows``
-events go through the range-split path of ``operators.skew`` and are unioned
-back. ``hot_rows=None`` turns the split off (used to cross-check the forms).
+Every form filters the input by one rule (``valid_events``), works per time
+bucket and stitches a session's fragments. ``width`` (seconds) is the bucket
+width; it changes no result.
 """
 
 from __future__ import annotations
@@ -27,49 +25,62 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import is_error
+from ..operators.buckets import (
+    BUCKET_KEY,
+    CUT,
+    ERR,
+    PAGES,
+    distinct_events,
+    error_time,
+    slim_events,
+    stitch,
+    valid_events,
+)
 from ..operators.collapse import page_changes
 from ..operators.counts import DEFAULT_N, route_counts, top_n
 from ..operators.cut import cut_broadcast, cut_join
 from ..operators.pandas_fold import routes_pandas
-from ..operators.paths import routes_fold, routes_max_array, routes_sorted, routes_window
-from ..operators.skew import routes_of_split, split_sessions
-from ..schema import DEFAULT_HOT_ROWS, KEY, PAGE, PREV_PAGE, TS, order_columns
+from ..operators.paths import routes_fold, routes_sorted, routes_window
+from ..schema import BUCKET_SECONDS, PAGE, TS, order_columns
 
-RouteForm = Callable[[DataFrame, "str | None"], DataFrame]
+RouteForm = Callable[[DataFrame, "str | None", int], DataFrame]
 
 
-def _windows(events: DataFrame, seq: str | None) -> DataFrame:
-    """The reference's three windows (running error sum, ``lag``, running list).
+def _windows(events: DataFrame, seq: str | None, width: int) -> DataFrame:
+    """The reference's three windows (running error sum, ``lag``, running list) per bucket.
 
     ``lag`` (ordered by the full order) is computed before the RANGE error
-    sum (ordered by time only), so one sort serves both; both flags are
-    columns until a single filter, which is exact because the cut keeps a
-    prefix of each session. The running list then reuses the same order.
+    sum (ordered by time only), so one sort serves both; the running list then
+    reuses the same order. The lists are quadratic in a bucket's page changes.
     """
-    ordered = Window.partitionBy(*KEY).orderBy(*order_columns(seq))
+    ordered = Window.partitionBy(*BUCKET_KEY).orderBy(*order_columns(seq))
     by_time = (
-        Window.partitionBy(*KEY)
+        Window.partitionBy(*BUCKET_KEY)
         .orderBy(TS)
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    prev, errors = "__trail_prev", "__trail_errors"
     marked = (
-        events.withColumn(PREV_PAGE, F.lag(PAGE).over(ordered))
-        .withColumn("_errors_so_far", F.sum(F.when(is_error(), 1).otherwise(0)).over(by_time))
+        distinct_events(slim_events(events, seq, width))
+        .withColumn(prev, F.lag(PAGE).over(ordered))
+        .withColumn(errors, F.sum(F.when(F.col(ERR), 1).otherwise(0)).over(by_time))
     )
-    changes = marked.filter(
-        (F.col("_errors_so_far") == 0)
-        & (F.col(PREV_PAGE).isNull() | (F.col(PAGE) != F.col(PREV_PAGE)))
-    )
-    return routes_max_array(changes, seq)
+    change = (F.col(errors) == 0) & (F.col(prev).isNull() | (F.col(PAGE) != F.col(prev)))
+    running = F.collect_list(F.when(change, F.col(PAGE))).over(
+        ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return stitch(
+        marked.withColumn(PAGES, running).groupBy(*BUCKET_KEY)
+        .agg(error_time().alias(CUT), F.max(PAGES).alias(PAGES)))
 
 
-def _join(events: DataFrame, seq: str | None) -> DataFrame:
-    return routes_sorted(page_changes(cut_join(events, seq), seq), seq)
+def _join(events: DataFrame, seq: str | None, width: int) -> DataFrame:
+    cut = cut_join(valid_events(events, seq), seq)
+    return routes_sorted(page_changes(cut, seq, width), seq, width)
 
 
-def _broadcast(events: DataFrame, seq: str | None) -> DataFrame:
-    return routes_sorted(page_changes(cut_broadcast(events, seq), seq), seq)
+def _broadcast(events: DataFrame, seq: str | None, width: int) -> DataFrame:
+    cut = cut_broadcast(valid_events(events, seq), seq)
+    return routes_sorted(page_changes(cut, seq, width), seq, width)
 
 
 FORMS: dict[str, RouteForm] = {
@@ -81,33 +92,22 @@ FORMS: dict[str, RouteForm] = {
     "pandas": routes_pandas,
 }
 
-DEFAULT_FORM = "window"
-
-# Forms whose per-session cost is quadratic (running lists of the ``windows``
-# shape) send long sessions to the range-split path much earlier.
-FORM_MAX_ROWS = {"windows": 1_000}
+DEFAULT_FORM = "fold"
 
 
 def session_routes(events: DataFrame, form: str = DEFAULT_FORM, seq: str | None = None,
-                   hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                   width: int = BUCKET_SECONDS) -> DataFrame:
     """``user_id, session_id, route`` for every session with a surviving event."""
-    build = FORMS[form]
-    if hot_rows is None:
-        return build(events, seq)
-    split = split_sessions(events, min(hot_rows, FORM_MAX_ROWS.get(form, hot_rows)))
-    routes = build(split.normal, seq)
-    if split.hot is None:
-        return routes
-    return routes.unionByName(routes_of_split(split, seq))
+    return FORMS[form](events, seq, width)
 
 
 def all_route_counts(events: DataFrame, form: str = DEFAULT_FORM, seq: str | None = None,
-                     hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                     width: int = BUCKET_SECONDS) -> DataFrame:
     """The full ``route, count`` table."""
-    return route_counts(session_routes(events, form, seq, hot_rows))
+    return route_counts(session_routes(events, form, seq, width))
 
 
 def top_routes(events: DataFrame, n: int = DEFAULT_N, form: str = DEFAULT_FORM,
-               seq: str | None = None, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+               seq: str | None = None, width: int = BUCKET_SECONDS) -> DataFrame:
     """The ``n`` most frequent session routes (flagship)."""
-    return top_n(all_route_counts(events, form, seq, hot_rows), n)
+    return top_n(all_route_counts(events, form, seq, width), n)

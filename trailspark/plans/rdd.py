@@ -1,9 +1,9 @@
 """RDD facade of the route query (Q7): key by session, fold each session in Python, count.
 
-Kept for API parity with code written against the RDD interface. Only the
-normal sessions (at most ``hot_rows`` events each, see ``operators.skew``) are
-folded per key; hot sessions come from the range-split DataFrame path. The
-result is the top ``n`` list, ordered by count then route.
+Kept for API parity with code written against the RDD interface. The cut and
+the collapse run on the DataFrame side first, so only page changes reach
+Python and a session's list is as long as its route. The result is the top
+``n`` list, ordered by count then route.
 """
 
 from __future__ import annotations
@@ -13,17 +13,18 @@ from operator import add
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_error
+from ..operators.buckets import valid_events
+from ..operators.collapse import page_changes
 from ..operators.counts import DEFAULT_N
-from ..operators.skew import routes_of_split, split_sessions
+from ..operators.cut import cut_join
 from ..schema import (
-    DEFAULT_HOT_ROWS,
+    BUCKET_SECONDS,
     PAGE,
-    ROUTE,
     ROUTE_COUNTS_SCHEMA,
     SEPARATOR,
     SESSION,
     TS,
+    TYPE,
     USER,
     order_columns,
 )
@@ -52,12 +53,15 @@ def _extend(a: list, b: list) -> list:
     return a
 
 
-def route_pairs_rdd(events: DataFrame, seq: str | None = None):
-    """``(route, 1)`` pairs of the given sessions via ``aggregateByKey`` + Python fold."""
+def route_pairs_rdd(events: DataFrame, seq: str | None = None, width: int = BUCKET_SECONDS):
+    """``(route, 1)`` pairs via ``aggregateByKey`` + Python fold of page changes."""
+    cols = dict.fromkeys([USER, SESSION, TYPE, *order_columns(seq), PAGE])
+    cut = cut_join(valid_events(events, seq).select(*cols), seq)
+    changes = page_changes(cut, seq, width)
     tie = order_columns(seq)[1]
-    rows = events.select(USER, SESSION, TS, F.col(tie).alias("_tie"), PAGE, is_error().alias("_err"))
     return (
-        rows.rdd.map(lambda r: ((r[0], r[1]), (r[2], r[3], r[4], r[5])))
+        changes.select(USER, SESSION, TS, F.col(tie), PAGE)
+        .rdd.map(lambda r: ((r[0], r[1]), (r[2], r[3], r[4], False)))
         .aggregateByKey([], _append, _extend)
         .mapValues(fold_session)
         .filter(lambda kv: kv[1] != "")
@@ -66,29 +70,22 @@ def route_pairs_rdd(events: DataFrame, seq: str | None = None):
 
 
 def top_routes_rdd(events: DataFrame, n: int = DEFAULT_N, seq: str | None = None,
-                   hot_rows: int | None = DEFAULT_HOT_ROWS) -> list[tuple[str, int]]:
+                   width: int = BUCKET_SECONDS) -> list[tuple[str, int]]:
     """Top ``n`` ``(route, count)`` pairs; ``reduceByKey`` combines map-side."""
-    if hot_rows is None:
-        pairs = route_pairs_rdd(events, seq)
-    else:
-        split = split_sessions(events, hot_rows)
-        pairs = route_pairs_rdd(split.normal, seq)
-        if split.hot is not None:
-            hot = routes_of_split(split, seq)
-            pairs = pairs.union(hot.rdd.map(lambda r: (r[ROUTE], 1)))
+    pairs = route_pairs_rdd(events, seq, width)
     return pairs.reduceByKey(add).takeOrdered(n, key=lambda kv: (-kv[1], kv[0]))
 
 
 def top_routes_rdd_df(events: DataFrame, n: int = DEFAULT_N, seq: str | None = None,
-                      hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                      width: int = BUCKET_SECONDS) -> DataFrame:
     """``top_routes_rdd`` as a DataFrame (``n`` rows at most)."""
-    top = top_routes_rdd(events, n, seq, hot_rows)
+    top = top_routes_rdd(events, n, seq, width)
     return events.sparkSession.createDataFrame(top, ROUTE_COUNTS_SCHEMA)
 
 
 def top_routes_rdd_path(spark, path: str | list[str], n: int = DEFAULT_N, seq: str | None = None,
-                        hot_rows: int | None = DEFAULT_HOT_ROWS) -> list[tuple[str, int]]:
+                        width: int = BUCKET_SECONDS) -> list[tuple[str, int]]:
     """The whole RDD pipeline from delimited files (Q7): text scan, parse, fold, count."""
     from ..sources.tsv import read_lines
 
-    return top_routes_rdd(read_lines(spark, path, seq), n, seq, hot_rows)
+    return top_routes_rdd(read_lines(spark, path, seq), n, seq, width)

@@ -1,97 +1,81 @@
 """The route query as one Spark SQL statement over a registered events view (Q4).
 
-One scan, one shuffle by session, one sort: the first-error time is a
-whole-session window minimum next to ``LAG`` in the same window pass.
-
-The statement is the bulk path; hot sessions (see ``operators.skew``) are kept
-out of it with a broadcast anti-join and their routes come in through a
-``UNION ALL`` from a view the library computes. ``n`` is a bound parameter.
+The same plan as the ``fold`` form: one scan, one aggregate per time bucket,
+one per session to stitch the buckets. ``n`` and ``width`` are bound
+parameters.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.exprs import LONG_PATTERN
 from ..operators.counts import DEFAULT_N
-from ..operators.skew import routes_of_split, split_sessions
-from ..schema import DEFAULT_HOT_ROWS, PAGE, order_columns
-from ..sources.tsv import cast_events
-
+from ..schema import BUCKET_SECONDS, order_columns
 
-BROADCAST_HINT = "/*+ BROADCAST(h) */"
 
-
-def _typed_cte(view: str, tie: str, cast: bool) -> str:
+def _long(column: str, cast: bool) -> str:
     if not cast:
-        # Already typed by a validating reader: pass the columns through.
-        return f"""SELECT user_id, session_id, timestamp, {tie} AS tie, event_page, event_type
-    FROM {view}"""
-    tie_cast = f"TRY_CAST({tie} AS BIGINT)" if tie != PAGE else "NULLIF(event_page, '')"
-    return f"""-- TRY_CAST types a string view as the readers do; rows with an
-    -- unparsable or missing key, time or page are left out below.
-    SELECT TRY_CAST(user_id AS BIGINT) AS user_id,
-           TRY_CAST(session_id AS BIGINT) AS session_id,
-           TRY_CAST(timestamp AS BIGINT) AS timestamp,
-           {tie_cast} AS tie,
-           NULLIF(event_page, '') AS event_page,
-           event_type
-    FROM {view}"""
+        return column
+    return f"CASE WHEN {column} RLIKE '{LONG_PATTERN}' THEN TRY_CAST({column} AS BIGINT) END"
 
 
-def top_routes_sql_text(view: str, seq: str | None = None, split: bool = True,
-                        cast: bool = True) -> str:
-    """SQL text; ``{hot}`` and ``{hot_routes}`` are filled with DataFrames when ``split``.
+def _collapsed(pages: str) -> str:
+    return (
+        f"array_compact(zip_with({pages}, concat(array(CAST(NULL AS STRING)), {pages}), "
+        "(cur, prev) -> CASE WHEN prev IS NULL OR cur <> prev THEN cur END))"
+    )
 
-    ``cast`` types string columns inside the statement (for a raw view).
-    """
+
+def top_routes_sql_text(view: str, seq: str | None = None, cast: bool = True) -> str:
+    """The statement. ``cast`` types string columns inside it (for a raw view), by the
+    readers' rule; rows with a missing or unparsable key, time, tie-break or page are
+    left out either way."""
     tie = order_columns(seq)[1]
-    valid = (
-        """
-    WHERE c.user_id IS NOT NULL AND c.session_id IS NOT NULL AND c.timestamp IS NOT NULL
-      AND c.event_page IS NOT NULL AND c.tie IS NOT NULL""" if cast else ""
-    )
-    hot_filter = (
-        "LEFT ANTI JOIN {hot} h ON c.user_id = h.user_id AND c.session_id = h.session_id"
-        if split else ""
-    )
-    hint = BROADCAST_HINT if split else ""
-    hot_union = (
-        "UNION ALL SELECT user_id, session_id, route FROM {hot_routes}" if split else ""
-    )
+    tie_value = _long(tie, cast) if seq else tie
     return f"""
 WITH typed AS (
-    {_typed_cte(view, tie, cast)}
+    SELECT {_long("user_id", cast)} AS user_id, {_long("session_id", cast)} AS session_id,
+           {_long("timestamp", cast)} AS timestamp, {tie_value} AS tie, event_page,
+           coalesce(lower(event_type) LIKE '%error%', false) AS is_error
+    FROM {view}
 ),
 base AS (
-    SELECT {hint}
-           c.user_id, c.session_id, c.timestamp, c.tie, c.event_page,
-           coalesce(lower(c.event_type) LIKE '%error%', false) AS is_error
-    FROM typed c
-    {hot_filter}{valid}
+    SELECT *, timestamp - pmod(timestamp, :width) AS bucket
+    FROM typed
+    WHERE user_id IS NOT NULL AND session_id IS NOT NULL AND timestamp IS NOT NULL
+      AND tie IS NOT NULL AND event_page <> ''
 ),
-marked AS (
-    -- The cut keeps a prefix of each session, so LAG over the uncut rows
-    -- equals LAG over the kept ones: both windows share one sort.
-    SELECT user_id, session_id, timestamp, tie, event_page,
-           MIN(CASE WHEN is_error THEN timestamp END) OVER whole AS error_timestamp,
-           LAG(event_page) OVER ordered AS prev
+buckets AS (
+    -- a set: copies of an event are combined before the shuffle
+    SELECT user_id, session_id, bucket,
+           MIN(CASE WHEN is_error THEN timestamp END) AS cut,
+           array_sort(collect_set(struct(timestamp, tie, event_page))) AS events
     FROM base
-    WINDOW ordered AS (PARTITION BY user_id, session_id ORDER BY timestamp, tie, event_page),
-           whole AS (PARTITION BY user_id, session_id ORDER BY timestamp, tie, event_page
-                     ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+    GROUP BY user_id, session_id, bucket
 ),
-changes AS (
-    SELECT user_id, session_id, timestamp, tie, event_page
-    FROM marked
-    WHERE (error_timestamp IS NULL OR timestamp < error_timestamp)
-      AND (prev IS NULL OR event_page <> prev)
+kept AS (
+    SELECT user_id, session_id, bucket, cut,
+           transform(filter(events, e -> cut IS NULL OR e.timestamp < cut),
+                     e -> e.event_page) AS pages
+    FROM buckets
 ),
-routes AS (
-    SELECT user_id, session_id,
-           listagg(event_page, '-') WITHIN GROUP (ORDER BY timestamp, tie, event_page) AS route
-    FROM changes
+fragments AS (
+    SELECT user_id, session_id, bucket, cut, {_collapsed("pages")} AS pages FROM kept
+),
+sessions AS (
+    SELECT user_id, session_id, MIN(CASE WHEN cut IS NOT NULL THEN bucket END) AS stop,
+           array_sort(collect_list(struct(bucket, pages))) AS parts
+    FROM fragments
     GROUP BY user_id, session_id
-    {hot_union}
+),
+stitched AS (
+    SELECT flatten(transform(filter(parts, p -> stop IS NULL OR p.bucket <= stop),
+                             p -> p.pages)) AS pages
+    FROM sessions
+),
+routes AS (
+    SELECT array_join({_collapsed("pages")}, '-') AS route FROM stitched WHERE size(pages) > 0
 )
 SELECT route, COUNT(*) AS count
 FROM routes
@@ -102,19 +86,8 @@ LIMIT :n
 
 
 def top_routes_sql(spark: SparkSession, view: str = "clickstream", n: int = DEFAULT_N,
-                   seq: str | None = None, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                   seq: str | None = None, width: int = BUCKET_SECONDS) -> DataFrame:
     """Run the statement over ``view``: a typed events view (``register_events_view``)
     or one with string columns, as a header-only CSV read gives."""
-    view_df = spark.table(view)
-    cast = dict(view_df.dtypes).get("timestamp") == "string"
-    # The split runs on typed rows, so it also works over a string view.
-    events = cast_events(view_df, seq) if cast else view_df
-    split = None if hot_rows is None else split_sessions(events, hot_rows)
-    text = top_routes_sql_text(view, seq, split=split is not None and split.hot is not None,
-                               cast=cast)
-    if split is None or split.hot is None:
-        return spark.sql(text, args={"n": n})
-    if not split.small:
-        text = text.replace(BROADCAST_HINT, "")
-    return spark.sql(text, args={"n": n}, hot=split.keys,
-                     hot_routes=routes_of_split(split, seq))
+    cast = dict(spark.table(view).dtypes).get("timestamp") == "string"
+    return spark.sql(top_routes_sql_text(view, seq, cast), args={"n": n, "width": width})

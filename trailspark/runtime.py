@@ -6,8 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -60,17 +59,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base.rstrip("/"), "scratch", f"{name}-{uuid.uuid4().hex}")
 
 
-def write_once(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
-    """Reliable checkpoint of ``df`` into the shared checkpoint folder, computed once.
-
-    An eager reliable checkpoint counts its plan and then writes it, running
-    the plan twice unless it is cached; ``df`` is cached at ``level`` for the
-    write only. The result reads the written files: it survives lost
-    executors and has no lineage back to the scan.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(level)
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a written intermediate table, on whatever file system it is."""
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)

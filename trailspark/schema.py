@@ -29,10 +29,9 @@ PREV_PAGE = "prev_event_page"
 # Route separator.
 SEPARATOR = "-"
 
-# Sessions above this many rows are treated as hot and split by range over
-# their event order (see operators.skew). The bound also caps the size of the
-# per-session arrays the normal path builds.
-DEFAULT_HOT_ROWS = 100_000
+# Width of the time buckets a session is computed in (see operators.buckets).
+# It bounds what one task holds of a session and changes no result.
+BUCKET_SECONDS = 3600
 
 EVENT_FIELDS = (USER, SESSION, TYPE, PAGE, TS)
 

@@ -14,6 +14,8 @@ from .operators.counts import DEFAULT_N, top_n
 from .schema import COUNT, ROUTE
 
 JSON = "json"
+# Sinks never replace a folder unless the caller says so.
+FAIL = "errorifexists"
 
 
 def routes_json(counts: DataFrame, n: int = DEFAULT_N) -> DataFrame:
@@ -29,17 +31,18 @@ def routes_json(counts: DataFrame, n: int = DEFAULT_N) -> DataFrame:
     return top.agg(F.to_json(F.map_from_entries(pairs)).alias(JSON))
 
 
-def write_json(counts: DataFrame, path: str, n: int | None = DEFAULT_N) -> str:
+def write_json(counts: DataFrame, path: str, n: int | None = DEFAULT_N,
+               mode: str = FAIL) -> str:
     """With ``n``: one ``{"route": count, ...}`` object (top ``n``). Without:
     the whole table as JSON lines, written in parallel in descending order."""
     if n is None:
-        counts.orderBy(F.desc(COUNT), F.asc(ROUTE)).write.mode("overwrite").json(path)
+        counts.orderBy(F.desc(COUNT), F.asc(ROUTE)).write.mode(mode).json(path)
     else:
-        routes_json(counts, n).write.mode("overwrite").text(path)
+        routes_json(counts, n).write.mode(mode).text(path)
     return path
 
 
-def write_tsv(counts: DataFrame, path: str, n: int | None = None) -> str:
+def write_tsv(counts: DataFrame, path: str, n: int | None = None, mode: str = FAIL) -> str:
     """``route<TAB>count`` lines in descending count.
 
     With ``n`` the top-n goes to one file; without, the whole table is written
@@ -49,7 +52,7 @@ def write_tsv(counts: DataFrame, path: str, n: int | None = None) -> str:
         out = top_n(counts, n).coalesce(1).sortWithinPartitions(F.desc(COUNT), F.asc(ROUTE))
     else:
         out = counts.orderBy(F.desc(COUNT), F.asc(ROUTE))
-    out.select(ROUTE, COUNT).write.mode("overwrite").option("sep", "\t").csv(path)
+    out.select(ROUTE, COUNT).write.mode(mode).option("sep", "\t").csv(path)
     return path
 
 

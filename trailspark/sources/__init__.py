@@ -1,6 +1,5 @@
-"""Sources: delimited/text readers, SQL view, RDD facade, test-table adapter."""
+"""Sources: delimited/text readers, SQL view, string-frame typing, RDD facade."""
 
-from .testdata import adapter_sql, events_from_table, load_events, table_path
 from .tsv import (
     cast_events,
     cast_events_with_rejects,
@@ -18,10 +17,7 @@ from .tsv import (
 __all__ = [
     "cast_events",
     "cast_events_with_rejects",
-    "adapter_sql",
-    "events_from_table",
     "header_line",
-    "load_events",
     "load_lines_rdd",
     "parse_lines",
     "parse_lines_with_rejects",
@@ -29,6 +25,5 @@ __all__ = [
     "read_events_with_rejects",
     "read_lines",
     "register_events_view",
-    "table_path",
     "write_events_tsv",
 ]

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import EVENT_FIELDS, PAGE, SESSION, TS, TYPE, USER, event_columns, events_schema
+from ..functions.exprs import LONG_PATTERN, parse_long
+from ..schema import EVENT_FIELDS, PAGE, SESSION, TS, USER, event_columns
 
 CORRUPT = "_corrupt_record"
 LINE = "value"
@@ -23,51 +24,68 @@ def header_line(seq: str | None = None) -> str:
     return DELIMITER.join(event_columns(seq))
 
 
-def _required(seq: str | None) -> list[str]:
-    return [USER, SESSION, PAGE, TS] + ([seq] if seq else [])
+def _longs(seq: str | None) -> list[str]:
+    return [USER, SESSION, TS] + ([seq] if seq else [])
 
 
-def _clean_condition(seq: str | None) -> Column:
-    cond = F.lit(True)
-    for c in _required(seq):
-        cond = cond & F.col(c).isNotNull()
-    return cond & (F.col(PAGE) != F.lit(""))
+def _check_columns(names: list[str], seq: str | None, where: object) -> None:
+    if missing := [c for c in event_columns(seq) if c not in names]:
+        raise ValueError(f"columns {missing} are missing in {where}, which has {names}")
 
 
-def _typed_reader(spark: SparkSession, seq: str | None, quote: str | None):
-    schema = events_schema(seq).add(T.StructField(CORRUPT, T.StringType()))
+def _typed_columns(df: DataFrame, seq: str | None) -> dict[str, Column]:
+    """The event columns of ``df`` by name, numbers in text by the one rule of ``parse_long``."""
+    kinds = dict(df.dtypes)
+    typed = {c: F.col(f"`{c}`") for c in event_columns(seq)}
+    for c in _longs(seq):
+        typed[c] = parse_long(typed[c]) if kinds[c] == "string" else typed[c].try_cast("bigint")
+    typed[PAGE] = F.nullif(typed[PAGE], F.lit(""))
+    return typed
+
+
+def _split_clean(df: DataFrame, seq: str | None, also: Column) -> tuple[DataFrame, DataFrame]:
+    """``(clean, rejects)``: typed rows with every required value, and the other rows as read."""
+    typed = _typed_columns(df, seq)
+    ok = also
+    for c in [*_longs(seq), PAGE]:
+        ok = ok & typed[c].isNotNull()
+    clean = df.filter(ok).select(*[v.alias(k) for k, v in typed.items()])
+    return clean, df.filter(~F.coalesce(ok, F.lit(False)))
+
+
+def _reader(spark: SparkSession, quote: str | None):
     reader = (
-        spark.read.schema(schema)
-        .option("header", "true")
-        .option("sep", DELIMITER)
-        .option("encoding", "UTF-8")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        # Judge every line on all fields, whatever the query selects; with
-        # pruning on, count() and collect() disagree on which lines are bad.
-        .option("columnPruning", "false")
+        spark.read.option("header", "true").option("sep", DELIMITER).option("encoding", "UTF-8")
     )
-    if quote is not None:
-        reader = reader.option("quote", quote)
-    return reader
+    return reader if quote is None else reader.option("quote", quote)
 
 
 def read_events_with_rejects(spark: SparkSession, path: str | list[str], seq: str | None = None,
                              quote: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Typed delimited scan (S1). Returns ``(clean, rejects)``.
 
+    Columns are found by their header name, in any order and among others; a
+    missing one raises. All files must have the same header (Spark checks it).
     Input should be uncompressed or in a splittable codec: a gzip file is
     read by one task however large it is.
 
-    Wrong field counts and unparsable numbers land in ``_corrupt_record``
-    (Spark's CSV reader flags both under an explicit schema); null or empty
-    ids, timestamps and pages are rejected too.
+    Wrong field counts land in ``_corrupt_record``; numbers that do not parse
+    and null or empty ids, timestamps and pages are rejected too.
     """
-    raw = _typed_reader(spark, seq, quote).csv(path)
-    ok = F.col(CORRUPT).isNull() & _clean_condition(seq)
-    clean = raw.filter(ok).select(*event_columns(seq))
-    rejects = raw.filter(~F.coalesce(ok, F.lit(False)))
-    return clean, rejects
+    names = _reader(spark, quote).csv(path).columns
+    _check_columns(names, seq, path)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
+    raw = (
+        _reader(spark, quote).schema(schema)
+        .option("enforceSchema", "false")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        # Judge every line on all fields, whatever the query selects; with
+        # pruning on, count() and collect() disagree on which lines are bad.
+        .option("columnPruning", "false")
+        .csv(path)
+    )
+    return _split_clean(raw, seq, F.col(CORRUPT).isNull())
 
 
 def read_events(spark: SparkSession, path: str | list[str], seq: str | None = None,
@@ -76,16 +94,13 @@ def read_events(spark: SparkSession, path: str | list[str], seq: str | None = No
 
 
 def cast_events_with_rejects(df: DataFrame, seq: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Type a string-typed events frame (PJ1a): ``try_cast`` ids and times to long.
+    """Type a string-typed events frame (PJ1a) by the readers' rules.
 
-    Returns ``(clean, rejects)`` by the same rules as the readers; a value that
-    does not parse becomes null and rejects its row instead of failing the job.
+    Returns ``(clean, rejects)``; a value that does not parse rejects its row
+    instead of failing the job.
     """
-    longs = [USER, SESSION, TS] + ([seq] if seq else [])
-    typed = df.withColumns({c: F.col(c).try_cast("bigint") for c in longs})
-    typed = typed.withColumn(PAGE, F.nullif(F.col(PAGE), F.lit("")))
-    ok = _clean_condition(seq)
-    return typed.filter(ok).select(*event_columns(seq)), typed.filter(~F.coalesce(ok, F.lit(False)))
+    _check_columns(df.columns, seq, "the frame")
+    return _split_clean(df, seq, F.lit(True))
 
 
 def cast_events(df: DataFrame, seq: str | None = None) -> DataFrame:
@@ -93,30 +108,27 @@ def cast_events(df: DataFrame, seq: str | None = None) -> DataFrame:
 
 
 def register_events_view(spark: SparkSession, path: str | list[str], view_name: str = "clickstream",
-                         seq: str | None = None) -> DataFrame:
+                         seq: str | None = None, quote: str | None = None) -> DataFrame:
     """Typed scan registered as a temp view for SQL."""
-    df = read_events(spark, path, seq)
+    df = read_events(spark, path, seq, quote)
     df.createOrReplaceTempView(view_name)
     return df
 
 
-# Field kinds of a line, in column order: "l" a long, "s" a non-empty
-# string, "t" any text (empty means null).
-_KINDS = ("l", "l", "t", "s", "l")
-
-
-def _line_ok(parts: Column, seq: str | None) -> Column:
+def _line_ok(parts: Column, names: list[str], seq: str | None) -> Column:
     """One expression over the split line: right arity and every field valid.
 
+    Kinds of fields: "l" a long, "s" a non-empty string, "t" any text.
     ``zip_with`` pads the shorter array with nulls, so a missing field fails
     its check and an extra field meets a null kind; the line array is
     referenced once, so a pushed-down filter splits each line once.
     """
-    kinds = F.array(*[F.lit(k) for k in _KINDS + (("l",) if seq else ())])
+    kind = {PAGE: "s"} | dict.fromkeys(_longs(seq), "l")
+    kinds = F.array(*[F.lit(kind.get(c, "t")) for c in names])
 
     def valid(x: Column, k: Column) -> Column:
         check = (
-            F.when(k == "l", x.try_cast("bigint").isNotNull())
+            F.when(k == "l", x.rlike(LONG_PATTERN) & x.try_cast("bigint").isNotNull())
             .when(k == "s", x != F.lit(""))
             .when(k == "t", x.isNotNull())
         )
@@ -125,34 +137,30 @@ def _line_ok(parts: Column, seq: str | None) -> Column:
     return F.forall(F.zip_with(parts, kinds, valid), lambda ok: ok)
 
 
-def parse_lines_with_rejects(lines: DataFrame, seq: str | None = None,
-                             line_col: str = LINE) -> tuple[DataFrame, DataFrame]:
-    """Parse raw lines with column expressions (S4): split, arity check, ``try_cast``.
+def parse_lines_with_rejects(lines: DataFrame, seq: str | None = None, line_col: str = LINE,
+                             header: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Parse raw lines with column expressions (S4): split, arity check, typing.
 
-    Header lines (the exact column-name line) are dropped. Returns
-    ``(clean, rejects)``; rejects keep the raw line.
+    ``header`` names the fields in their order (default: the canonical one);
+    lines equal to it are dropped. Returns ``(clean, rejects)``; rejects keep
+    the raw line.
     """
+    header = header_line(seq) if header is None else header
+    names = header.split(DELIMITER)
+    _check_columns(names, seq, "the header line")
     line = F.col(line_col)
-    body = lines.filter(line != F.lit(header_line(seq)))
-    ok = _line_ok(F.split(line, DELIMITER, -1), seq)
+    body = lines.filter(line != F.lit(header))
+    ok = _line_ok(F.split(line, DELIMITER, -1), names, seq)
     parts = F.col("_parts")
 
-    def field(i: int) -> Column:
-        return F.nullif(F.get(parts, i), F.lit(""))
-
-    typed = {
-        USER: field(0).try_cast("bigint"),
-        SESSION: field(1).try_cast("bigint"),
-        TYPE: field(2),
-        PAGE: field(3),
-        TS: field(4).try_cast("bigint"),
-    }
-    if seq:
-        typed[seq] = field(5).try_cast("bigint")
+    def field(c: str) -> Column:
+        x = F.nullif(F.get(parts, names.index(c)), F.lit(""))
+        return parse_long(x) if c in _longs(seq) else x
+
     clean = (
         body.filter(ok)
         .select(F.split(line, DELIMITER, -1).alias("_parts"))
-        .select(*[v.alias(k) for k, v in typed.items()])
+        .select(*[field(c).alias(c) for c in event_columns(seq)])
     )
     rejects = body.filter(~ok).select(line_col)
     return clean, rejects
@@ -163,28 +171,41 @@ def parse_lines(lines: DataFrame, seq: str | None = None, line_col: str = LINE)
 
 
 def read_lines(spark: SparkSession, path: str | list[str], seq: str | None = None) -> DataFrame:
-    """Text scan parsed by column expressions (S3 + S4)."""
-    return parse_lines(spark.read.text(path), seq)
+    """Text scan parsed by column expressions (S3 + S4).
+
+    The first line is the header, whose names say where the fields are; every
+    line equal to it is dropped.
+    """
+    lines = spark.read.text(path)
+    first = lines.first()
+    return parse_lines_with_rejects(lines, seq, header=first[LINE] if first else None)[0]
 
 
 def load_lines_rdd(sc: SparkContext, path: str) -> RDD:
-    """RDD facade of S3: 5-string tuples, header and wrong-arity lines dropped."""
-    header = header_line()
-    width = len(EVENT_FIELDS)
+    """RDD facade of S3: 5-string tuples in the canonical order.
+
+    The first line is the header; every line equal to it and lines of another
+    arity are dropped. Names the header lacks are taken by position.
+    """
+    lines = sc.textFile(path)
+    header = next(iter(lines.take(1)), header_line())
+    names = header.split(DELIMITER)
+    width = len(names)
+    at = [names.index(c) if c in names else i for i, c in enumerate(EVENT_FIELDS)]
     return (
-        sc.textFile(path)
-        .filter(lambda line: line != header)
+        lines.filter(lambda line: line != header)
         .map(lambda line: line.split(DELIMITER))
         .filter(lambda fields: len(fields) == width)
-        .map(tuple)
+        .map(lambda fields: tuple(fields[i] for i in at))
     )
 
 
-def write_events_tsv(events: DataFrame, path: str, seq: str | None = None) -> str:
+def write_events_tsv(events: DataFrame, path: str, seq: str | None = None,
+                     mode: str = "errorifexists") -> str:
     """Write events as headed tab-separated part files (one header per part)."""
     (
         events.select(*event_columns(seq))
-        .write.mode("overwrite")
+        .write.mode(mode)
         .option("sep", DELIMITER)
         .option("header", "true")
         .csv(path)
