@@ -91,7 +91,7 @@ prefixes AS (SELECT DISTINCT turns[1:k] AS turns
              FROM (SELECT turns, unnest(range(1, len(turns))) AS k FROM c)),
 ends AS (SELECT turns, min(conv_id) AS conv_id, count(*) AS copies FROM c GROUP BY turns)
 SELECT conv_id, CAST(len(turns) AS BIGINT) AS n_turns, copies,
-       array_to_string(list_transform(turns, x -> '{START}' || x.role || chr(10) || x.text
+       array_to_string(list_transform(turns, lambda x: '{START}' || x.role || chr(10) || x.text
          || '{END}' || chr(10)), '') AS chat
 FROM ends WHERE turns NOT IN (SELECT turns FROM prefixes)""",
     }
