@@ -1,0 +1,125 @@
+"""Time buckets: long sessions spread over fragments, copies, validity, reserved names."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import SF, collect_counts, collect_routes
+from entry_tables import dirty_events, load_events, skewed_events
+from pyspark.sql import functions as F
+
+from trailspark import (
+    FORMS,
+    cut_join,
+    cut_partition_min,
+    cut_window,
+    page_changes,
+    route_counts,
+    session_routes,
+    top_routes_rdd,
+    top_routes_sql,
+)
+from trailspark.operators import with_bucket
+from trailspark.operators.buckets import BUCKET_KEY
+from trailspark.schema import BUCKET_SECONDS, events_schema
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    df = skewed_events(load_events(spark, SF["sf0.01"])).cache()
+    yield df
+    df.unpersist()
+
+
+@pytest.fixture(scope="module")
+def reference(skewed):
+    return collect_routes(session_routes(skewed, "fold", "seq", 10**10))
+
+
+def test_the_big_session_spans_many_buckets(skewed):
+    hot = with_bucket(skewed.filter("user_id = 0 AND session_id = 0"), BUCKET_SECONDS)
+    assert hot.select(*BUCKET_KEY).distinct().count() >= 5
+
+
+@pytest.mark.parametrize("form", list(FORMS))
+@pytest.mark.parametrize("width", [60, BUCKET_SECONDS])
+def test_every_form_stitches_the_big_session(skewed, reference, form, width):
+    assert collect_routes(session_routes(skewed, form, "seq", width)) == reference
+    assert len(reference[(0, 0)].split("-")) > 100  # it holds no error: many fragments
+
+
+def test_blocks_on_the_big_session(skewed):
+    expected = sorted(map(tuple, cut_join(skewed, "seq").collect()))
+    for cut in (cut_window, cut_partition_min):
+        for width in (60, 10**10):
+            assert sorted(map(tuple, cut(skewed, "seq", width).collect())) == expected
+    whole = sorted(map(tuple, page_changes(skewed, "seq", 10**10).collect()))
+    assert sorted(map(tuple, page_changes(skewed, "seq", 600).collect())) == whole
+
+
+@pytest.mark.parametrize("batch", [1, 7])
+def test_buckets_straddling_arrow_batches(spark, skewed, reference, batch):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(batch))
+    try:
+        assert collect_routes(session_routes(skewed, "pandas", "seq", 86400)) == reference
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_copies_of_an_event_are_combined_before_the_shuffle(spark):
+    rows = [(1, 1, "page", "A", 5, 1)] * 3000 + [(1, 1, "page", "B", 6, 2), (1, 1, "page", "A", 7, 3)]
+    rows += [(2, 1, "page", "C", 1, 4), (2, 1, "error", "C", 1, 4)]
+    df = spark.createDataFrame(rows, events_schema("seq"))
+    for form in FORMS:
+        assert collect_routes(session_routes(df, form, "seq")) == {(1, 1): "A-B-A"}, form
+
+
+def test_negative_times_and_error_in_a_later_bucket(spark):
+    rows = [(1, 1, "page", "A", -5, 1), (1, 1, "page", "B", -1, 2), (1, 1, "error", "B", 3, 3),
+            (1, 1, "page", "C", 2, 4), (1, 1, "page", "D", 9, 5)]
+    df = spark.createDataFrame(rows, events_schema("seq"))
+    for form in FORMS:
+        for width in (2, 100):
+            assert collect_routes(session_routes(df, form, "seq", width)) == {(1, 1): "A-B-C"}
+
+
+# One rule for every input: rows a reader would reject are left out everywhere.
+DIRTY = {
+    "null page": [(1, 1, "page", "A", 1, 1), (1, 1, "page", None, 2, 2), (1, 1, "page", "A", 3, 3)],
+    "empty page": [(1, 1, "page", "A", 1, 1), (1, 1, "page", "", 2, 2), (2, 1, "page", "", 2, 2)],
+    "null page only": [(1, 1, "page", "A", 1, 1), (2, 1, "page", None, 1, 1)],
+    "null key": [(1, 1, "page", "A", 1, 1), (None, 1, "page", "B", 1, 2), (None, 1, "error", "B", 1, 3),
+                 (3, None, "page", "B", 1, 4)],
+    "null time": [(1, 1, "page", "A", 1, 1), (1, 1, "error", "A", None, 2)],
+    "null tie-break": [(1, 1, "page", "A", 1, 1), (1, 1, "error", "A", 1, None)],
+}
+
+
+@pytest.mark.parametrize("case", list(DIRTY))
+def test_invalid_rows_are_left_out_by_every_form(spark, case):
+    df = spark.createDataFrame(DIRTY[case], events_schema("seq"))
+    for form in FORMS:
+        assert collect_routes(session_routes(df, form, "seq")) == {(1, 1): "A"}, form
+    df.createOrReplaceTempView("dirty_case")
+    assert [tuple(r) for r in top_routes_sql(spark, "dirty_case", 5, seq="seq").collect()] == [("A", 1)]
+    assert top_routes_rdd(df, 5, "seq") == [("A", 1)]
+
+
+def test_dirty_table_agrees_over_forms(spark):
+    dirty = dirty_events(load_events(spark, SF["sf0.001"])).cache()
+    reference = collect_counts(route_counts(session_routes(dirty, "fold", "seq")))
+    assert reference
+    for form in FORMS:
+        assert collect_counts(route_counts(session_routes(dirty, form, "seq"))) == reference, form
+
+
+def test_callers_columns_are_kept(spark):
+    df = spark.createDataFrame([(1, 1, "page", "A", 1, 1), (1, 1, "error", "A", 2, 2)],
+                               events_schema("seq")).withColumns(
+        {"is_error": F.lit(7), "error_timestamp": F.lit(8)})
+    for cut in (cut_window, cut_partition_min, cut_join):
+        [row] = cut(df, "seq").collect()
+        assert (row["is_error"], row["error_timestamp"]) == (7, 8)
+    with pytest.raises(ValueError, match="prev_event_page"):
+        page_changes(df.withColumn("prev_event_page", F.lit("x")), "seq")

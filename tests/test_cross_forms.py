@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import pytest
 from conftest import SF, collect_counts
+from entry_tables import load_events
 
 from trailspark import FORMS, all_route_counts, top_routes, top_routes_rdd, top_routes_sql
-from trailspark.sources import load_events
 
 VARIANTS = {
     "daily": {"days": 1, "unit": 1},
@@ -24,12 +24,12 @@ EXPECTED = {
 @pytest.mark.parametrize("sf,variant", list(EXPECTED))
 def test_forms_agree(spark, sf, variant):
     events = load_events(spark, SF[sf], **VARIANTS[variant]).cache()
-    reference = collect_counts(all_route_counts(events, "fold", "seq", None))
+    reference = collect_counts(all_route_counts(events, "fold", "seq", 10**9))
     assert (sum(reference.values()), len(reference)) == EXPECTED[(sf, variant)]
     for form in FORMS:
-        for hot in (None, 5):
-            got = collect_counts(all_route_counts(events, form, "seq", hot))
-            assert got == reference, (form, hot)
+        for width in (60, 86400):
+            got = collect_counts(all_route_counts(events, form, "seq", width))
+            assert got == reference, (form, width)
     events.unpersist()
 
 
@@ -44,12 +44,12 @@ def test_top3_daily_sf001(spark):
 
 def test_page_tiebreak_without_seq_agrees(spark):
     events = load_events(spark, SF["sf0.01"], **VARIANTS["coarse"]).drop("seq")
-    reference = collect_counts(all_route_counts(events, "fold", None, None))
+    reference = collect_counts(all_route_counts(events, "fold", None, 10**9))
     for form in FORMS:
-        assert collect_counts(all_route_counts(events, form, None, 3)) == reference, form
+        assert collect_counts(all_route_counts(events, form, None, 3600)) == reference, form
 
 
-def test_broadcast_cut_falls_back_above_its_bound(spark):
+def test_broadcast_cut_leaves_the_choice_to_aqe_unless_told(spark):
     import contextlib
     import io
 
@@ -57,19 +57,17 @@ def test_broadcast_cut_falls_back_above_its_bound(spark):
 
     events = load_events(spark, SF["sf0.01"])
     expected = sorted(map(tuple, cut_join(events, "seq").collect()))
-    # Above the bound no hint is given; with Spark's own size-based choice
-    # off, the plan is a shuffle join. Within it the hint forces a broadcast.
     auto = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     old = {k: spark.conf.get(k, None) for k in auto}
     try:
         for k in auto:
             spark.conf.set(k, "-1")
-        for bound, join in ((0, "SortMergeJoin"), (10**9, "BroadcastHashJoin")):
-            cut = cut_broadcast(events, "seq", max_rows=bound)
+        for hint, join in ((False, "SortMergeJoin"), (True, "BroadcastHashJoin")):
+            cut = cut_broadcast(events, "seq", hint=hint)
             buf = io.StringIO()
             with contextlib.redirect_stdout(buf):
                 cut.explain()
-            assert join in buf.getvalue(), bound
+            assert join in buf.getvalue(), hint
             assert sorted(map(tuple, cut.collect())) == expected
     finally:
         for k, v in old.items():

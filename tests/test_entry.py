@@ -7,9 +7,9 @@ import io
 
 import __spark_entry__ as entry
 from conftest import SF
+from entry_tables import load_events
 
-from trailspark import top_routes, top_routes_sql
-from trailspark.sources import load_events
+from trailspark import FORMS, session_routes, top_routes, top_routes_sql
 
 
 def _plan(df, mode="formatted") -> str:
@@ -26,13 +26,14 @@ def test_entry_smoke(spark):
     assert df.columns == ["route", "count"]
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
+def test_every_route_query_has_an_oracle():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"routes_json"}
+    own = {x for x in q if not x.startswith("op") and x != "pipeline"}
+    assert own <= set(o)
 
 
-def test_flagship_plan_prunes_and_has_no_cartesian(spark):
+def test_flagship_plan_prunes_and_reads_once(spark):
     plan = _plan(top_routes(load_events(spark, SF["sf0.01"]), 10, seq="seq"))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "TakeOrderedAndProject" in plan
@@ -40,25 +41,20 @@ def test_flagship_plan_prunes_and_has_no_cartesian(spark):
     for line in plan.splitlines():
         if line.strip().startswith("ReadSchema"):
             assert "value" not in line
-    # No session is hot at this scale: the plan carries no split.
+    assert plan.count("ReadSchema") == 1
+    # Events by bucket, fragments by session, routes: three exchanges, no join.
     assert "BroadcastExchange" not in plan and "rangepartitioning" not in plan
 
 
-def test_split_plan_broadcasts_bounded_keys_and_ranges_hot_rows(spark, monkeypatch):
-    from trailspark.operators import skew
-
-    monkeypatch.setattr(skew, "ROWS_PER_RANGE", 1_000)  # several range partitions at this size
-    plan = _plan(top_routes(load_events(spark, SF["sf0.01"]), 10, seq="seq", hot_rows=3))
-    assert "BroadcastExchange" in plan
-    assert "LeftAnti" in plan
-    # Hot rows were written once (checkpoint): the hot branch reads that copy.
-    assert "ExistingRDD" in plan
-    assert "rangepartitioning(user_id" in plan
-    assert "MapInPandas" in plan
-
-
-def test_sql_plan_broadcasts_only_the_hot_table(spark):
-    load_events(spark, SF["sf0.01"]).createOrReplaceTempView("plan_clicks")
-    plan = _plan(top_routes_sql(spark, "plan_clicks", 10, seq="seq", hot_rows=3))
-    assert "LeftAnti" in plan
-    assert "CartesianProduct" not in plan
+def test_building_a_plan_runs_no_job(spark):
+    sc = spark.sparkContext
+    events = load_events(spark, SF["sf0.01"])
+    events.createOrReplaceTempView("plan_clicks")
+    sc.setJobGroup("plans-only", "plans-only")
+    try:
+        for form in FORMS:
+            session_routes(events, form, "seq")
+        top_routes_sql(spark, "plan_clicks", 10, seq="seq")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert list(sc.statusTracker().getJobIdsForGroup("plans-only")) == []

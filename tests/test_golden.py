@@ -25,10 +25,9 @@ from trailspark import (
     top_routes_rdd,
     top_routes_sql,
 )
-from trailspark.operators import hot_routes, split_sessions
 
-# None: no split; 0: every session takes the range-split path; 2: mixed.
-HOT = [None, 0, 2]
+# Bucket widths: a second (every time its own fragment), a few, and whole sessions.
+WIDTHS = [1, 7, 10**9]
 
 
 @pytest.fixture(scope="module")
@@ -50,21 +49,21 @@ def edge_page(spark, tmp_path_factory):
 
 
 @pytest.mark.parametrize("form", list(FORMS))
-@pytest.mark.parametrize("hot", HOT)
-def test_worked_example(worked, form, hot):
-    assert collect_routes(session_routes(worked, form, None, hot)) == WORKED_ROUTES
+@pytest.mark.parametrize("width", WIDTHS)
+def test_worked_example(worked, form, width):
+    assert collect_routes(session_routes(worked, form, None, width)) == WORKED_ROUTES
 
 
 @pytest.mark.parametrize("form", list(FORMS))
-@pytest.mark.parametrize("hot", HOT)
-def test_edge_sessions_with_seq(edge_seq, form, hot):
-    assert collect_routes(session_routes(edge_seq, form, "seq", hot)) == EDGE_ROUTES_SEQ
+@pytest.mark.parametrize("width", WIDTHS)
+def test_edge_sessions_with_seq(edge_seq, form, width):
+    assert collect_routes(session_routes(edge_seq, form, "seq", width)) == EDGE_ROUTES_SEQ
 
 
 @pytest.mark.parametrize("form", list(FORMS))
-@pytest.mark.parametrize("hot", HOT)
-def test_edge_sessions_page_tiebreak(edge_page, form, hot):
-    assert collect_routes(session_routes(edge_page, form, None, hot)) == EDGE_ROUTES_PAGE
+@pytest.mark.parametrize("width", WIDTHS)
+def test_edge_sessions_page_tiebreak(edge_page, form, width):
+    assert collect_routes(session_routes(edge_page, form, None, width)) == EDGE_ROUTES_PAGE
 
 
 def test_edge_counts_and_topn(edge_seq):
@@ -75,10 +74,10 @@ def test_edge_counts_and_topn(edge_seq):
     assert top4 == [("A-B", 3), ("A", 2), ("A-B-A-C", 1), ("A-B-C", 1)]
 
 
-@pytest.mark.parametrize("hot", HOT)
-def test_sql_form(spark, edge_seq, hot):
+@pytest.mark.parametrize("width", WIDTHS)
+def test_sql_form(spark, edge_seq, width):
     edge_seq.createOrReplaceTempView("edge_clicks")
-    rows = [tuple(r) for r in top_routes_sql(spark, "edge_clicks", 4, seq="seq", hot_rows=hot).collect()]
+    rows = [tuple(r) for r in top_routes_sql(spark, "edge_clicks", 4, seq="seq", width=width).collect()]
     assert rows == [("A-B", 3), ("A", 2), ("A-B-A-C", 1), ("A-B-C", 1)]
 
 
@@ -89,24 +88,17 @@ def test_sql_over_registered_file_view(spark, tmp_path):
     assert rows == {"main-family-main": 1, "main-archive-bonus-tariffs": 1}
 
 
-@pytest.mark.parametrize("hot", HOT)
-def test_rdd_form(edge_seq, hot):
-    assert top_routes_rdd(edge_seq, 4, "seq", hot) == [("A-B", 3), ("A", 2), ("A-B-A-C", 1), ("A-B-C", 1)]
-
-
-def test_hot_path_alone_matches(edge_seq):
-    split = split_sessions(edge_seq, 0)
-    assert collect_routes(split.normal) == {}
-    assert collect_routes(hot_routes(split.hot, "seq", split.small)) == EDGE_ROUTES_SEQ
+@pytest.mark.parametrize("width", WIDTHS)
+def test_rdd_form(edge_seq, width):
+    assert top_routes_rdd(edge_seq, 4, "seq", width) == [("A-B", 3), ("A", 2), ("A-B-A-C", 1), ("A-B-C", 1)]
 
 
 def test_sql_over_untyped_string_view(spark, tmp_path):
     # As the task's SQL path: a header-only read leaves every column a string.
     path = write(tmp_path, "edge.tsv", tsv(EDGE, with_seq=True))
     spark.read.csv(path, header=True, sep="\t").createOrReplaceTempView("raw_clicks")
-    for hot in HOT:
-        rows = [tuple(r) for r in top_routes_sql(spark, "raw_clicks", 4, seq="seq", hot_rows=hot).collect()]
-        assert rows == [("A-B", 3), ("A", 2), ("A-B-A-C", 1), ("A-B-C", 1)], hot
+    rows = [tuple(r) for r in top_routes_sql(spark, "raw_clicks", 4, seq="seq").collect()]
+    assert rows == [("A-B", 3), ("A", 2), ("A-B-A-C", 1), ("A-B-C", 1)]
 
 
 def test_cast_events_and_rdd_path(spark, tmp_path):
@@ -127,8 +119,7 @@ def test_empty_input_everywhere(spark):
 
     empty = spark.createDataFrame([], events_schema("seq"))
     for form in FORMS:
-        for hot in HOT:
-            assert session_routes(empty, form, "seq", hot).collect() == [], (form, hot)
+        assert session_routes(empty, form, "seq").collect() == [], form
     empty.createOrReplaceTempView("empty_clicks")
     assert top_routes_sql(spark, "empty_clicks", 10, seq="seq").collect() == []
     assert top_routes_rdd(empty, 10, "seq") == []

@@ -6,13 +6,13 @@ import random
 from collections import defaultdict
 
 from conftest import SF, collect_counts, collect_routes
+from entry_tables import load_events
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from trailspark import FORMS, all_route_counts, session_routes
 from trailspark.schema import events_schema
-from trailspark.sources import load_events
 
 
 def brute_force(rows) -> dict[tuple[int, int], str]:
@@ -49,8 +49,8 @@ def test_forms_match_brute_force(spark, raw):
     rows = [(*r, i) for i, r in enumerate(raw)]
     df = spark.createDataFrame(rows, events_schema("seq"))
     expected = brute_force(rows)
-    for form, hot in (("fold", None), ("window", 3), ("pandas", None), ("windows", 0), ("join", 2)):
-        assert collect_routes(session_routes(df, form, "seq", hot)) == expected, (form, hot)
+    for form, width in (("fold", 1), ("window", 3), ("pandas", 2), ("windows", 4), ("join", 2)):
+        assert collect_routes(session_routes(df, form, "seq", width)) == expected, (form, width)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -60,8 +60,8 @@ def test_repeated_tiebreak_values_still_give_one_answer(spark, raw):
     rows = [(*r, i // 3) for i, r in enumerate(raw)]
     df = spark.createDataFrame(rows, events_schema("seq"))
     expected = brute_force(rows)
-    for form, hot in (("window", None), ("fold", 2), ("pandas", 0), ("windows", None), ("join", None)):
-        assert collect_routes(session_routes(df, form, "seq", hot)) == expected, (form, hot)
+    for form, width in (("window", 1), ("fold", 2), ("pandas", 3), ("windows", 9), ("join", 3)):
+        assert collect_routes(session_routes(df, form, "seq", width)) == expected, (form, width)
 
 
 def _events(spark):
@@ -97,7 +97,7 @@ def test_duplicate_rows_change_nothing(spark):
     reference = collect_routes(session_routes(events, seq="seq"))
     doubled = events.unionByName(events)
     for form in FORMS:
-        assert collect_routes(session_routes(doubled, form, "seq", 4)) == reference, form
+        assert collect_routes(session_routes(doubled, form, "seq", 3600)) == reference, form
 
 
 def test_counts_sum_to_sessions_with_a_surviving_event(spark):

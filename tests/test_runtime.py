@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import contextlib
-import io
 from pathlib import Path
 
-from trailspark.runtime import ensure_checkpoint_dir, scratch_path, write_once
+from trailspark.runtime import ensure_checkpoint_dir, remove_path, scratch_path
 
 
 def test_checkpoint_dir_comes_from_the_session(spark):
@@ -21,15 +19,10 @@ def test_scratch_paths_are_fresh_and_under_the_checkpoint_dir(spark):
     assert a.removeprefix("file:").startswith(base.rstrip("/"))
 
 
-def test_write_once_reads_back_and_cuts_lineage(spark):
-    df = spark.range(1000).selectExpr("id", "id % 7 AS k")
-    written = write_once(df)
-    assert written.count() == 1000
-    assert sorted(r["id"] for r in written.collect()) == list(range(1000))
-    # The written table scans an existing RDD, not the range source.
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        written.explain()
-    assert "ExistingRDD" in buf.getvalue() and "Range (" not in buf.getvalue()
-    assert not df.storageLevel.useMemory and not df.storageLevel.useDisk
-    assert Path(ensure_checkpoint_dir(spark).removeprefix("file:")).exists()
+def test_removed_tables_are_gone(spark):
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    local = Path(path.removeprefix("file:"))
+    assert local.exists()
+    remove_path(spark, path)
+    assert not local.exists()

@@ -6,9 +6,9 @@ import json
 from pathlib import Path
 
 from conftest import SF
+from entry_tables import load_events
 
 from trailspark import all_route_counts, routes_json, top_routes, top_routes_dict, write_json, write_tsv
-from trailspark.sources import load_events
 
 
 def _counts(spark):
@@ -86,3 +86,15 @@ def test_command_line_job_on_parquet(spark, tmp_path, capsys):
     printed = capsys.readouterr().out.splitlines()
     expected = [f"{r['route']}\t{r['count']}" for r in top_routes(events, 3, seq="seq").collect()]
     assert printed == expected == ["p3\t429", "p1\t408", "p2\t382"]
+
+
+def test_sinks_refuse_an_existing_folder_unless_told(spark, tmp_path):
+    import pytest
+
+    counts = _counts(spark)
+    out = write_tsv(counts, str(tmp_path / "tsv"), n=3)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
+        write_tsv(counts, out, n=3)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
+        write_json(counts, out, 3)
+    write_tsv(counts, out, n=3, mode="overwrite")

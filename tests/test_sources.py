@@ -103,3 +103,50 @@ def test_error_row_without_timestamp_is_rejected(spark, tmp_path):
 
     for form in FORMS:
         assert [r["route"] for r in session_routes(clean, form).collect()] == ["A-B"], form
+
+
+def test_columns_are_found_by_header_name(spark, tmp_path):
+    import pytest
+
+    from trailspark import cast_events, load_lines_rdd, read_events, session_routes
+
+    head = "timestamp\tevent_page\tnote\tsession_id\tevent_type\tuser_id"
+    lines = ["1\tA\tx\t5\tpage\t9", "2\tB\tx\t5\terror\t9", "3\tC\tx\t5\tpage\t9"]
+    path = write(tmp_path, "r.tsv", "\n".join([head, *lines]) + "\n")
+    rows = [(9, 5, "page", "A", 1), (9, 5, "error", "B", 2), (9, 5, "page", "C", 3)]
+    assert [tuple(r) for r in read_events(spark, path).collect()] == rows
+    assert [tuple(r) for r in read_lines(spark, path).collect()] == rows
+    assert load_lines_rdd(spark.sparkContext, path).collect() == [
+        tuple(str(v) for v in r) for r in rows]
+    assert [tuple(r) for r in session_routes(read_events(spark, path)).collect()] == [(9, 5, "A")]
+    short = write(tmp_path, "m.tsv", "user_id\tsession_id\n1\t2\n")
+    for read in (read_events, read_lines):
+        with pytest.raises(ValueError, match="missing"):
+            read(spark, short)
+    with pytest.raises(ValueError, match="missing"):
+        cast_events(spark.read.csv(short, header=True, sep="\t"))
+
+
+def test_one_number_rule_for_all_readers(spark, tmp_path):
+    from trailspark import cast_events, read_events
+
+    values = [" 5", "5 ", "\u0665", "+5", "-5", "05", "5.0", "5e0", "0x5", "9223372036854775808", "5"]
+    path = _file(tmp_path, [f"1\t1\tpage\tA\t{v}" for v in values])
+    expected = [5, -5, 5, 5]
+    for df in (read_events(spark, path), read_lines(spark, path),
+               cast_events(spark.read.csv(path, header=True, sep="\t"))):
+        assert [r["timestamp"] for r in df.collect()] == expected
+
+
+def test_every_line_equal_to_the_header_is_dropped(spark, tmp_path):
+    path = _file(tmp_path, [VALID_LINE, HEAD, VALID_LINE])
+    assert read_lines(spark, path).count() == 2
+    assert load_lines_rdd(spark.sparkContext, path).count() == 2
+
+
+def test_view_takes_the_quote_option(spark, tmp_path):
+    from trailspark import register_events_view
+
+    path = _file(tmp_path, ['1\t1\tpage\t"a"\t1'])
+    register_events_view(spark, path, "quoted_clicks", quote="")
+    assert [r["event_page"] for r in spark.sql("SELECT * FROM quoted_clicks").collect()] == ['"a"']
