@@ -1,0 +1,117 @@
+"""Edit matching against a plain dynamic programme."""
+
+from __future__ import annotations
+
+import math
+import random
+
+from cases import edge_docs, frame, prose
+
+from trailspark.llm.decontaminate import (
+    ERROR_RATE,
+    MIN_CHARS,
+    closest,
+    decontaminate,
+    find_leaks,
+    normalized,
+    pieces,
+)
+
+ITEMS = "item_id long, text string"
+
+
+def least_distance(pattern, text):
+    """Sellers' algorithm: edits of the pattern against the best substring."""
+    row = [0] * (len(text) + 1)
+    for i, p in enumerate(pattern, 1):
+        new = [i]
+        for j, t in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (p != t)))
+        row = new
+    return min(row)
+
+
+def items():
+    return [(i, prose(14 + i % 9, 700 + i)) for i in range(12)] + [(50, "short"), (51, None), (52, "")]
+
+
+def docs():
+    rng, rows = random.Random(3), []
+    for i in range(40):
+        around = prose(30, 800 + i)
+        item = items()[i % 12][1]
+        if i % 4 == 1:
+            at = rng.randrange(len(item))
+            item = item[:at] + "#" * (i % 11) + item[at:]
+        elif i % 4 == 2:
+            item = item.upper().replace(" ", "\n ")
+        elif i % 4 == 3:
+            item = prose(14, 900 + i)
+        rows.append((1000 + i, f"{around} {item} {around}", "en", "s", 0))
+    return rows
+
+
+def test_matches_equal_the_dynamic_programme(spark):
+    expected = set()
+    for d, text, *_ in docs():
+        for i, item in items():
+            p = normalized(item)
+            if len(p) >= MIN_CHARS:
+                n = least_distance(p, normalized(text))
+                if n <= math.floor(ERROR_RATE * len(p)):
+                    expected.add((d, i, n))
+    got = find_leaks(frame(spark, docs(), clash=True), spark.createDataFrame(items(), ITEMS)).collect()
+    assert {(r["doc_id"], r["item_id"], r["distance"]) for r in got} == expected
+    assert len(got) == len(expected) and {d for d, *_ in expected} >= {1000, 1004, 1008, 1002, 1006}
+
+
+def test_clean_documents_stay(spark):
+    benchmark = spark.createDataFrame(items(), ITEMS)
+    table = frame(spark, docs() + edge_docs(), clash=True)
+    kept = decontaminate(table, benchmark)
+    assert kept.columns == table.columns
+    leaked = {r["doc_id"] for r in find_leaks(table, benchmark).collect()}
+    ids = [r["doc_id"] for r in kept.select("doc_id").collect()]
+    assert sorted(map(str, ids)) == sorted(
+        str(r[0]) for r in docs() + edge_docs() if r[0] not in leaked or r[0] is None)
+    assert len(ids) > 15
+
+
+def test_bit_vectors_equal_the_dynamic_programme():
+    rng = random.Random(1)
+    for _ in range(200):
+        p = "".join(rng.choice("abc") for _ in range(rng.randint(1, 80)))
+        t = "".join(rng.choice("abc") for _ in range(rng.randint(0, 90)))
+        masks = {}
+        for i, c in enumerate(p):
+            masks[c] = masks.get(c, 0) | 1 << i
+        best, end = closest(p, masks, t)
+        assert best == least_distance(p, t)
+        assert end <= len(t)
+
+
+def test_pieces_cover_the_item():
+    for n, k in ((40, 3), (41, 7), (394, 31)):
+        item = prose(n, n)[:n]
+        parts = pieces(item, k)
+        assert len(parts) == k + 1 and "".join(p for _, p in parts) == item
+        assert all(item[a:a + len(p)] == p for a, p in parts)
+
+
+def test_many_blocks_give_the_same(spark, monkeypatch):
+    from trailspark.llm import decontaminate as module
+
+    benchmark = spark.createDataFrame(items(), ITEMS)
+    table = frame(spark, docs())
+    one = sorted(map(tuple, find_leaks(table, benchmark).collect()), key=str)
+    kept = sorted(r["doc_id"] for r in decontaminate(table, benchmark).collect())
+    monkeypatch.setattr(module, "BLOCK_CHARS", 300)
+    assert sorted(map(tuple, find_leaks(table, benchmark).collect()), key=str) == one
+    assert sorted(r["doc_id"] for r in decontaminate(table, benchmark).collect()) == kept
+
+
+def test_empty_tables(spark):
+    none, benchmark = spark.createDataFrame([], ITEMS), spark.createDataFrame(items(), ITEMS)
+    assert find_leaks(frame(spark, docs()), none).collect() == []
+    assert decontaminate(frame(spark, docs()), none).count() == len(docs())
+    assert find_leaks(frame(spark, []), benchmark).collect() == []

@@ -1,0 +1,63 @@
+"""The pipeline, stage by stage against the operators' decisions, and its contract."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import corpus_pipeline
+from cases import edge_docs, frame, prose
+from test_mixing import words
+from test_simhash import brute_print, close, roots
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_in_order_and_their_effect(spark):
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality rules", "near dedup", "decontamination", "mixing", "sharding"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out, seen = docs, []
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, out, SF)
+        out = out.persist()
+        seen.append(out)
+        if len(seen) < 5:
+            assert out.columns == docs.columns
+    rows = [[(r["doc_id"], r["text"]) for r in x.collect()] for x in seen]
+    # near dedup: one document of every component of what the rules kept
+    prints = [brute_print(t) for _, t in rows[0]]
+    at = roots(range(len(prints)), close(prints))
+    least = {}
+    for i, (d, _) in enumerate(rows[0]):
+        least[at[i]] = min(least.get(at[i], d), d)
+    assert sorted(d for d, _ in rows[1]) == sorted(least.values())
+    # decontamination: no item stays, texts without one do
+    items = [" ".join(r["text"].lower().split()) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    folded = [(d, " ".join(t.lower().split())) for d, t in rows[1]]
+    held = {d for d, t in folded if any(x in t for x in items)}
+    assert held and held == {d for d, _ in rows[1]} - {d for d, _ in rows[2]}
+    # mixing: whole documents, twice at most, about 150 % of all words
+    copies = Counter(d for d, _ in rows[3])
+    assert max(copies.values()) <= 2 and set(copies) <= {d for d, _ in rows[2]}
+    total = sum(words(t) for _, t in rows[2])
+    assert abs(sum(words(t) for _, t in rows[3]) - 1.5 * total) < 0.1 * total
+    # sharding: every row once more, slots without gaps
+    assert Counter(rows[4]) == Counter(rows[3])
+    slots = Counter(r["shard"] for r in seen[4].collect())
+    assert max(slots.values()) - min(slots.values()) <= 1
+
+
+def test_run_writes_every_stage(spark):
+    out = corpus_pipeline.run(spark, SF)
+    assert out.columns[-2:] == ["shard", "slot"] and out.count() > 100
+    assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_stages_take_edge_rows_and_empty_tables(spark):
+    clean = [(300 + i, prose(90, 300 + i), "en", "s", 0) for i in range(20)]
+    for rows in ([], edge_docs() + clean):
+        out = frame(spark, rows, clash=True)
+        for _, stage in corpus_pipeline.STAGES:
+            out = stage(spark, out, SF)
+        ids = {r["doc_id"] for r in out.select("doc_id").collect()}
+        assert ids <= {r[0] for r in rows} and len(ids) >= len(rows) / 3

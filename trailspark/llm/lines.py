@@ -2,9 +2,10 @@
 
 A text's lines are hashed; a rolling hash over the last ``ROLL`` line hashes
 says where a chunk may end, so boundaries follow the content and a passage is
-cut alike wherever it stands. A boundary directly after another is skipped,
-which leaves chunks of two lines or more but at a text's ends. Chunks of at
-least two lines that hold a word are grouped by hash and by their bytes over
+cut alike wherever it stands. A boundary directly after another, or one that
+would leave a single line at an end of the text, is skipped, so all chunks have
+two lines or more but in texts of one. Chunks with two lines that hold a word
+are grouped by hash and by their bytes over
 the whole corpus; every occurrence but the first in the document with the
 least id is removed.
 
@@ -67,8 +68,8 @@ def chunked(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         .withColumn("marks", F.transform("hashes", mark))
         .withColumn("ends", F.filter(
             F.sequence(F.lit(0), F.size("marks") - 1),
-            lambda i: F.get(F.col("marks"), i)
-            & ~F.coalesce(F.get(F.col("marks"), i - 1), F.lit(False))))
+            lambda i: (i >= MIN_LINES - 1) & (i < F.size("marks") - MIN_LINES)
+            & F.get(F.col("marks"), i) & ~F.coalesce(F.get(F.col("marks"), i - 1), F.lit(False))))
         .withColumn("chunks", _chunks(F.col("lines"), F.col("ends")))
     )
     return fenced(rows, ["row"], ["id", "text_hash", "lines", "chunks"])

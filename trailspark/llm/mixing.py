@@ -34,7 +34,7 @@ SHARDS = 8
 #: Words in a block at most; a hundredth of the smallest source if that is less.
 BLOCK_WORDS = 64
 #: Rows of a prefix-sum bucket, about.
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 512
 
 
 def _sized(docs: DataFrame, text: str, source: str, doc_id: str) -> DataFrame:
