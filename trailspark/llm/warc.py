@@ -171,25 +171,23 @@ def with_references(pages: DataFrame, page_id: str = "page_id", url: str = "url"
                     page: str = "html") -> DataFrame:
     """``(page_id, url, html, refers_to)``: refers_to is null for responses.
 
-    Payloads meet by digest; only the digests that several ids share go on to
-    the join with the pages.
+    Payloads meet by digest, and a small payload has a key that nothing shares.
+    The first ids are a settled table, so a payload that many pages share is
+    split over tasks where the join is not a broadcast.
     """
     body = F.coalesce(pages[f"`{page}`"], F.lit(""))
     rows = pages.select(
         pages[f"`{page_id}`"].cast("long").alias("page_id"), pages[f"`{url}`"].alias("url"),
         body.alias("html"),
-        F.when(F.octet_length(body) >= MIN_SHARED, F.sha2(body, 256)).alias("digest"))
-    first = (rows.where("digest is not null").groupBy("digest")
-             .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-             .where("n > 1").drop("n"))
-    again = (
-        rows.select(key_part("page_id").alias("key"), "page_id", "digest").join(first, "digest")
-        .where(F.col("page_id").isNull() | (F.col("page_id") > F.col("first")))
-        .select("key", "digest", F.col("first").alias("refers_to")).distinct())
-    return (
-        rows.withColumn("key", key_part("page_id"))
-        .join(small(settled(again)), ["key", "digest"], "left")
-        .select("page_id", "url", "html", "refers_to"))
+        F.when(F.octet_length(body) >= MIN_SHARED, F.sha2(body, 256))
+        .otherwise(key_part(pages[f"`{page_id}`"])).alias("digest"))
+    first = settled(
+        rows.where(F.octet_length("html") >= MIN_SHARED).groupBy("digest")
+        .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+        .where("n > 1").drop("n"))
+    later = F.col("page_id").isNull() | (F.col("page_id") > F.col("first"))
+    return rows.join(small(first), "digest", "left").select(
+        "page_id", "url", "html", F.when(later, F.col("first")).alias("refers_to"))
 
 
 def write_warc(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
