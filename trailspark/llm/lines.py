@@ -10,7 +10,8 @@ the whole corpus; every occurrence but the first in the document with the
 least id is removed.
 
 Groups carry two numbers, summed before the shuffle, so a chunk that a third
-of all texts share is one row a task.
+of all texts share is one row a task; the groups are a settled table, so that
+the join with their occurrences can split such a chunk over tasks.
 
 Defined results: a null text stays null; a null id counts as the largest;
 rows that share an id count as one document, of which each row keeps its own
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fenced, key_part, pack
+from .common import fenced, pack, settled
 
 #: Line hashes in the rolling window, and the share of places that end a chunk (1 in ...).
 ROLL = 2
@@ -88,7 +89,7 @@ def repeats(rows: DataFrame) -> DataFrame:
     """``(id, text_hash, at, n)`` of every chunk occurrence to remove."""
     each = rows.select("id", "text_hash", F.explode(
         F.filter("chunks", _removable)).alias("c")).select("id", "text_hash", "c.*")
-    same = (  # grouping on the text itself is the byte comparison
+    same = settled(  # grouping on the text itself is the byte comparison
         each.groupBy(*_key(F.col("text")), "text")
         .agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("times"))
         .where("times > 1").select("k1", "k2", "first")
