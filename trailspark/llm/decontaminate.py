@@ -21,7 +21,6 @@ have any names.
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -35,8 +34,6 @@ ERROR_RATE = 0.08
 MIN_CHARS = 32
 BLOCK_CHARS = 4_000_000
 
-_MATCHERS: dict[str, Matcher] = {}
-
 
 def normalized(text: str | None) -> str:
     return " ".join((text or "").lower().split())
@@ -133,14 +130,13 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, rate: float) -> Itera
     for b in range(n):
         block = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b)
         sent = benchmark.sparkSession.sparkContext.broadcast(
-            [(r["i"], r["t"]) for r in block.collect()])
-        key = uuid.uuid4().hex
-
-        def matcher(sent=sent, key=key) -> Matcher:
-            if key not in _MATCHERS:
-                _MATCHERS.clear()
-                _MATCHERS[key] = Matcher(sent.value, rate)
-            return _MATCHERS[key]
+            {"items": [(r["i"], r["t"]) for r in block.collect()]})
+
+        def matcher(sent=sent) -> Matcher:
+            held = sent.value  # a worker keeps it from task to task, and the automaton with it
+            if "matcher" not in held:
+                held["matcher"] = Matcher(held["items"], rate)
+            return held["matcher"]
 
         yield matcher
 
