@@ -15,7 +15,7 @@ from trailspark.llm.mixing import mixed_documents
 from trailspark.llm.quality import quality_filter
 from trailspark.llm.sharding import shuffled
 from trailspark.llm.simhash import drop_near_duplicates
-from trailspark.runtime import scratch_path
+from trailspark.runtime import remove_path, scratch_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,9 +58,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written once and reread."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         out = scratch_path(spark, "pipeline-" + name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(out)
-        docs = spark.read.parquet(out)
+        if before:  # the last stage's rows stay, for the caller to read
+            remove_path(spark, before)
+        docs, before = spark.read.parquet(out), out
     return docs
