@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
-    if not sc.master.startswith("local"):
+    if not re.match(r"local($|\[)", sc.master):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder on the cluster")
     path = tempfile.mkdtemp(prefix="trailspark-ckpt-")
     sc.setCheckpointDir(path)
