@@ -36,3 +36,19 @@ def page_changes(events: DataFrame, seq: str | None = None,
         .filter(F.col(PREV_PAGE).isNull() | (F.col(PAGE) != F.col(PREV_PAGE)))
         .select(*events.columns, PREV_PAGE)
     )
+
+
+def bucket_changes(events: DataFrame, seq: str | None = None,
+                   width: int = BUCKET_SECONDS) -> DataFrame:
+    """Rows that begin a time bucket or change the page in it, with the bucket.
+
+    For callers that collapse once more over the boundaries (``stitch``): no
+    table of last pages, no join.
+    """
+    w = Window.partitionBy(*BUCKET_KEY).orderBy(*order_columns(seq))
+    return (
+        with_bucket(events, width)
+        .withColumn(_BEFORE, F.lag(PAGE).over(w))
+        .filter(F.col(_BEFORE).isNull() | (F.col(PAGE) != F.col(_BEFORE)))
+        .drop(_BEFORE)
+    )

@@ -36,7 +36,7 @@ from ..operators.buckets import (
     stitch,
     valid_events,
 )
-from ..operators.collapse import page_changes
+from ..operators.collapse import bucket_changes
 from ..operators.counts import DEFAULT_N, route_counts, top_n
 from ..operators.cut import cut_broadcast, cut_join
 from ..operators.pandas_fold import routes_pandas
@@ -75,12 +75,12 @@ def _windows(events: DataFrame, seq: str | None, width: int) -> DataFrame:
 
 def _join(events: DataFrame, seq: str | None, width: int) -> DataFrame:
     cut = cut_join(valid_events(events, seq), seq)
-    return routes_sorted(page_changes(cut, seq, width), seq, width)
+    return routes_sorted(bucket_changes(cut, seq, width), seq, width)
 
 
 def _broadcast(events: DataFrame, seq: str | None, width: int) -> DataFrame:
     cut = cut_broadcast(valid_events(events, seq), seq)
-    return routes_sorted(page_changes(cut, seq, width), seq, width)
+    return routes_sorted(bucket_changes(cut, seq, width), seq, width)
 
 
 FORMS: dict[str, RouteForm] = {

@@ -1,8 +1,8 @@
 """RDD facade of the route query (Q7): key by session, fold each session in Python, count.
 
 Kept for API parity with code written against the RDD interface. The cut and
-the collapse run on the DataFrame side first, so only page changes reach
-Python and a session's list is as long as its route. The result is the top
+the collapse run on the DataFrame side first, so only page changes (and one
+row per time bucket) reach Python. The result is the top
 ``n`` list, ordered by count then route.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.buckets import valid_events
-from ..operators.collapse import page_changes
+from ..operators.collapse import bucket_changes
 from ..operators.counts import DEFAULT_N
 from ..operators.cut import cut_join
 from ..schema import (
@@ -57,7 +57,7 @@ def route_pairs_rdd(events: DataFrame, seq: str | None = None, width: int = BUCK
     """``(route, 1)`` pairs via ``aggregateByKey`` + Python fold of page changes."""
     cols = dict.fromkeys([USER, SESSION, TYPE, *order_columns(seq), PAGE])
     cut = cut_join(valid_events(events, seq).select(*cols), seq)
-    changes = page_changes(cut, seq, width)
+    changes = bucket_changes(cut, seq, width)
     tie = order_columns(seq)[1]
     return (
         changes.select(USER, SESSION, TS, F.col(tie), PAGE)
