@@ -45,6 +45,10 @@ CASES = {
     "menu inside the article": (
         f"<article><p>{PARAGRAPH}</p><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></article>", PARAGRAPH),
     "layout names": (f"<div class='page has-sidebar no-comments'><article><p>{PARAGRAPH}</p></article></div>", PARAGRAPH),
+    "main part by name": (
+        f"<div class=topbar>Site</div><div id=mainMenu><p>{PARAGRAPH}</p></div><div id=content><h1>Head</h1>"
+        f"<p>Zq.</p><p>{'Xq zv wk ' * 12}</p><div class=commentList><p>{PARAGRAPH}</p></div></div>"
+        f"<div class=cookieBanner><p>{PARAGRAPH}</p></div>", f"Head\nZq.\n{('Xq zv wk ' * 12).strip()}"),
     "inline advert": ("<article><p>one <span class=ad>buy</span> two</p></article>", "one two"),
 }
 

@@ -3,8 +3,9 @@
 A page is cut into blocks at block-level tags. Pass one classifies every block
 on its own: blocks inside navigation, headers, footers, sidebars, forms and
 other furniture (by tag, role, class or id) are boilerplate, and so are blocks
-of links; long blocks with many stop words, and the blocks of an article
-element, are main text; long blocks without stop words outside it are
+of links; long blocks with many stop words, and the blocks of an article or
+main element (where a page has none, of elements named so by class or id), are
+main text; long blocks without stop words outside it are
 boilerplate; short blocks stay ambiguous. In pass two an ambiguous block
 inherits the label of its nearest decided neighbours, good only if both sides
 agree; a heading inherits from the block below it.
@@ -47,18 +48,24 @@ ROLES = frozenset("navigation banner contentinfo complementary search form menu
 MAIN = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ITEMS = frozenset("p li td th tr dt dd".split())
-#: Words of class and id names that mark furniture.
+#: Words of class and id names that mark furniture (stems first, then whole words).
 MARKS = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|menubar|breadcrumbs?|header|masthead|footer|foot|"
-    r"sidebar|side|aside|widget|ads?|advert|adverts|advertisement|advertisements|sponsor|sponsored|"
-    r"promo|promotion|banner|cookie|cookies|consent|gdpr|notice|notices|alert|popup|modal|overlay|"
-    r"newsletter|subscribe|subscription|signup|login|comment|comments|commentlist|disqus|replies|"
-    r"respond|discussion|share|sharing|social|related|recommended|recommendations|pagination|pager|"
-    r"toolbar|tags|tagcloud|skip|search|copyright|legal|disclaimer|form)(?:$|[\s_\d-])", re.IGNORECASE)
+    r"(?:^|[\s_-])(?:(?:navbar|breadcrumb|sidebar|footer|menu|cookie|comment|advert|newsletter|widget|"
+    r"sponsor|disqus|subscri|pagination|adsbygoogle|masthead)\w*|"
+    r"(?:nav|navigation|header|foot|side|aside|ads?|promo|promotion|banner|consent|gdpr|notices?|"
+    r"alert|popup|modal|overlay|signup|login|replies|reply|respond|discussion|share|sharing|social|"
+    r"related|recommended|recommendations|pager|toolbar|topbar|tags|tagcloud|skip|search|copyright|"
+    r"colophon|legal|disclaimer|form)(?:$|[\s_\d-]))", re.IGNORECASE)
 #: The same on an article or main element, whose names often tell of its parts.
 MARKS_OF_MAIN = re.compile(
     r"(?:^|\s)(?:ads?|adverts?|sponsored|promo|related|teaser|reply|"
     r"comment(?!s?-(?:open|closed|status)))(?:$|[\s_\d-])", re.IGNORECASE)
+MAIN_ELEMENT = re.compile(r"<(?:article|main)[\s>]|role=[\"']?(?:main|article)\b", re.IGNORECASE)
+#: Names of the main part, for pages without an article or main element.
+MAIN_MARKS = re.compile(
+    r"(?:^|\s)(?:(?:main|page|site|post|entry|article|story)[_-]?)?"
+    r"(?:article|post|entry|story|content|main|body|text)(?:$|\s)", re.IGNORECASE)
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: Layout names that only say which parts a page has.
 LAYOUT = re.compile(r"\b(?:has|with|no|without|hide|show)[_-]\w+", re.IGNORECASE)
 STOP_WORDS = frozenset(
@@ -80,12 +87,15 @@ class Block:
     heading: bool = False
 
 
-def _furniture(tag: str, attributes: str, in_article: bool) -> bool:
+def _names(attributes: str) -> list[tuple[str, str]]:
+    return [(m[1].lower(), (m[2] or "").strip("\"'")) for m in ATTRIBUTE.finditer(attributes)]
+
+
+def _furniture(tag: str, names: list[tuple[str, str]], in_article: bool) -> bool:
     if tag in FURNITURE and not (tag == "header" and in_article):
         return True
     marks = MARKS_OF_MAIN if tag in MAIN else MARKS
-    for m in ATTRIBUTE.finditer(attributes):
-        name, value = m[1].lower(), (m[2] or "").strip("\"'")
+    for name, value in names:
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
         if name == "style" and "display:none" in value.replace(" ", "").lower():
@@ -93,12 +103,22 @@ def _furniture(tag: str, attributes: str, in_article: bool) -> bool:
         if name == "role" and value.lower() in ROLES:
             return True
         if (name in ("class", "id", "itemprop") and tag not in ("body", "html")
-                and marks.search(LAYOUT.sub("", value))
+                and marks.search(LAYOUT.sub("", CAMEL.sub("-", value)))
                 and not (in_article and re.fullmatch(r"[\w-]*header", value, re.IGNORECASE))):
             return True
     return False
 
 
+def _main(tag: str, names: list[tuple[str, str]], by_name: bool) -> bool:
+    """Whether an element is the page's main part; ``by_name``: class and id say so, too."""
+    if tag in MAIN or any(
+            (n, v.lower()) in (("role", "main"), ("role", "article"), ("itemprop", "articlebody"))
+            for n, v in names):
+        return True
+    return by_name and tag not in INLINE and tag not in ("body", "html") and any(
+        n in ("class", "id") and MAIN_MARKS.search(v) for n, v in names)
+
+
 class Open(NamedTuple):
     """An open element."""
 
@@ -113,6 +133,7 @@ def blocks(page: str) -> list[Block]:
     done: list[Block] = []
     stack: list[Open] = []
     now, link, silent, at = Block(), 0, 0, 0
+    by_name = not MAIN_ELEMENT.search(page)
 
     def close() -> None:
         nonlocal now
@@ -155,8 +176,9 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in ITEMS and any(x.tag == tag for x in stack):
             _end_sibling(stack, tag)
-        furniture = _furniture(tag, m[3], any(x.main for x in stack))
-        stack.append(Open(tag, furniture, tag in MAIN,
+        names = _names(m[3]) if m[3] else []
+        furniture = _furniture(tag, names, any(x.main for x in stack))
+        stack.append(Open(tag, furniture, _main(tag, names, by_name),
                           tag in SILENT or furniture and not block))
         link, silent = _counts(stack)
         if block:
