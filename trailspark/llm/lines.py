@@ -95,12 +95,13 @@ def repeats(rows: DataFrame) -> DataFrame:
         .where("times > 1").select("k1", "k2", "first")
         .groupBy("k1", "k2").agg(F.min("first").alias("first"), F.count("*").alias("texts"))
         .where("texts = 1").drop("texts"))  # two texts under one 128-bit key: both stay
-    keyed = F.transform(F.filter("chunks", _removable), lambda c: F.struct(
-        c["at"].alias("at"), c["n"].alias("n"), *_key(c["text"])))
-    owned = F.transform("keyed", lambda c, i: F.struct(
-        c["at"].alias("at"), c["n"].alias("n"), c["k1"].alias("k1"), c["k2"].alias("k2"),
-        (~F.exists(F.slice("keyed", F.lit(1), i), lambda e: e["k1"] == c["k1"]))
-        .alias("own_first")))
+    keyed = F.sort_array(F.transform(F.filter("chunks", _removable), lambda c: F.struct(
+        *_key(c["text"]), c["at"].alias("at"), c["n"].alias("n"))))
+    owned = F.transform("keyed", lambda c, i: F.struct(  # in key order: the first is a new key
+        c["k1"].alias("k1"), c["k2"].alias("k2"), c["at"].alias("at"),
+        c["n"].alias("n"), F.coalesce(
+            (F.get("keyed", i - 1)["k1"] != c["k1"]) | (F.get("keyed", i - 1)["k2"] != c["k2"]),
+            F.lit(True)).alias("own_first")))
     return (
         rows.select("id", "text_hash", keyed.alias("keyed"))
         .select("id", "text_hash", F.explode(owned).alias("c"))
@@ -115,9 +116,11 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     rows = chunked(docs, doc_id, text)
     gone = repeats(rows).groupBy("id", "text_hash").agg(
         F.collect_set(F.struct("at", "n")).alias("gone"))
-    kept = F.filter("lines", lambda x, i: ~F.exists(
-        F.coalesce("gone", F.array().cast("array<struct<at:int,n:int>>")),
-        lambda g: (i >= g["at"]) & (i < g["at"] + g["n"])))
+    cuts = F.sort_array(F.coalesce("gone", F.array().cast("array<struct<at:int,n:int>>")))
+    kept = F.flatten(F.zip_with(  # the lines between the cuts
+        F.concat(F.array(F.lit(0)), F.transform(cuts, lambda g: g["at"] + g["n"])),
+        F.concat(F.transform(cuts, lambda g: g["at"]), F.array(F.size("lines"))),
+        lambda a, b: F.slice("lines", a + 1, b - a)))
     light = pack(docs, doc_id=doc_id, text=text).select(
         F.col("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
