@@ -62,7 +62,8 @@ def test_cases(case):
 def test_odd_pages():
     for text in (None, "", "<", "<p", "<!--", "</p></div>", "<script>", "<a <b <c", "&#xFFFFFF;", "<" * 500):
         assert isinstance(main_text(text), str)
-    assert main_text("<article>" + "<div>" * 300 + "deep") == "deep"
+    assert main_text("<article>" + "<div>" * 50_000 + "deep") == "deep"
+    assert main_text("<article>" + "<font>x" * 20_000) == "x" * 20_000
 
 
 def test_query_over_edge_rows(spark):

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
@@ -128,25 +129,68 @@ class Open(NamedTuple):
     mute: bool
 
 
+class Path:
+    """The open elements, with counts of what they are, so a step costs the same at any depth."""
+
+    def __init__(self) -> None:
+        self.open: list[Open] = []
+        self.tags: Counter[str] = Counter()
+        self.furniture = self.main = self.mute = 0
+
+    def _count(self, x: Open, by: int) -> None:
+        self.tags[x.tag] += by
+        self.furniture += by * x.furniture
+        self.main += by * x.main
+        self.mute += by * x.mute
+
+    def push(self, x: Open) -> None:
+        self.open.append(x)
+        self._count(x, 1)
+
+    def pop(self) -> Open:
+        x = self.open.pop()
+        self._count(x, -1)
+        return x
+
+    def end(self, tag: str) -> None:
+        """The end tag of ``tag`` ends what is open inside it, too; a stray one ends nothing."""
+        if self.tags[tag]:
+            while self.pop().tag != tag:
+                pass
+
+    def end_sibling(self, tag: str) -> None:
+        """A new item ends an open one unless another container stands between."""
+        if not self.tags[tag]:
+            return
+        for x in reversed(self.open):
+            if x.tag == tag:
+                self.end(tag)
+                return
+            if x.tag not in INLINE and (x.tag not in ITEMS or x.tag == "li"):
+                return
+
+    def block(self) -> Block:
+        return Block(furniture=self.furniture > 0, article=self.main > 0,
+                     heading=any(self.tags[h] for h in HEADINGS))
+
+
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order, cut at block-level tags."""
     done: list[Block] = []
-    stack: list[Open] = []
-    now, link, silent, at = Block(), 0, 0, 0
+    path, now, at = Path(), Block(), 0
     by_name = not MAIN_ELEMENT.search(page)
 
     def close() -> None:
         nonlocal now
         if "".join(now.text).strip():
             done.append(now)
-        now = Block(furniture=any(x.furniture for x in stack), article=any(x.main for x in stack),
-                    heading=any(x.tag in HEADINGS for x in stack))
+        now = path.block()
 
     def say(text: str) -> None:
-        if text and not silent:
+        if text and not path.mute:
             text = html.unescape(text)
             now.text.append(text)
-            if link:
+            if path.tags["a"]:
                 now.linked += len("".join(text.split()))
 
     while m := TOKEN.search(page, at):
@@ -165,22 +209,18 @@ def blocks(page: str) -> list[Block]:
             continue
         block = tag not in INLINE
         if closing:
-            if any(x.tag == tag for x in stack):
-                while stack and stack.pop().tag != tag:
-                    pass
-                link, silent = _counts(stack)
+            path.end(tag)
             if block:
                 close()
             continue
         if m[3].endswith("/") and tag in SILENT:
             continue
-        if tag in ITEMS and any(x.tag == tag for x in stack):
-            _end_sibling(stack, tag)
+        if tag in ITEMS:
+            path.end_sibling(tag)
         names = _names(m[3]) if m[3] else []
-        furniture = _furniture(tag, names, any(x.main for x in stack))
-        stack.append(Open(tag, furniture, _main(tag, names, by_name),
-                          tag in SILENT or furniture and not block))
-        link, silent = _counts(stack)
+        furniture = _furniture(tag, names, path.main > 0)
+        path.push(Open(tag, furniture, _main(tag, names, by_name),
+                       tag in SILENT or furniture and not block))
         if block:
             close()
         if tag in RAW:  # no markup inside: jump to its end
@@ -191,22 +231,6 @@ def blocks(page: str) -> list[Block]:
     return done
 
 
-def _counts(stack: list[Open]) -> tuple[int, int]:
-    """Open links and muted elements."""
-    return sum(x.tag == "a" for x in stack), sum(x.mute for x in stack)
-
-
-def _end_sibling(stack: list[Open], tag: str) -> None:
-    """A new item ends an open one unless another container stands between."""
-    for i in range(len(stack) - 1, -1, -1):
-        t = stack[i].tag
-        if t == tag:
-            del stack[i:]
-            return
-        if t not in INLINE and (t not in ITEMS or t == "li"):
-            return
-
-
 def main_text(page: str | None) -> str:
     """Main blocks of a page, white space folded, joined by line feeds."""
     found = []
@@ -214,17 +238,25 @@ def main_text(page: str | None) -> str:
         text = " ".join("".join(b.text).split())
         found.append((b, text, _alone(b, text)))
     labels = [x for *_, x in found]
+    before, after = _nearest(labels), _nearest(labels[::-1])[::-1]
     out = []
-    for i, (b, text, label) in enumerate(found):
+    for (b, text, label), above, below in zip(found, before, after, strict=True):
         if label == SHORT:
-            after = next((x for x in labels[i + 1:] if x != SHORT), BAD)
-            before = next((x for x in reversed(labels[:i]) if x != SHORT), BAD)
-            label = after if b.heading else (GOOD if before == after == GOOD else BAD)
+            label = below if b.heading else (GOOD if above == below == GOOD else BAD)
         if label == GOOD:
             out.append(text)
     return "\n".join(out)
 
 
+def _nearest(labels: list[str]) -> list[str]:
+    """Per place the last decided label up to it (the page's edge counts as boilerplate)."""
+    out, last = [], BAD
+    for x in labels:
+        last = last if x == SHORT else x
+        out.append(last)
+    return out
+
+
 def _alone(b: Block, text: str) -> str:
     """Pass one: the label of a block by itself."""
     if b.furniture:
