@@ -49,6 +49,8 @@ CASES = {
         f"<div class=topbar>Site</div><div id=mainMenu><p>{PARAGRAPH}</p></div><div id=content><h1>Head</h1>"
         f"<p>Zq.</p><p>{'Xq zv wk ' * 12}</p><div class=commentList><p>{PARAGRAPH}</p></div></div>"
         f"<div class=cookieBanner><p>{PARAGRAPH}</p></div>", f"Head\nZq.\n{('Xq zv wk ' * 12).strip()}"),
+    "odd quotes": ("<article><p title=it's>one</p><p alt=\"a > b\">two</p><p x='\"'>three</p></article>",
+                   "one\ntwo\nthree"),
     "inline advert": ("<article><p>one <span class=ad>buy</span> two</p></article>", "one two"),
 }
 

@@ -29,7 +29,7 @@ from .common import map_rows
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>?"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>",
     re.DOTALL)
 ATTRIBUTE = re.compile(
     r"""(?<![\w-])(class|id|role|hidden|aria-hidden|itemprop|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""",
