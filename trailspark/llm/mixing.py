@@ -10,7 +10,8 @@ tokens cut into blocks; its quota takes whole passes over the line and, for
 the rest, a run of blocks from a seeded place, in shard order.
 
 Prefix sums are taken within hash buckets of a source and joined by the
-buckets' totals, so no source is sorted or summed in one task.
+buckets' totals, so no source is sorted or summed in one task. Only the table of
+sources, a row each, is ranked as a whole.
 
 Defined results: a null text has size 0 and is taken 0 times; a null source is
 a source of its own, the last; repeated rows are separate rows; an empty table
