@@ -14,7 +14,7 @@ from .chat import END, START, chats
 from .common import table
 from .decontaminate import find_leaks
 from .html_text import extract
-from .lines import dedup_lines
+from .lines import dedup_runs
 from .mixing import mix
 from .quality import quality_report
 from .secret_scan import secret_report
@@ -24,7 +24,7 @@ from .warc import round_trip
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents"))
+    return dedup_runs(table(spark, sf_dir, "documents"))
 
 
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
