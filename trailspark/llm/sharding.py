@@ -23,6 +23,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trailspark.runtime import scratch_path
+
 from .common import settled, small
 
 SHARDS = 8
@@ -99,10 +101,19 @@ def write_shards(records: DataFrame, path: str, shards: int = SHARDS, seed: int
 
 
 def shard_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: ``doc_id, size, text_crc32, law, shard, slot, grown_shard``."""
-    body = F.coalesce(docs[f"`{text}`"], F.lit(""))
-    light = docs.select(docs[f"`{doc_id}`"].alias("doc_id"),
-                        (F.octet_length(body) + 1).cast("long").alias("size"),
-                        F.crc32(body).alias("text_crc32"))
-    return shuffled(light).withColumn("law", F.lit("rows")).withColumn(
-        "grown_shard", F.lit(None).cast("int"))
+    """Per row: ``doc_id, size, text_crc32, law, shard, slot, grown_shard``.
+
+    The whole documents are shuffled and written as shards to the shared scratch
+    folder; size and checksum are those of the texts read back from there.
+    """
+    spark = docs.sparkSession
+    path = scratch_path(spark, "shards")
+    write_shards(docs, path)
+    kind = docs.limit(0).withColumns({"slot": F.lit(0).cast("long"), "shard": F.lit(0)}).schema
+    back = spark.read.schema(kind).parquet(path)
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    return back.select(
+        F.col(f"`{doc_id}`").alias("doc_id"),
+        (F.octet_length(body) + 1).cast("long").alias("size"),
+        F.crc32(body).alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
