@@ -36,7 +36,7 @@ MIN_ASSIGN, MIN_ACCESS = 6, 20
 HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 #: The wider pattern: long runs that mix cases and digits.
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{32,512}(?![A-Za-z0-9+/_=-])")
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{32,}(?![A-Za-z0-9+/_=-])")
 MIN_ENTROPY = 3.0
 #: Distinct owners from which a value counts as a copied example.
 MANY_OWNERS = 2
