@@ -36,7 +36,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_report(table(spark, sf_dir, "documents"))
+    return secret_report(table(spark, sf_dir, "documents"), widely=True)
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,12 @@ held by several owners is a copied example; one held by a single owner that
 also looks random is reported as live-looking. Wider candidates become spans
 only if they are live-looking; base spans always stay.
 
+With ``widely`` (as the query runs), a copied example is a value that many owners
+and many repositories hold, and equal texts count once, by their first holder,
+so a document copied under other owners does not turn its values into examples.
+Random wider candidates then stay as spans, copied ones too. Near copies are
+texts of their own; many of them under many owners still read as an example.
+
 Defined results: a null or empty text holds no span; null owners and
 repositories count as one of their own; repeated rows hold the same spans and
 count once; an empty table gives an empty result; input columns may have any
@@ -40,6 +46,8 @@ TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{32,}(?![A-Za-z0-9+/_=
 MIN_ENTROPY = 3.0
 #: Distinct owners from which a value counts as a copied example.
 MANY_OWNERS = 2
+#: Distinct owners and repositories from which a value is widely held; both are needed.
+WIDE_OWNERS, WIDE_REPOS = 4, 8
 
 
 def entropy(value: str) -> float:
@@ -72,7 +80,7 @@ def candidates(text: str | None) -> list[tuple[int, int, int, str]]:
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo: str = "doc_id",
          owner: str = "source") -> DataFrame:
-    """Per row: ``doc_id, repo, owner`` and its candidates with value hash and randomness."""
+    """Per row: ``doc_id, repo, owner, text_key`` and its candidates with value hash and randomness."""
 
     def run(rows: dict[str, list]) -> dict[str, list]:
         spans = []
@@ -83,31 +91,42 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo: str
                  "random": entropy(v) >= MIN_ENTROPY}
                 for s, k, e, v in candidates(t)])
         return {"doc_id": rows["doc_id"], "repo": rows["repo"], "owner": rows["owner"],
+                "text_key": [xxhash.xxh128_digest((t or "").encode()) if found else None
+                             for t, found in zip(rows["text"], spans, strict=True)],
                 "spans": spans}
 
     picked = docs.select(
         docs[f"`{doc_id}`"].cast("long").alias("doc_id"), docs[f"`{text}`"].alias("text"),
         key_part(docs[f"`{repo}`"]).alias("repo"), key_part(docs[f"`{owner}`"]).alias("owner"))
     return map_rows(
-        picked, run, "doc_id long, repo string, owner string, "
+        picked, run, "doc_id long, repo string, owner string, text_key binary, "
         "spans array<struct<start:int,kind:int,end:int,value:long,random:boolean>>")
 
 
-def ownership(found: DataFrame) -> DataFrame:
+def ownership(found: DataFrame, once: bool = False) -> DataFrame:
     """``(value, repos, owners)``: distinct repositories and owners of every candidate value.
 
+    ``once``: of the holders of equal texts, only the least owner and repository counts.
+
     Each level is summed before its shuffle, so a value that a third of all
     texts hold is one row a task.
     """
-    values = found.select("repo", "owner", F.explode("spans.value").alias("value"))
+    values = found.select("repo", "owner", "text_key", F.explode("spans.value").alias("value"))
+    if once:
+        values = (values.groupBy("value", "text_key")
+                  .agg(F.min(F.struct("owner", "repo")).alias("holder"))
+                  .select("value", "holder.owner", "holder.repo"))
     return (values.groupBy("value", "owner", "repo").agg(F.lit(1).alias("one"))
             .groupBy("value", "owner").agg(F.sum("one").alias("repos"))
             .groupBy("value").agg(F.sum("repos").alias("repos"), F.count("*").alias("owners")))
 
 
 def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo: str = "doc_id",
-            owner: str = "source") -> DataFrame:
+            owner: str = "source", widely: bool = False) -> DataFrame:
     """Per row: ``doc_id`` and ``spans``, each with kind, place, owners and ``live``."""
+    copied = F.col("owners") >= MANY_OWNERS
+    if widely:
+        copied = (F.col("owners") >= WIDE_OWNERS) & (F.col("repos") >= WIDE_REPOS)
     found = settled(scan(docs, doc_id, text, repo, owner)
                     .withColumn("row", F.monotonically_increasing_id()))
     none = found.where(F.size("spans") == 0)
@@ -115,9 +134,9 @@ def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo: s
     one = hits.select("row", "doc_id", F.explode("spans").alias("s")).select(
         "row", "doc_id", "s.*")
     judged = (
-        one.join(settled(ownership(hits)), "value")
-        .withColumn("live", F.col("random") & (F.col("owners") < MANY_OWNERS))
-        .where((F.col("kind") < KINDS.index("token")) | F.col("live"))
+        one.join(settled(ownership(hits, once=widely)), "value")
+        .withColumn("live", F.col("random") & ~copied)
+        .where((F.col("kind") < KINDS.index("token")) | F.col("random" if widely else "live"))
         .select("row", F.struct("start", "kind", "end", "live", "owners", "repos").alias("s"))
         .groupBy("row").agg(F.sort_array(F.collect_list("s")).alias("judged")))
     kind = "array<struct<start:int,kind:int,end:int,live:boolean,owners:bigint,repos:bigint>>"
@@ -128,7 +147,10 @@ def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo: s
 
 
 def secret_report(docs: DataFrame, **kw) -> DataFrame:
-    """Per row: base counts, digest of the base spans, all spans, live-looking and copied ones."""
+    """Per row: base counts, digest of the base spans, all spans, live-looking and copied ones.
+
+    ``owners`` and ``repos`` have the counts of the spans, in the order of ``spans``.
+    """
     found = secrets(docs, **kw)
     name = F.array(*map(F.lit, KINDS))
     text = lambda s: F.concat_ws(
@@ -140,7 +162,9 @@ def secret_report(docs: DataFrame, **kw) -> DataFrame:
         F.sha2(F.array_join(F.transform(base, text), ","), 256).alias("base_sha256"),
         F.array_join(F.transform("spans", text), ",").alias("spans"),
         F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
-        F.size(F.filter("spans", lambda s: ~s["live"])).cast("long").alias("n_copied"))
+        F.size(F.filter("spans", lambda s: ~s["live"])).cast("long").alias("n_copied"),
+        F.transform("spans", lambda s: s["owners"]).alias("owners"),
+        F.transform("spans", lambda s: s["repos"]).alias("repos"))
 
 
 def base_digest(text: str | None) -> str:
