@@ -5,14 +5,15 @@ item of m characters may be hit with up to ``floor(rate * m)`` = k edits; it is
 split into k + 1 pieces, of which at least one survives k edits unchanged. One
 Aho-Corasick automaton finds all exact piece hits in a whole text; hits of an
 item on neighbouring diagonals share one window, which Myers' bit-parallel
-distance verifies.
+distance verifies. An item shorter than ``MIN_CHARS`` characters is one piece
+without edits, which has to stand in the text between word boundaries.
 
 The test set is stated, not derived: it is cut by item hash into blocks of at
 most about ``BLOCK_CHARS`` characters, and every block is matched against all
 texts, so what a worker holds is bounded however large the set grows.
 
-Defined results: a null or empty text holds nothing; items shorter than
-``MIN_CHARS`` characters (null ones too) identify no text and match nothing;
+Defined results: a null or empty text holds nothing; null items and
+items of white space only match nothing;
 repeated rows are judged alike; equal items match under each item id; empty
 tables give empty results (or leave the texts as they are); input columns may
 have any names.
@@ -77,9 +78,9 @@ class Matcher:
         found: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             text = normalized(text)
-            if len(text) < MIN_CHARS:
+            if not text:
                 continue
-            k, masks = math.floor(rate * len(text)), {}
+            k, masks = math.floor(rate * len(text)) if len(text) >= MIN_CHARS else 0, {}
             for i, c in enumerate(text):
                 masks[c] = masks.get(c, 0) | 1 << i
             for at, piece in pieces(text, k):
@@ -102,6 +103,11 @@ class Matcher:
                 places.setdefault(i, set()).add(last + 1 - length - at)
         for i, diagonals in sorted(places.items()):
             item_id, item, k, masks = self.items[i]
+            if len(item) < MIN_CHARS:
+                at = next((x for x in sorted(diagonals) if _whole(text, x, x + len(item))), None)
+                if at is not None:
+                    yield item_id, 0, 0, at, at + len(item)
+                continue
             best = None
             for low, high in _runs(sorted(diagonals), k):
                 start = max(0, low - k)
@@ -112,6 +118,12 @@ class Matcher:
                 yield item_id, best[0], k, max(0, best[1] - len(item)), best[1]
 
 
+def _whole(text: str, start: int, end: int) -> bool:
+    """No word goes on over ``start`` or ``end``."""
+    return not any(0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum()
+                   for at in (start, end))
+
+
 def _runs(values: list[int], gap: int) -> Iterator[tuple[int, int]]:
     low = last = values[0]
     for v in values[1:]:
