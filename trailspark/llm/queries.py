@@ -16,11 +16,13 @@ from .decontaminate import find_leaks
 from .html_text import extract
 from .lines import dedup_runs
 from .mixing import mix
+from .periodic import periodic_runs, run_report, with_loops
 from .quality import quality_report
 from .secret_scan import secret_report
 from .sharding import shard_report
 from .simhash import near_duplicates
 from .warc import round_trip
+from .whitening import whiten
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,10 +65,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_report(periodic_runs(with_loops(table(spark, sf_dir, "documents"))))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_line_dedup, op2_html_text, op3_simhash, op4_secret_scan, op5_decontamination,
-        op6_quality_rules, op7_warc, op8_sharding, op9_chat, op10_mixing)}
+        op6_quality_rules, op7_warc, op8_sharding, op9_chat, op10_mixing,
+        op11_periodic_runs, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
