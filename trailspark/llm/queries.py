@@ -15,6 +15,7 @@ from .common import table
 from .decontaminate import find_leaks
 from .html_text import extract
 from .lines import dedup_runs
+from .lm_score import lm_scores
 from .mixing import mix
 from .periodic import periodic_runs, run_report, with_loops
 from .quality import quality_report
@@ -69,6 +70,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_report(periodic_runs(with_loops(table(spark, sf_dir, "documents"))))
 
 
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
@@ -77,7 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_line_dedup, op2_html_text, op3_simhash, op4_secret_scan, op5_decontamination,
         op6_quality_rules, op7_warc, op8_sharding, op9_chat, op10_mixing,
-        op11_periodic_runs, op13_whitening)}
+        op11_periodic_runs, op12_lm_scores, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
