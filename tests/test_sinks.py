@@ -98,3 +98,30 @@ def test_sinks_refuse_an_existing_folder_unless_told(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
         write_json(counts, out, 3)
     write_tsv(counts, out, n=3, mode="overwrite")
+
+
+ODD = [" main ", 'a"b', "tab\there", "back\\slash", "\\", "\\\\t", "\\t", "\\N", "l\nf", "c\r\nr",
+       "", "\t\n\\", "é \U0001f600", "\\\\\\n\\", "'", ",", "#c", " x", None]
+
+
+def test_tsv_keeps_any_route(spark, tmp_path):
+    import pytest
+
+    from trailspark import read_tsv
+    from trailspark.schema import ROUTE_COUNTS_SCHEMA
+
+    rows = [(r, len(ODD) - i) for i, r in enumerate(ODD)]
+    df = spark.createDataFrame(rows, ROUTE_COUNTS_SCHEMA)
+    out = write_tsv(df, str(tmp_path / "odd"))
+    assert sorted((tuple(r) for r in read_tsv(spark, out).collect()), key=repr) == sorted(rows, key=repr)
+    text = b"".join(p.read_bytes() for p in sorted(Path(out).glob("part-*")))
+    assert text.count(b"\n") == len(rows) and b"\r" not in text
+    assert text.startswith(b' main \t19\na"b\t18\ntab\\there\t17\nback\\\\slash\t16\n')
+    top = write_tsv(df, str(tmp_path / "top"), n=4)
+    assert [r["route"] for r in read_tsv(spark, top).collect()] == ODD[:4]
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "x").write_text("a\t1\nb\na\tx\na\tb\t2\n\t3\n")
+    assert [tuple(r) for r in read_tsv(spark, str(bad)).collect()] == [("a", 1), ("", 3)]
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
+        write_tsv(df, out)

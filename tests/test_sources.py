@@ -150,3 +150,71 @@ def test_view_takes_the_quote_option(spark, tmp_path):
     path = _file(tmp_path, ['1\t1\tpage\t"a"\t1'])
     register_events_view(spark, path, "quoted_clicks", quote="")
     assert [r["event_page"] for r in spark.sql("SELECT * FROM quoted_clicks").collect()] == ['"a"']
+
+
+def _mixed(tmp_path):
+    """Three files under one folder: canonical, swapped type and page, reordered with an extra column."""
+    folder = tmp_path / "in put[1]"
+    folder.mkdir()
+    write(folder, "a%20.tsv", HEAD + "\n9\t5\tpage\tA\t1\n9\t5\tan error\tB\t3\n")
+    write(folder, "b,1.tsv", "user_id\tsession_id\tevent_page\tevent_type\ttimestamp\n9\t5\tC\tpage\t2\n")
+    write(folder, "c.tsv", "timestamp\tx\tuser_id\tevent_page\tsession_id\tevent_type\n"
+                           "4\tq\t9\tD\t5\tpage\n7\tq\t8\tD\t5\tpage\n7\tq\tbad\tD\t5\tpage\n")
+    write(folder, "empty.tsv", "")
+    rows = [(8, 5, "page", "D", 7), (9, 5, "an error", "B", 3), (9, 5, "page", "A", 1),
+            (9, 5, "page", "C", 2), (9, 5, "page", "D", 4)]
+    return str(folder).replace("[", "\\[").replace("]", "\\]"), rows
+
+
+def test_every_file_is_read_by_its_own_header(spark, tmp_path):
+    from trailspark import read_events, register_events_view, session_routes, top_routes_rdd_path
+
+    path, rows = _mixed(tmp_path)
+    clean, rejects = read_events_with_rejects(spark, path)
+    assert sorted(tuple(r) for r in clean.collect()) == rows
+    assert [(r["user_id"], r["x"]) for r in rejects.collect()] == [("bad", "q")]
+    assert sorted(tuple(r) for r in read_lines(spark, path).collect()) == rows
+    tuples = sorted(load_lines_rdd(spark.sparkContext, path).collect())
+    assert tuples == sorted([tuple(map(str, r)) for r in rows] + [("bad", "5", "page", "D", "7")])
+    register_events_view(spark, path, "mixed_clicks")
+    assert spark.table("mixed_clicks").count() == len(rows)
+    assert {r["route"] for r in session_routes(read_events(spark, path)).collect()} == {"A-C", "D"}
+    assert top_routes_rdd_path(spark, path) == [("A-C", 1), ("D", 1)]
+
+
+def test_a_list_of_paths_may_mix_headers(spark, tmp_path):
+    a = write(tmp_path, "a.tsv", HEAD + "\n" + VALID_LINE + "\n")
+    b = write(tmp_path, "b.tsv", "event_page\tuser_id\tsession_id\ttimestamp\tevent_type\nok\t1\t1\t5\tpage\n")
+    assert [tuple(r) for r in read_lines(spark, [a, b]).collect()] == [(1, 1, "page", "ok", 5)] * 2
+    assert load_lines_rdd(spark.sparkContext, [a, b]).collect() == [("1", "1", "page", "ok", "5")] * 2
+
+
+def test_one_file_without_a_column_raises(spark, tmp_path):
+    import pytest
+
+    from trailspark import read_events
+
+    a = write(tmp_path, "a.tsv", HEAD + "\n" + VALID_LINE + "\n")
+    b = write(tmp_path, "b.tsv", "user_id\tevent_page\n1\tx\n")
+    for read in (read_events, read_lines, lambda s, p: load_lines_rdd(s.sparkContext, p)):
+        with pytest.raises(ValueError, match="missing"):
+            read(spark, [a, b])
+
+
+def test_files_without_lines(spark, tmp_path):
+    empty = write(tmp_path, "e.tsv", "")
+    clean, rejects = read_events_with_rejects(spark, empty, "seq")
+    assert clean.collect() == rejects.collect() == read_lines(spark, empty).collect() == []
+    assert clean.columns[-1] == "seq"
+    assert load_lines_rdd(spark.sparkContext, empty).collect() == []
+
+
+def test_blanks_and_quotes_of_events_come_back(spark, tmp_path):
+    from trailspark import read_events
+    from trailspark.sources import write_events_tsv
+
+    rows = [(1, 1, "page", " a ", 1), (1, 1, " pa\"ge", 'q"u"', 2), (1, 1, "x", "tab\there", 3)]
+    df = spark.createDataFrame(rows, "user_id long, session_id long, event_type string, "
+                                     "event_page string, timestamp long")
+    out = write_events_tsv(df, str(tmp_path / "w"))
+    assert sorted(tuple(r) for r in read_events(spark, out).collect()) == sorted(rows)

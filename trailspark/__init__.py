@@ -45,7 +45,7 @@ from .plans import (  # noqa: E402
     top_routes_rdd_path,
     top_routes_sql,
 )
-from .sinks import routes_json, top_routes_dict, write_json, write_tsv  # noqa: E402
+from .sinks import read_tsv, routes_json, top_routes_dict, tsv_lines, write_json, write_tsv  # noqa: E402
 from .sources import (  # noqa: E402
     cast_events,
     load_lines_rdd,
@@ -72,6 +72,7 @@ __all__ = [
     "read_events",
     "read_events_with_rejects",
     "read_lines",
+    "read_tsv",
     "register_events_view",
     "route_counts",
     "routes_fold",
@@ -91,6 +92,7 @@ __all__ = [
     "top_routes_rdd_df",
     "top_routes_rdd_path",
     "top_routes_sql",
+    "tsv_lines",
     "valid_events",
     "write_json",
     "write_tsv",

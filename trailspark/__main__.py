@@ -5,7 +5,8 @@
                          [--mode errorifexists] [--quote CHAR]
 
 Reads tab-separated files with a header (or Parquet with the same columns),
-prints the top ``n`` routes as ``route<TAB>count`` lines and, if asked, writes
+prints the top ``n`` routes as ``route<TAB>count`` lines (escaped as in the
+TSV sink) and, if asked, writes
 them as one JSON object and/or TSV. Run it with ``spark-submit`` on a cluster;
 ``spark.checkpoint.dir`` should name a shared folder there.
 """
@@ -15,11 +16,12 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from . import FORMS, all_route_counts, cast_events, read_events, top_n, write_json, write_tsv
+from . import FORMS, all_route_counts, cast_events, read_events, top_n, tsv_lines, write_json, write_tsv
 from .operators.counts import DEFAULT_N
 from .plans import DEFAULT_FORM
-from .schema import ROUTE_COUNTS_SCHEMA
+from .schema import COUNT, ROUTE, ROUTE_COUNTS_SCHEMA
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -46,9 +48,9 @@ def main(argv: list[str] | None = None) -> None:
     counts = all_route_counts(events, form=args.form, seq=args.seq)
     # The pipeline runs once; the sinks get the n rows that it gave.
     rows = top_n(counts, args.n).collect()
-    for row in rows:
-        print(f"{row['route']}\t{row['count']}")
     top = spark.createDataFrame(rows, ROUTE_COUNTS_SCHEMA)
+    for line in tsv_lines(top.orderBy(F.desc(COUNT), F.asc(ROUTE))).collect():
+        print(line["value"])
     if args.json:
         write_json(top, args.json, args.n, mode=args.mode)
     if args.tsv:

@@ -7,13 +7,16 @@ timestamp and the page are present; everything else goes to the rejects.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import RDD, SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import LONG_PATTERN, parse_long
-from ..schema import EVENT_FIELDS, PAGE, SESSION, TS, USER, event_columns
+from ..schema import EVENT_FIELDS, PAGE, SESSION, TS, USER, event_columns, events_schema
+from .headers import by_header
 
 CORRUPT = "_corrupt_record"
 LINE = "value"
@@ -60,18 +63,17 @@ def _reader(spark: SparkSession, quote: str | None):
     return reader if quote is None else reader.option("quote", quote)
 
 
-def read_events_with_rejects(spark: SparkSession, path: str | list[str], seq: str | None = None,
-                             quote: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Typed delimited scan (S1). Returns ``(clean, rejects)``.
+def _both(parts: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame, DataFrame]:
+    """``(clean, rejects)`` of several scans, in one frame each."""
+    clean, rejects = zip(*parts, strict=True)
+    # Rejects keep their own columns; a column that another scan lacks is null there.
+    return (reduce(DataFrame.unionByName, clean),
+            reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rejects))
 
-    Columns are found by their header name, in any order and among others; a
-    missing one raises. All files must have the same header (Spark checks it).
-    Input should be uncompressed or in a splittable codec: a gzip file is
-    read by one task however large it is.
 
-    Wrong field counts land in ``_corrupt_record``; numbers that do not parse
-    and null or empty ids, timestamps and pages are rejected too.
-    """
+def _typed_scan(spark: SparkSession, path: str | list[str], seq: str | None,
+                quote: str | None) -> tuple[DataFrame, DataFrame]:
+    """``(clean, rejects)`` of files with one header."""
     names = _reader(spark, quote).csv(path).columns
     _check_columns(names, seq, path)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
@@ -88,6 +90,25 @@ def read_events_with_rejects(spark: SparkSession, path: str | list[str], seq: st
     return _split_clean(raw, seq, F.col(CORRUPT).isNull())
 
 
+def read_events_with_rejects(spark: SparkSession, path: str | list[str], seq: str | None = None,
+                             quote: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Typed delimited scan (S1). Returns ``(clean, rejects)``.
+
+    Columns are found by their header name, in any order and among others, in
+    every file by its own header (see ``by_header``); a missing one raises.
+    Input should be uncompressed or in a splittable codec: a gzip file is
+    read by one task however large it is.
+
+    Wrong field counts land in ``_corrupt_record``; numbers that do not parse
+    and null or empty ids, timestamps and pages are rejected too.
+    """
+    groups = by_header(spark, path)
+    if not groups:  # no file has a line
+        empty = spark.createDataFrame([], events_schema(seq))
+        return empty, empty.select(F.lit("").alias(CORRUPT)).limit(0)
+    return _both([_typed_scan(spark, files, seq, quote) for _, files in groups])
+
+
 def read_events(spark: SparkSession, path: str | list[str], seq: str | None = None,
                 quote: str | None = None) -> DataFrame:
     return read_events_with_rejects(spark, path, seq, quote)[0]
@@ -166,38 +187,45 @@ def parse_lines_with_rejects(lines: DataFrame, seq: str | None = None, line_col:
     return clean, rejects
 
 
-def parse_lines(lines: DataFrame, seq: str | None = None, line_col: str = LINE) -> DataFrame:
-    return parse_lines_with_rejects(lines, seq, line_col)[0]
+def parse_lines(lines: DataFrame, seq: str | None = None, line_col: str = LINE,
+                header: str | None = None) -> DataFrame:
+    return parse_lines_with_rejects(lines, seq, line_col, header)[0]
 
 
 def read_lines(spark: SparkSession, path: str | list[str], seq: str | None = None) -> DataFrame:
     """Text scan parsed by column expressions (S3 + S4).
 
-    The first line is the header, whose names say where the fields are; every
-    line equal to it is dropped.
+    Every file's first line is its header, whose names say where the fields
+    are (see ``by_header``); lines equal to it are dropped. A name that a
+    header lacks raises.
     """
-    lines = spark.read.text(path)
-    first = lines.first()
-    return parse_lines_with_rejects(lines, seq, header=first[LINE] if first else None)[0]
+    parts = [parse_lines(spark.read.text(files), seq, header=header)
+             for header, files in by_header(spark, path)]
+    return reduce(DataFrame.unionByName, parts or [spark.createDataFrame([], events_schema(seq))])
 
 
-def load_lines_rdd(sc: SparkContext, path: str) -> RDD:
+def load_lines_rdd(sc: SparkContext, path: str | list[str]) -> RDD:
     """RDD facade of S3: 5-string tuples in the canonical order.
 
-    The first line is the header; every line equal to it and lines of another
-    arity are dropped. Names the header lacks are taken by position.
+    Every file's first line is its header; lines equal to it and lines of
+    another arity are dropped. A name that a header lacks raises.
     """
-    lines = sc.textFile(path)
-    header = next(iter(lines.take(1)), header_line())
-    names = header.split(DELIMITER)
-    width = len(names)
-    at = [names.index(c) if c in names else i for i, c in enumerate(EVENT_FIELDS)]
-    return (
-        lines.filter(lambda line: line != header)
-        .map(lambda line: line.split(DELIMITER))
-        .filter(lambda fields: len(fields) == width)
-        .map(lambda fields: tuple(fields[i] for i in at))
-    )
+    spark = SparkSession.builder.getOrCreate()
+
+    def tuples(header: str, files: str | list[str]) -> RDD:
+        names = header.split(DELIMITER)
+        _check_columns(names, None, "the header line")
+        at = [names.index(c) for c in EVENT_FIELDS]
+        return (
+            spark.read.text(files).rdd.map(lambda row: row[0])
+            .filter(lambda line: line != header)
+            .map(lambda line: line.split(DELIMITER))
+            .filter(lambda fields: len(fields) == len(names))
+            .map(lambda fields: tuple(fields[i] for i in at))
+        )
+
+    parts = [tuples(header, files) for header, files in by_header(spark, path)]
+    return sc.union(parts) if parts else sc.emptyRDD()
 
 
 def write_events_tsv(events: DataFrame, path: str, seq: str | None = None,
@@ -208,6 +236,8 @@ def write_events_tsv(events: DataFrame, path: str, seq: str | None = None,
         .write.mode(mode)
         .option("sep", DELIMITER)
         .option("header", "true")
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
         .csv(path)
     )
     return path
