@@ -78,6 +78,8 @@ def secular_roots(d: np.ndarray, z: np.ndarray, rho: float) -> tuple[np.ndarray,
             part = z2 / delta
             slope = part / delta
             f = 1 + part.sum(axis=1)
+            # As near as the sum itself is known: its terms' rounding.
+            done = np.abs(f) <= 4 * EPS * (1 + np.abs(part).sum(axis=1))
             lo, hi = np.where(f < 0, x, lo), np.where(f < 0, hi, x)  # f rises between poles
             low = np.where(low_side, slope, 0).sum(axis=1)
             high = slope.sum(axis=1) - low
@@ -93,10 +95,10 @@ def secular_roots(d: np.ndarray, z: np.ndarray, rho: float) -> tuple[np.ndarray,
         y = x + step
         bad = ~np.isfinite(y) | (y <= lo) | (y >= hi)
         y = np.where(bad, (lo + hi) / 2, y)
-        done = (np.abs(y - x) <= 4 * EPS * np.abs(y)) | (hi - lo <= 2 * EPS * np.abs(y))
-        x = y
+        done |= hi - lo <= 2 * EPS * np.abs(y)
         if done.all():
             break
+        x = np.where(done, x, y)
     return origin, x
 
 
