@@ -23,6 +23,9 @@ from entry_tables import (  # noqa: E402
     damaged_lines,
     dirty_events,
     load_events,
+    mixed_types,
+    odd_pages,
+    odd_sql,
     skewed_events,
     skewed_sql,
 )
@@ -35,10 +38,12 @@ from trailspark import (  # noqa: E402
     cut_window,
     error_events,
     first_error,
+    get_routes,
     load_lines_rdd,
     page_changes,
     read_events,
     read_lines,
+    read_tsv,
     register_events_view,
     route_counts,
     routes_fold,
@@ -50,6 +55,8 @@ from trailspark import (  # noqa: E402
     routes_sorted,
     running_routes,
     session_routes,
+    surviving_changes,
+    top_pairs,
     top_routes,
     top_routes_dict,
     top_routes_rdd_df,
@@ -64,15 +71,18 @@ from trailspark.sources import parse_lines, write_events_tsv  # noqa: E402
 try:  # the training-data operators are optional; nothing else depends on them
     import corpus_pipeline
     from trailspark.llm import queries as llm_queries
-except ImportError:
+except ModuleNotFoundError as e:
+    if e.name not in ("corpus_pipeline", "trailspark.llm"):
+        raise  # they are there, but something that they need is not
     corpus_pipeline = llm_queries = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 N = 10
 # Coarse clock (6 h) over weekly sessions: many events share a timestamp.
 COARSE = {"days": 7, "unit": 21600}
-# Bucket width that cuts a session into many fragments.
+# Bucket widths that cut a session into many fragments, and into one.
 MINUTE = 60
+CENTURY = 100 * 366 * 86400
 
 EVENT_COLS = event_columns(SEQ)
 
@@ -93,6 +103,14 @@ def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_changes(_cut(spark, sf_dir), SEQ)
 
 
+def _survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surviving_changes(_events(spark, sf_dir), SEQ)
+
+
+def _hot_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surviving_changes(_skewed(spark, sf_dir), SEQ)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: top 10 routes on the smallest scale."""
     return top_routes(_events(spark, SMOKE_DIR), N, seq=SEQ)
@@ -116,15 +134,40 @@ def _tsv(spark: SparkSession, sf_dir: str, name: str, read: Callable[[str], Data
     return _from_files(spark, name, lambda p: write_events_tsv(events, p, seq), read)
 
 
+def _reordered(events: DataFrame) -> DataFrame:
+    """The event columns in another order, type and page swapped, and one column more."""
+    return events.selectExpr(
+        "event_page", "'x' AS note", "event_type", "timestamp", "seq", "session_id", "user_id")
+
+
 def _typed_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shuffled = _events(spark, sf_dir).selectExpr(
-        "event_page", "'x' AS note", "timestamp", "seq", "session_id", "event_type", "user_id")
+    shuffled = _reordered(_events(spark, sf_dir))
     return _from_files(
         spark, "reordered",
         lambda p: shuffled.write.option("sep", "\t").option("header", "true").csv(p),
         lambda p: read_events(spark, p, SEQ))
 
 
+def _two_headers(spark: SparkSession, sf_dir: str, name: str,
+                 read: Callable[[str], DataFrame]) -> DataFrame:
+    """What ``read`` gives of one folder whose files have two different headers."""
+    events = _events(spark, sf_dir)
+    odd = F.pmod(F.col(SEQ), F.lit(2)) == 1
+
+    def write(path: str) -> None:
+        write_events_tsv(events.filter(~odd), path, SEQ)
+        (_reordered(events.filter(odd)).write.mode("append")
+         .option("sep", "\t").option("header", "true").csv(path))
+
+    return _from_files(spark, name, write, read)
+
+
+def _rdd_frame(spark: SparkSession, path: str) -> DataFrame:
+    """The tuples of the RDD reader, all text."""
+    return spark.createDataFrame(load_lines_rdd(spark.sparkContext, path),
+                                 ", ".join(f"{c} string" for c in event_columns()))
+
+
 def _view_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     def read(path: str) -> DataFrame:
         register_events_view(spark, path, "typed_clicks", SEQ)
@@ -134,9 +177,12 @@ def _view_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rdd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = event_columns()
-    return _tsv(spark, sf_dir, "rdd-lines", lambda p: spark.createDataFrame(
-        load_lines_rdd(spark.sparkContext, p), ", ".join(f"{c} string" for c in names)))
+    return _tsv(spark, sf_dir, "rdd-lines", lambda p: _rdd_frame(spark, p))
+
+
+def _rdd_tuples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tsv(spark, sf_dir, "rdd-tuples", lambda p: spark.createDataFrame(
+        top_pairs(get_routes(load_lines_rdd(spark.sparkContext, p)), N), ROUTE_COUNTS_SCHEMA))
 
 
 def _as_strings(events: DataFrame) -> DataFrame:
@@ -163,16 +209,20 @@ def _top_rdd_path(spark: SparkSession, sf_dir: str) -> DataFrame:
         top_routes_rdd_path(spark, p, N, SEQ), ROUTE_COUNTS_SCHEMA), SEQ)
 
 
+def _top_sql_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed_types(dirty_events(_events(spark, sf_dir))).createOrReplaceTempView("mixed_clicks")
+    return top_routes_sql(spark, "mixed_clicks", N, seq=SEQ)
+
+
 def _routes_dict(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = all_route_counts(_events(spark, sf_dir), seq=SEQ)
     return spark.createDataFrame(list(top_routes_dict(counts, N).items()), ROUTE_COUNTS_SCHEMA)
 
 
-def _routes_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = all_route_counts(_events(spark, sf_dir), seq=SEQ)
-    return _from_files(
-        spark, "routes-tsv", lambda p: write_tsv(counts, p),
-        lambda p: spark.read.schema(ROUTE_COUNTS_SCHEMA).option("sep", "\t").csv(p))
+def _routes_tsv(spark: SparkSession, events: DataFrame) -> DataFrame:
+    counts = all_route_counts(events, seq=SEQ)
+    return _from_files(spark, "routes-tsv", lambda p: write_tsv(counts, p),
+                       lambda p: read_tsv(spark, p))
 
 
 def _dirty_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,9 +234,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "typed_events": lambda s, d: _tsv(s, d, "typed", lambda p: read_events(s, p)),
         "typed_events_reordered": _typed_reordered,
+        "typed_events_two_headers": lambda s, d: _two_headers(
+            s, d, "typed-two", lambda p: read_events(s, p, SEQ)),
         "view_events": _view_events,
         "read_lines": lambda s, d: _tsv(s, d, "lines", lambda p: read_lines(s, p, SEQ), SEQ),
+        "read_lines_two_headers": lambda s, d: _two_headers(
+            s, d, "lines-two", lambda p: read_lines(s, p, SEQ)),
         "rdd_lines": _rdd_lines,
+        "rdd_lines_two_headers": lambda s, d: _two_headers(
+            s, d, "rdd-two", lambda p: _rdd_frame(s, p)),
         "cast_events": lambda s, d: cast_events(_as_strings(_events(s, d)), SEQ),
         "parsed_lines": _parsed_lines,
         "error_events": lambda s, d: error_events(_events(s, d)),
@@ -196,14 +252,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cut_partition_min": _cut,
         "cut_partition_min_hot": lambda s, d: cut_partition_min(_skewed(s, d), SEQ),
         "cut_join": lambda s, d: cut_join(_events(s, d), SEQ),
+        "cut_join_hot": lambda s, d: cut_join(_skewed(s, d), SEQ),
         "cut_broadcast": lambda s, d: cut_broadcast(_events(s, d), SEQ),
+        "cut_broadcast_hot": lambda s, d: cut_broadcast(_skewed(s, d), SEQ),
         "page_changes": _changes,
         "page_changes_hot": lambda s, d: page_changes(_skewed(s, d), SEQ),
-        "running_routes": lambda s, d: running_routes(_changes(s, d), SEQ),
-        "session_routes_max_array": lambda s, d: routes_max_array(_changes(s, d), SEQ),
-        "session_routes_max_string": lambda s, d: routes_max_string(_changes(s, d), SEQ),
-        "session_routes_sorted": lambda s, d: routes_sorted(_changes(s, d), SEQ),
-        "session_routes_listagg": lambda s, d: routes_listagg(_changes(s, d), SEQ),
+        "surviving_changes": _survivors,
+        "surviving_changes_hot": _hot_survivors,
+        "running_routes": lambda s, d: running_routes(_survivors(s, d), SEQ),
+        "running_routes_hot": lambda s, d: running_routes(_hot_survivors(s, d), SEQ),
+        "session_routes_max_array": lambda s, d: routes_max_array(_survivors(s, d), SEQ),
+        "session_routes_max_array_hot": lambda s, d: routes_max_array(
+            _hot_survivors(s, d), SEQ, CENTURY),
+        "session_routes_max_string": lambda s, d: routes_max_string(_survivors(s, d), SEQ),
+        "session_routes_max_string_hot": lambda s, d: routes_max_string(
+            _hot_survivors(s, d), SEQ, CENTURY),
+        "session_routes_sorted": lambda s, d: routes_sorted(_survivors(s, d), SEQ),
+        "session_routes_listagg": lambda s, d: routes_listagg(_survivors(s, d), SEQ),
         "session_routes_fold": lambda s, d: routes_fold(_events(s, d), SEQ),
         "session_routes_pandas": lambda s, d: routes_pandas(_events(s, d), SEQ),
         "session_routes_hot": lambda s, d: session_routes(_skewed(s, d), seq=SEQ),
@@ -225,16 +290,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_routes_fold": lambda s, d: top_routes(_events(s, d), N, "fold", SEQ, MINUTE),
         "top_routes_windows": lambda s, d: top_routes(_events(s, d), N, "windows", SEQ),
         "top_routes_join": lambda s, d: top_routes(_events(s, d), N, "join", SEQ),
+        "top_routes_windows_hot": lambda s, d: top_routes(_skewed(s, d), N, "windows", SEQ, CENTURY),
+        "top_routes_join_hot": lambda s, d: top_routes(_skewed(s, d), N, "join", SEQ),
         "top_routes_broadcast": lambda s, d: top_routes(_events(s, d), N, "broadcast", SEQ),
+        "top_routes_broadcast_hot": lambda s, d: top_routes(_skewed(s, d), N, "broadcast", SEQ),
         "top_routes_pandas": lambda s, d: top_routes(_events(s, d), N, "pandas", SEQ),
         "top_routes_sql": _top_sql,
         "top_routes_sql_strings": _top_sql_strings,
+        "top_routes_sql_mixed": _top_sql_mixed,
         "top_routes_rdd": lambda s, d: top_routes_rdd_df(_events(s, d), N, SEQ),
+        "top_routes_rdd_hot": lambda s, d: top_routes_rdd_df(_skewed(s, d), N, SEQ),
         "top_routes_rdd_path": _top_rdd_path,
+        "top_routes_rdd_path_two_headers": lambda s, d: _two_headers(
+            s, d, "rdd-path-two", lambda p: s.createDataFrame(
+                top_routes_rdd_path(s, p, N, SEQ), ROUTE_COUNTS_SCHEMA)),
+        "top_routes_rdd_tuples": _rdd_tuples,
         "routes_json": lambda s, d: routes_json(
             route_counts(session_routes(_events(s, d), seq=SEQ)), N),
         "routes_dict": _routes_dict,
-        "routes_tsv": _routes_tsv,
+        "routes_tsv": lambda s, d: _routes_tsv(s, _events(s, d)),
+        "routes_tsv_odd": lambda s, d: _routes_tsv(s, odd_pages(_events(s, d))),
         **(llm_queries.queries() | {"pipeline": corpus_pipeline.run} if llm_queries else {}),
     }
 
@@ -277,17 +352,31 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {ev_x}, prev AS {PREV_PAGE} FROM (SELECT xs[i] AS x, xs[i - 1].event_page AS prev "
         "FROM (SELECT xs, unnest(ix) AS i FROM p) a) u"
     )
+    odd = _pipeline(odd_sql(adapter_sql()))
+    no_seq = _pipeline(adapter_sql(), tie="event_page")
+    top_hot = f"{hot}{top_of} {N}"
+    hot_routes = f"{hot}SELECT user_id, session_id, route FROM r"
     all_kept = _pipeline(skewed_sql(adapter_sql())).replace("et IS NULL OR", "true OR")
     typed = f"{base}SELECT {ev} FROM c"
+    texts = f"{base}SELECT " + ", ".join(
+        f"CAST({c} AS VARCHAR) AS {c}" for c in event_columns()) + " FROM c"
+    running = (
+        "SELECT user_id, session_id, xs[i].timestamp AS timestamp, xs[i].seq AS seq, "
+        "array_to_string(list_transform(list_filter(ix, lambda j: j <= i), "
+        "lambda j: xs[j].event_page), '-') AS route "
+        "FROM (SELECT *, unnest(ix) AS i FROM p) a"
+    )
     clean = DAMAGE_BOUNDS["empty_page"]
     five = ", ".join(event_columns())
     return {
         "typed_events": f"{base}SELECT {five} FROM c",
         "typed_events_reordered": typed,
+        "typed_events_two_headers": typed,
         "view_events": typed,
         "read_lines": typed,
-        "rdd_lines": f"{base}SELECT " + ", ".join(
-            f"CAST({c} AS VARCHAR) AS {c}" for c in event_columns()) + " FROM c",
+        "read_lines_two_headers": typed,
+        "rdd_lines": texts,
+        "rdd_lines_two_headers": texts,
         "cast_events": typed,
         "parsed_lines": (
             f"WITH c AS ({adapter_sql(extra=('value',))}) "
@@ -301,17 +390,19 @@ def oracle_sql() -> dict[str, str]:
         "cut_partition_min": base + cut,
         "cut_partition_min_hot": hot + cut,
         "cut_join": base + cut,
+        "cut_join_hot": hot + cut,
         "cut_broadcast": base + cut,
+        "cut_broadcast_hot": hot + cut,
         "page_changes": base + changed,
         "page_changes_hot": all_kept + changed,
-        "running_routes": (
-            f"{base}SELECT user_id, session_id, xs[i].timestamp AS timestamp, xs[i].seq AS seq, "
-            "array_to_string(list_transform(list_filter(ix, lambda j: j <= i), "
-            "lambda j: xs[j].event_page), '-') AS route "
-            "FROM (SELECT *, unnest(ix) AS i FROM p) a"
-        ),
+        "surviving_changes": base + changed,
+        "surviving_changes_hot": hot + changed,
+        "running_routes": base + running,
+        "running_routes_hot": hot + running,
         "session_routes_max_array": base + routes,
+        "session_routes_max_array_hot": hot_routes,
         "session_routes_max_string": base + routes,
+        "session_routes_max_string_hot": hot_routes,
         "session_routes_sorted": base + routes,
         "session_routes_listagg": base + routes,
         "session_routes_fold": base + routes,
@@ -330,12 +421,19 @@ def oracle_sql() -> dict[str, str]:
         "top_routes_fold": top,
         "top_routes_windows": top,
         "top_routes_join": top,
+        "top_routes_windows_hot": top_hot,
+        "top_routes_join_hot": top_hot,
         "top_routes_broadcast": top,
+        "top_routes_broadcast_hot": top_hot,
         "top_routes_pandas": top,
         "top_routes_sql": top,
         "top_routes_sql_strings": top,
+        "top_routes_sql_mixed": f"{dirty}{top_of} {N}",
         "top_routes_rdd": top,
+        "top_routes_rdd_hot": top_hot,
         "top_routes_rdd_path": top,
+        "top_routes_rdd_path_two_headers": top,
+        "top_routes_rdd_tuples": f"{no_seq}{top_of} {N}",
         "routes_json": (
             f"{base}SELECT '{{' || string_agg('\"' || route || '\":' || count, ',' "
             "ORDER BY count DESC, route) || '}' AS json "
@@ -343,5 +441,6 @@ def oracle_sql() -> dict[str, str]:
         ),
         "routes_dict": top,
         "routes_tsv": base + counts,
+        "routes_tsv_odd": odd + counts,
         **(llm_queries.oracle_sql() if llm_queries else {}),
     }

@@ -135,3 +135,31 @@ def dirty_events(events: DataFrame) -> DataFrame:
 def clean_sql(adapter: str) -> str:
     """The rows of an adapter ``SELECT`` that ``dirty_events`` leaves valid (DuckDB)."""
     return f"SELECT * FROM ({adapter}) a WHERE {SEQ} % 13 NOT IN (0, 1, 2, 3, 4, 5)"
+
+
+# Pages whose names a careless text sink would change: outer blanks, quotes,
+# backslashes, tabs, line feeds.
+ODD_PAGES = {"p0": " main ", "p1": 'a"b\\', "p2": "tab\there\\t", "p3": "l\nf\r"}
+
+
+def odd_pages(events: DataFrame) -> DataFrame:
+    page = F.col(PAGE)
+    for name, odd in ODD_PAGES.items():
+        page = F.when(F.col(PAGE) == name, F.lit(odd)).otherwise(page)
+    return events.withColumn(PAGE, page)
+
+
+def odd_sql(adapter: str) -> str:
+    """``odd_pages`` over an adapter ``SELECT`` (DuckDB)."""
+    def text(odd: str) -> str:
+        return " || ".join(f"chr({ord(c)})" for c in odd)
+
+    cases = " ".join(f"WHEN '{name}' THEN {text(odd)}" for name, odd in ODD_PAGES.items())
+    return f"""SELECT {USER}, {SESSION}, {TYPE}, CASE {PAGE} {cases} ELSE {PAGE} END AS {PAGE}, {TS}, {SEQ}
+FROM ({adapter}) a"""
+
+
+def mixed_types(events: DataFrame) -> DataFrame:
+    """User and tie-break as text (``bad`` where there is none), the rest as it is."""
+    return events.withColumns({
+        c: F.coalesce(F.col(c).cast("string"), F.lit("bad")) for c in (USER, SEQ)})

@@ -23,6 +23,7 @@ from .operators import (  # noqa: E402
     error_events,
     first_error,
     page_changes,
+    surviving_changes,
     route_counts,
     routes_fold,
     routes_listagg,
@@ -38,7 +39,9 @@ from .operators import (  # noqa: E402
 from .plans import (  # noqa: E402
     FORMS,
     all_route_counts,
+    get_routes,
     session_routes,
+    top_pairs,
     top_routes,
     top_routes_rdd,
     top_routes_rdd_df,
@@ -66,6 +69,7 @@ __all__ = [
     "cut_window",
     "error_events",
     "first_error",
+    "get_routes",
     "load_lines_rdd",
     "page_changes",
     "parse_lines",
@@ -85,7 +89,9 @@ __all__ = [
     "routes_window",
     "running_routes",
     "session_routes",
+    "surviving_changes",
     "top_n",
+    "top_pairs",
     "top_routes",
     "top_routes_dict",
     "top_routes_rdd",

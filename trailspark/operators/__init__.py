@@ -1,7 +1,7 @@
 """Lazy ``DataFrame -> DataFrame`` operators of the route pipeline."""
 
 from .buckets import stitch, valid_events, with_bucket
-from .collapse import page_changes
+from .collapse import page_changes, surviving_changes
 from .counts import DEFAULT_N, route_counts, top_n
 from .cut import (
     cut_broadcast,
@@ -13,6 +13,7 @@ from .cut import (
 )
 from .pandas_fold import routes_pandas
 from .paths import (
+    fragments,
     routes_fold,
     routes_listagg,
     routes_max_array,
@@ -30,6 +31,7 @@ __all__ = [
     "cut_window",
     "error_events",
     "first_error",
+    "fragments",
     "page_changes",
     "route_counts",
     "routes_fold",
@@ -41,6 +43,7 @@ __all__ = [
     "routes_window",
     "running_routes",
     "stitch",
+    "surviving_changes",
     "top_n",
     "valid_events",
     "with_bucket",

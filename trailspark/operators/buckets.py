@@ -8,12 +8,14 @@ from a table with one row per bucket. The width is a parameter that changes
 no result.
 
 What stays in one task: the distinct events of one session inside one width,
-and one small row per bucket of a session.
+and one small row per bucket of a session. Rows with a null id (which the
+readers reject, and whole queries filter) are one bucket, null, as no equality
+finds their other buckets again; drop them first if there are many.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import collapse_repeats, is_error, join_route
@@ -37,7 +39,9 @@ def valid_events(events: DataFrame, seq: str | None = None) -> DataFrame:
 
 
 def with_bucket(events: DataFrame, width: int = BUCKET_SECONDS) -> DataFrame:
-    return events.withColumn(BUCKET, F.col(TS) - F.pmod(F.col(TS), F.lit(width)))
+    start = F.col(TS) - F.pmod(F.col(TS), F.lit(width))
+    whole = F.col(USER).isNotNull() & F.col(SESSION).isNotNull()
+    return events.withColumn(BUCKET, F.when(whole, start))
 
 
 def slim_events(events: DataFrame, seq: str | None, width: int) -> DataFrame:
@@ -70,6 +74,11 @@ def kept_pages(entries: Column, cut: str | None = CUT) -> Column:
     return F.transform(kept, lambda x: x[PAGE])
 
 
+def earlier_buckets() -> WindowSpec:
+    """The session's buckets before each bucket, over a table with one row per bucket."""
+    return Window.partitionBy(*KEY).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+
+
 def stitch(fragments: DataFrame) -> DataFrame:
     """``user_id, session_id, route`` from ``(key, bucket, cut, pages)`` fragments.
 

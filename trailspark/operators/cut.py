@@ -10,19 +10,24 @@ Four equivalent forms:
 * ``cut_broadcast`` — the same join; AQE broadcasts the error table when its
   measured size allows, or always if the caller vouches for its size.
 
-The window forms run per time bucket (see ``buckets``) and take what earlier
-buckets found from a table with one row per bucket, so a session of any
-length is spread over tasks.
+All but ``cut_broadcast`` run per time bucket (see ``buckets``): a table with
+one row per bucket says what earlier buckets of the session found, and rows
+are joined with it by ``(session, bucket)``, so a session of any length is
+spread over tasks. ``cut_broadcast`` joins by session: with a small error
+table no row moves, beyond that AQE splits the partition of a long session.
+
+The joins are by equality, so rows with a null id have no cut in the join
+forms; the window forms treat equal ids, nulls included, as one session.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import is_error
 from ..schema import BUCKET_SECONDS, ERROR_TS, KEY, TS, order_columns
-from .buckets import BUCKET, BUCKET_KEY, CUT, with_bucket
+from .buckets import BUCKET_KEY, CUT, earlier_buckets, with_bucket
 
 _COUNT, _BEFORE = "__trail_errors", "__trail_before"
 
@@ -41,18 +46,32 @@ def first_error(events: DataFrame) -> DataFrame:
     return error_events(events).groupBy(*KEY).agg(F.min(TS).alias(ERROR_TS))
 
 
-def _from_earlier(rows: DataFrame, of_bucket, over_earlier) -> DataFrame:
-    """``rows`` joined with what the session's earlier buckets hold, as ``_BEFORE``."""
-    earlier = (
-        Window.partitionBy(*KEY).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    )
+def _from_earlier(rows: DataFrame, of_bucket: Column, over_earlier) -> DataFrame:
+    """``rows`` joined with what the session's earlier buckets hold, as ``_BEFORE``.
+
+    The table reads the columns of keys, time and type only, and is combined
+    before its shuffle.
+    """
     table = (
         rows.groupBy(*BUCKET_KEY).agg(of_bucket.alias(_BEFORE))
-        .select(*BUCKET_KEY, over_earlier(F.col(_BEFORE)).over(earlier).alias(_BEFORE))
+        .select(*BUCKET_KEY, over_earlier(F.col(_BEFORE)).over(earlier_buckets()).alias(_BEFORE))
     )
     return rows.join(table, list(BUCKET_KEY), "left")
 
 
+def _error_time() -> Column:
+    return F.when(is_error(), F.col(TS))
+
+
+def first_error_by_bucket(rows: DataFrame) -> DataFrame:
+    """``(user_id, session_id, bucket, cut)``: the first error of the session up to each of
+    its buckets, where there is one (A1, spread over the buckets of ``rows``)."""
+    found = rows.groupBy(*BUCKET_KEY).agg(F.min(_error_time()).alias(CUT))
+    before = F.min(CUT).over(earlier_buckets())
+    return (found.select(*BUCKET_KEY, F.least(CUT, before).alias(CUT))
+            .filter(F.col(CUT).isNotNull()))
+
+
 def cut_window(events: DataFrame, seq: str | None = None,
                width: int = BUCKET_SECONDS) -> DataFrame:
     """Keep rows whose running error count is 0 over a RANGE frame by time."""
@@ -78,7 +97,7 @@ def cut_partition_min(events: DataFrame, seq: str | None = None,
         .orderBy(*order_columns(seq))
         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     )
-    at = F.when(is_error(), F.col(TS))
+    at = _error_time()
     rows = _from_earlier(with_bucket(events, width), F.min(at), F.min)
     return (
         rows.withColumn(CUT, F.least(F.min(at).over(w), F.col(_BEFORE)))
@@ -87,26 +106,32 @@ def cut_partition_min(events: DataFrame, seq: str | None = None,
     )
 
 
-def _cut_by(events: DataFrame, errors: DataFrame) -> DataFrame:
-    errors = errors.withColumnRenamed(ERROR_TS, CUT)
+def _before_cut(rows: DataFrame, cuts: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """``rows`` left joined with their cut, and the rows before it."""
     return (
-        events.join(errors, list(KEY), "left")
+        rows.join(cuts, list(key), "left")
         .filter(F.col(CUT).isNull() | (F.col(TS) < F.col(CUT)))
-        .select(*events.columns)
+        .drop(CUT)
     )
 
 
-def cut_join(events: DataFrame, seq: str | None = None) -> DataFrame:
+def cut_rows(rows: DataFrame) -> DataFrame:
+    """The rows of a frame with its bucket column before their session's first error."""
+    return _before_cut(rows, first_error_by_bucket(rows), BUCKET_KEY)
+
+
+def cut_join(events: DataFrame, seq: str | None = None,
+             width: int = BUCKET_SECONDS) -> DataFrame:
     """Left outer join with the first-error table, then ``ts < error_ts``."""
-    return _cut_by(events, first_error(events))
+    return cut_rows(with_bucket(events, width)).select(*events.columns)
 
 
 def cut_broadcast(events: DataFrame, seq: str | None = None, hint: bool = False) -> DataFrame:
-    """``cut_join`` as a broadcast join.
+    """The join by session, made to be broadcast.
 
     The error table grows with the sessions, so its size is left to AQE, which
     broadcasts it when its measured bytes are within the session's threshold.
     ``hint=True`` broadcasts it whatever it measures.
     """
-    errors = first_error(events)
-    return _cut_by(events, F.broadcast(errors) if hint else errors)
+    errors = first_error(events).withColumnRenamed(ERROR_TS, CUT)
+    return _before_cut(events, F.broadcast(errors) if hint else errors, KEY).select(*events.columns)

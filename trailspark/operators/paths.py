@@ -2,11 +2,13 @@
 
 Building blocks over page-change rows (already cut and collapsed):
 
-* ``running_routes`` — running list of pages per row (W3). Its output is
+* ``running_routes`` — running list of pages per row (W3): the list inside a
+  time bucket, after the pages of the session's earlier buckets. Its output is
   quadratic in the session length by definition; nothing else here uses it.
 * ``routes_max_array`` / ``routes_max_string`` — the reference's window forms:
   the longest running list / string is the route (A2, A3). The running lists
-  exist per time bucket only, so they are quadratic in a bucket's changes.
+  exist per block of ``BLOCK`` changes of a bucket, so they are linear in its
+  changes.
 * ``routes_sorted`` — collect ``(order, page)`` structs, ``array_sort``, take
   the pages (A4, K5, X2-X4).
 * ``routes_listagg`` — the same with an ordered string aggregate.
@@ -17,13 +19,13 @@ Whole-pipeline forms over raw events:
   events), then array functions only: sort, cut, collapse, join.
 * ``routes_window`` — window-min cut and ``lag`` in one window pass per bucket.
 
-All but ``running_routes`` work per time bucket and stitch a session's
-fragments (see ``buckets``), so no session is held by one task.
+All work per time bucket and put a session's fragments together (see
+``buckets``), so no session's events are held by one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import collapse_repeats, join_route
@@ -34,6 +36,7 @@ from .buckets import (
     CUT,
     PAGES,
     distinct_events,
+    earlier_buckets,
     error_time,
     event_entry,
     kept_pages,
@@ -42,60 +45,105 @@ from .buckets import (
     with_bucket,
 )
 
-_XS = "__trail_xs"
+_XS, _LAST, _BEFORE = "__trail_xs", "__trail_last", "__trail_before"
+BLOCK_NUMBER = "__trail_block"
 
+# Rows of a bucket that share their running lists, which are quadratic in this.
+BLOCK = 64
 
-def _running(key: tuple[str, ...], seq: str | None):
-    return (
-        Window.partitionBy(*key)
-        .orderBy(*order_columns(seq))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+
+def _ordered(key: tuple[str, ...], seq: str | None) -> WindowSpec:
+    return Window.partitionBy(*key).orderBy(*order_columns(seq))
 
 
 def _uncut(fragments: DataFrame) -> DataFrame:
     return fragments.withColumn(CUT, F.lit(None).cast("bigint"))
 
 
-def _joined(pieces: DataFrame) -> DataFrame:
-    """Routes from one route piece per bucket, joined in bucket order."""
-    parts = F.array_sort(F.collect_list(F.struct(BUCKET, ROUTE)))
+def _joined(pieces: DataFrame, *place: str) -> DataFrame:
+    """Routes from pieces of one, joined in the order of the columns ``place``."""
+    parts = F.array_sort(F.collect_list(F.struct(*place, ROUTE)))
     return pieces.groupBy(*KEY).agg(parts.alias(_XS)).select(
         *KEY, F.concat_ws(SEPARATOR, F.transform(_XS, lambda x: x[ROUTE])).alias(ROUTE))
 
 
-def running_routes(changes: DataFrame, seq: str | None = None) -> DataFrame:
-    """Route so far at every page change: ``user_id, session_id, timestamp[, seq], route``."""
-    keep = [USER, SESSION, TS] + ([seq] if seq else [])
-    return changes.select(
-        *keep, join_route(F.collect_list(PAGE).over(_running(KEY, seq))).alias(ROUTE))
+def with_block(rows: DataFrame, seq: str | None) -> DataFrame:
+    """The number of each row's block of ``BLOCK`` rows in its bucket."""
+    number = F.row_number().over(_ordered(BUCKET_KEY, seq))
+    return rows.withColumn(BLOCK_NUMBER, F.floor((number - 1) / BLOCK))
+
+
+def running_in_block(page: Column, seq: str | None) -> Column:
+    """Running list of ``page`` (nulls left out) over the block up to each row."""
+    w = _ordered((*BUCKET_KEY, BLOCK_NUMBER), seq).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return F.collect_list(page).over(w)
+
+
+def blocks_joined(blocks: DataFrame, *also: Column) -> DataFrame:
+    """``PAGES`` per bucket from one list per block, and the aggregates ``also``."""
+    parts = F.array_sort(F.collect_list(F.struct(BLOCK_NUMBER, PAGES)))
+    lists = F.transform(_XS, lambda x: x[PAGES])
+    return (blocks.groupBy(*BUCKET_KEY).agg(parts.alias(_XS), *also)
+            .withColumn(PAGES, F.flatten(lists)).drop(_XS))
+
+
+def running_routes(changes: DataFrame, seq: str | None = None,
+                   width: int = BUCKET_SECONDS) -> DataFrame:
+    """Route so far at every page change: ``user_id, session_id, timestamp[, seq], route``.
+
+    A prefix scan by bucket: the running list inside the bucket, and, from a
+    table with one row per bucket, the pages of the session's earlier buckets.
+    A session is spread over tasks like any other rows; the routes themselves
+    stay quadratic in its changes, as every row carries its own.
+    """
+    order = _ordered(BUCKET_KEY, seq)
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    keep = dict.fromkeys([*KEY, *order_columns(seq), PAGE])
+    inside = with_bucket(changes, width).select(*keep, BUCKET).withColumns({
+        ROUTE: join_route(F.collect_list(PAGE).over(running)),
+        _LAST: F.lead(F.lit(1)).over(order).isNull(),
+    })
+    # A bucket's last row has the whole bucket.
+    before = (
+        inside.filter(_LAST)
+        .select(*BUCKET_KEY, join_route(F.collect_list(ROUTE).over(earlier_buckets())).alias(_BEFORE))
+        .filter(F.col(_BEFORE) != F.lit(""))
+    )
+    out = [USER, SESSION, TS] + ([seq] if seq else [])
+    return inside.join(before, list(BUCKET_KEY), "left").select(
+        *out, F.concat_ws(SEPARATOR, _BEFORE, ROUTE).alias(ROUTE))
 
 
 def routes_max_array(changes: DataFrame, seq: str | None = None,
                      width: int = BUCKET_SECONDS) -> DataFrame:
     """Longest running page list (A2): running lists are prefixes of the last one."""
-    running = F.collect_list(PAGE).over(_running(BUCKET_KEY, seq))
-    return stitch(_uncut(
-        with_bucket(changes, width).withColumn(PAGES, running)
-        .groupBy(*BUCKET_KEY).agg(F.max(PAGES).alias(PAGES))))
+    running = with_block(with_bucket(changes, width), seq).withColumn(
+        PAGES, running_in_block(F.col(PAGE), seq))
+    blocks = running.groupBy(*BUCKET_KEY, BLOCK_NUMBER).agg(F.max(PAGES).alias(PAGES))
+    return stitch(_uncut(blocks_joined(blocks)))
 
 
 def routes_max_string(changes: DataFrame, seq: str | None = None,
                       width: int = BUCKET_SECONDS) -> DataFrame:
     """Longest running route string (A3): a prefix sorts below its extensions."""
-    running = join_route(F.collect_list(PAGE).over(_running(BUCKET_KEY, seq)))
+    running = with_block(with_bucket(changes, width), seq).withColumn(
+        ROUTE, join_route(running_in_block(F.col(PAGE), seq)))
     return _joined(
-        with_bucket(changes, width).withColumn(ROUTE, running)
-        .groupBy(*BUCKET_KEY).agg(F.max(ROUTE).alias(ROUTE)))
+        running.groupBy(*BUCKET_KEY, BLOCK_NUMBER).agg(F.max(ROUTE).alias(ROUTE)), BUCKET, BLOCK_NUMBER)
+
+
+def sorted_in_buckets(rows: DataFrame, seq: str | None) -> DataFrame:
+    """Fragments of rows with their bucket: ``(order, page)`` structs, collected and sorted."""
+    return _uncut(
+        rows.groupBy(*BUCKET_KEY).agg(F.array_sort(F.collect_list(event_entry(seq))).alias(_XS))
+        .select(*BUCKET_KEY, kept_pages(F.col(_XS), None).alias(PAGES)))
 
 
 def routes_sorted(changes: DataFrame, seq: str | None = None,
                   width: int = BUCKET_SECONDS) -> DataFrame:
     """Collect ``(order, page)`` structs, sort the array, join the pages."""
-    return stitch(_uncut(
-        with_bucket(changes, width).groupBy(*BUCKET_KEY)
-        .agg(F.array_sort(F.collect_list(event_entry(seq))).alias(_XS))
-        .select(*BUCKET_KEY, kept_pages(F.col(_XS), None).alias(PAGES))))
+    return stitch(sorted_in_buckets(with_bucket(changes, width), seq))
 
 
 def routes_listagg(changes: DataFrame, seq: str | None = None,
@@ -104,22 +152,29 @@ def routes_listagg(changes: DataFrame, seq: str | None = None,
     order = ", ".join(f"`{c}`" for c in order_columns(seq))
     route = F.expr(f"listagg(`{PAGE}`, '{SEPARATOR}') WITHIN GROUP (ORDER BY {order})")
     return _joined(
-        with_bucket(changes, width).groupBy(*BUCKET_KEY).agg(route.alias(ROUTE)))
+        with_bucket(changes, width).groupBy(*BUCKET_KEY).agg(route.alias(ROUTE)), BUCKET)
 
 
-def routes_fold(events: DataFrame, seq: str | None = None,
-                width: int = BUCKET_SECONDS) -> DataFrame:
-    """Cut, collapse and join per bucket with array functions only (U1, native form).
+def fragments(events: DataFrame, seq: str | None = None,
+              width: int = BUCKET_SECONDS) -> DataFrame:
+    """``user_id, session_id, bucket, cut, pages`` per bucket: its first error time, and its
+    collapsed pages before that.
 
-    One aggregate per bucket gives the first error time and the set of events;
-    sets are combined before the shuffle, so copies of an event cost nothing.
+    One aggregate gives the error time and the set of events; sets are combined
+    before the shuffle, so copies of an event cost nothing.
     """
     per_bucket = slim_events(events, seq, width).groupBy(*BUCKET_KEY).agg(
         error_time().alias(CUT), F.collect_set(event_entry(seq)).alias(_XS))
     # The page array is a column of its own: ``collapse_repeats`` reads it twice.
     pages = per_bucket.select(
         *BUCKET_KEY, CUT, kept_pages(F.array_sort(_XS)).alias(PAGES))
-    return stitch(pages.withColumn(PAGES, collapse_repeats(PAGES)))
+    return pages.withColumn(PAGES, collapse_repeats(PAGES))
+
+
+def routes_fold(events: DataFrame, seq: str | None = None,
+                width: int = BUCKET_SECONDS) -> DataFrame:
+    """Cut, collapse and join per bucket with array functions only (U1, native form)."""
+    return stitch(fragments(events, seq, width))
 
 
 def routes_window(events: DataFrame, seq: str | None = None,

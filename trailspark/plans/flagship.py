@@ -7,15 +7,19 @@ Forms (all give the same table; see tests/test_cross_forms.py):
             array functions only (default)
 ``window``  window-min cut + ``lag`` in one window pass over one sort
 ``windows`` the reference's DataFrame shape: running error sum (RANGE frame),
-            ``lag``, running ``collect_list``, ``max`` of the lists
-``join``    first-error aggregate, left outer join, ``lag``, collect + sort
-``broadcast`` as ``join``; AQE broadcasts the error table by measured size
+            ``lag``, running ``collect_list`` per block, ``max`` of the lists
+``join``    first-error aggregate, left outer join by bucket, ``lag``, collect
+            + sort
+``broadcast`` the join by session, which AQE broadcasts by the error table's
+            measured size, and one exchange by bucket after it
 ``pandas``  cluster + sort by bucket, vectorized ``mapInPandas`` fold
 =========== ===================================================================
 
 Every form filters the input by one rule (``valid_events``), works per time
-bucket and stitches a session's fragments. ``width`` (seconds) is the bucket
-width; it changes no result.
+bucket and stitches a session's fragments; a session's events never meet in
+one task. (In ``broadcast`` the join is by session: a broadcast moves no event,
+and without one AQE splits the joined partition, which nothing after it needs
+whole.) ``width`` (seconds) is the bucket width; it changes no result.
 """
 
 from __future__ import annotations
@@ -35,12 +39,21 @@ from ..operators.buckets import (
     slim_events,
     stitch,
     valid_events,
+    with_bucket,
 )
-from ..operators.collapse import bucket_changes
+from ..operators.collapse import changes_in_buckets
 from ..operators.counts import DEFAULT_N, route_counts, top_n
-from ..operators.cut import cut_broadcast, cut_join
+from ..operators.cut import cut_broadcast, cut_rows
 from ..operators.pandas_fold import routes_pandas
-from ..operators.paths import routes_fold, routes_sorted, routes_window
+from ..operators.paths import (
+    BLOCK_NUMBER,
+    blocks_joined,
+    routes_fold,
+    routes_window,
+    running_in_block,
+    sorted_in_buckets,
+    with_block,
+)
 from ..schema import BUCKET_SECONDS, PAGE, TS, order_columns
 
 RouteForm = Callable[[DataFrame, "str | None", int], DataFrame]
@@ -50,8 +63,8 @@ def _windows(events: DataFrame, seq: str | None, width: int) -> DataFrame:
     """The reference's three windows (running error sum, ``lag``, running list) per bucket.
 
     ``lag`` (ordered by the full order) is computed before the RANGE error
-    sum (ordered by time only), so one sort serves both; the running list then
-    reuses the same order. The lists are quadratic in a bucket's page changes.
+    sum (ordered by time only), so one sort serves both. The running lists are
+    per block of a bucket, and the longest ones of its blocks make its pages.
     """
     ordered = Window.partitionBy(*BUCKET_KEY).orderBy(*order_columns(seq))
     by_time = (
@@ -61,26 +74,33 @@ def _windows(events: DataFrame, seq: str | None, width: int) -> DataFrame:
     )
     prev, errors = "__trail_prev", "__trail_errors"
     marked = (
-        distinct_events(slim_events(events, seq, width))
+        with_block(distinct_events(slim_events(events, seq, width)), seq)
         .withColumn(prev, F.lag(PAGE).over(ordered))
         .withColumn(errors, F.sum(F.when(F.col(ERR), 1).otherwise(0)).over(by_time))
     )
     change = (F.col(errors) == 0) & (F.col(prev).isNull() | (F.col(PAGE) != F.col(prev)))
-    running = F.collect_list(F.when(change, F.col(PAGE))).over(
-        ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return stitch(
-        marked.withColumn(PAGES, running).groupBy(*BUCKET_KEY)
-        .agg(error_time().alias(CUT), F.max(PAGES).alias(PAGES)))
+    blocks = (
+        marked.withColumn(PAGES, running_in_block(F.when(change, F.col(PAGE)), seq))
+        .groupBy(*BUCKET_KEY, BLOCK_NUMBER)
+        .agg(error_time().alias(CUT), F.max(PAGES).alias(PAGES))
+    )
+    return stitch(blocks_joined(blocks, F.min(CUT).alias(CUT)))
+
+
+def _changed(cut: DataFrame, seq: str | None) -> DataFrame:
+    """Routes from the cut rows with their bucket: changes per bucket, collected and sorted."""
+    return stitch(sorted_in_buckets(changes_in_buckets(cut, seq), seq))
 
 
 def _join(events: DataFrame, seq: str | None, width: int) -> DataFrame:
-    cut = cut_join(valid_events(events, seq), seq)
-    return routes_sorted(bucket_changes(cut, seq, width), seq, width)
+    return _changed(cut_rows(with_bucket(valid_events(events, seq), width)), seq)
 
 
 def _broadcast(events: DataFrame, seq: str | None, width: int) -> DataFrame:
-    cut = cut_broadcast(valid_events(events, seq), seq)
-    return routes_sorted(bucket_changes(cut, seq, width), seq, width)
+    # The exchange is explicit: the join's own partitioning by session would
+    # serve the window, too, and hold a long session in one task.
+    cut = with_bucket(cut_broadcast(valid_events(events, seq), seq), width)
+    return _changed(cut.repartition(*BUCKET_KEY), seq)
 
 
 FORMS: dict[str, RouteForm] = {

@@ -1,79 +1,143 @@
-"""RDD facade of the route query (Q7): key by session, fold each session in Python, count.
+"""RDD facade of the route query (Q7): fold buckets, merge their states by session, count.
 
-Kept for API parity with code written against the RDD interface. The cut and
-the collapse run on the DataFrame side first, so only page changes (and one
-row per time bucket) reach Python. The result is the top
-``n`` list, ordered by count then route.
+A session is put together from states that merge in any order and grouping: the
+first bucket with an error, and the collapsed pages of each bucket up to
+that one. What lies behind an error is dropped wherever two states meet. Events
+are folded per ``(session, bucket)`` before that, so no list of a whole
+session's events exists anywhere; what grows with a session is its route.
+
+* ``route_pairs_rdd`` takes a frame: Spark's own aggregates fold the buckets,
+  and one row per bucket reaches Python.
+* ``get_routes`` takes an RDD of 5-string tuples, as ``load_lines_rdd`` gives, and
+  folds the buckets in Python.
+
+The result is the top ``n`` list, ordered by count then route.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
 from operator import add
 
+from pyspark import RDD
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..operators.buckets import valid_events
-from ..operators.collapse import bucket_changes
+from ..functions.exprs import ERROR_WORD, LONG_PATTERN
+from ..operators.buckets import BUCKET, CUT, PAGES
 from ..operators.counts import DEFAULT_N
-from ..operators.cut import cut_join
-from ..schema import (
-    BUCKET_SECONDS,
-    PAGE,
-    ROUTE_COUNTS_SCHEMA,
-    SEPARATOR,
-    SESSION,
-    TS,
-    TYPE,
-    USER,
-    order_columns,
-)
-
-
-def fold_session(events: list[tuple]) -> str:
-    """Route of one session from ``(timestamp, tie, page, is_error)`` tuples."""
+from ..operators.paths import fragments
+from ..schema import BUCKET_SECONDS, ROUTE_COUNTS_SCHEMA, SEPARATOR, SESSION, USER
+
+#: ``(first bucket with an error or None, {bucket: pages})``
+State = tuple["int | None", dict[int, tuple[str, ...]]]
+
+
+def collapsed(pages: Iterable[str]) -> list[str]:
+    out: list[str] = []
+    for page in pages:
+        if not out or out[-1] != page:
+            out.append(page)
+    return out
+
+
+def fold_bucket(events: Iterable[tuple]) -> tuple[int | None, tuple[str, ...]]:
+    """First error time and collapsed pages before it, from ``(timestamp, tie, page,
+    is_error)`` tuples in any order (U1)."""
     events = sorted(events)
     error_ts = min((e[0] for e in events if e[3]), default=None)
-    route: list[str] = []
-    for ts, _, page, _ in events:
-        if error_ts is not None and ts >= error_ts:
-            break
-        if not route or route[-1] != page:
-            route.append(page)
-    return SEPARATOR.join(route)
+    return error_ts, tuple(collapsed(e[2] for e in events if error_ts is None or e[0] < error_ts))
+
+
+def fold_session(events: Iterable[tuple]) -> str:
+    """Route of one session's ``(timestamp, tie, page, is_error)`` tuples."""
+    return SEPARATOR.join(fold_bucket(events)[1])
 
 
-def _append(acc: list, value: tuple) -> list:
-    acc.append(value)
-    return acc
+def bucket_state(bucket: int, error_ts: int | None, pages: Iterable[str]) -> State:
+    return (None if error_ts is None else bucket), {bucket: tuple(pages)}
 
 
-def _extend(a: list, b: list) -> list:
-    a.extend(b)
-    return a
+def merge_states(a: State, b: State) -> State:
+    """Both states in one; associative and commutative. The larger one takes the other in."""
+    if len(a[1]) < len(b[1]):
+        a, b = b, a
+    stops = [s for s in (a[0], b[0]) if s is not None]
+    stop = min(stops, default=None)
+    kept = a[1]
+    if stop is not None and stop != a[0]:
+        kept = {k: v for k, v in kept.items() if k <= stop}
+    for k, v in b[1].items():
+        if stop is None or k <= stop:
+            kept[k] = v
+    return stop, kept
 
 
-def route_pairs_rdd(events: DataFrame, seq: str | None = None, width: int = BUCKET_SECONDS):
-    """``(route, 1)`` pairs via ``aggregateByKey`` + Python fold of page changes."""
-    cols = dict.fromkeys([USER, SESSION, TYPE, *order_columns(seq), PAGE])
-    cut = cut_join(valid_events(events, seq).select(*cols), seq)
-    changes = bucket_changes(cut, seq, width)
-    tie = order_columns(seq)[1]
+def state_route(state: State) -> str:
+    stop, parts = state
+    pages = (p for k in sorted(parts) if stop is None or k <= stop for p in parts[k])
+    return SEPARATOR.join(collapsed(pages))
+
+
+def _routes(states: RDD) -> RDD:
+    """``(route, 1)`` per session from ``(session, state)`` pairs; states combine map-side."""
     return (
-        changes.select(USER, SESSION, TS, F.col(tie), PAGE)
-        .rdd.map(lambda r: ((r[0], r[1]), (r[2], r[3], r[4], False)))
-        .aggregateByKey([], _append, _extend)
-        .mapValues(fold_session)
+        states.reduceByKey(merge_states)
+        .mapValues(state_route)
         .filter(lambda kv: kv[1] != "")
         .map(lambda kv: (kv[1], 1))
     )
 
 
+def route_pairs_rdd(events: DataFrame, seq: str | None = None, width: int = BUCKET_SECONDS) -> RDD:
+    """``(route, 1)`` pairs of a frame's sessions."""
+    return _routes(
+        fragments(events, seq, width).select(USER, SESSION, BUCKET, CUT, PAGES)
+        .rdd.map(lambda r: ((r[0], r[1]), bucket_state(r[2], r[3], r[4]))))
+
+
+def get_routes(records: RDD, width: int = BUCKET_SECONDS) -> RDD:
+    """``(route, 1)`` pairs from 5-string tuples ``(user, session, type, page, timestamp)``.
+
+    By the readers' rule: records with an id or time that is no number, or
+    without a page, are left out. Ties go by page. A bucket's distinct events
+    are one set, combined map-side.
+    """
+    number = re.compile(LONG_PATTERN.rstrip("$") + r"\Z")
+    limit = 1 << 63
+
+    def keyed(record: tuple) -> list[tuple]:
+        user, session, kind, page, ts = record
+        if not page or not all(x and number.match(x) for x in (user, session, ts)):
+            return []
+        u, s, t = int(user), int(session), int(ts)
+        if not all(-limit <= x < limit for x in (u, s, t)):
+            return []
+        return [((u, s, t - t % width), (t, page, page, ERROR_WORD in (kind or "").lower()))]
+
+    def add_event(acc: set, event: tuple) -> set:
+        acc.add(event)
+        return acc
+
+    def union(a: set, b: set) -> set:
+        a |= b
+        return a
+
+    return _routes(
+        records.flatMap(keyed)
+        .combineByKey(lambda event: {event}, add_event, union)
+        .map(lambda kv: (kv[0][:2], bucket_state(kv[0][2], *fold_bucket(kv[1])))))
+
+
+def top_pairs(pairs: RDD, n: int = DEFAULT_N) -> list[tuple[str, int]]:
+    """Top ``n`` ``(route, count)`` of ``(route, 1)`` pairs; ``reduceByKey`` combines map-side."""
+    return pairs.reduceByKey(add).takeOrdered(n, key=lambda kv: (-kv[1], kv[0]))
+
+
 def top_routes_rdd(events: DataFrame, n: int = DEFAULT_N, seq: str | None = None,
                    width: int = BUCKET_SECONDS) -> list[tuple[str, int]]:
-    """Top ``n`` ``(route, count)`` pairs; ``reduceByKey`` combines map-side."""
-    pairs = route_pairs_rdd(events, seq, width)
-    return pairs.reduceByKey(add).takeOrdered(n, key=lambda kv: (-kv[1], kv[0]))
+    """Top ``n`` ``(route, count)`` pairs."""
+    return top_pairs(route_pairs_rdd(events, seq, width), n)
 
 
 def top_routes_rdd_df(events: DataFrame, n: int = DEFAULT_N, seq: str | None = None,

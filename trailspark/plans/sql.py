@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.exprs import LONG_PATTERN
 from ..operators.counts import DEFAULT_N
-from ..schema import BUCKET_SECONDS, order_columns
+from ..schema import BUCKET_SECONDS, PAGE, SESSION, TS, USER, order_columns
 
 
-def _long(column: str, cast: bool) -> str:
-    if not cast:
+def _long(column: str, kind: str) -> str:
+    """``column`` of type ``kind`` as a number, by the readers' rule."""
+    if kind == "bigint":
         return column
+    if kind != "string":
+        return f"TRY_CAST({column} AS BIGINT)"
     return f"CASE WHEN {column} RLIKE '{LONG_PATTERN}' THEN TRY_CAST({column} AS BIGINT) END"
 
 
@@ -27,16 +30,20 @@ def _collapsed(pages: str) -> str:
     )
 
 
-def top_routes_sql_text(view: str, seq: str | None = None, cast: bool = True) -> str:
-    """The statement. ``cast`` types string columns inside it (for a raw view), by the
-    readers' rule; rows with a missing or unparsable key, time, tie-break or page are
-    left out either way."""
-    tie = order_columns(seq)[1]
-    tie_value = _long(tie, cast) if seq else tie
+def top_routes_sql_text(view: str, seq: str | None = None,
+                        kinds: dict[str, str] | None = None) -> str:
+    """The statement. ``kinds`` are the types of the view's columns, a string where it has
+    none: each column is cast, or passed through, by its own. Rows with a missing or
+    unparsable key, time, tie-break or page are left out."""
+    kinds = kinds or {}
+    user, session, time, tie = (_long(c, kinds.get(c, "string")) for c in (
+        USER, SESSION, TS, order_columns(seq)[1]))
+    if not seq:
+        tie = PAGE
     return f"""
 WITH typed AS (
-    SELECT {_long("user_id", cast)} AS user_id, {_long("session_id", cast)} AS session_id,
-           {_long("timestamp", cast)} AS timestamp, {tie_value} AS tie, event_page,
+    SELECT {user} AS user_id, {session} AS session_id, {time} AS timestamp,
+           {tie} AS tie, event_page,
            coalesce(lower(event_type) LIKE '%error%', false) AS is_error
     FROM {view}
 ),
@@ -87,7 +94,7 @@ LIMIT :n
 
 def top_routes_sql(spark: SparkSession, view: str = "clickstream", n: int = DEFAULT_N,
                    seq: str | None = None, width: int = BUCKET_SECONDS) -> DataFrame:
-    """Run the statement over ``view``: a typed events view (``register_events_view``)
-    or one with string columns, as a header-only CSV read gives."""
-    cast = dict(spark.table(view).dtypes).get("timestamp") == "string"
-    return spark.sql(top_routes_sql_text(view, seq, cast), args={"n": n, "width": width})
+    """Run the statement over ``view``: a typed events view (``register_events_view``),
+    one with string columns, as a header-only CSV read gives, or any mix of both."""
+    kinds = dict(spark.table(view).dtypes)
+    return spark.sql(top_routes_sql_text(view, seq, kinds), args={"n": n, "width": width})
