@@ -75,3 +75,19 @@ def test_broadcast_cut_leaves_the_choice_to_aqe_unless_told(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_sql_types_each_column_by_its_own(spark):
+    from entry_tables import mixed_types
+
+    events = load_events(spark, SF["sf0.001"])
+    expected = [tuple(r) for r in top_routes(events, 30, seq="seq").collect()]
+    mixed_types(events).createOrReplaceTempView("mixed_types_clicks")
+    events.selectExpr("cast(user_id as int) AS user_id", "cast(session_id as string) AS session_id",
+                      "event_type", "event_page", "cast(timestamp as decimal(20,0)) AS timestamp",
+                      "cast(seq as double) AS seq").createOrReplaceTempView("other_types_clicks")
+    bad = events.withColumn("user_id", events["user_id"].cast("string")).selectExpr(
+        "' 5' AS user_id", "session_id", "event_type", "event_page", "timestamp", "seq")
+    mixed_types(events).unionByName(bad).createOrReplaceTempView("rejects_clicks")
+    for view in ("mixed_types_clicks", "other_types_clicks", "rejects_clicks"):
+        assert [tuple(r) for r in top_routes_sql(spark, view, 30, seq="seq").collect()] == expected, view
