@@ -79,3 +79,55 @@ def test_written_shards_hold_everything(spark, tmp_path):
 
 def test_empty_table(spark):
     assert shard_report(frame(spark, [])).collect() == []
+
+
+def test_clashing_columns_give_way(spark):
+    table = frame(spark, docs()[:40]).selectExpr("*", "'x' AS shard", "7 AS slot")
+    got = shuffled(table, bucket_rows=9)
+    check_shards(got.collect())
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "shard", "slot"]
+    assert rows_of(got) == rows_of(shuffled(table.drop("shard", "slot"), bucket_rows=9))
+    check_shards(shard_report(table).collect())
+
+
+def test_many_copies_are_made_block_by_block(spark, monkeypatch):
+    from trailspark.llm import sharding
+
+    rows = [(1, "same", "en", "s", 4)] * 137 + [(2, "twice", "en", "s", 4)] * 2 + docs()[:20]
+    table = frame(spark, rows)
+    whole = rows_of(shuffled(table, bucket_rows=30))
+    monkeypatch.setattr(sharding, "COPIES", 10)
+    assert rows_of(shuffled(table, bucket_rows=30)) == whole
+
+
+def brute_order(spark, table, seed, buckets):
+    """The order of all records from the rule, with Spark's hash only: buckets in turn, each
+    sorted by hash and shuffled by swaps."""
+    held = {}
+    digests = table.select("doc_id", *[F.xxhash64(F.lit(seed + k), F.struct(*table.columns))
+                                       for k in (1, 2)]).collect()
+    copies = Counter()
+    for doc_id, d1, d2 in digests:
+        copies[d1, d2] += 1
+        held.setdefault((doc_id, d1, d2), []).append(copies[d1, d2])
+    rows = spark.createDataFrame([(i, a, b, c) for (i, a, b), cs in held.items() for c in cs],
+                                 "id long, d1 long, d2 long, copy long")
+    rows = rows.withColumn("h", F.xxhash64(F.lit(seed), "d1", "d2", "copy")).withColumn(
+        "b", F.pmod("h", F.lit(buckets))).collect()
+    order = []
+    for b in range(buckets):
+        mine = sorted((r["h"], r["copy"], r["id"]) for r in rows if r["b"] == b)
+        for i in range(len(mine) - 1, 0, -1):
+            j = spark.range(1).select(F.pmod(F.xxhash64(
+                F.lit(seed), F.lit(b).cast("long"), F.lit(i)), F.lit(i + 1))).first()[0]
+            mine[i], mine[j] = mine[j], mine[i]
+        order += [x[2] for x in mine]
+    return order
+
+
+def test_whole_order_against_the_rule(spark):
+    rows = [(1, "same", "en", "s", 4)] * 9 + docs()[:25]
+    table = frame(spark, rows)
+    got = sorted(shuffled(table, shards=3, seed=5, bucket_rows=10).collect(),
+                 key=lambda r: (r["slot"], r["shard"]))
+    assert [r["doc_id"] for r in got] == brute_order(spark, table, 5, 4)

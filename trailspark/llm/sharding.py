@@ -8,12 +8,15 @@ shards, so shard counts differ by one at most (the ``rows`` law) and slots
 have no gaps.
 
 Exactly equal records are counted first and numbered, so even a third of all
-rows being the same record scatters evenly. The order depends on the records
-and the seed only, not on the partitioning.
+rows being the same record scatters evenly; ``COPIES`` of them at a time are
+made by one task. The order depends on the records and the seed only, not on
+the partitioning. The buckets' totals are counted from digests of the records
+(two 64-bit hashes; the records are told apart by them there), so the records
+themselves move twice: to their equals and to their bucket.
 
 Defined results: nulls are values like any other; an empty table gives an
-empty result; records may have any columns of orderable types but ``shard``
-and ``slot``, which the result adds.
+empty result; records may have any columns of orderable types; columns named
+``shard`` and ``slot`` give way to those of the result.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ SEED = 29
 #: Records and bytes of a bucket, about.
 BUCKET_ROWS = 1024
 BUCKET_BYTES = 16 << 20
+#: Equal records that one task makes of their count.
+COPIES = 4096
 #: Buckets whose totals are summed in one window partition.
 GROUP = 4096
 
@@ -51,27 +56,35 @@ def _fisher_yates(n: Column, *key: Column) -> Column:
     return F.aggregate(steps, F.sequence(F.lit(0), n - 1), swap)
 
 
-def shuffled(records: DataFrame, shards: int = SHARDS, seed: int = SEED,
-             bucket_rows: int = BUCKET_ROWS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """The records with ``shard`` and ``slot``, a gapless place in the shard."""
-    cols = [F.col(f"`{c}`") for c in records.columns]
-    bytes_ = sum((F.octet_length(c.cast("string")) for c, (_, kind) in zip(
-        cols, records.dtypes, strict=True) if kind == "string"), F.lit(0))
-    size = records.agg(F.count("*").alias("n"), F.sum(F.coalesce(bytes_, F.lit(0))).alias("b")).first()
-    buckets = max(1, math.ceil(size["n"] / bucket_rows), math.ceil((size["b"] or 0) / bucket_bytes))
-
-    record = F.struct(*cols).alias("record")
-    scattered = (
-        records.select(record).groupBy("record").agg(F.count("*").alias("n"))
-        .select("record", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy"))
-        .withColumn("h", F.xxhash64(F.lit(seed), "record", "copy"))
-        .withColumn("bucket", F.pmod("h", F.lit(buckets)))
+def _digests(record: Column, seed: int) -> list[Column]:
+    return [F.xxhash64(F.lit(seed + k), record).alias(f"d{k}") for k in (1, 2)]
+
+
+def _copies(counted: DataFrame) -> DataFrame:
+    """A row with ``copy`` from 1 to ``n`` for each row; many copies are spread over tasks."""
+    n, block = F.col("n"), F.col("block")
+    rest = [c for c in counted.columns if c != "n"]
+    own = [F.col(c).alias(c) for c in (*rest, "copy")]  # of its own for either part of the union
+    few = counted.where(n <= COPIES).select(
+        *rest, F.explode(F.sequence(F.lit(1).cast("long"), n)).alias("copy"))
+    many = (
+        counted.where(n > COPIES)
+        .select(*rest, "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / COPIES)))
+                .alias("block"))
+        .repartition("d1", "d2", "block")
+        .select(*rest, F.explode(F.sequence(block * COPIES + 1, F.least(n, (block + 1) * COPIES)))
+                .alias("copy"))
     )
+    return few.select(*own).unionByName(many.select(*own))
+
+
+def _offsets(held: DataFrame) -> DataFrame:
+    """``(bucket, offset)``: how many rows of ``held`` are in the buckets before each."""
     groups = Window.partitionBy("group")
     totals = settled(
-        scattered.groupBy("bucket").agg(F.count("*").alias("n"))
+        held.groupBy("bucket").agg(F.count("*").alias("n"))
         .withColumn("group", F.floor(F.col("bucket") / GROUP)))
-    offsets = (
+    return (
         totals.groupBy("group").agg(F.sum("n").alias("all"))
         .withColumn("base", F.sum("all").over(
             Window.partitionBy(F.lit(0)).orderBy("group")) - F.col("all"))
@@ -79,8 +92,31 @@ def shuffled(records: DataFrame, shards: int = SHARDS, seed: int = SEED,
         .withColumn("offset", F.col("base") + F.sum("n").over(groups.orderBy("bucket"))
                     - F.col("n"))
         .select("bucket", "offset"))
+
+
+def shuffled(records: DataFrame, shards: int = SHARDS, seed: int = SEED,
+             bucket_rows: int = BUCKET_ROWS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """The records with ``shard`` and ``slot``, a gapless place in the shard."""
+    records = records.drop("shard", "slot")
+    cols = [F.col(f"`{c}`") for c in records.columns]
+    bytes_ = sum((F.octet_length(c.cast("string")) for c, (_, kind) in zip(
+        cols, records.dtypes, strict=True) if kind == "string"), F.lit(0))
+    size = records.agg(F.count("*").alias("n"), F.sum(F.coalesce(bytes_, F.lit(0))).alias("b")).first()
+    buckets = max(1, math.ceil(size["n"] / bucket_rows), math.ceil((size["b"] or 0) / bucket_bytes))
+
+    def scattered(counted: DataFrame) -> DataFrame:
+        return (_copies(counted).withColumn("h", F.xxhash64(F.lit(seed), "d1", "d2", "copy"))
+                .withColumn("bucket", F.pmod("h", F.lit(buckets))))
+
+    record = F.struct(*cols).alias("record")
+    n = F.count("*").alias("n")
+    offsets = _offsets(scattered(
+        records.select(*_digests(record, seed)).groupBy("d1", "d2").agg(n)))
+    held = scattered(
+        records.select(record).groupBy("record").agg(n)
+        .select("record", "n", *_digests(F.col("record"), seed)))
     drawn = (
-        scattered.groupBy("bucket")
+        held.groupBy("bucket")
         .agg(F.sort_array(F.collect_list(F.struct("h", "copy", "record"))).alias("held"))
         .withColumn("order", _fisher_yates(F.size("held"), F.lit(seed), F.col("bucket")))
         .select("bucket", F.transform("order", lambda i: F.get("held", i)["record"]).alias("held"))
@@ -101,12 +137,14 @@ def write_shards(records: DataFrame, path: str, shards: int = SHARDS, seed: int
 
 
 def shard_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: ``doc_id, size, text_crc32, law, shard, slot, grown_shard``.
+    """Per row: ``doc_id, size, text_crc32, law, shard, slot, grown_shard, path``.
 
     The whole documents are shuffled and written as shards to the shared scratch
-    folder; size and checksum are those of the texts read back from there.
+    folder; size and checksum are those of the texts read back from there. The
+    shards stay: ``path`` is the file that holds the row.
     """
     spark = docs.sparkSession
+    docs = docs.drop("shard", "slot")
     path = scratch_path(spark, "shards")
     write_shards(docs, path)
     kind = docs.limit(0).withColumns({"slot": F.lit(0).cast("long"), "shard": F.lit(0)}).schema
@@ -116,4 +154,5 @@ def shard_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         F.col(f"`{doc_id}`").alias("doc_id"),
         (F.octet_length(body) + 1).cast("long").alias("size"),
         F.crc32(body).alias("text_crc32"), F.lit("rows").alias("law"),
-        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+        F.col("_metadata.file_path").alias("path"))
