@@ -2,16 +2,16 @@
 
 Base patterns find candidate spans in every whole text, and a wider pattern
 adds long mixed tokens. Every candidate value is hashed; over the whole corpus
-the distinct repositories and owners that hold a hash are counted. A value
-held by several owners is a copied example; one held by a single owner that
-also looks random is reported as live-looking. Wider candidates become spans
-only if they are live-looking; base spans always stay.
+the distinct repositories and owners that hold a hash are counted. Each span
+then is of one class: ``copied``, an example that several owners hold; ``live``,
+held by few and random-looking; ``plain``, held by few and not random. Wider
+candidates become spans only if they are live; base spans always stay.
 
 With ``widely`` (as the query runs), a copied example is a value that many owners
-and many repositories hold, and equal texts count once, by their first holder,
-so a document copied under other owners does not turn its values into examples.
-Random wider candidates then stay as spans, copied ones too. Near copies are
-texts of their own; many of them under many owners still read as an example.
+and many repositories hold, and texts that are near copies (SimHash, see
+``simhash``) count once, by their first holder, so a document copied under other
+owners does not turn its values into examples. Random wider candidates then
+stay as spans, copied ones too.
 
 Defined results: a null or empty text holds no span; null owners and
 repositories count as one of their own; repeated rows hold the same spans and
@@ -24,12 +24,15 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import key_part, map_rows, settled
+from .simhash import classes, fingerprint
 
 #: The base patterns and their least lengths.
 ASSIGN = re.compile(
@@ -38,6 +41,7 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "token")
+CLASSES = ("copied", "live", "plain")
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
@@ -68,19 +72,22 @@ def candidates(text: str | None) -> list[tuple[int, int, int, str]]:
         found += [(m.start(), 1, m.end(), m[0]) for m in ACCESS.finditer(text)
                   if len(m[0]) >= MIN_ACCESS]
     found += [(m.start(), 2, m.end(), m[0]) for m in HEX.finditer(text)]
-    taken = [(s, e) for s, _, e, _ in found]
+    taken = sorted((s, e) for s, _, e, _ in found)
+    starts = [s for s, _ in taken]
+    furthest = [0, *accumulate((e for _, e in taken), max)]  # end of the first k spans
     for m in TOKEN.finditer(text):
         v = m[0]
         mixed = any(c.isdigit() for c in v) and any(c.isupper() for c in v) and any(
             c.islower() for c in v)
-        if mixed and not any(s < m.end() and m.start() < e for s, e in taken):
+        if mixed and furthest[bisect_left(starts, m.end())] <= m.start():
             found.append((m.start(), 3, m.end(), v))
     return sorted(found)
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo: str = "doc_id",
          owner: str = "source") -> DataFrame:
-    """Per row: ``doc_id, repo, owner, text_key`` and its candidates with value hash and randomness."""
+    """Per row: ``doc_id, repo, owner``, its candidates with value hash and randomness, and,
+    if it has any, the text's SimHash ``fp``."""
 
     def run(rows: dict[str, list]) -> dict[str, list]:
         spans = []
@@ -91,31 +98,37 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo: str
                  "random": entropy(v) >= MIN_ENTROPY}
                 for s, k, e, v in candidates(t)])
         return {"doc_id": rows["doc_id"], "repo": rows["repo"], "owner": rows["owner"],
-                "text_key": [xxhash.xxh128_digest((t or "").encode()) if found else None
-                             for t, found in zip(rows["text"], spans, strict=True)],
+                "fp": [fingerprint(t) if found else None
+                       for t, found in zip(rows["text"], spans, strict=True)],
                 "spans": spans}
 
     picked = docs.select(
         docs[f"`{doc_id}`"].cast("long").alias("doc_id"), docs[f"`{text}`"].alias("text"),
         key_part(docs[f"`{repo}`"]).alias("repo"), key_part(docs[f"`{owner}`"]).alias("owner"))
     return map_rows(
-        picked, run, "doc_id long, repo string, owner string, text_key binary, "
+        picked, run, "doc_id long, repo string, owner string, fp long, "
         "spans array<struct<start:int,kind:int,end:int,value:long,random:boolean>>")
 
 
 def ownership(found: DataFrame, once: bool = False) -> DataFrame:
     """``(value, repos, owners)``: distinct repositories and owners of every candidate value.
 
-    ``once``: of the holders of equal texts, only the least owner and repository counts.
+    ``once``: of the holders of near copies, only the least owner and repository counts.
 
     Each level is summed before its shuffle, so a value that a third of all
     texts hold is one row a task.
     """
-    values = found.select("repo", "owner", "text_key", F.explode("spans.value").alias("value"))
     if once:
-        values = (values.groupBy("value", "text_key")
-                  .agg(F.min(F.struct("owner", "repo")).alias("holder"))
-                  .select("value", "holder.owner", "holder.repo"))
+        of = classes(found.select("fp", "doc_id")).select("fp", "root")
+        least = F.min(F.struct("owner", "repo")).alias("holder")
+        values = (  # equal fingerprints first: as many rows as there are classes go on
+            found.select("repo", "owner", "fp", F.explode("spans.value").alias("value"))
+            .groupBy("value", "fp").agg(least).join(of, "fp")
+            .select("value", "root", "holder.owner", "holder.repo")
+            .groupBy("value", "root").agg(least)
+            .select("value", "holder.owner", "holder.repo"))
+    else:
+        values = found.select("repo", "owner", F.explode("spans.value").alias("value"))
     return (values.groupBy("value", "owner", "repo").agg(F.lit(1).alias("one"))
             .groupBy("value", "owner").agg(F.sum("one").alias("repos"))
             .groupBy("value").agg(F.sum("repos").alias("repos"), F.count("*").alias("owners")))
@@ -123,7 +136,7 @@ def ownership(found: DataFrame, once: bool = False) -> DataFrame:
 
 def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo: str = "doc_id",
             owner: str = "source", widely: bool = False) -> DataFrame:
-    """Per row: ``doc_id`` and ``spans``, each with kind, place, owners and ``live``."""
+    """Per row: ``doc_id`` and ``spans``, each with kind, place, class and holders."""
     copied = F.col("owners") >= MANY_OWNERS
     if widely:
         copied = (F.col("owners") >= WIDE_OWNERS) & (F.col("repos") >= WIDE_REPOS)
@@ -135,11 +148,13 @@ def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo: s
         "row", "doc_id", "s.*")
     judged = (
         one.join(settled(ownership(hits, once=widely)), "value")
-        .withColumn("live", F.col("random") & ~copied)
-        .where((F.col("kind") < KINDS.index("token")) | F.col("random" if widely else "live"))
-        .select("row", F.struct("start", "kind", "end", "live", "owners", "repos").alias("s"))
+        .withColumn("class", F.when(copied, "copied").when(F.col("random"), "live")
+                    .otherwise("plain"))
+        .where((F.col("kind") < KINDS.index("token"))
+               | (F.col("random") if widely else F.col("class") == "live"))
+        .select("row", F.struct("start", "kind", "end", "class", "owners", "repos").alias("s"))
         .groupBy("row").agg(F.sort_array(F.collect_list("s")).alias("judged")))
-    kind = "array<struct<start:int,kind:int,end:int,live:boolean,owners:bigint,repos:bigint>>"
+    kind = "array<struct<start:int,kind:int,end:int,class:string,owners:bigint,repos:bigint>>"
     return (
         hits.join(judged, "row", "left")
         .select("doc_id", F.coalesce("judged", F.array().cast(kind)).alias("spans"))
@@ -147,22 +162,23 @@ def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo: s
 
 
 def secret_report(docs: DataFrame, **kw) -> DataFrame:
-    """Per row: base counts, digest of the base spans, all spans, live-looking and copied ones.
+    """Per row: base counts, digest of the base spans, all spans, and how many are of each class.
 
-    ``owners`` and ``repos`` have the counts of the spans, in the order of ``spans``.
+    ``classes``, ``owners`` and ``repos`` are those of the spans, in the order of ``spans``.
     """
     found = secrets(docs, **kw)
     name = F.array(*map(F.lit, KINDS))
     text = lambda s: F.concat_ws(
         ":", F.get(name, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    of_class = lambda c: F.size(F.filter("spans", lambda s: s["class"] == c)).cast("long")
     base = F.filter("spans", lambda s: s["kind"] < KINDS.index("token"))
     return found.select(
         "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
         F.sha2(F.array_join(F.transform(base, text), ","), 256).alias("base_sha256"),
         F.array_join(F.transform("spans", text), ",").alias("spans"),
-        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
-        F.size(F.filter("spans", lambda s: ~s["live"])).cast("long").alias("n_copied"),
+        *[of_class(c).alias(f"n_{c}") for c in CLASSES],
+        F.transform("spans", lambda s: s["class"]).alias("classes"),
         F.transform("spans", lambda s: s["owners"]).alias("owners"),
         F.transform("spans", lambda s: s["repos"]).alias("repos"))
 
