@@ -5,16 +5,17 @@ Four equivalent forms:
 * ``cut_window`` — running error count over a RANGE frame ordered by time, so
   events in the same second as the error see it (the reference's window form);
 * ``cut_partition_min`` — minimum of error times over the whole partition;
-* ``cut_join`` — per-session first error (partial + final aggregate) joined
-  back with a left outer equi-join, strategy left to the planner / AQE;
+* ``cut_join`` — first error (partial + final aggregate) joined back with a left
+  outer equi-join, strategy left to the planner / AQE;
 * ``cut_broadcast`` — the same join; AQE broadcasts the error table when its
-  measured size allows, or always if the caller vouches for its size.
+  measured size allows, or always, one row per session, if the caller vouches
+  for its size.
 
-All but ``cut_broadcast`` run per time bucket (see ``buckets``): a table with
-one row per bucket says what earlier buckets of the session found, and rows
-are joined with it by ``(session, bucket)``, so a session of any length is
-spread over tasks. ``cut_broadcast`` joins by session: with a small error
-table no row moves, beyond that AQE splits the partition of a long session.
+They run per time bucket (see ``buckets``): a table with one row per bucket says
+what earlier buckets of the session found, and rows are joined with it by
+``(session, bucket)``, so a session of any length is spread over tasks. (A join
+by session would hold a long one in one task: AQE splits skewed partitions only
+where both sides come straight from an exchange, and an aggregate does not.)
 
 The joins are by equality, so rows with a null id have no cut in the join
 forms; the window forms treat equal ids, nulls included, as one session.
@@ -126,12 +127,16 @@ def cut_join(events: DataFrame, seq: str | None = None,
     return cut_rows(with_bucket(events, width)).select(*events.columns)
 
 
-def cut_broadcast(events: DataFrame, seq: str | None = None, hint: bool = False) -> DataFrame:
-    """The join by session, made to be broadcast.
+def cut_broadcast(events: DataFrame, seq: str | None = None, hint: bool = False,
+                  width: int = BUCKET_SECONDS) -> DataFrame:
+    """The join as a broadcast join.
 
-    The error table grows with the sessions, so its size is left to AQE, which
-    broadcasts it when its measured bytes are within the session's threshold.
-    ``hint=True`` broadcasts it whatever it measures.
+    The error table grows with the sessions, so its size is left to AQE: it broadcasts the
+    table of ``cut_join`` when its measured bytes are within the session's threshold, and
+    joins by bucket beyond that. ``hint=True`` broadcasts one row per session with an error,
+    whatever that measures; no event is moved then.
     """
+    if not hint:
+        return cut_join(events, seq, width)
     errors = first_error(events).withColumnRenamed(ERROR_TS, CUT)
-    return _before_cut(events, F.broadcast(errors) if hint else errors, KEY).select(*events.columns)
+    return _before_cut(events, F.broadcast(errors), KEY).select(*events.columns)

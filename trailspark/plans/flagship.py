@@ -10,16 +10,14 @@ Forms (all give the same table; see tests/test_cross_forms.py):
             ``lag``, running ``collect_list`` per block, ``max`` of the lists
 ``join``    first-error aggregate, left outer join by bucket, ``lag``, collect
             + sort
-``broadcast`` the join by session, which AQE broadcasts by the error table's
-            measured size, and one exchange by bucket after it
+``broadcast`` as ``join``: AQE broadcasts the error table by its measured size
+            and else joins by bucket (``cut_broadcast(hint=True)`` forces it)
 ``pandas``  cluster + sort by bucket, vectorized ``mapInPandas`` fold
 =========== ===================================================================
 
 Every form filters the input by one rule (``valid_events``), works per time
 bucket and stitches a session's fragments; a session's events never meet in
-one task. (In ``broadcast`` the join is by session: a broadcast moves no event,
-and without one AQE splits the joined partition, which nothing after it needs
-whole.) ``width`` (seconds) is the bucket width; it changes no result.
+one task. ``width`` (seconds) is the bucket width; it changes no result.
 """
 
 from __future__ import annotations
@@ -43,7 +41,7 @@ from ..operators.buckets import (
 )
 from ..operators.collapse import changes_in_buckets
 from ..operators.counts import DEFAULT_N, route_counts, top_n
-from ..operators.cut import cut_broadcast, cut_rows
+from ..operators.cut import cut_rows
 from ..operators.pandas_fold import routes_pandas
 from ..operators.paths import (
     BLOCK_NUMBER,
@@ -93,22 +91,16 @@ def _changed(cut: DataFrame, seq: str | None) -> DataFrame:
 
 
 def _join(events: DataFrame, seq: str | None, width: int) -> DataFrame:
+    """Joined rows stay in the partitions of their bucket for the window that follows."""
     return _changed(cut_rows(with_bucket(valid_events(events, seq), width)), seq)
 
 
-def _broadcast(events: DataFrame, seq: str | None, width: int) -> DataFrame:
-    # The exchange is explicit: the join's own partitioning by session would
-    # serve the window, too, and hold a long session in one task.
-    cut = with_bucket(cut_broadcast(valid_events(events, seq), seq), width)
-    return _changed(cut.repartition(*BUCKET_KEY), seq)
-
-
 FORMS: dict[str, RouteForm] = {
     "fold": routes_fold,
     "window": routes_window,
     "windows": _windows,
     "join": _join,
-    "broadcast": _broadcast,
+    "broadcast": _join,
     "pandas": routes_pandas,
 }
 
