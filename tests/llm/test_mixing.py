@@ -128,3 +128,56 @@ def test_repeated_rows_and_empty_tables(spark):
     assert mix(frame(spark, [])).collect() == [] and mixed_documents(frame(spark, [])).collect() == []
     none = mix(frame(spark, [(1, None, None, None, None), (2, "", "en", "a", 0)])).collect()
     assert sorted((r["doc_id"], r["size"], r["taken"]) for r in none) == [(1, 0, 0), (2, 0, 0)]
+
+
+def test_every_block_goes_to_the_shard_whose_quota_it_fills(spark):
+    rows = docs() + [(1, prose(90, 1), "en", "a", 0)] * 5
+    sized = settled(_sized(frame(spark, rows), "text", "source", "doc_id").drop("row"))
+    goals = settled(targets(sized))
+    seats = {(r["g"], r["shard"]): r["upto"] for r in quotas(goals).collect()}
+    out = [r.asDict() for r in _taken(sized).collect()]
+    assert len(out) == len(rows)
+    words_of = Counter()
+    for s in {r["source"] for r in out}:
+        mine = sorted((r for r in out if r["source"] == s), key=lambda r: r["a"])
+        nb, b, first, g = (mine[0][c] for c in ("blocks", "block", "first", "g"))
+        times = [[0] * SHARDS for _ in range(nb)]  # of each block in each shard, dealt one by one
+        j = 0
+        for k in range(SHARDS):
+            while j < seats[g, k]:
+                times[(first + j) % nb][k] += 1
+                j += 1
+        at = 0
+        for r in mine:
+            assert r["a"] == at  # no gap and no overlap on the line
+            expected = [sum(times[p // b][k] for p in range(at, at + r["size"])) for k in range(SHARDS)]
+            assert r["by_shard"] == expected and r["taken"] == sum(expected)
+            at += r["size"]
+        for k in range(SHARDS):
+            words_of[k] += sum(r["by_shard"][k] for r in mine)
+    assert max(words_of.values()) - min(words_of.values()) <= len(goals.collect()) * 2 * BLOCK_WORDS
+
+
+def test_copies_of_a_row_lie_in_many_buckets(spark, monkeypatch):
+    from trailspark.llm import mixing
+
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 8)
+    monkeypatch.setattr(mixing, "GROUP", 4)
+    rows = [(1, "a b c", "en", "hot", 0)] * 400 + docs()
+    sized = settled(_sized(frame(spark, rows), "text", "source", "doc_id").drop("row"))
+    out = [r for r in _taken(sized).collect() if r["source"] == "hot"]
+    assert len(out) == 400 and len({r["bucket"] for r in out}) > 20
+    assert sorted(r["a"] for r in out) == list(range(0, 1200, 3))
+
+
+def test_whole_documents_miss_by_their_ends_only(spark):
+    rows = docs()
+    size, target, _ = brute_targets(rows)
+    longest = defaultdict(int)
+    for _, t, _, s, _ in rows:
+        longest[s] = max(longest[s], words(t))
+    got = defaultdict(int)
+    for r in mixed_documents(frame(spark, rows)).collect():
+        got[r["source"]] += words(r["text"])
+    for s, t in target.items():
+        assert abs(got[s] - t) <= 2 * longest[s] + 2 * BLOCK_WORDS

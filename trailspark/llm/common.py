@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from trailspark.runtime import ensure_checkpoint_dir
 
-# Rows of at most this many bytes each may be broadcast up to MAX_BROADCAST_ROWS;
-# callers count the rows first and fall back to a shuffle join beyond it.
-MAX_BROADCAST_ROWS = 50_000
+# Tables of at most this many rows and bytes may be broadcast; both are counted
+# first, and beyond either the join is left to the planner.
+MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES = 50_000, 16 << 20
+# Equal rows that one task makes of their count.
+COPIES = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,8 +52,31 @@ def settled(df: DataFrame) -> DataFrame:
 
 
 def small(df: DataFrame) -> DataFrame:
-    """Broadcast hint, only if a count proves that ``df`` is small."""
-    return F.broadcast(df) if df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else df
+    """Broadcast hint, only if rows and bytes, both counted, prove that ``df`` is small."""
+    size = df.limit(MAX_BROADCAST_ROWS + 1).agg(
+        F.count("*").alias("rows"), F.sum(F.length(F.to_json(F.struct("*")))).alias("bytes")).first()
+    few = size["rows"] <= MAX_BROADCAST_ROWS and (size["bytes"] or 0) <= MAX_BROADCAST_BYTES
+    return F.broadcast(df) if few else df
+
+
+def numbered(counted: DataFrame, *key: str, copies: int | None = None) -> DataFrame:
+    """A row with ``copy`` from 1 to ``n`` for each row of ``counted``; many copies are spread
+    over tasks by ``key``."""
+    copies = copies or COPIES
+    n, block = F.col("n"), F.col("block")
+    rest = [c for c in counted.columns if c != "n"]
+    own = [F.col(c).alias(c) for c in (*rest, "copy")]  # of its own for either part of the union
+    few = counted.where(n <= copies).select(
+        *rest, F.explode(F.sequence(F.lit(1).cast("long"), n)).alias("copy"))
+    many = (
+        counted.where(n > copies)
+        .select(*rest, "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / copies)))
+                .alias("block"))
+        .repartition(*key, "block")
+        .select(*rest, F.explode(F.sequence(block * copies + 1, F.least(n, (block + 1) * copies)))
+                .alias("copy"))
+    )
+    return few.select(*own).unionByName(many.select(*own))
 
 
 def fenced(df: DataFrame, keep: Iterable[str], computed: Iterable[str]) -> DataFrame:

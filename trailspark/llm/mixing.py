@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import key_part, pack, settled, small, unpack, words
+from .common import key_part, numbered, pack, settled, small, unpack, words
 
 WEIGHTS = (5, 2, 1)
 #: Words in the mix, as a multiple of all words, and in a target, of its source's.
@@ -34,8 +34,9 @@ SEED = 17
 SHARDS = 8
 #: Words in a block at most; a hundredth of the smallest source if that is less.
 BLOCK_WORDS = 64
-#: Rows of a prefix-sum bucket, about.
-BUCKET_ROWS = 512
+#: Rows of a prefix-sum bucket, about, and buckets whose totals are summed in one window
+#: partition (a power of two).
+BUCKET_ROWS, GROUP = 512, 4096
 
 
 def _sized(docs: DataFrame, text: str, source: str, doc_id: str) -> DataFrame:
@@ -120,55 +121,100 @@ def _overlap(a: Column, b: Column, lo: Column, hi: Column) -> Column:
     return F.greatest(F.lit(0), F.least(b, hi) - F.greatest(a, lo))
 
 
-def _taken(sized: DataFrame) -> DataFrame:
-    """``sized`` (settled) with ``source_size``, ``target``, ``taken`` and whole ``copies``."""
-    goals = settled(targets(sized))
-    plan = goals.join(
-        quotas(goals).groupBy("g", "block", "blocks").agg(F.max("upto").alias("quota")),
-        "g", "left").select(
+def _spread(sized: DataFrame) -> DataFrame:
+    """``sized`` with ``place``, by which rows lie on their source's line: ``u``, for the
+    second and later of equal rows a hash of it and their number."""
+    same = [c for c in sized.columns]
+    counted = settled(sized.groupBy(*same).agg(F.count("*").alias("n")))
+    return numbered(counted, "g", "u", "id").withColumn(
+        "place", F.when(F.col("copy") == 1, F.col("u"))
+        .otherwise(F.xxhash64(F.lit(SEED), "u", "copy")))
+
+
+def _offsets(laid: DataFrame) -> DataFrame:
+    """``(g, bucket, offset)``: words of the source in the buckets before each."""
+    totals = settled(
+        laid.groupBy("g", "bucket").agg(F.sum("size").alias("n"))
+        .withColumn("group", F.floor(F.col("bucket") / GROUP)))
+    before = lambda *by: F.coalesce(F.sum("n").over(
+        Window.partitionBy(*by[:-1]).orderBy(by[-1])
+        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = (totals.groupBy("g", "group").agg(F.sum("n").alias("n"))
+              .select("g", "group", before("g", "group").alias("base")))
+    return totals.join(groups, ["g", "group"]).select(
+        "g", "bucket", (F.col("base") + before("g", "group", "bucket")).alias("offset"))
+
+
+def _plan(goals: DataFrame) -> DataFrame:
+    """Per source: ``block`` words, ``blocks``, the first block, and ``upto``, the seats of the
+    shards up to each."""
+    seats = quotas(goals).groupBy("g", "block", "blocks").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("shard", "upto"))),
+                    lambda x: x["upto"]).alias("upto"))
+    none = F.array_repeat(F.lit(0).cast("long"), SHARDS)
+    return goals.join(seats, "g", "left").select(
         "g", "source_size", "target",
         F.coalesce("block", F.lit(1)).alias("block"),
         F.greatest(F.coalesce("blocks", F.lit(0)), F.lit(1)).alias("blocks"),
-        F.coalesce("quota", F.lit(0)).alias("quota"))
-    plan = settled(plan.withColumn(
-        "first", F.pmod(F.xxhash64(F.lit(SEED), "g"), F.col("blocks")))
-        .withColumn("passes", F.floor(F.col("quota") / F.col("blocks")))
-        .withColumn("rest", F.pmod("quota", "blocks")))
+        F.coalesce(F.col("upto").cast("array<bigint>"), none).alias("upto")
+    ).withColumn("first", F.pmod(F.xxhash64(F.lit(SEED), "g"), F.col("blocks"))
+                 ).withColumn("quota", F.element_at("upto", -1))
+
+
+def _run(seats: Column, first: Column) -> tuple[Column, Column, Column, Column]:
+    """Whole passes, and the ends in words of the run of ``seats`` blocks from block ``first``
+    on: ``lo`` to ``hi`` and, round the end of the line, the words up to ``over``."""
+    block, blocks = F.col("block"), F.col("blocks")
+    rest = F.pmod(seats, blocks)
+    return (F.floor(seats / blocks), first * block, (first + rest) * block,
+            F.greatest(F.lit(0), first + rest - blocks) * block)
+
+
+def _taken(sized: DataFrame) -> DataFrame:
+    """``sized`` (settled) with ``source_size``, ``target``, ``by_shard``, ``taken`` and whole
+    ``copies``; a row for each row."""
+    goals = settled(targets(sized))
+    plan = settled(_plan(goals))
+    laid = _spread(sized)
     rows = sized.count()
     bits = max(0, math.ceil(math.log2(max(1, rows / BUCKET_ROWS))))
-    bucket = F.shiftrightunsigned("u", 64 - bits) if bits else F.lit(0).cast("long")
-    laid = sized.withColumn("bucket", bucket)
-    here = Window.partitionBy("g", "bucket").orderBy("u", "id", "size")
-    before = (
-        laid.groupBy("g", "bucket").agg(F.sum("size").alias("n"))
-        .withColumn("offset", F.sum("n").over(Window.partitionBy("g").orderBy("bucket"))
-                    - F.col("n")).drop("n"))
+    bucket = F.shiftrightunsigned("place", 64 - bits) if bits else F.lit(0).cast("long")
+    laid = laid.withColumn("bucket", bucket)
+    here = Window.partitionBy("g", "bucket").orderBy("place", "id", "size", "u", "copy")
     laid = (
-        laid.withColumn("upto", F.sum("size").over(
+        laid.withColumn("upto_here", F.sum("size").over(
             here.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .join(small(settled(before)), ["g", "bucket"])
+        .join(small(settled(_offsets(laid))), ["g", "bucket"])
         .join(small(plan), "g")
-        .withColumn("b", F.col("offset") + F.col("upto"))
+        .withColumn("b", F.col("offset") + F.col("upto_here"))
         .withColumn("a", F.col("b") - F.col("size"))
     )
-    a, b, block = F.col("a"), F.col("b"), F.col("block")
-    lo = F.col("first") * block
-    hi = (F.col("first") + F.col("rest")) * block
-    round_ = F.greatest(F.lit(0), F.col("first") + F.col("rest") - F.col("blocks")) * block
+    a, b, blocks = F.col("a"), F.col("b"), F.col("blocks")
+
+    def of_shard(upto: Column, k: Column) -> Column:
+        before = F.coalesce(F.get("upto", k - 1), F.lit(0).cast("long"))
+        passes, lo, hi, over = _run(upto - before, F.pmod(F.col("first") + before, blocks))
+        return (passes * F.col("size") + _overlap(a, b, lo, hi)
+                + _overlap(a, b, F.lit(0).cast("long"), over))
+
+    passes, lo, hi, over = _run(F.col("quota"), F.col("first"))
     middle = F.floor((a + b) / 2)
-    inside = ((middle >= lo) & (middle < hi)) | (middle < round_)
-    return laid.withColumn(
-        "taken", F.col("passes") * F.col("size") + _overlap(a, b, lo, hi)
-        + _overlap(a, b, F.lit(0), round_)
-    ).withColumn("copies", F.col("passes") + inside.cast("int"))
+    inside = ((middle >= lo) & (middle < hi)) | (middle < over)
+    return (
+        laid.withColumn("by_shard", F.transform("upto", of_shard))
+        .withColumn("taken", F.aggregate("by_shard", F.lit(0).cast("long"), lambda x, y: x + y))
+        .withColumn("copies", passes + inside.cast("int"))
+    )
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         source: str = "source") -> DataFrame:
-    """Per row: ``doc_id, size, source_size, target, taken`` (words, repeats counted)."""
+    """Per row: ``doc_id, size, source_size, target, taken`` (words, repeats counted) and
+    ``by_shard``, the words that each shard takes."""
     sized = settled(_sized(docs, text, source, doc_id).drop("row"))
     return _taken(sized).select(
-        "doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
+        "doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"),
+        F.col("by_shard").cast("array<bigint>").alias("by_shard"))
 
 
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -177,9 +223,8 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     source hold its middle word."""
     sized = _sized(docs, text, source, doc_id)
     copies = (_taken(settled(sized.drop("row"))).groupBy("g", "id", "u")
-              .agg(F.sum("copies").alias("copies")).where("copies > 0"))
-    rows = (sized.select("row", "g", "id", "u").join(copies, ["g", "id", "u"])
-            .groupBy("g", "id", "u").agg(F.first("row").alias("row"),
-                                         F.first("copies").alias("copies"))
-            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))))
-    return unpack(rows, docs.columns)
+              .agg(F.sum("copies").alias("n")).where("n > 0"))
+    rows = (sized.groupBy("g", "id", "u").agg(F.first("row").alias("row"))  # combined map-side
+            .join(copies, ["g", "id", "u"]))
+    return unpack(numbered(rows.select("row", "g", "id", "u", F.col("n").cast("long").alias("n")),
+                           "g", "id", "u"), docs.columns)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from trailspark.runtime import scratch_path
 
-from .common import settled, small
+from .common import numbered, settled, small
 
 SHARDS = 8
 SEED = 29
@@ -60,24 +60,6 @@ def _digests(record: Column, seed: int) -> list[Column]:
     return [F.xxhash64(F.lit(seed + k), record).alias(f"d{k}") for k in (1, 2)]
 
 
-def _copies(counted: DataFrame) -> DataFrame:
-    """A row with ``copy`` from 1 to ``n`` for each row; many copies are spread over tasks."""
-    n, block = F.col("n"), F.col("block")
-    rest = [c for c in counted.columns if c != "n"]
-    own = [F.col(c).alias(c) for c in (*rest, "copy")]  # of its own for either part of the union
-    few = counted.where(n <= COPIES).select(
-        *rest, F.explode(F.sequence(F.lit(1).cast("long"), n)).alias("copy"))
-    many = (
-        counted.where(n > COPIES)
-        .select(*rest, "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / COPIES)))
-                .alias("block"))
-        .repartition("d1", "d2", "block")
-        .select(*rest, F.explode(F.sequence(block * COPIES + 1, F.least(n, (block + 1) * COPIES)))
-                .alias("copy"))
-    )
-    return few.select(*own).unionByName(many.select(*own))
-
-
 def _offsets(held: DataFrame) -> DataFrame:
     """``(bucket, offset)``: how many rows of ``held`` are in the buckets before each."""
     groups = Window.partitionBy("group")
@@ -105,7 +87,7 @@ def shuffled(records: DataFrame, shards: int = SHARDS, seed: int = SEED,
     buckets = max(1, math.ceil(size["n"] / bucket_rows), math.ceil((size["b"] or 0) / bucket_bytes))
 
     def scattered(counted: DataFrame) -> DataFrame:
-        return (_copies(counted).withColumn("h", F.xxhash64(F.lit(seed), "d1", "d2", "copy"))
+        return (numbered(counted, "d1", "d2", copies=COPIES).withColumn("h", F.xxhash64(F.lit(seed), "d1", "d2", "copy"))
                 .withColumn("bucket", F.pmod("h", F.lit(buckets))))
 
     record = F.struct(*cols).alias("record")
