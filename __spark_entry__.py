@@ -80,9 +80,8 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 N = 10
 # Coarse clock (6 h) over weekly sessions: many events share a timestamp.
 COARSE = {"days": 7, "unit": 21600}
-# Bucket widths that cut a session into many fragments, and into one.
+# Bucket width that cuts a session into many fragments.
 MINUTE = 60
-CENTURY = 100 * 366 * 86400
 
 EVENT_COLS = event_columns(SEQ)
 
@@ -263,10 +262,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "running_routes_hot": lambda s, d: running_routes(_hot_survivors(s, d), SEQ),
         "session_routes_max_array": lambda s, d: routes_max_array(_survivors(s, d), SEQ),
         "session_routes_max_array_hot": lambda s, d: routes_max_array(
-            _hot_survivors(s, d), SEQ, CENTURY),
+            _hot_survivors(s, d), SEQ),
         "session_routes_max_string": lambda s, d: routes_max_string(_survivors(s, d), SEQ),
         "session_routes_max_string_hot": lambda s, d: routes_max_string(
-            _hot_survivors(s, d), SEQ, CENTURY),
+            _hot_survivors(s, d), SEQ),
         "session_routes_sorted": lambda s, d: routes_sorted(_survivors(s, d), SEQ),
         "session_routes_listagg": lambda s, d: routes_listagg(_survivors(s, d), SEQ),
         "session_routes_fold": lambda s, d: routes_fold(_events(s, d), SEQ),
@@ -290,7 +289,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_routes_fold": lambda s, d: top_routes(_events(s, d), N, "fold", SEQ, MINUTE),
         "top_routes_windows": lambda s, d: top_routes(_events(s, d), N, "windows", SEQ),
         "top_routes_join": lambda s, d: top_routes(_events(s, d), N, "join", SEQ),
-        "top_routes_windows_hot": lambda s, d: top_routes(_skewed(s, d), N, "windows", SEQ, CENTURY),
+        "top_routes_windows_hot": lambda s, d: top_routes(_skewed(s, d), N, "windows", SEQ),
         "top_routes_join_hot": lambda s, d: top_routes(_skewed(s, d), N, "join", SEQ),
         "top_routes_broadcast": lambda s, d: top_routes(_events(s, d), N, "broadcast", SEQ),
         "top_routes_broadcast_hot": lambda s, d: top_routes(_skewed(s, d), N, "broadcast", SEQ),
