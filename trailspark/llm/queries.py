@@ -14,7 +14,7 @@ from .chat import END, START, chats
 from .common import table
 from .decontaminate import find_leaks
 from .html_text import extract
-from .lines import dedup_runs
+from .line_chunks import dedup_chunks
 from .lm_score import lm_scores
 from .mixing import mix
 from .periodic import periodic_runs, run_report, with_loops
@@ -27,7 +27,7 @@ from .whitening import whiten
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_runs(table(spark, sf_dir, "documents"))
+    return dedup_chunks(table(spark, sf_dir, "documents"))
 
 
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

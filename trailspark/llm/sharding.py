@@ -10,9 +10,10 @@ have no gaps.
 Exactly equal records are counted first and numbered, so even a third of all
 rows being the same record scatters evenly; ``COPIES`` of them at a time are
 made by one task. The order depends on the records and the seed only, not on
-the partitioning. The buckets' totals are counted from digests of the records
-(two 64-bit hashes; the records are told apart by them there), so the records
-themselves move twice: to their equals and to their bucket.
+the partitioning. Records are counted by digests (two 64-bit hashes, by which
+they are told apart), so a record itself moves once: its first copy goes to its
+bucket from where it lies, equal ones being the same there, and only the texts
+that have more copies are brought together and copied.
 
 Defined results: nulls are values like any other; an empty table gives an
 empty result; records may have any columns of orderable types; columns named
@@ -86,20 +87,25 @@ def shuffled(records: DataFrame, shards: int = SHARDS, seed: int = SEED,
     size = records.agg(F.count("*").alias("n"), F.sum(F.coalesce(bytes_, F.lit(0))).alias("b")).first()
     buckets = max(1, math.ceil(size["n"] / bucket_rows), math.ceil((size["b"] or 0) / bucket_bytes))
 
-    def scattered(counted: DataFrame) -> DataFrame:
-        return (numbered(counted, "d1", "d2", copies=COPIES).withColumn("h", F.xxhash64(F.lit(seed), "d1", "d2", "copy"))
+    def scattered(copies: DataFrame) -> DataFrame:
+        return (copies.withColumn("h", F.xxhash64(F.lit(seed), "d1", "d2", "copy"))
                 .withColumn("bucket", F.pmod("h", F.lit(buckets))))
 
+    key = ["d1", "d2"]
     record = F.struct(*cols).alias("record")
-    n = F.count("*").alias("n")
-    offsets = _offsets(scattered(
-        records.select(*_digests(record, seed)).groupBy("d1", "d2").agg(n)))
-    held = scattered(
-        records.select(record).groupBy("record").agg(n)
-        .select("record", "n", *_digests(F.col("record"), seed)))
+    all_ = records.select(record, *_digests(record, seed))
+    counted = settled(records.select(*_digests(record, seed)).groupBy(*key)
+                      .agg(F.count("*").alias("n")))
+    offsets = _offsets(scattered(numbered(counted, *key, copies=COPIES)))
+    first = all_.select(*key, "record", F.lit(1).cast("long").alias("copy"))
+    more = numbered(
+        all_.join(small(counted.where("n > 1")), key)
+        .groupBy(*key).agg(F.first("record").alias("record"), F.first("n").alias("n")),
+        *key, copies=COPIES).where("copy > 1").select(*key, "record", "copy")
+    held = scattered(first.unionByName(more))
     drawn = (
         held.groupBy("bucket")
-        .agg(F.sort_array(F.collect_list(F.struct("h", "copy", "record"))).alias("held"))
+        .agg(F.sort_array(F.collect_set(F.struct("h", "copy", "record"))).alias("held"))
         .withColumn("order", _fisher_yates(F.size("held"), F.lit(seed), F.col("bucket")))
         .select("bucket", F.transform("order", lambda i: F.get("held", i)["record"]).alias("held"))
         .select("bucket", F.posexplode("held").alias("place", "record"))
