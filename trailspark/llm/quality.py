@@ -2,10 +2,17 @@
 
 Base rules fail a text with fewer than 10 words, or with more than 20 % of its
 words in 5-word windows that the text holds twice or more. Every text that
-passes them becomes a vector of four transformed statistics; per language and
+passes them becomes a vector of four transformed statistics: mean word length,
+share of symbols, share of short words, variety of words. Per language and
 source the minimum-covariance-determinant (MCD) estimate of their centre and
-scatter is found by concentration steps, and a text whose squared Mahalanobis
-distance exceeds the cut-off is rejected.
+scatter is found by concentration steps from three starts (the medians, and
+either half of the group by a seeded hash), of which the one that ends with the
+least determinant counts; a text whose squared Mahalanobis distance exceeds the
+cut-off is rejected.
+
+Scatter comes from the data. To the scatter of a group is added the pooled
+one, the corpus-wide median deviation from the groups' medians, which keeps
+small groups and those of equal texts from rejecting what is ordinary elsewhere.
 
 Everything is DataFrame functions: windows are hashed inside the row, the
 concentration steps aggregate moments per distance bin, and the 4x4 Cholesky
@@ -36,18 +43,20 @@ SYMBOLS = "#*$%&|<>"
 #: Fixed-point scale of the statistics.
 SCALE = 10_000
 DIMS = ("x1", "x2", "x3", "x4")
-#: Least standard deviation per statistic: spread below it means nothing.
-FLOORS = (0.10, 0.015, 0.08, 0.10)
+#: Words of at most this many code points are short.
+SHORT = 3
+#: Deviation that is added where the corpus shows none, a fixed-point unit or so.
+LEAST = 0.001
 #: Share of a group that the MCD subset holds.
 SUPPORT = 0.75
-#: Rejection cut-off, the 0.99999 quantile of chi-square with 4 degrees of freedom.
-CUTOFF = 28.47
-#: Concentration steps after the median start.
-STEPS = 4
+#: Rejection cut-off; of normal data one vector in 20 million is beyond it.
+CUTOFF = 40.0
+#: Concentration steps after each start, and the seed of the halves.
+STEPS, SEED = 4, 6
 #: Distance bins per factor of two.
 BINS = 16
 #: Pseudo-counts that damp the statistics of short texts.
-PRIOR_WORDS, PRIOR_LENGTH, PRIOR_LINES = 50, 5.0, 5
+PRIOR_WORDS, PRIOR_LENGTH, PRIOR_SYMBOLS, PRIOR_SHORT = 50, 5.0, 0.5, 10
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
@@ -98,12 +107,13 @@ def with_base(packed: DataFrame) -> DataFrame:
             text.rlike(f"[{SYMBOLS}]"), F.char_length(text) - F.char_length(bare))
             .otherwise(0).cast("long"))
         .withColumn("lines", lines)
-        .withColumn("n_lines", F.size("lines"))
         .withColumn("n_dup_lines", (
             F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"))
         .drop("lines")
         .withColumn("n_words", F.size("w").cast("long"))
+        .withColumn("n_short", F.size(F.filter("w", lambda x: F.char_length(x) <= SHORT)))
         .withColumn("w", F.transform("w", lambda x: F.xxhash64(x)))
+        .withColumn("n_distinct", F.size(F.array_distinct("w")))
         .withColumn("keys", keys)
         .drop("w")
         .withColumn("pairs", F.when(
@@ -113,7 +123,7 @@ def with_base(packed: DataFrame) -> DataFrame:
         .withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                     | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     )
-    return fenced(counted, packed.columns, (*BASE, "n_lines"))
+    return fenced(counted, packed.columns, (*BASE, "n_short", "n_distinct"))
 
 
 def with_vector(base: DataFrame) -> DataFrame:
@@ -121,9 +131,10 @@ def with_vector(base: DataFrame) -> DataFrame:
     n, c = F.col("n_words"), F.col("word_chars")
     raw = (
         F.log((c + PRIOR_WORDS * PRIOR_LENGTH) / (n + PRIOR_WORDS)),
-        F.col("n_symbols") / (c + PRIOR_WORDS),
-        F.col("n_repeat_words") / (n + PRIOR_WORDS),
-        F.col("n_dup_lines") / (F.col("n_lines") + PRIOR_LINES),
+        F.sqrt((F.col("n_symbols") + PRIOR_SYMBOLS) / (c + PRIOR_WORDS)),
+        (F.col("n_short") + PRIOR_SHORT) / (n + PRIOR_WORDS),
+        F.log((F.col("n_distinct") + PRIOR_WORDS) / (n + PRIOR_WORDS))
+        / F.log((n + 2 * PRIOR_WORDS) / PRIOR_WORDS),
     )
     return base.withColumns(
         {d: F.round(x * SCALE).cast("long") for d, x in zip(DIMS, raw, strict=True)})
@@ -144,26 +155,32 @@ def _distance(prefix: str = "") -> Column:
     return sum((v * v for v in y[1:]), y[0] * y[0])
 
 
-def _factor(frame: DataFrame, factor: float) -> DataFrame:
+def _factor(frame: DataFrame, factor: float, floors: list[float]) -> DataFrame:
     """Centre and Cholesky factor from the moments ``n``, ``s{i}`` and ``p{i}{j}``."""
     n = F.col("n").cast("double")
     out = frame.withColumns({f"m{i}": F.col(f"s{i}").cast("double") / n for i in range(len(DIMS))})
     cov = {}
     for i, j in _pairs():
         c = (F.col(f"p{i}{j}").cast("double") / n - F.col(f"m{i}") * F.col(f"m{j}")) * F.lit(factor)
-        cov[f"c{i}{j}"] = F.greatest(c, F.lit(0.0)) + (FLOORS[i] * SCALE) ** 2 if i == j else c
+        cov[f"c{i}{j}"] = F.greatest(c, F.lit(0.0)) + floors[i] ** 2 if i == j else c
     out = out.withColumns(cov)
     for i, j in _pairs():  # one column at a time, each from the ones before
         rest = F.col(f"c{i}{j}")
         for k in range(j):
             rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-        floor = FLOORS[i] * SCALE / 10  # rounding only: the floored matrix is positive definite
-        out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(floor * floor)))
+        least = floors[i] / 10  # rounding only: with the floors the matrix is positive definite
+        out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(least * least)))
                              if i == j else rest / F.col(f"l{j}{j}"))
-    return out.select("g_lang", "g_source", *[f"m{i}" for i in range(len(DIMS))],
+    return out.select("g_lang", "g_source", "start", *[f"m{i}" for i in range(len(DIMS))],
                       *[f"l{i}{j}" for i, j in _pairs()])
 
 
+def _moments() -> list[Column]:
+    wide = lambda c: c.cast("decimal(18,0)")
+    return [F.count("*").alias("n"), *[F.sum(d).alias(f"s{i}") for i, d in enumerate(DIMS)],
+            *[F.sum(wide(F.col(DIMS[i]) * F.col(DIMS[j]))).alias(f"p{i}{j}") for i, j in _pairs()]]
+
+
 def _consistency() -> float:
     """Factor that makes the MCD scatter of normal data unbiased (4 dimensions)."""
     lo, hi = 0.0, 100.0
@@ -173,59 +190,59 @@ def _consistency() -> float:
     return SUPPORT / (1 - math.exp(-q / 2) * (1 + q / 2 + q * q / 8))
 
 
-def _median_start(vectors: DataFrame) -> DataFrame:
-    """Per group: coordinate medians and floored, uncorrelated spreads.
+GROUP = ["g_lang", "g_source"]
+
+
+def _medians(rows: DataFrame, *by: str) -> DataFrame:
+    """Median of ``x`` per ``by``. Values are fixed-point, so counting per value keeps it
+    exact; the counts are summed before the shuffle."""
+    at = Window.partitionBy(*by).orderBy("x")
+    return (
+        rows.groupBy(*by, "x").agg(F.count("*").alias("n"))
+        .withColumn("upto", F.sum("n").over(at))
+        .withColumn("all", F.sum("n").over(Window.partitionBy(*by)))
+        .where(2 * F.col("upto") >= F.col("all"))
+        .groupBy(*by).agg(F.min("x").alias("med"))
+    )
+
+
+def _starts(vectors: DataFrame, factor: float) -> tuple[DataFrame, list[float]]:
+    """``(params, floors)``: per group the three starts, and the pooled deviations.
 
-    Values are fixed-point, so counting per value keeps the medians exact; the
-    counts are summed before the shuffle.
+    Start 0 has the coordinates' medians and uncorrelated deviations, starts 1 and 2
+    the moments of either half of the group.
     """
-    g = ["g_lang", "g_source"]
-    long = vectors.select(*g, F.posexplode(F.array(*DIMS)).alias("dim", "x"))
-
-    def medians(rows: DataFrame) -> DataFrame:
-        at = Window.partitionBy(*g, "dim").orderBy("x")
-        return (
-            rows.groupBy(*g, "dim", "x").agg(F.count("*").alias("n"))
-            .withColumn("upto", F.sum("n").over(at))
-            .withColumn("all", F.sum("n").over(Window.partitionBy(*g, "dim")))
-            .where(2 * F.col("upto") >= F.col("all"))
-            .groupBy(*g, "dim").agg(F.min("x").alias("med"))
-        )
-
-    centre = medians(long)
-    spread = medians(
-        long.join(small(centre), [*g, "dim"])
-        .select(*g, "dim", F.abs(F.col("x") - F.col("med")).alias("x"))
-    ).withColumnRenamed("med", "mad")
-    both = centre.join(spread, [*g, "dim"])
+    long = vectors.select(*GROUP, F.posexplode(F.array(*DIMS)).alias("dim", "x"))
+    centre = settled(_medians(long, *GROUP, "dim"))
+    away = (long.join(small(centre), [*GROUP, "dim"])
+            .select(*GROUP, "dim", F.abs(F.col("x") - F.col("med")).alias("x")))
+    pooled = {r["dim"]: r["med"] for r in _medians(away, "dim").collect()}  # a number a statistic
+    floors = [1.4826 * pooled.get(i, 0) + LEAST * SCALE for i in range(len(DIMS))]
+    spread = _medians(away, *GROUP, "dim").withColumnRenamed("med", "mad")
     pick = lambda c, i: F.max(F.when(F.col("dim") == i, F.col(c))).cast("double")
-    start = both.groupBy(*g).agg(
+    first = centre.join(spread, [*GROUP, "dim"]).groupBy(*GROUP).agg(
         *[pick("med", i).alias(f"m{i}") for i in range(len(DIMS))],
         *[pick("mad", i).alias(f"d{i}") for i in range(len(DIMS))],
-    )
-    factor = {}
-    for i, j in _pairs():
-        factor[f"l{i}{j}"] = (
-            F.hypot(F.col(f"d{i}") * 1.4826, F.lit(FLOORS[i] * SCALE)) if i == j else F.lit(0.0))
-    return start.withColumns(factor).drop(*[f"d{i}" for i in range(len(DIMS))])
+    ).withColumn("start", F.lit(0)).withColumns({
+        f"l{i}{j}": F.hypot(F.col(f"d{i}") * 1.4826, F.lit(floors[i])) if i == j else F.lit(0.0)
+        for i, j in _pairs()}).drop(*[f"d{i}" for i in range(len(DIMS))])
+    half = (F.pmod(F.xxhash64(F.lit(SEED), *DIMS), F.lit(2)) + 1).cast("int")
+    halves = vectors.withColumn("start", half).groupBy(*GROUP, "start").agg(*_moments())
+    return first.unionByName(_factor(halves, factor, floors)), floors
 
 
-def _concentrate(vectors: DataFrame, params: DataFrame, factor: float) -> DataFrame:
-    """One C-step: moments of the closest ``SUPPORT`` of each group.
+def _concentrate(vectors: DataFrame, params: DataFrame, factor: float,
+                 floors: list[float]) -> DataFrame:
+    """One C-step: moments of the closest ``SUPPORT`` of each group, for every start.
 
     Moments are summed per distance bin in one pass, then the bins up to the
     one that reaches the support are added up, so no group is collected or
     sorted by distance.
     """
-    g = ["g_lang", "g_source"]
-    d2 = _distance()
-    bin_ = F.floor(F.log2(F.greatest(d2, F.lit(1e-6))) * BINS).cast("int")
-    wide = lambda c: c.cast("decimal(18,0)")
-    moments = [F.count("*").alias("n")]
-    moments += [F.sum(d).alias(f"s{i}") for i, d in enumerate(DIMS)]
-    moments += [F.sum(wide(F.col(DIMS[i]) * F.col(DIMS[j]))).alias(f"p{i}{j}") for i, j in _pairs()]
-    binned = (vectors.join(small(params), g).withColumn("bin", bin_)
-              .groupBy(*g, "bin").agg(*moments))
+    g = [*GROUP, "start"]
+    bin_ = F.floor(F.log2(F.greatest(_distance(), F.lit(1e-6))) * BINS).cast("int")
+    binned = (vectors.join(small(params), GROUP).withColumn("bin", bin_)
+              .groupBy(*g, "bin").agg(*_moments()))
     by = Window.partitionBy(*g)
     inner = (
         binned
@@ -234,16 +251,20 @@ def _concentrate(vectors: DataFrame, params: DataFrame, factor: float) -> DataFr
         .where(F.col("before") < F.ceil(F.col("all") * SUPPORT))
     )
     names = ["n", *[f"s{i}" for i in range(len(DIMS))], *[f"p{i}{j}" for i, j in _pairs()]]
-    return _factor(inner.groupBy(*g).agg(*[F.sum(c).alias(c) for c in names]), factor)
+    return _factor(inner.groupBy(*g).agg(*[F.sum(c).alias(c) for c in names]), factor, floors)
 
 
 def estimate(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
     """MCD centre and Cholesky factor per ``(g_lang, g_source)``: one small row a group."""
-    params = settled(_median_start(vectors))
     factor = _consistency()
+    params, floors = _starts(vectors, factor)
+    params = settled(params)
     for _ in range(steps):
-        params = settled(_concentrate(vectors, params, factor))
-    return params
+        params = settled(_concentrate(vectors, params, factor, floors))
+    volume = sum((F.log(F.col(f"l{i}{i}")) for i in range(1, len(DIMS))), F.log("l00"))
+    rest = [c for c in params.columns if c not in GROUP]
+    least = F.min_by(F.struct(*rest), F.struct(F.round(volume, 9).alias("volume"), "start"))
+    return settled(params.groupBy(*GROUP).agg(least.alias("p")).select(*GROUP, "p.*").drop("start"))
 
 
 def _rows(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
