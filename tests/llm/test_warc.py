@@ -96,3 +96,28 @@ def test_broken_records_are_refused():
     for bad in (good[:-1], good + b"x", b""):
         with pytest.raises(WarcError):
             parse(bad)
+
+
+def test_records_longer_than_a_feed_and_many_of_them():
+    from trailspark.llm.warc import FEED
+
+    import random
+
+    rng = random.Random(2)
+    noise = bytes(rng.randrange(256) for _ in range(3 * FEED))
+    records = [record(i, "u", noise[i:] if i % 7 == 0 else f"<p>{prose(30, i)}</p>".encode(), None, False)
+               for i in range(300)]
+    assert list(frames(archive(records))) == records
+
+
+def test_reading_is_linear_in_the_archive():
+    import time
+
+    def seconds(n):
+        data = archive([record(i, "u", f"<p>{i} {prose(60, i % 50)}</p>".encode(), None, False) for i in range(n)])
+        began = time.process_time()
+        assert sum(1 for _ in frames(data)) == n
+        return time.process_time() - began
+
+    seconds(200)
+    assert seconds(16_000) < 16 * max(seconds(2_000), 0.005)  # 8 times the records

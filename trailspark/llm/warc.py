@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailspark.runtime import scratch_path
+from trailspark.runtime import remove_path, scratch_path
 
 from .common import key_part, settled, small
 
@@ -45,6 +45,8 @@ REQUIRED = ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MIN_SHARED = 100
 ARCHIVE_BYTES = 16 << 20
+#: Bytes that the decoder is fed at a time; what it leaves of them is all that is read twice.
+FEED = 16 << 10
 #: Records and bytes that the dictionary of an archive is trained on, and its size.
 SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES, LEVEL = 256, 2 << 20, 32 << 10, 3
 
@@ -116,15 +118,17 @@ def frames(data: bytes) -> Iterator[bytes]:
     while at < len(data):
         if len(data) - at < 8 or struct.unpack_from("<I", data, at)[0] != ZSTD_MAGIC:
             raise WarcError(f"no frame at byte {at}")
-        frame = opener.decompressobj()
+        frame, parts, fed = opener.decompressobj(), [], at
         try:
-            record = frame.decompress(view[at:])
+            while not frame.eof and fed < len(data):
+                parts.append(frame.decompress(view[fed:fed + FEED]))
+                fed = min(fed + FEED, len(data))
         except zstandard.ZstdError as e:
             raise WarcError(f"frame at byte {at}: {e}") from e
         if not frame.eof:
             raise WarcError(f"frame at byte {at} is cut off")
-        yield record
-        at = len(data) - len(frame.unused_data)
+        yield b"".join(parts)
+        at = fed - len(frame.unused_data)
 
 
 def parse(data: bytes) -> tuple[dict[str, str], bytes]:
@@ -256,8 +260,8 @@ def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     path = scratch_path(spark, "warc")
     if "://" not in path and ":/" in path:  # file:/folder, as Hadoop writes it
         path = path.replace(":/", ":///", 1)
-    manifest = write_warc(with_references(pages, page_id, url, page), path)
-    read = settled(read_warc(spark, path, manifest).drop("url"))
-    filesystem, folder = pafs.FileSystem.from_uri(path)
-    filesystem.delete_dir(folder)
-    return read
+    try:
+        manifest = write_warc(with_references(pages, page_id, url, page), path)
+        return settled(read_warc(spark, path, manifest).drop("url"))
+    finally:
+        remove_path(spark, path)
