@@ -90,3 +90,18 @@ def test_pages_table(spark):
         blocks = [" ".join(html.unescape(re.sub(r"<(?!/?(?:p|h1)\b)[^>]*>", " ", b)).split())
                   for b in re.split(r"</?(?:p|h1)\b[^>]*>", inner)]
         assert texts[r["page_id"]].replace(" ", "") == "\n".join(b for b in blocks if b).replace(" ", "")
+
+
+def test_the_rules_agree_with_the_markup_they_do_not_see(spark):
+    """Blocks of the given pages, decided with the main part's markup and without it."""
+    from trailspark.llm.html_text import GOOD, labelled
+
+    same = both = words = found = right = 0
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        told, by_rule = labelled(r["html"]), labelled(r["html"], marks=("furniture",))
+        assert [t for t, _ in told] == [t for t, _ in by_rule]
+        for (text, a), (_, b) in zip(told, by_rule, strict=True):
+            n, same, both = len(text.split()), same + (a == b), both + 1
+            words, found = words + n * (a == GOOD), found + n * (b == GOOD)
+            right += n * (a == b == GOOD)
+    assert same / both > 0.8 and right / words > 0.8 and right / found > 0.99

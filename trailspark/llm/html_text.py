@@ -10,6 +10,10 @@ boilerplate; short blocks stay ambiguous. In pass two an ambiguous block
 inherits the label of its nearest decided neighbours, good only if both sides
 agree; a heading inherits from the block below it.
 
+What markup says comes first where it says anything; the rules of the two passes
+decide the other blocks. ``marks`` takes either kind of markup out of the
+decision, so that the rules can be measured against it on the same pages.
+
 Defined results: a null or empty page has the text ""; an unclosed element
 ends with its parent; repeated rows give equal texts; an empty table gives an
 empty result; input columns may have any names.
@@ -77,6 +81,8 @@ STOP_WORDS = frozenset(
 
 LONG, STOP_DENSITY, LINK_DENSITY, ONLY_LINKS = 70, 0.15, 0.33, 0.9
 GOOD, BAD, SHORT = "good", "bad", "short"
+#: Markup that decides: elements and names of furniture, and of the main part.
+MARKUP = ("furniture", "main")
 
 
 @dataclass
@@ -231,11 +237,13 @@ def blocks(page: str) -> list[Block]:
     return done
 
 
-def main_text(page: str | None) -> str:
-    """Main blocks of a page, white space folded, joined by line feeds."""
+def labelled(page: str | None, marks: tuple[str, ...] = MARKUP) -> list[tuple[str, str]]:
+    """``(text, label)`` of a page's blocks, white space folded."""
     found = []
     for b in blocks(page or ""):
         text = " ".join("".join(b.text).split())
+        b.furniture &= "furniture" in marks
+        b.article &= "main" in marks
         found.append((b, text, _alone(b, text)))
     labels = [x for *_, x in found]
     before, after = _nearest(labels), _nearest(labels[::-1])[::-1]
@@ -243,9 +251,13 @@ def main_text(page: str | None) -> str:
     for (b, text, label), above, below in zip(found, before, after, strict=True):
         if label == SHORT:
             label = below if b.heading else (GOOD if above == below == GOOD else BAD)
-        if label == GOOD:
-            out.append(text)
-    return "\n".join(out)
+        out.append((text, label))
+    return out
+
+
+def main_text(page: str | None) -> str:
+    """Main blocks of a page, joined by line feeds."""
+    return "\n".join(text for text, label in labelled(page) if label == GOOD)
 
 
 def _nearest(labels: list[str]) -> list[str]:
