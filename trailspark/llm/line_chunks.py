@@ -138,8 +138,11 @@ def _judged(each: DataFrame, owner: Column, counts: Column) -> DataFrame:
 def judged_lines(rows: DataFrame) -> DataFrame:
     """``id, text_hash, gone``: the numbers of the lines to remove, where there are any, and
     ``fine``, how many of them the second level found."""
-    if (collided := _collided(rows)) is not None:
+    collided = _collided(rows)
+    rows = rows.select(*OWN, "heads", "tails")
+    if collided is not None:
         rows = rows.join(small(collided), OWN, "left_anti")
+    rows = settled(rows)  # the keys, 32 bytes a line: both levels read them twice
     first, repeated = F.struct(*OWN, "a"), F.count("*") > 1
     coarse = settled(_judged(chunks(rows), F.min(first), repeated))
     fine = _judged(fine_chunks(rows, coarse), F.min(F.when(F.col("whole"), first)),
