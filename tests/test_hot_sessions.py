@@ -28,7 +28,17 @@ from trailspark import (
 from trailspark.operators.buckets import with_bucket
 from trailspark.operators.cut import cut_broadcast, cut_rows
 from trailspark.operators.paths import BLOCK, running_in_block, with_block
-from trailspark.plans.rdd import bucket_state, fold_bucket, fold_session, merge_states, state_route
+from trailspark.plans.rdd import (
+    bucket_state,
+    fold_bucket,
+    fold_session,
+    fold_sorted,
+    fragment,
+    fragments_route,
+    merge_states,
+    route_pairs_rdd,
+    state_route,
+)
 from trailspark.schema import events_schema
 
 SETTINGS = {
@@ -178,3 +188,39 @@ def test_routes_of_an_rdd_of_tuples(spark):
            ("9223372036854775808", "1", "page", "A", "1"), ("1", "1", "page", "B", "5\n"),
            ("1", "1", "xERROR", "D", "6"), ("1", "1", "page", "D", "7")]
     assert get_routes(spark.sparkContext.parallelize(bad, 3), width=2).collect() == [("A-C", 1)]
+
+
+def test_fragments_of_a_session_join_in_order():
+    rng = random.Random(5)
+    for _ in range(300):
+        events = [(rng.randrange(40), rng.choice("ABC"), "", rng.random() < 0.04) for i in range(rng.randrange(1, 50))]
+        events = [(t, p, p, e) for t, p, _, e in events]
+        buckets: dict[int, list] = {}
+        for e in events:
+            buckets.setdefault(e[0] - e[0] % 5, []).append(e)
+        for es in buckets.values():
+            assert (fold_sorted(sorted(es))[0], tuple(fold_sorted(sorted(es))[1])) == fold_bucket(es)
+        parts = (fragment(*fold_sorted(sorted(buckets[b]))) for b in sorted(buckets))
+        route, n = fragments_route(parts)
+        assert route == fold_session(events) and n == (len(route.split("-")) if route else 0)
+
+
+def test_rdd_forms_hold_no_table_of_sessions(spark):
+    rows = [(str(i % 7), "1", "page", f"p{i % 3}", str(i)) for i in range(50)]
+    pairs = get_routes(spark.sparkContext.parallelize(rows, 2))
+    # Sorted runs, which are read one by one, instead of tables in the workers' memory.
+    lineage = pairs.toDebugString().decode()
+    assert lineage.count("ShuffledRDD") == 2 and pairs.getNumPartitions() >= 4 * 2
+    events = spark.createDataFrame([(int(u), int(s), k, p, int(t)) for u, s, k, p, t in rows], events_schema())
+    framed = route_pairs_rdd(events)
+    assert sorted(framed.collect()) == sorted(pairs.collect())
+
+
+def test_running_routes_move_what_is_linear(spark, shuffled_joins):
+    rows = [(1, 1, "page", f"p{i % 3}", i * 3600, i) for i in range(3000)]
+    changes = page_changes(spark.createDataFrame(rows, events_schema("seq")), "seq")
+    df = running_routes(changes, "seq")
+    # No running list over a session's buckets or rows; copies of its route are few.
+    assert "collect_list" not in "".join(
+        line for line in _executed(df).splitlines() if "windowspecdefinition" in line)
+    assert df.agg(F.sum(F.length("route"))).first()[0] == sum(3 * i - 1 for i in range(1, 3001))

@@ -1,10 +1,12 @@
 """RDD facade of the route query (Q7): fold buckets, merge their states by session, count.
 
-A session is put together from states that merge in any order and grouping: the
-first bucket with an error, and the collapsed pages of each bucket up to
-that one. What lies behind an error is dropped wherever two states meet. Events
-are folded per ``(session, bucket)`` before that, so no list of a whole
-session's events exists anywhere; what grows with a session is its route.
+Events are folded per ``(session, bucket)``: the first error, and the collapsed
+pages before it, as one text. These fragments are dealt out by session and sorted
+by bucket, and a task reads them one by one: it holds the route of the session
+it is at, and drops what lies behind an error. The sorts go to disk when a worker's
+memory (``spark.python.worker.memory``) is used up, so no task holds more of the
+input, however large its share is. ``merge_states`` is the same for states in any
+order and grouping.
 
 * ``route_pairs_rdd`` takes a frame: Spark's own aggregates fold the buckets,
   and one row per bucket reaches Python.
@@ -17,10 +19,12 @@ The result is the top ``n`` list, ordered by count then route.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 from operator import add
 
 from pyspark import RDD
+from pyspark.rdd import portable_hash
 from pyspark.sql import DataFrame
 
 from ..functions.exprs import ERROR_WORD, LONG_PATTERN
@@ -31,6 +35,11 @@ from ..schema import BUCKET_SECONDS, ROUTE_COUNTS_SCHEMA, SEPARATOR, SESSION, US
 
 #: ``(first bucket with an error or None, {bucket: pages})``
 State = tuple["int | None", dict[int, tuple[str, ...]]]
+#: ``(has an error, text of the pages, their number, first, last)``
+Fragment = tuple[bool, str, int, str, str]
+#: Parts of a shuffle for each part of its input: small ones, as Python rows take many times
+#: their bytes.
+SPREAD = 8
 
 
 def collapsed(pages: Iterable[str]) -> list[str]:
@@ -49,6 +58,22 @@ def fold_bucket(events: Iterable[tuple]) -> tuple[int | None, tuple[str, ...]]:
     return error_ts, tuple(collapsed(e[2] for e in events if error_ts is None or e[0] < error_ts))
 
 
+def fold_sorted(events: Iterable[tuple]) -> tuple[int | None, list[str]]:
+    """``fold_bucket`` of events in order, which holds the pages only."""
+    pages: list[str] = []
+    kept, second, error_ts = 0, None, None
+    for ts, _, page, is_error in events:
+        if error_ts is not None and ts > error_ts:
+            continue
+        if ts != second:  # what an error in the same second takes back
+            kept, second = len(pages), ts
+        if is_error:
+            error_ts = ts
+        elif not pages or pages[-1] != page:
+            pages.append(page)
+    return error_ts, pages if error_ts is None else pages[:kept]
+
+
 def fold_session(events: Iterable[tuple]) -> str:
     """Route of one session's ``(timestamp, tie, page, is_error)`` tuples."""
     return SEPARATOR.join(fold_bucket(events)[1])
@@ -79,29 +104,57 @@ def state_route(state: State) -> str:
     return SEPARATOR.join(collapsed(pages))
 
 
-def _routes(states: RDD) -> RDD:
-    """``(route, 1)`` per session from ``(session, state)`` pairs; states combine map-side."""
-    return (
-        states.reduceByKey(merge_states)
-        .mapValues(state_route)
-        .filter(lambda kv: kv[1] != "")
-        .map(lambda kv: (kv[1], 1))
-    )
+def _sorted_by(rdd: RDD, key_length: int, partitions: int) -> RDD:
+    """Pairs dealt out by the first ``key_length`` parts of their keys and sorted by the whole ones."""
+    return rdd.repartitionAndSortWithinPartitions(
+        partitions, lambda k: portable_hash(k[:key_length]))
+
+
+def fragment(error_ts: int | None, pages: list[str]) -> Fragment:
+    """A bucket's collapsed pages as one text, which takes a part of their memory."""
+    return (error_ts is not None, SEPARATOR.join(pages), len(pages),
+            pages[0] if pages else "", pages[-1] if pages else "")
+
+
+def fragments_route(parts: Iterable[Fragment]) -> tuple[str, int]:
+    """Route of a session's fragments in bucket order, and its number of pages; a page
+    repeated over a boundary collapses, and nothing behind the first error counts."""
+    texts, total, end = [], 0, None
+    for error, text, n, first, last in parts:
+        if n and first == end:
+            n, text = n - 1, text[len(first) + len(SEPARATOR):]
+        if n:
+            texts.append(text)
+            total, end = total + n, last
+        if error:
+            break
+    return SEPARATOR.join(texts), total
+
+
+def _routes(parts: RDD, partitions: int) -> RDD:
+    """``(route, 1)`` per session from ``((user, session, bucket), fragment)`` pairs."""
+    def routes(rows: Iterable[tuple]) -> Iterator[tuple[str, int]]:
+        for _, group in groupby(rows, key=lambda kv: kv[0][:2]):
+            route, _ = fragments_route(kv[1] for kv in group)
+            if route != "":
+                yield route, 1
+
+    return _sorted_by(parts, 2, partitions).mapPartitions(routes)
 
 
 def route_pairs_rdd(events: DataFrame, seq: str | None = None, width: int = BUCKET_SECONDS) -> RDD:
     """``(route, 1)`` pairs of a frame's sessions."""
-    return _routes(
-        fragments(events, seq, width).select(USER, SESSION, BUCKET, CUT, PAGES)
-        .rdd.map(lambda r: ((r[0], r[1]), bucket_state(r[2], r[3], r[4]))))
+    rows = fragments(events, seq, width).select(USER, SESSION, BUCKET, CUT, PAGES).rdd
+    return _routes(rows.map(lambda r: ((r[0], r[1], r[2]), fragment(r[3], r[4]))),
+                   SPREAD * rows.getNumPartitions())
 
 
 def get_routes(records: RDD, width: int = BUCKET_SECONDS) -> RDD:
     """``(route, 1)`` pairs from 5-string tuples ``(user, session, type, page, timestamp)``.
 
     By the readers' rule: records with an id or time that is no number, or
-    without a page, are left out. Ties go by page. A bucket's distinct events
-    are one set, combined map-side.
+    without a page, are left out. Ties go by page. Copies of an event are
+    dropped as the sorted events of a bucket are read.
     """
     number = re.compile(LONG_PATTERN.rstrip("$") + r"\Z")
     limit = 1 << 63
@@ -113,20 +166,15 @@ def get_routes(records: RDD, width: int = BUCKET_SECONDS) -> RDD:
         u, s, t = int(user), int(session), int(ts)
         if not all(-limit <= x < limit for x in (u, s, t)):
             return []
-        return [((u, s, t - t % width), (t, page, page, ERROR_WORD in (kind or "").lower()))]
-
-    def add_event(acc: set, event: tuple) -> set:
-        acc.add(event)
-        return acc
+        return [((u, s, t - t % width, t, page), ERROR_WORD in (kind or "").lower())]
 
-    def union(a: set, b: set) -> set:
-        a |= b
-        return a
+    def folded(rows: Iterable[tuple]) -> Iterator[tuple]:
+        for bucket, group in groupby(rows, key=lambda kv: kv[0][:3]):
+            yield bucket, fragment(*fold_sorted(
+                (t, page, page, error) for (_, _, _, t, page), error in group))
 
-    return _routes(
-        records.flatMap(keyed)
-        .combineByKey(lambda event: {event}, add_event, union)
-        .map(lambda kv: (kv[0][:2], bucket_state(kv[0][2], *fold_bucket(kv[1])))))
+    n = SPREAD * records.getNumPartitions()
+    return _routes(_sorted_by(records.flatMap(keyed), 3, n).mapPartitions(folded), n)
 
 
 def top_pairs(pairs: RDD, n: int = DEFAULT_N) -> list[tuple[str, int]]:
