@@ -151,3 +151,11 @@ def test_held_out_texts_do_better_than_single_words(spark):
     held = [r for r in lm_scores(docs).collect() if r["held_out"]]
     assert len(held) > 10
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_sizes_of_parts_change_no_score(spark):
+    """A word that outgrows a shard keeps one shorter context, however its parts are cut."""
+    for chunk, shard, part in ((1 << 20, 1 << 20, None), (300, 50, None), (300, 60, 3), (2000, 400, 1)):
+        df = lm_scores(frame(spark, rows()), chunk_bytes=chunk, bucket_words=40, shard_words=shard,
+                       part_words=part)
+        assert_matches(df, rows(), 1 << 60)

@@ -166,14 +166,30 @@ class Trie:
         for name in self.CODES:
             setattr(self, name, arrays[name])
 
+    @staticmethod
+    def pairs(key: np.ndarray, word: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Distinct ``(key, word)`` in order, their counts, and each argument's place among them."""
+        order = np.lexsort((word, key))
+        new = np.ones(len(key), bool)
+        new[1:] = (key[order][1:] != key[order][:-1]) | (word[order][1:] != word[order][:-1])
+        first = np.flatnonzero(new)
+        of = np.empty(len(key), np.int64)
+        of[order] = np.cumsum(new) - 1
+        total = np.add.reduceat(count[order], first) if len(first) else np.zeros(0, np.int64)
+        return key[order][first], word[order][first], total, of
+
     @staticmethod
     def build(key: np.ndarray, before: np.ndarray, word: np.ndarray, count: np.ndarray,
-              p1: np.ndarray) -> dict[str, np.ndarray]:
+              p1: np.ndarray, whole: tuple[np.ndarray, ...] | None = None) -> dict[str, np.ndarray]:
         """The levels from distinct ``(key, before, word)``, sorted so, with counts and the
         words' own probabilities.
 
         Witten-Bell smoothing: a context seen ``c`` times before ``t`` different words
         leaves ``t / (c + t)`` to the next shorter one.
+
+        ``whole`` has what follows the keys where the trigrams are a part of it only: distinct
+        ``(key, word)`` in order, counts, words' own probabilities, and per distinct key its
+        ``c`` and ``t``. It may hold more pairs than the trigrams do.
         """
         def starts(*cols: np.ndarray) -> np.ndarray:
             new = np.zeros(len(key), bool)
@@ -182,35 +198,36 @@ class Trie:
                 new[1:] |= c[1:] != c[:-1]
             return np.flatnonzero(new)
 
-        def sizes(first: np.ndarray, n: int) -> np.ndarray:
-            return np.diff(np.append(first, n))
-
         def total(x: np.ndarray, first: np.ndarray) -> np.ndarray:
             return np.add.reduceat(x, first) if len(first) else np.zeros(0, np.int64)
 
-        first1, first2 = starts(key), starts(key, before)
+        if whole is None:
+            pair_key, pair_word, c12, pair_of = Trie.pairs(key, word, count)
+            lower = np.empty(len(c12))
+            lower[pair_of] = p1
+            contexts, pair_at1 = np.unique(pair_key, return_inverse=True)
+            kinds1 = np.bincount(pair_at1, minlength=len(contexts))
+            seen1 = np.bincount(pair_at1, c12, len(contexts)).astype(np.int64)
+        else:
+            pair_key, pair_word, c12, lower, seen1, kinds1 = whole
+            contexts, pair_at1 = np.unique(pair_key, return_inverse=True)
+            words, w = np.unique(pair_word, return_inverse=True)
+            pair_of = np.searchsorted(
+                pair_at1 * len(words) + w,
+                np.searchsorted(contexts, key) * len(words) + np.searchsorted(words, word))
+        at1 = np.searchsorted(contexts, key)
+        first2 = starts(key, before)
         # What follows each context, whatever came before it.
-        at1 = np.repeat(np.arange(len(first1)), sizes(first1, len(key)))
-        order = np.lexsort((word, at1))
-        pair_new = np.ones(len(key), bool)
-        pair_new[1:] = (at1[order][1:] != at1[order][:-1]) | (word[order][1:] != word[order][:-1])
-        pair_first = np.flatnonzero(pair_new)
-        pair_of = np.empty(len(key), np.int64)
-        pair_of[order] = np.cumsum(pair_new) - 1
-        c12 = total(count[order], pair_first)
-        pair_at1, pair_word = at1[order][pair_first], word[order][pair_first]
-        seen1, kinds1 = total(count, first1), np.bincount(pair_at1, minlength=len(first1))
-        lower = p1[order][pair_first]
         p2 = (c12 + kinds1[pair_at1] * lower) / (seen1 + kinds1)[pair_at1]
-        seen2, kinds2 = total(count, first2), sizes(first2, len(key))
+        seen2, kinds2 = total(count, first2), np.diff(np.append(first2, len(key)))
         at2 = np.repeat(np.arange(len(first2)), kinds2)
         p3 = (count + kinds2[at2] * p2[pair_of]) / (seen2 + kinds2)[at2]
 
-        to_follow = np.concatenate([[0], np.cumsum(kinds1)])
-        to_longer = np.searchsorted(first2, np.append(first1, len(key)))
+        to_follow = np.searchsorted(pair_at1, np.arange(len(contexts) + 1))
+        to_longer = np.searchsorted(at1[first2], np.arange(len(contexts) + 1))
         to_follow2 = np.append(first2, len(key))
         sequences = {
-            "contexts": key[first1], "to_follow": to_follow, "to_longer": to_longer,
+            "contexts": contexts, "to_follow": to_follow, "to_longer": to_longer,
             "to_follow2": to_follow2,
             "follow": _relative(pair_word, to_follow),
             "longer": _relative(before[first2], to_longer),
@@ -231,6 +248,7 @@ class Trie:
         begin[i], end[i] = pointers.at(at[i]), pointers.at(at[i] + 1)
         later = np.flatnonzero((begin > 0) & (end > begin))
         base[later] = level.at(begin[later] - 1) + 1
+        end[end == begin] = 0  # nothing is below it
         return begin, end, base
 
     def codes(self, key: np.ndarray, before: np.ndarray, word: np.ndarray,

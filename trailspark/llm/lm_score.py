@@ -10,11 +10,16 @@ quantised Witten-Bell probabilities, writes it as one file to the shared
 folder, maps the file, looks every distinct trigram up, and returns one sum
 per text. One move of the words serves training and scoring.
 
-A word that stands often enough to outgrow a shard is split by the word before
-it: the shorter context of such a word is the word and the hash class of the
-word before, a class for every ``split`` occurrences in the training texts, so
-that classes, too, are estimated from that many words. Equal trigrams of a
-text are one entry, whatever their number.
+A word that stands often enough to outgrow a shard is dealt out by the hash of
+the word before it, a part for every ``part_words`` occurrences in the training
+texts. Longer contexts are whole in a part; what follows the shorter one is added
+up over the parts: each sends its distinct pairs ``(last, word)`` with their counts
+to the place of the pair's class, and gets the totals and the number of kinds back.
+So the sizes of parts and shards change no result. Equal trigrams of a text are
+one entry, whatever their number.
+
+With ``split`` the model itself has classes: the shorter context of a word is the
+word and the hash class of the word before, a class for every ``split`` occurrences.
 
 The first word of a text has no context and takes the word's own probability
 ``(c + 1) / (N + V + 1)``, which also ends every back-off; the second has one
@@ -53,8 +58,7 @@ from .elias_fano import STEPS, Trie, load, quantised, remove, save
 #: Ids of the missing word before the second word of a text, and of the end token.
 START, END, FIRST_ID = 0, 1, 2
 #: Bytes of text to a chunk, and about how many words of chunks' vocabularies to a bucket
-#: and trigrams to a shard. They bound what a task holds and change no result but for
-#: ``SHARD_WORDS // 4``, the default of ``split``.
+#: and trigrams to a shard. They bound what a task holds and change no result.
 CHUNK_BYTES = 8 << 20
 BUCKET_WORDS = 1 << 19
 SHARD_WORDS = 1 << 19
@@ -65,6 +69,9 @@ SEED = 12
 CHUNKS = ("chunk long, texts binary, tokens binary, words binary, counts binary, n_words long, "
           "n_tokens long, train_texts long, train_tokens long")
 PARTS = "place long, chunk long, kind int, data binary"
+IDS = PARTS + ", most long"
+#: Parts of a word whose pairs meet at one place.
+MEET = 16
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
           "base_score double, score double")
 
@@ -183,7 +190,7 @@ def _rows_of(df: DataFrame, fn, schema: str) -> DataFrame:
 def word_ids(table: DataFrame, buckets: int) -> DataFrame:
     """Per chunk and bucket of words: ``place`` (the bucket), ``chunk``, the words' ids and
     training counts in the chunk's order; ``kind`` is on one row of a bucket the number of
-    its words that training holds, else 0."""
+    its words that training holds, else 0, and ``most`` the greatest training count."""
     def scatter(row: dict) -> list[dict]:
         words, counts = _split(row["words"]), unpacked(row["counts"])[0]
         if not words:  # empty texts only
@@ -215,20 +222,23 @@ def word_ids(table: DataFrame, buckets: int) -> DataFrame:
         return pd.DataFrame({
             "place": rows["place"], "chunk": rows["chunk"],
             "kind": [int((total > 0).sum())] + [0] * (len(held) - 1),
-            "data": [packed(ids[mine], total[mine]) for mine in held]})
+            "data": [packed(ids[mine], total[mine]) for mine in held],
+            "most": int(total.max(initial=0))})
 
     return (_rows_of(table.select("chunk", "words", "counts"), scatter, PARTS)
-            .groupBy("place").applyInPandas(number, PARTS))
+            .groupBy("place").applyInPandas(number, IDS))
 
 
 class _Corpus:
     """Totals that every task needs: a few numbers."""
 
-    def __init__(self, totals, known: int, buckets: int, shard_words: int, split: int):
+    def __init__(self, totals, known: int, buckets: int, shard_words: int, split: int | None,
+                 part_words: int, most: int):
         self.texts = totals["train_texts"] or 0
         self.tokens = (totals["train_tokens"] or 0) + self.texts
         self.types = known + (self.texts > 0)
-        self.buckets, self.split = buckets, split
+        self.buckets, self.split, self.part_words = buckets, split, part_words
+        self.parted = split is None and most > part_words
         self.shards = max(1, math.ceil((totals["n_tokens"] or 0) / shard_words))
         self.log_all = math.log10(self.tokens + self.types + 1)
 
@@ -276,9 +286,11 @@ def _trigrams(row: dict, replies: list[dict], c: _Corpus) -> list[dict]:
         last, word, doc = w[i - 1], w[i], text[i]
         before = np.where(i - first[doc] >= 2, w[np.maximum(i - 2, 0)], n)
         hashes = np.append(hashes, np.uint64(0))
-        classes = np.maximum(1, -(-counts // c.split))
+        classes = np.maximum(1, -(-counts // (c.split or c.part_words)))
         part = (hashes[before] % classes[last].astype(np.uint64)).astype(np.int64)
         mixed = (hashes[last] ^ (part.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+        if c.split is None:  # a place in the shards only; the entry has the word's count
+            part = counts[last]
         shard = ((mixed >> np.uint64(7)) % np.uint64(c.shards)).astype(np.int64)
         del mixed, i, w, text, body, later
         # Equal trigrams of a text are one entry with a number; entries go by the last word's
@@ -315,15 +327,91 @@ def _trigrams(row: dict, replies: list[dict], c: _Corpus) -> list[dict]:
     return out
 
 
-def _shard(rows: pd.DataFrame, folder: str) -> pd.DataFrame:
-    """One shard: count, build the trie, map it, and sum each text's steps."""
+def _entries(rows: pd.DataFrame) -> tuple[list[int], list[np.ndarray]]:
+    """A shard's rows as columns, and the length of each."""
     columns = []
     for d in rows["data"]:
         ids, code, last, part, before, of, doc, times = unpacked(d)
         columns.append((np.cumsum(last), part, before, np.cumsum(ids)[of], code[of], doc, times))
-    sizes = [len(x[0]) for x in columns]
-    last, part, before, word, code1, doc, times = (np.concatenate(x) for x in zip(*columns, strict=True))
-    del columns
+    return [len(x[0]) for x in columns], [np.concatenate(x) for x in zip(*columns, strict=True)]
+
+
+class _Parted:
+    """The pairs of a shard whose words are dealt out in parts, by the places where they meet.
+
+    Both readings of a shard make the same pairs in the same order, whatever the order of
+    its rows."""
+
+    def __init__(self, last, total, word, doc, times, c: _Corpus):
+        mine = np.flatnonzero(total > c.part_words)
+        count = np.where(doc[mine] & 1, 0, times[mine])
+        self.key, self.word, self.count, _ = Trie.pairs(last[mine], word[mine], count)
+        self.lasts, at = np.unique(last[mine], return_index=True)
+        self.seen = total[mine][at]
+        places = -(-self.seen // (c.part_words * MEET))
+        first = (self.lasts * 0x9E3779B1 >> 7) % c.shards
+        of = np.searchsorted(self.lasts, self.key)
+        self.place = (first[of] + (self.word * 0x85EBCA6B >> 9) % places[of]) % c.shards
+        # Every place of a word hears from every shard that has it.
+        each = np.repeat(np.arange(len(self.lasts)), places)
+        step = np.arange(len(each)) - np.repeat(np.cumsum(places) - places, places)
+        met = np.unique(((first[each] + step) % c.shards) * max(1, len(self.lasts)) + each)
+        self.met_place, self.met = met // max(1, len(self.lasts)), met % max(1, len(self.lasts))
+        self.order = np.lexsort((self.word, self.key, self.place))
+
+    def at_places(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per place, rising: the numbers of its words, and of its pairs."""
+        place = self.place[self.order]
+        for p in np.unique(self.met_place).tolist():
+            a, b = np.searchsorted(self.met_place, [p, p + 1])
+            x, y = np.searchsorted(place, [p, p + 1])
+            yield p, self.met[a:b], self.order[x:y]
+
+
+def _asked(rows: pd.DataFrame, c: _Corpus) -> pd.DataFrame:
+    """A shard's pairs of parted words, a row for each place; ``chunk`` is the shard."""
+    out = []
+    if rows["kind"].iloc[0] == 1:
+        _, (last, total, _, word, _, doc, times) = _entries(rows)
+        mine = _Parted(last, total, word, doc, times, c)
+        for place, words, pairs in mine.at_places():
+            out.append({"place": place, "chunk": int(rows["place"].iloc[0]), "kind": 2, "data": packed(
+                mine.lasts[words], np.searchsorted(mine.lasts[words], mine.key[pairs]),
+                mine.word[pairs], mine.count[pairs])})
+    return pd.DataFrame(out, columns=["place", "chunk", "kind", "data"])
+
+
+def _answered(rows: pd.DataFrame) -> pd.DataFrame:
+    """What a place was asked: per word the number of kinds that follow it here in training,
+    and per pair its count in all parts."""
+    asked = [unpacked(d) for d in rows["data"]]
+    key = np.concatenate([lasts[of] for lasts, of, _, _ in asked])
+    pair_key, _, total, of = Trie.pairs(key, np.concatenate([x[2] for x in asked]),
+                                        np.concatenate([x[3] for x in asked]))
+    known, kinds = np.unique(pair_key[total > 0], return_counts=True)
+    out, at = [], 0
+    for lasts, *_, count in asked:
+        place = np.searchsorted(known, lasts)
+        here = np.append(known, -1)[place] == lasts
+        out.append(packed(np.where(here, np.append(kinds, 0)[place], 0), total[of[at:at + len(count)]]))
+        at += len(count)
+    return pd.DataFrame({"place": rows["chunk"], "chunk": rows["place"], "kind": 2, "data": out})
+
+
+def _shard(rows: pd.DataFrame, folder: str, c: _Corpus, answers: pd.DataFrame | None = None) -> pd.DataFrame:
+    """One shard: count, build the trie, map it, and sum each text's steps."""
+    sizes, (last, part, before, word, code1, doc, times) = _entries(rows)
+    parted = None
+    if answers is not None and len(answers):
+        parted = _Parted(last, part, word, doc, times, c)
+        seen, kinds1 = parted.seen, np.zeros(len(parted.lasts), np.int64)
+        told = dict(zip(answers["chunk"].tolist(), answers["data"], strict=True))
+        for place, words_, pairs in parted.at_places():
+            k, t = unpacked(told[place])
+            kinds1[words_] += k
+            parted.count[pairs] = t
+    if c.split is None:
+        part = np.zeros(len(part), np.int64)
     train = (doc & 1) == 0
     classes = int(part.max(initial=0)) + 1
     # Dense ranks of the three columns make one key of a trigram.
@@ -338,12 +426,29 @@ def _shard(rows: pd.DataFrame, folder: str) -> pd.DataFrame:
     key, b = keys[kinds // len(words) // len(befores)], befores[kinds // len(words) % len(befores)]
     code = code_of[w]
     w = words[w]
-    in_training = count > 0
+    t = count > 0
     steps = code.astype(np.int64)
-    if in_training.any():
+    follow = None
+    if parted is not None:
+        pair_key, pair_word, pair_count, _ = Trie.pairs(key[t], w[t], count[t])
+        own = ~np.isin(pair_key, parted.lasts)
+        met = parted.count > 0
+        pair_key = np.concatenate([pair_key[own], parted.key[met]])
+        order = np.lexsort((np.concatenate([pair_word[own], parted.word[met]]), pair_key))
+        pair_key = pair_key[order]
+        pair_word = np.concatenate([pair_word[own], parted.word[met]])[order]
+        pair_count = np.concatenate([pair_count[own], parted.count[met]])[order]
+        contexts, one = np.unique(pair_key, return_inverse=True)
+        seen1 = np.bincount(one, pair_count, len(contexts)).astype(np.int64)
+        t1 = np.bincount(one, minlength=len(contexts))
+        at = np.searchsorted(contexts, parted.lasts)
+        has = np.append(contexts, -1)[at] == parted.lasts
+        seen1[at[has]], t1[at[has]] = seen[has], kinds1[has]
+        p1 = 10.0 ** (-code_of[np.searchsorted(words, pair_word)] / STEPS)
+        follow = (pair_key, pair_word, pair_count, p1, seen1, t1)
+    if t.any() or follow is not None and len(follow[0]):
         uri = f"{folder}/trie-{int(rows['place'].iloc[0])}-{uuid.uuid4().hex}"
-        t = in_training
-        save(Trie.build(key[t], b[t], w[t], count[t], 10.0 ** (-code[t] / STEPS)), uri)
+        save(Trie.build(key[t], b[t], w[t], count[t], 10.0 ** (-code[t] / STEPS), follow), uri)
         try:
             steps = Trie(load(uri)).codes(key, b, w, code)
         finally:
@@ -376,7 +481,8 @@ def _scores(rows: pd.DataFrame, c: _Corpus) -> pd.DataFrame:
 
 def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
               chunk_bytes: int = CHUNK_BYTES, bucket_words: int = BUCKET_WORDS,
-              shard_words: int = SHARD_WORDS, split: int | None = None) -> DataFrame:
+              shard_words: int = SHARD_WORDS, split: int | None = None,
+              part_words: int | None = None) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per row.
 
     The model is trained and all rows are scored when this is called; the
@@ -396,8 +502,9 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         buckets = max(1, math.ceil((totals["n_words"] or 0) / bucket_words))
         word_ids(table, buckets).write.parquet(f"{work}/ids")
         ids = spark.read.parquet(f"{work}/ids")
-        known = ids.agg(F.sum("kind").alias("n")).first()["n"] or 0
-        corpus = _Corpus(totals, known, buckets, shard_words, split or max(1, shard_words // 4))
+        known = ids.agg(F.sum("kind").alias("n"), F.max("most").alias("most")).first()
+        corpus = _Corpus(totals, known["n"] or 0, buckets, shard_words, split,
+                         part_words or max(1, shard_words // 4), known["most"] or 0)
 
         def spread(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             return pd.DataFrame(_trigrams(left.iloc[0].to_dict(), right.to_dict("records"), corpus))
@@ -407,12 +514,18 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         folder = f"{work}/tries"
         _make_folder(spark, folder)
 
-        def shard(rows: pd.DataFrame) -> pd.DataFrame:
-            return rows if rows["kind"].iloc[0] == 0 else _shard(rows, folder)
+        def shard(rows: pd.DataFrame, answers: pd.DataFrame | None = None) -> pd.DataFrame:
+            return rows if rows["kind"].iloc[0] == 0 else _shard(rows, folder, corpus, answers)
 
+        places = entries.groupBy("place")
+        if corpus.parted:
+            answers = (places.applyInPandas(lambda rows: _asked(rows, corpus), PARTS)
+                       .groupBy("place").applyInPandas(_answered, PARTS))
+            sums = places.cogroup(answers.groupBy("place")).applyInPandas(shard, PARTS)
+        else:
+            sums = places.applyInPandas(lambda rows: shard(rows), PARTS)
         return settled(
-            entries.groupBy("place").applyInPandas(shard, PARTS)
-            .groupBy("chunk").applyInPandas(lambda rows: _scores(rows, corpus), SCORES))
+            sums.groupBy("chunk").applyInPandas(lambda rows: _scores(rows, corpus), SCORES))
     finally:
         remove_path(spark, work)
 
