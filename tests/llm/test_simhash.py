@@ -85,6 +85,18 @@ def test_links_of_dense_clusters(spark):
     assert {frozenset((r["u"], r["v"])) for r in got} == expected
 
 
+def test_links_are_not_broadcast(spark):
+    # 28 rows a class, which the planner takes for one: small in its eyes at any threshold.
+    rng = random.Random(4)
+    prints = [rng.getrandbits(63) for _ in range(200)]
+    prints += [x ^ 5 for x in prints[:20]]
+    found = links(spark.createDataFrame([(x,) for x in prints], "fp long"))
+    assert {(r["u"], r["v"]) for r in found.collect()} == {
+        (max(x, x ^ 5), min(x, x ^ 5)) for x in prints[:20]}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_paths_and_stars(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (300, 200)]
     expected = roots({x for p in pairs for x in p if p[0] != p[1]}, [p for p in pairs if p[0] != p[1]])

@@ -125,9 +125,10 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, seed: int = SEED) -> Dat
                              F.col("fp").bitwiseAND(F.lit(_signed(mask))).alias("part")))
     keyed = (classes.select("fp", *_tables(refs))
              .select("fp", "t0", "t1", F.inline(F.array(*keys))))
+    # Never a broadcast: the planner sizes the exploded rows as if there were one a class.
     return (
         keyed.alias("a").join(
-            keyed.alias("b"),
+            keyed.alias("b").hint("merge"),
             (F.col("a.k") == F.col("b.k")) & (F.col("a.part") == F.col("b.part"))
             & (F.col("a.fp") > F.col("b.fp")) & _within(len(refs), max_bits)
             & (_distance(F.col("a.fp"), F.col("b.fp")) <= max_bits))
